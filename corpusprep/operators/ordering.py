@@ -78,6 +78,19 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
     return bucketizer.transform(tmp).drop("__bk")
 
 
+def lexicographic_bucket_key(df: DataFrame, group_col: str, order_col: str) -> Column:
+    """A numeric key monotone in ``(group, order)``: ``group + (order - min) / (max - min + 1)``.
+
+    Lets ``row_index`` balance buckets by the order inside a group too, so one group holding
+    a third of the rows is spread over many buckets. Costs one min/max pass over one column.
+    """
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    if lo is None:
+        return F.col(group_col).cast("double")
+    span = float(hi - lo + 1)
+    return F.col(group_col).cast("double") + (F.col(order_col) - F.lit(lo)).cast("double") / F.lit(span)
+
+
 def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=None,
               bucket_key=None, prefix_sums: dict | None = None, total_name: str | None = None,
               num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
@@ -210,9 +223,16 @@ def split_index(df: DataFrame, order_by, *, split_col: str = "split", name: str
     return row_index(df, order_by, name=name, partition_by=[split_col], bucket_key=bucket_key)
 
 
-def head_limit(df: DataFrame, n: int | None, *, index_col: str = "row_idx") -> DataFrame:
+def head_limit(df: DataFrame, n, *, index_col: str = "row_idx", split_col: str = "split") -> DataFrame:
     """Keep rows with position < n; NULL or n <= 0 keeps all rows. Needs a row index column
-    (position within the split when the index restarts per split)."""
+    (position within the split when the index restarts per split). ``n`` may be a dict
+    ``{split value: n}`` to limit each split on its own."""
+    if isinstance(n, dict):
+        cond = F.lit(False)
+        for value, lim in n.items():
+            keep = F.lit(True) if lim is None or lim <= 0 else F.col(index_col) < F.lit(int(lim))
+            cond = cond | ((F.col(split_col) == F.lit(value)) & keep)
+        return df.where(cond)
     if n is None or n <= 0:
         return df
     return df.where(F.col(index_col) < F.lit(int(n)))

@@ -71,6 +71,10 @@ def _segments(df: DataFrame, length: Column, block_size: int, rows_per_batch: in
     return d
 
 
+def _field(name: str):
+    return lambda p: p[name]
+
+
 def pack_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                 index_col: str = "row_idx", split_col: str | None = "split",
                 columns=("input_ids", "attention_mask"), keep_short: bool = True,
@@ -87,7 +91,7 @@ def pack_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_RO
     pieces = F.struct(F.col("__lo").alias("lo"), *[F.slice(c, first.cast("int"), span).alias(c) for c in cols])
     key = _batch_cols(split_col) + ["block_no"]
     g = d.groupBy(*key).agg(F.array_sort(F.collect_list(pieces)).alias("__p"))
-    out = g.select(*key, *[F.flatten(F.transform("__p", lambda p, c=c: p[c])).alias(c) for c in cols])
+    out = g.select(*key, *[F.flatten(F.transform("__p", _field(c))).alias(c) for c in cols])
     if labels:
         out = out.withColumn("labels", F.col(cols[0]))
     return out

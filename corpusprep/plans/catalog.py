@@ -1,7 +1,9 @@
 """Registered queries over the driver tables, each with its DuckDB oracle SQL.
 
 Every query reads the given parquet tables (or tables Spark derives from them) in full.
-Arrays are returned as comma-joined text so that results compare by value.
+Arrays are returned as comma-joined text so that results compare by value. The SQL forms are
+deliberately brute force (whole token streams, plain windows over whole groups): they are an
+independent check of the distributed plans, not a model of them.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.functions.tokens import ids_text
+from corpusprep.functions.tokens import codepoint_ids, decode_ids, ids_text, labels_for_display
+from corpusprep.plans import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,32 +33,76 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# SQL fragments shared by the oracles ------------------------------------------------------------
-SQL_CODEPOINTS = ("(CASE WHEN length({t}) = 0 THEN []::INTEGER[] "
-                  "ELSE list_transform(string_split({t}, ''), lambda c: unicode(c) + 256) END)")
-
+# ------------------------------------------------------------------------------------------------
+# SQL building blocks
+# ------------------------------------------------------------------------------------------------
 
 def sql_ids(text: str) -> str:
-    return SQL_CODEPOINTS.format(t=text)
+    return (f"(CASE WHEN length({text}) = 0 THEN []::INTEGER[] "
+            f"ELSE list_transform(string_split({text}, ''), lambda c: unicode(c) + 256) END)")
+
+
+def sql_repeat(value: int, n: str) -> str:
+    return f"list_transform(range(greatest({n}, 0)), lambda x: {value})"
+
 
+NL2 = "chr(10) || chr(10)"
+SQL_SHUFFLE_KEY = "('0x' || substr(md5('{seed}-' || CAST({col} AS VARCHAR)), 1, 15))::BIGINT"
 
 SQL_SPLIT_DOCS = """
 split_docs AS (
-  SELECT doc_id, text,
+  SELECT doc_id, text, source, lang,
          CASE WHEN gidx < cut THEN 'validation' ELSE 'train' END AS split,
          CASE WHEN gidx < cut THEN gidx ELSE gidx - cut END AS row_idx
-  FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS gidx,
+  FROM (SELECT doc_id, text, source, lang, row_number() OVER (ORDER BY doc_id) - 1 AS gidx,
                CAST(round_even(count(*) OVER () * 5 / 100.0, 0) AS BIGINT) AS cut
         FROM documents) AS ranked
 )"""
 
+SQL_EXCHANGES = """
+ex AS (SELECT u.conv_id, u.turn, u.text AS usr, a.text AS answer
+       FROM conversations u JOIN conversations a
+         ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+       WHERE u.role = 'user'),
+sys AS (SELECT conv_id, arg_min(text, turn) AS system FROM conversations WHERE role = 'system' GROUP BY conv_id),
+triples AS (SELECT ex.conv_id, ex.turn, usr AS instruction, sys.system AS input, answer AS output
+            FROM ex LEFT JOIN sys USING (conv_id)),
+pairs AS (SELECT e.conv_id, e.turn, e.usr AS prompt, e.answer AS chosen, n.answer AS rejected
+          FROM ex e JOIN ex n ON n.conv_id = e.conv_id + 1 AND n.turn = e.turn)"""
+
+SQL_SOURCE = ("CASE WHEN input IS NOT NULL AND input <> '' THEN instruction || chr(10) || input "
+              "ELSE instruction END")
+
+SQL_TRAIN_LOG = f"""
+tl0 AS (SELECT user_id AS run, value / 100.0 AS loss,
+               row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) - 1 AS micro_step
+        FROM events),
+train_log AS (SELECT run, CAST(micro_step // {derived.STEPS_PER_EPOCH} AS INTEGER) AS epoch, micro_step, loss,
+                     ((micro_step % {derived.STEPS_PER_EPOCH}) + 1) % {derived.ACCUMULATION} = 0
+                     OR micro_step % {derived.STEPS_PER_EPOCH} = {derived.STEPS_PER_EPOCH - 1} AS sync
+              FROM tl0),
+cs AS (SELECT *, sum(CAST(sync AS BIGINT)) OVER (PARTITION BY run ORDER BY micro_step
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS completed_steps FROM train_log)"""
+
+SQL_EVALS = f"""
+t0 AS (SELECT min(epoch_us(ts)) AS t0 FROM events),
+eval_log AS (SELECT user_id AS run,
+                    CAST(floor((epoch_us(ts) - t0) / {derived.EVAL_EPOCH_DAYS * 86400 * 10**6}) AS INTEGER) AS epoch,
+                    CAST(floor((epoch_us(ts) - t0) / 3600000000) + 1 AS BIGINT) AS completed_steps,
+                    event_id AS batch_no, CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS n,
+                    value / 100.0 AS loss
+             FROM events, t0),
+evals AS (SELECT run, epoch, completed_steps, CAST(sum(n) AS BIGINT) AS n_examples,
+                 CAST(sum(CAST(loss AS DECIMAL(18,4)) * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS eval_loss
+          FROM eval_log GROUP BY run, epoch, completed_steps)"""
 
-def sql_pack(block: int, rows_per_batch: int, keep_short: bool = True, split_docs: str = SQL_SPLIT_DOCS) -> str:
+
+def sql_pack(block: int, rows_per_batch: int, keep_short: bool = True) -> str:
     """Brute force: every token gets its position in the batch stream; tokens below the kept
     length are grouped by position // block."""
     short = "total" if keep_short else "0"
     return f"""
-WITH {split_docs.strip()},
+WITH {SQL_SPLIT_DOCS.strip()},
 toks AS (SELECT split, row_idx, row_idx // {rows_per_batch} AS batch_id, {sql_ids('text')} AS ids FROM split_docs),
 starts AS (SELECT split, batch_id, ids,
                   coalesce(sum(len(ids)) OVER (PARTITION BY split, batch_id ORDER BY row_idx
@@ -81,6 +128,16 @@ def _blocks_out(blocks: DataFrame) -> DataFrame:
         (F.col("labels") == F.col("input_ids")).alias("labels_same"))
 
 
+def _split_docs(spark, sf_dir) -> DataFrame:
+    from corpusprep.operators.ordering import head_percent_split
+    docs = table(spark, sf_dir, "documents")
+    return head_percent_split(docs.select("doc_id", "text", "source", "lang"), ["doc_id"], 5)
+
+
+# ------------------------------------------------------------------------------------------------
+# packing and order
+# ------------------------------------------------------------------------------------------------
+
 @register("pack_blocks", sql_pack(1024, 1000))
 def q_pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: documents -> 5% head validation split -> codepoint tokens -> blocks of 1024
@@ -88,3 +145,518 @@ def q_pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusprep.plans.pretrain import pretrain_blocks
     docs = table(spark, sf_dir, "documents")
     return _blocks_out(pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000))
+
+
+@register("pack_short_tail", sql_pack(2048, 1))
+def q_pack_short_tail(spark, sf_dir):
+    """Array packing (the model-tokenizer path) with one row per batch: short documents make
+    one short block, long ones lose their tail."""
+    from corpusprep.operators.packing import pack_blocks
+    from corpusprep.operators.tokenizing import tokenize
+    toks = tokenize(_split_docs(spark, sf_dir).select("split", "row_idx", "text"))
+    return _blocks_out(pack_blocks(toks, 2048, 1))
+
+
+@register("packing_report", f"""
+WITH {SQL_SPLIT_DOCS.strip()},
+pb AS (SELECT split, row_idx // 100 AS batch_id, count(*) AS nrows, sum(length(text)) AS tokens
+       FROM split_docs GROUP BY split, row_idx // 100),
+k AS (SELECT *, CASE WHEN tokens >= 1024 THEN (tokens // 1024) * 1024 ELSE tokens END AS kept,
+             CASE WHEN tokens >= 1024 THEN tokens // 1024 WHEN tokens > 0 THEN 1 ELSE 0 END AS blocks,
+             CASE WHEN tokens > 0 AND tokens < 1024 THEN 1 ELSE 0 END AS short FROM pb)
+SELECT split, CAST(sum(nrows) AS BIGINT) AS rows_in, CAST(sum(tokens) AS BIGINT) AS tokens_in,
+       CAST(count(*) AS BIGINT) AS batches, CAST(sum(blocks) AS BIGINT) AS blocks,
+       CAST(sum(kept) AS BIGINT) AS tokens_kept, CAST(sum(tokens) - sum(kept) AS BIGINT) AS tokens_dropped,
+       CAST(sum(short) AS BIGINT) AS short_blocks
+FROM k GROUP BY split""")
+def q_packing_report(spark, sf_dir):
+    from corpusprep.operators.packing import packing_report
+    from corpusprep.operators.tokenizing import tokenize
+    toks = tokenize(_split_docs(spark, sf_dir).select("split", "row_idx", "text"))
+    return packing_report(toks, 1024, 100)
+
+
+@register("pack_limited", f"""
+SELECT split, batch_id, block_no, n_tokens, block_idx FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY batch_id, block_no) - 1 AS BIGINT) AS block_idx
+  FROM ({sql_pack(1024, 100)}) AS p) AS q
+WHERE (split = 'train' AND block_idx < 500) OR (split = 'validation' AND block_idx < 20)""")
+def q_pack_limited(spark, sf_dir):
+    """Sample limits count packed blocks (train 500, validation 20)."""
+    from corpusprep.plans.pretrain import pretrain_blocks
+    b = pretrain_blocks(table(spark, sf_dir, "documents"), ["doc_id"], block_size=1024, rows_per_batch=100,
+                        max_train_samples=500, max_eval_samples=20)
+    return b.select("split", "batch_id", "block_no", F.size("input_ids").cast("bigint").alias("n_tokens"), "block_idx")
+
+
+@register("split_counts", f"""
+WITH {SQL_SPLIT_DOCS.strip()}
+SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM split_docs GROUP BY split""")
+def q_split_counts(spark, sf_dir):
+    from corpusprep.operators.ordering import split_counts
+    return split_counts(_split_docs(spark, sf_dir))
+
+
+@register("head_limit", f"""
+WITH {SQL_SPLIT_DOCS.strip()}
+SELECT split, row_idx, doc_id FROM split_docs
+WHERE (split = 'train' AND row_idx < 100) OR (split = 'validation' AND row_idx < 10)""")
+def q_head_limit(spark, sf_dir):
+    from corpusprep.operators.ordering import head_limit
+    return head_limit(_split_docs(spark, sf_dir), {"train": 100, "validation": 10}).select("split", "row_idx", "doc_id")
+
+
+@register("seeded_shuffle_head", f"""
+WITH {SQL_SPLIT_DOCS.strip()},
+lim AS (SELECT doc_id FROM split_docs WHERE split = 'train' AND row_idx < 200)
+SELECT doc_id, CAST(row_number() OVER (ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='doc_id')}, doc_id) - 1 AS BIGINT)
+       AS shuffle_idx
+FROM lim""")
+def q_seeded_shuffle_head(spark, sf_dir):
+    """SFT order: limit the train rows (200), then shuffle them with seed 42."""
+    from corpusprep.operators.ordering import head_limit, seeded_shuffle
+    lim = head_limit(_split_docs(spark, sf_dir), {"train": 200, "validation": 0}).where("split = 'train'")
+    return seeded_shuffle(lim.select("doc_id"), 42, "doc_id")
+
+
+@register("token_stats", f"""
+WITH {SQL_SPLIT_DOCS.strip()},
+t AS (SELECT split, len({sql_ids('text')}) AS n FROM split_docs)
+SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_tokens,
+       CAST(max(n) AS BIGINT) AS max_tokens, CAST(min(n) AS BIGINT) AS min_tokens
+FROM t GROUP BY split""")
+def q_token_stats(spark, sf_dir):
+    from corpusprep.operators.tokenizing import token_stats, tokenize
+    return token_stats(tokenize(_split_docs(spark, sf_dir).select("split", "text")))
+
+
+@register("decode_roundtrip", f"""
+SELECT item_id, CAST(len({sql_ids('text')}) AS BIGINT) AS n_tokens,
+       array_to_string(list_transform({sql_ids('text')}, lambda i: chr(i - 256)), '') AS decoded
+FROM benchmark""")
+def q_decode_roundtrip(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select("item_id", codepoint_ids("text").alias("ids"))
+    return b.select("item_id", F.size("ids").cast("bigint").alias("n_tokens"), decode_ids("ids").alias("decoded"))
+
+
+# ------------------------------------------------------------------------------------------------
+# instruction examples
+# ------------------------------------------------------------------------------------------------
+
+def _triples(spark, sf_dir):
+    return derived.instruction_triples(table(spark, sf_dir, "conversations"))
+
+
+@register("instruction_source", f"""
+WITH {SQL_EXCHANGES.strip()}
+SELECT conv_id, turn, {SQL_SOURCE} AS source FROM triples""")
+def q_instruction_source(spark, sf_dir):
+    from corpusprep.operators.instruct import build_source
+    return _triples(spark, sf_dir).select("conv_id", "turn", build_source("instruction", "input").alias("source"))
+
+
+def sql_instruction(style: str, max_source: int, max_target: int) -> str:
+    limit = max_source + max_target
+    if style == "markers":
+        ids = "[195] || s || [196] || t"
+        labels = f"[2] || {sql_repeat(-100, 'len(s) + 1')} || t"
+    else:
+        ids = "s || t"
+        labels = f"{sql_repeat(-100, 'len(s)')} || t"
+    return f"""
+WITH {SQL_EXCHANGES.strip()},
+tk AS (SELECT conv_id, turn, {sql_ids(SQL_SOURCE)} AS s, {sql_ids('output')} || [2] AS t
+       FROM triples WHERE instruction IS NOT NULL AND output IS NOT NULL),
+ok AS (SELECT * FROM tk WHERE len(s) <= {max_source} AND len(t) <= {max_target}),
+fm AS (SELECT conv_id, turn, list_slice({ids}, 1, {limit}) AS input_ids, list_slice({labels}, 1, {limit}) AS labels FROM ok)
+SELECT conv_id, turn, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels
+FROM fm WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
+
+
+def _instruction_examples(spark, sf_dir, style):
+    from corpusprep.operators.instruct import format_instructions
+    return format_instructions(_triples(spark, sf_dir), max_source=1024, max_target=1024, style=style,
+                               keep=("conv_id", "turn"))
+
+
+@register("instruction_examples", sql_instruction("markers", 1024, 1024))
+def q_instruction_examples(spark, sf_dir):
+    """Markers style with the launch limits 1024 / 1024; too long rows dropped."""
+    d = _instruction_examples(spark, sf_dir, "markers")
+    return d.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
+@register("instruction_plain", sql_instruction("plain", 1024, 1024))
+def q_instruction_plain(spark, sf_dir):
+    d = _instruction_examples(spark, sf_dir, "plain")
+    return d.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
+@register("display_labels", f"""
+WITH fm AS ({sql_instruction("markers", 1024, 1024)})
+SELECT conv_id, turn,
+       array_to_string(list_transform(string_split(labels, ','), lambda x: CASE
+         WHEN CAST(x AS INTEGER) >= 256 THEN chr(CAST(x AS INTEGER) - 256)
+         WHEN CAST(x AS INTEGER) = 195 THEN '<reserved_106>' WHEN CAST(x AS INTEGER) = 196 THEN '<reserved_107>'
+         WHEN CAST(x AS INTEGER) = 2 THEN '</s>' ELSE '' END), '') AS label_text
+FROM fm""")
+def q_display_labels(spark, sf_dir):
+    """Labels with the ignore id shown as pad, decoded to text (the answer and its eos)."""
+    d = _instruction_examples(spark, sf_dir, "markers")
+    return d.select("conv_id", "turn", decode_ids(labels_for_display("labels")).alias("label_text"))
+
+
+@register("render_template", f"""
+WITH {SQL_EXCHANGES.strip()}
+SELECT conv_id, turn,
+       replace(' <reserved_102> {{query}} <reserved_103> ', '{{query}}',
+               '' || instruction || CASE WHEN instruction <> '' THEN '</s>' ELSE '' END || coalesce(input, '')) AS prompt
+FROM triples""")
+def q_render_template(spark, sf_dir):
+    from corpusprep.operators.instruct import render_template
+    t = _triples(spark, sf_dir).withColumn("source", F.coalesce("input", F.lit("")))
+    return render_template(t, "baichuan-chat", instruction="instruction", source="source").select("conv_id", "turn", "prompt")
+
+
+# ------------------------------------------------------------------------------------------------
+# chat examples
+# ------------------------------------------------------------------------------------------------
+
+def sql_chat(max_source: int, max_target: int) -> str:
+    return f"""
+WITH msgs AS (SELECT conv_id, turn,
+                     CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS frm,
+                     {sql_ids('text')} AS v FROM conversations),
+pieces AS (SELECT conv_id, turn,
+                  CASE WHEN frm = 'human' THEN [195] || v ELSE [196] || v END AS pi,
+                  CASE WHEN frm = 'human' THEN [2] || list_transform(v, lambda x: -100) ELSE [-100] || v END AS pl
+           FROM msgs),
+conv AS (SELECT conv_id, flatten(list(pi ORDER BY turn)) || [2] AS ids, flatten(list(pl ORDER BY turn)) || [2] AS labels
+         FROM pieces GROUP BY conv_id),
+cut AS (SELECT conv_id, list_slice(ids, 1, {max_source}) AS ids, list_slice(labels, 1, {max_target}) AS labels FROM conv),
+padded AS (SELECT conv_id, ids || {sql_repeat(0, f'{max_source} - len(ids)')} AS ids,
+                  labels || {sql_repeat(-100, f'{max_target} - len(labels)')} AS labels FROM cut)
+SELECT conv_id, array_to_string(ids, ',') AS input_ids, array_to_string(labels, ',') AS labels,
+       CAST(len(list_filter(ids, lambda x: x <> 0)) AS BIGINT) AS n_attended
+FROM padded WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
+
+
+def _chat_out(d: DataFrame) -> DataFrame:
+    return d.select("conv_id", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"),
+                    F.size(F.filter("attention_mask", lambda x: x)).cast("bigint").alias("n_attended"))
+
+
+@register("chat_examples", sql_chat(2048, 2048))
+def q_chat_examples(spark, sf_dir):
+    """Multi-turn chats, launch limits 2048 / 2048; system turns count as answers."""
+    from corpusprep.operators.chat import chat_examples
+    msgs = derived.chat_messages(table(spark, sf_dir, "conversations"))
+    return _chat_out(chat_examples(msgs, max_source=2048, max_target=2048))
+
+
+@register("chat_examples_short", sql_chat(512, 256))
+def q_chat_examples_short(spark, sf_dir):
+    """Code defaults shape: unequal limits (ids 512, labels 256) cut most conversations."""
+    from corpusprep.operators.chat import chat_examples
+    msgs = derived.chat_messages(table(spark, sf_dir, "conversations"))
+    return _chat_out(chat_examples(msgs, max_source=512, max_target=256, allow_unequal=True))
+
+
+# ------------------------------------------------------------------------------------------------
+# preference pairs
+# ------------------------------------------------------------------------------------------------
+
+def _pairs(spark, sf_dir):
+    return derived.preference_pairs(table(spark, sf_dir, "conversations"))
+
+
+@register("wrap_prompt", f"""
+WITH {SQL_EXCHANGES.strip()}
+SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs""")
+def q_wrap_prompt(spark, sf_dir):
+    from corpusprep.operators.preference import wrap_prompt
+    return wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn"))
+
+
+@register("pair_length_filter", f"""
+WITH {SQL_EXCHANGES.strip()},
+w AS (SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs)
+SELECT conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len, CAST(length(chosen) AS BIGINT) AS chosen_len,
+       CAST(length(rejected) AS BIGINT) AS rejected_len
+FROM w WHERE length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024""")
+def q_pair_length_filter(spark, sf_dir):
+    from corpusprep.operators.preference import filter_pair_length, wrap_prompt
+    w = filter_pair_length(wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn")), 1024)
+    return w.select("conv_id", "turn", *[F.length(c).cast("bigint").alias(f"{c}_len") for c in ("prompt", "chosen", "rejected")])
+
+
+@register("pair_sanity_head", f"""
+WITH {SQL_EXCHANGES.strip()},
+h AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM pairs) AS x WHERE rn <= 200),
+w AS (SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM h)
+SELECT conv_id, turn, prompt FROM w WHERE length(prompt) + length(chosen) <= 4096 AND length(prompt) + length(rejected) <= 4096""")
+def q_pair_sanity_head(spark, sf_dir):
+    """Sanity mode: the first 200 pairs before formatting and filtering (launch limit 4096)."""
+    from corpusprep.constants import SANITY_ROWS_PAIRS
+    from corpusprep.operators.ordering import head_limit, row_index
+    from corpusprep.operators.preference import filter_pair_length, wrap_prompt
+    p = _pairs(spark, sf_dir)
+    key = F.col("conv_id").cast("double") + F.col("turn").cast("double") / F.lit(2.0 ** 31)
+    p = head_limit(row_index(p, ["conv_id", "turn"], bucket_key=key), SANITY_ROWS_PAIRS)
+    w = filter_pair_length(wrap_prompt(p, keep=("conv_id", "turn")), 4096)
+    return w.select("conv_id", "turn", "prompt")
+
+
+@register("transcript_split", f"""
+WITH {SQL_EXCHANGES.strip()},
+prev AS (SELECT conv_id, turn + 2 AS turn, {NL2} || 'Human: ' || usr || {NL2} || 'Assistant: ' || answer AS history FROM ex),
+tr AS (SELECT p.conv_id, p.turn, coalesce(h.history, '') || {NL2} || 'Human: ' || p.prompt || {NL2} || 'Assistant: ' AS head,
+              p.chosen, p.rejected FROM pairs p LEFT JOIN prev h USING (conv_id, turn)),
+t2 AS (SELECT conv_id, turn, head || chosen AS c, head || rejected AS r FROM tr),
+t3 AS (SELECT *, length(c) - length(string_split(c, {NL2} || 'Assistant:')[-1]) AS plen FROM t2)
+SELECT conv_id, turn, left(c, plen) AS prompt, substr(c, plen + 1) AS chosen, substr(r, plen + 1) AS rejected,
+       starts_with(r, left(c, plen)) AS prefix_ok
+FROM t3""")
+def q_transcript_split(spark, sf_dir):
+    from corpusprep.operators.preference import split_transcripts
+    t = derived.transcripts(table(spark, sf_dir, "conversations"))
+    return split_transcripts(t, keep=("conv_id", "turn"))
+
+
+# ------------------------------------------------------------------------------------------------
+# batches
+# ------------------------------------------------------------------------------------------------
+
+SQL_BATCHES = f"""
+bt AS (SELECT doc_id, source, idx // 8 AS batch_no, idx % 8 AS pos FROM (
+         SELECT doc_id, source, row_number() OVER (ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='doc_id')}, doc_id) - 1 AS idx
+         FROM documents) AS s)"""
+
+
+def _batches(spark, sf_dir):
+    from corpusprep.operators.batching import assign_batches
+    return assign_batches(table(spark, sf_dir, "documents").select("doc_id", "source"), 8, 42, "doc_id")
+
+
+@register("batches", f"WITH {SQL_BATCHES.strip()} SELECT doc_id, CAST(batch_no AS BIGINT) AS batch_no, "
+                     "CAST(pos AS BIGINT) AS pos FROM bt")
+def q_batches(spark, sf_dir):
+    """Seeded shuffle of all documents cut in batches of 8."""
+    return _batches(spark, sf_dir).select("doc_id", "batch_no", "pos")
+
+
+@register("skip_batches", f"WITH {SQL_BATCHES.strip()} SELECT doc_id, CAST(batch_no AS BIGINT) AS batch_no, "
+                          "CAST(pos AS BIGINT) AS pos FROM bt WHERE batch_no >= 10")
+def q_skip_batches(spark, sf_dir):
+    from corpusprep.operators.batching import skip_batches
+    return skip_batches(_batches(spark, sf_dir), 10).select("doc_id", "batch_no", "pos")
+
+
+@register("collate_fallback", f"""
+WITH {SQL_BATCHES.strip()},
+ex AS (SELECT bt.batch_no, bt.pos, {sql_ids('bt.source')} AS input_ids, l.quality AS label
+       FROM bt LEFT JOIN labels l USING (doc_id)),
+w AS (SELECT *,
+        first_value(input_ids) OVER (PARTITION BY batch_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_ids,
+        first_value(label) OVER (PARTITION BY batch_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_label,
+        min(len(input_ids)) OVER (PARTITION BY batch_no) <> max(len(input_ids)) OVER (PARTITION BY batch_no) AS fell_back
+      FROM ex)
+SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(pos AS BIGINT) AS pos,
+       array_to_string(CASE WHEN fell_back THEN first_ids ELSE input_ids END, ',') AS input_ids,
+       CAST(CASE WHEN first_label IS NOT NULL THEN label END AS BIGINT) AS labels, fell_back
+FROM w""")
+def q_collate_fallback(spark, sf_dir):
+    """Ragged batches become copies of their first row; labels from the first row's type and
+    presence; the string column is not collated."""
+    from corpusprep.operators.batching import collate
+    b = _batches(spark, sf_dir)
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", codepoint_ids("source").alias("input_ids"),
+                                                     "label", F.col("source").alias("name"))
+    c = collate(ex, on_ragged="repeat_first")
+    return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
+
+
+@register("pad_to_longest", f"""
+WITH {SQL_BATCHES.strip()},
+ex AS (SELECT batch_no, pos, {sql_ids('source')} AS ids FROM bt),
+w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_no) AS m FROM ex)
+SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(pos AS BIGINT) AS pos,
+       array_to_string(ids || {sql_repeat(0, 'm - len(ids)')}, ',') AS input_ids,
+       array_to_string(ids || {sql_repeat(-100, 'm - len(ids)')}, ',') AS labels
+FROM w""")
+def q_pad_to_longest(spark, sf_dir):
+    from corpusprep.operators.batching import pad_to_longest
+    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("source").alias("input_ids"))
+    p = pad_to_longest(b.withColumn("labels", F.col("input_ids")))
+    return p.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
+@register("epoch_plan", f"""
+WITH {SQL_SPLIT_DOCS.strip()},
+n AS (SELECT split, count(*) AS n_examples FROM split_docs GROUP BY split),
+b AS (SELECT *, CAST(ceil(n_examples / 8.0) AS BIGINT) AS batches FROM n),
+u AS (SELECT *, CAST(ceil(batches / 4.0) AS BIGINT) AS updates_per_epoch FROM b)
+SELECT split, CAST(n_examples AS BIGINT) AS n_examples, batches, updates_per_epoch,
+       CAST(updates_per_epoch * 3 AS BIGINT) AS total_updates,
+       CAST(CASE WHEN updates_per_epoch > 0 THEN ceil(updates_per_epoch * 3 / updates_per_epoch) END AS BIGINT) AS epochs,
+       CAST(32 AS BIGINT) AS total_batch_size
+FROM u""")
+def q_epoch_plan(spark, sf_dir):
+    """Batch size 8, accumulation 4, 3 epochs, one process."""
+    from corpusprep.operators.batching import epoch_plan
+    return epoch_plan(_split_docs(spark, sf_dir), 8, accumulation=4, epochs=3)
+
+
+# ------------------------------------------------------------------------------------------------
+# run logs
+# ------------------------------------------------------------------------------------------------
+
+def _train_log(spark, sf_dir):
+    return derived.train_log(table(spark, sf_dir, "events"))
+
+
+def _evals(spark, sf_dir):
+    from corpusprep.operators.runlog import eval_loss
+    return eval_loss(derived.eval_log(table(spark, sf_dir, "events")), exact_scale=4)
+
+
+@register("completed_steps", f"""
+WITH {SQL_TRAIN_LOG.strip()}
+SELECT run, epoch, micro_step, sync, CAST(completed_steps AS BIGINT) AS completed_steps FROM cs""")
+def q_completed_steps(spark, sf_dir):
+    from corpusprep.operators.runlog import completed_steps
+    return completed_steps(_train_log(spark, sf_dir)).select("run", "epoch", "micro_step", "sync", "completed_steps")
+
+
+@register("running_train_loss", f"""
+WITH {SQL_TRAIN_LOG.strip()},
+r AS (SELECT *, sum(CAST(loss AS DECIMAL(38,4))) OVER (PARTITION BY run, epoch ORDER BY micro_step
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS els FROM cs)
+SELECT run, epoch, micro_step, CAST(completed_steps AS BIGINT) AS completed_steps,
+       CAST(els AS DOUBLE) AS epoch_loss_sum,
+       CASE WHEN completed_steps > 0 THEN CAST(els AS DOUBLE) / CAST(completed_steps AS DOUBLE) END AS train_loss
+FROM r""")
+def q_running_train_loss(spark, sf_dir):
+    """Epoch loss sum over completed steps of all epochs, as the reference logs it."""
+    from corpusprep.operators.runlog import running_train_loss
+    d = running_train_loss(_train_log(spark, sf_dir), exact_scale=4)
+    return d.select("run", "epoch", "micro_step", "completed_steps", "epoch_loss_sum", "train_loss")
+
+
+@register("cadence", f"""
+WITH {SQL_TRAIN_LOG.strip()}
+SELECT run, CAST(completed_steps AS BIGINT) AS completed_steps, min(micro_step) AS micro_step,
+       arg_min(epoch, micro_step) AS epoch
+FROM cs WHERE completed_steps > 0 AND completed_steps % 10 = 0 GROUP BY run, completed_steps""")
+def q_cadence(spark, sf_dir):
+    """Evaluation points every 10 optimizer steps, once each."""
+    from corpusprep.operators.runlog import cadence, completed_steps
+    return cadence(completed_steps(_train_log(spark, sf_dir)), 10).select("run", "completed_steps", "micro_step", "epoch")
+
+
+@register("eval_loss_perplexity", f"""
+WITH {SQL_EVALS.strip()}
+SELECT run, epoch, completed_steps, n_examples, eval_loss, round(exp(eval_loss), 6) AS perplexity FROM evals""")
+def q_eval_loss_perplexity(spark, sf_dir):
+    """Example-weighted mean eval loss and its perplexity per evaluation."""
+    e = _evals(spark, sf_dir)
+    return e.select("run", "epoch", "completed_steps", "n_examples", "eval_loss",
+                    F.round("perplexity", 6).alias("perplexity"))
+
+
+@register("best_so_far", f"""
+WITH {SQL_EVALS.strip()},
+b AS (SELECT *, min(eval_loss) OVER (PARTITION BY run ORDER BY completed_steps
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM evals)
+SELECT run, completed_steps, eval_loss, best_before,
+       (best_before IS NULL OR eval_loss < best_before) AS is_best
+FROM b""")
+def q_best_so_far(spark, sf_dir):
+    from corpusprep.operators.runlog import best_so_far
+    return best_so_far(_evals(spark, sf_dir)).select("run", "completed_steps", "eval_loss", "best_before", "is_best")
+
+
+@register("epoch_summary", f"""
+WITH {SQL_EVALS.strip()},
+pe AS (SELECT run, epoch, max(completed_steps) AS completed_steps, arg_max(eval_loss, completed_steps) AS eval_loss
+       FROM evals GROUP BY run, epoch)
+SELECT run, epoch, completed_steps, eval_loss, round(exp(eval_loss), 6) AS perplexity,
+       epoch = max(epoch) OVER (PARTITION BY run) AS is_final
+FROM pe""")
+def q_epoch_summary(spark, sf_dir):
+    from corpusprep.operators.runlog import epoch_summary
+    s = epoch_summary(_evals(spark, sf_dir))
+    return s.select("run", "epoch", "completed_steps", "eval_loss", F.round("perplexity", 6).alias("perplexity"), "is_final")
+
+
+SQL_SAVES = """
+saves AS (SELECT run, completed_steps, min(micro_step) AS micro_step FROM cs
+          WHERE completed_steps > 0 AND completed_steps % 5 = 0 GROUP BY run, completed_steps)"""
+
+
+def _saves(spark, sf_dir):
+    from corpusprep.operators.runlog import cadence, completed_steps
+    return cadence(completed_steps(_train_log(spark, sf_dir)), 5, keep=())
+
+
+@register("checkpoint_ring", f"""
+WITH {SQL_TRAIN_LOG.strip()}, {SQL_SAVES.strip()}
+SELECT run, CAST(floor(completed_steps / 5) % 5 AS BIGINT) AS slot, CAST(max(completed_steps) AS BIGINT) AS completed_steps,
+       'last_step_' || CAST(CAST(floor(completed_steps / 5) % 5 AS BIGINT) AS VARCHAR) AS name
+FROM saves GROUP BY run, floor(completed_steps / 5) % 5""")
+def q_checkpoint_ring(spark, sf_dir):
+    """Saves every 5 optimizer steps into a ring of 5 slots: the survivors."""
+    from corpusprep.operators.runlog import checkpoint_ring
+    return checkpoint_ring(_saves(spark, sf_dir), 5).select("run", "slot", "completed_steps", "name")
+
+
+@register("resume_point", f"""
+WITH {SQL_TRAIN_LOG.strip()}, {SQL_SAVES.strip()},
+names AS (SELECT run, 'step_' || CAST(completed_steps AS VARCHAR) AS name FROM saves
+          UNION ALL SELECT DISTINCT run, 'epoch_' || CAST(epoch AS VARCHAR) FROM train_log
+          UNION ALL SELECT DISTINCT run, 'last_step_' || CAST(CAST(floor(completed_steps / 5) % 5 AS BIGINT) AS VARCHAR) FROM saves),
+p AS (SELECT run, name, regexp_extract(name, '^epoch_([0-9]+)$', 1) AS ep, regexp_extract(name, '^step_([0-9]+)$', 1) AS st FROM names)
+SELECT run, name,
+       CAST(CASE WHEN ep <> '' THEN CAST(ep AS BIGINT) + 1
+                 WHEN st <> '' THEN floor(CAST(st AS BIGINT) * {derived.ACCUMULATION} / {derived.STEPS_PER_EPOCH}) END AS BIGINT) AS start_epoch,
+       CAST(CASE WHEN ep <> '' THEN (CAST(ep AS BIGINT) + 1) * 8
+                 WHEN st <> '' THEN floor(CAST(st AS BIGINT) * {derived.ACCUMULATION} / {derived.ACCUMULATION}) END AS BIGINT) AS completed_steps,
+       CAST(CASE WHEN ep <> '' THEN 0
+                 WHEN st <> '' THEN CAST(st AS BIGINT) * {derived.ACCUMULATION}
+                      - floor(CAST(st AS BIGINT) * {derived.ACCUMULATION} / {derived.STEPS_PER_EPOCH}) * {derived.STEPS_PER_EPOCH} END AS BIGINT) AS skip_batches,
+       CASE WHEN ep = '' AND st = '' THEN 'unparsable checkpoint name' END AS reason
+FROM p""")
+def q_resume_point(spark, sf_dir):
+    """Resume positions for every checkpoint name the run leaves: ``step_N``, ``epoch_N`` and
+    the ring's own ``last_step_k`` (not parsable, as in the reference)."""
+    from corpusprep.operators.runlog import checkpoint_ring, resume_point
+    tl = _train_log(spark, sf_dir)
+    saves = _saves(spark, sf_dir)
+    names = (saves.select("run", F.concat(F.lit("step_"), F.col("completed_steps").cast("string")).alias("name"))
+             .unionByName(tl.select("run", F.concat(F.lit("epoch_"), F.col("epoch").cast("string")).alias("name")).distinct())
+             .unionByName(checkpoint_ring(saves, 5).select("run", "name")))
+    per_epoch = -(-derived.STEPS_PER_EPOCH // derived.ACCUMULATION)
+    r = resume_point(names, accum=derived.ACCUMULATION, batches_per_epoch=derived.STEPS_PER_EPOCH,
+                     updates_per_epoch=per_epoch)
+    return r.select("run", "name", "start_epoch", "completed_steps", "skip_batches", "reason")
+
+
+@register("argmax_prediction", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS prediction FROM embeddings""")
+def q_argmax_prediction(spark, sf_dir):
+    from corpusprep.operators.runlog import argmax_prediction
+    return argmax_prediction(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "prediction")
+
+
+@register("next_token_accuracy", f"""
+WITH p AS (SELECT vec_id, vec_id // {derived.SEQUENCE_LENGTH} AS seq, label,
+                  list_position(embedding, list_max(embedding)) - 1 AS pred FROM embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY vec_id) AS i FROM p),
+hits AS (SELECT CAST(a.pred = b.label AS INTEGER) AS hit FROM r a JOIN r b ON a.seq = b.seq AND b.i = a.i + 1)
+SELECT CAST(sum(hit) AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS compared,
+       CAST(sum(hit) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS accuracy
+FROM hits""")
+def q_next_token_accuracy(spark, sf_dir):
+    from corpusprep.operators.runlog import next_token_accuracy
+    return next_token_accuracy(derived.logit_sequences(table(spark, sf_dir, "embeddings")))
