@@ -72,6 +72,8 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
     probs = [i / num_buckets for i in range(1, num_buckets)]
     bounds = tmp.approxQuantile("__bk", probs, err)  # one pass over the key column
     inner = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
+    if not inner:  # empty input or a single key value: one bucket
+        return tmp.withColumn("__bucket", F.lit(0.0)).drop("__bk")
     splits = [float("-inf")] + inner + [float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="__bk", outputCol="__bucket",
                             handleInvalid="keep")  # NaN sorts last: own last bucket

@@ -97,12 +97,14 @@ evals AS (SELECT run, epoch, completed_steps, CAST(sum(n) AS BIGINT) AS n_exampl
           FROM eval_log GROUP BY run, epoch, completed_steps)"""
 
 
-def sql_pack(block: int, rows_per_batch: int, keep_short: bool = True) -> str:
+def sql_pack(block: int, rows_per_batch: int, keep_short: bool = True, split_docs: str = SQL_SPLIT_DOCS,
+             with_split: bool = True) -> str:
     """Brute force: every token gets its position in the batch stream; tokens below the kept
     length are grouped by position // block."""
     short = "total" if keep_short else "0"
+    split_out = "split, " if with_split else ""
     return f"""
-WITH {SQL_SPLIT_DOCS.strip()},
+WITH {split_docs.strip()},
 toks AS (SELECT split, row_idx, row_idx // {rows_per_batch} AS batch_id, {sql_ids('text')} AS ids FROM split_docs),
 starts AS (SELECT split, batch_id, ids,
                   coalesce(sum(len(ids)) OVER (PARTITION BY split, batch_id ORDER BY row_idx
@@ -111,7 +113,7 @@ starts AS (SELECT split, batch_id, ids,
            FROM toks),
 flat AS (SELECT split, batch_id, total, start + unnest(range(len(ids))) AS pos, unnest(ids) AS tok FROM starts),
 kept AS (SELECT *, CASE WHEN total >= {block} THEN (total // {block}) * {block} ELSE {short} END AS keep FROM flat)
-SELECT split, CAST(batch_id AS BIGINT) AS batch_id, CAST(pos // {block} AS BIGINT) AS block_no,
+SELECT {split_out}CAST(batch_id AS BIGINT) AS batch_id, CAST(pos // {block} AS BIGINT) AS block_no,
        CAST(count(*) AS BIGINT) AS n_tokens, array_to_string(list(tok ORDER BY pos), ',') AS ids,
        true AS labels_same
 FROM kept WHERE pos < keep
@@ -660,3 +662,142 @@ FROM hits""")
 def q_next_token_accuracy(spark, sf_dir):
     from corpusprep.operators.runlog import next_token_accuracy
     return next_token_accuracy(derived.logit_sequences(table(spark, sf_dir, "embeddings")))
+
+
+# ------------------------------------------------------------------------------------------------
+# files and streams: the query writes files derived from the tables to a fresh folder under the
+# shared checkpoint folder, then reads them back with the corpus readers
+# ------------------------------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from corpusprep.session import scratch_path
+    return scratch_path(spark, name)
+
+
+def _write_docs(split_docs: DataFrame, base: str, fmt: str) -> None:
+    """Train and validation documents in doc_id order, train nested by language."""
+    for split in ("train", "validation"):
+        d = split_docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+        if fmt == "text":
+            w = d.select("text", "lang").write.mode("overwrite")
+            (w.partitionBy("lang") if split == "train" else d.select("text").write.mode("overwrite")).text(f"{base}/{split}")
+        else:
+            d.select("doc_id", "text", "lang").write.mode("overwrite").json(f"{base}/{split}")
+
+
+@register("read_text_corpus", f"""
+WITH {SQL_SPLIT_DOCS.strip()}
+SELECT split, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines,
+       CAST(sum(length(text) + 1) AS BIGINT) AS n_chars
+FROM split_docs GROUP BY split""")
+def q_read_text_corpus(spark, sf_dir):
+    """Documents written as .txt files (train in nested folders), discovered recursively,
+    type-checked and read one row per line with line breaks kept."""
+    from corpusprep.sources.files import read_corpus
+    base = _scratch(spark, "text-corpus")
+    _write_docs(_split_docs(spark, sf_dir), base, "text")
+    parts = read_corpus(spark, f"{base}/train", f"{base}/validation", keep_linebreaks=True)
+    rows = parts["train"].withColumn("split", F.lit("train")).unionByName(
+        parts["validation"].withColumn("split", F.lit("validation")))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_lines"),
+                                     F.sum(F.length("text")).cast("bigint").alias("n_chars"))
+
+
+@register("read_json_corpus", f"""
+WITH {SQL_SPLIT_DOCS.strip()}
+SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS BIGINT) AS row_idx, doc_id,
+       CAST(length(text) AS BIGINT) AS n_chars
+FROM split_docs""")
+def q_read_json_corpus(spark, sf_dir):
+    """Documents written as JSON lines and read back in file order: the file position key
+    must give every row its original place."""
+    from corpusprep.operators.ordering import row_index
+    from corpusprep.sources.files import read_corpus
+    from pyspark.sql import types as T
+    base = _scratch(spark, "json-corpus")
+    _write_docs(_split_docs(spark, sf_dir), base, "json")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    parts = read_corpus(spark, f"{base}/train", f"{base}/validation", schema=schema)
+    out = None
+    for split, df in parts.items():
+        idx = row_index(df, ["file_rank", "file_block", "file_row"], bucket_key=F.col("file_pos"))
+        idx = idx.select(F.lit(split).alias("split"), "row_idx", "doc_id", F.length("text").cast("bigint").alias("n_chars"))
+        out = idx if out is None else out.unionByName(idx)
+    return out
+
+
+@register("csv_pairs", f"""
+WITH {SQL_EXCHANGES.strip()},
+w AS (SELECT '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs)
+SELECT prompt, chosen, rejected FROM w
+WHERE length(prompt) + length(chosen) <= 4096 AND length(prompt) + length(rejected) <= 4096""")
+def q_csv_pairs(spark, sf_dir):
+    """Preference pairs through a CSV file (quoted newlines and quotes), wrapped and length
+    filtered with the launch limit 4096."""
+    from corpusprep.operators.preference import filter_pair_length, wrap_prompt
+    from corpusprep.sources.files import read_pairs_csv
+    path = _scratch(spark, "pairs-csv")
+    _pairs(spark, sf_dir).select("prompt", "chosen", "rejected").write.mode("overwrite") \
+        .option("header", "true").option("escape", '"').option("quoteAll", "true").csv(path)
+    return filter_pair_length(wrap_prompt(read_pairs_csv(spark, path)), 4096)
+
+
+@register("write_and_reuse", f"""
+SELECT batch_id, block_no, n_tokens, ids, true AS reused
+FROM ({sql_pack(1024, 1000)}) AS p WHERE split = 'validation'""")
+def q_write_and_reuse(spark, sf_dir):
+    """Prepared blocks stored partitioned by split, reused on the second call with the same
+    parameters and input, and one split read back."""
+    from corpusprep.plans.pretrain import pretrain_blocks
+    from corpusprep.sources.files import read_split
+    from corpusprep.sources.sinks import write_prepared
+    path = _scratch(spark, "prepared")
+    docs = table(spark, sf_dir, "documents")
+    params = {"block_size": 1024, "rows_per_batch": 1000, "percent": 5, "tokenizer": "codepoint"}
+    blocks = pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000)
+    write_prepared(blocks, path, params=params, input_files=docs.inputFiles())
+    _, reused = write_prepared(blocks, path, params=params, input_files=docs.inputFiles())
+    v = read_split(spark, path, "validation")
+    return v.select(F.col("batch_id").cast("bigint"), F.col("block_no").cast("bigint"),
+                    F.size("input_ids").cast("bigint").alias("n_tokens"), ids_text("input_ids").alias("ids"),
+                    F.lit(reused).alias("reused"))
+
+
+@register("prepare_stream", sql_instruction("markers", 1024, 1024))
+def q_prepare_stream(spark, sf_dir):
+    """Instruction triples arriving as JSON files, formatted by a Structured Streaming query
+    (availableNow trigger, parquet sink with checkpoint); equals the batch result."""
+    from pyspark.sql import types as T
+    from corpusprep.operators.instruct import format_instructions
+    from corpusprep.streaming.prepare import prepare_stream
+    base = _scratch(spark, "stream-instructions")
+    _triples(spark, sf_dir).repartition(4).write.mode("overwrite").json(f"{base}/in")
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType())]
+                          + [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output")])
+    q = prepare_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
+                       lambda df: format_instructions(df, max_source=1024, max_target=1024, keep=("conv_id", "turn")),
+                       schema)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
+SQL_ALL_DOCS = """
+split_docs AS (SELECT doc_id, text, 'all' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents)"""
+
+
+@register("pack_stream", sql_pack(1024, 100, split_docs=SQL_ALL_DOCS, with_split=False))
+def q_pack_stream(spark, sf_dir):
+    """Documents arriving as JSON files in doc_id order, tokenized and packed per micro-batch
+    in ``foreachBatch`` (blocks of 1024, batches of 100 rows)."""
+    from corpusprep.streaming.prepare import pack_stream
+    base = _scratch(spark, "stream-pack")
+    docs = table(spark, sf_dir, "documents")
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text") \
+        .write.mode("overwrite").json(f"{base}/in")
+    q = pack_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", block_size=1024, rows_per_batch=100)
+    q.awaitTermination()
+    b = spark.read.parquet(f"{base}/out")
+    return b.select(F.col("batch_id").cast("bigint"), F.col("block_no").cast("bigint"),
+                    F.size("input_ids").cast("bigint").alias("n_tokens"), ids_text("input_ids").alias("ids"),
+                    (F.col("labels") == F.col("input_ids")).alias("labels_same"))
