@@ -123,9 +123,17 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     b = _bucketize(df, _col(bucket_key), nb, relative_error)
     cell = groups + ["__bucket"]
 
-    # per (group, bucket) counts and sums -> exclusive offsets along the bucket order
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(c).alias(f"__s_{k}") for k, c in sums.items()]
-    counts = b.groupBy(*cell).agg(*aggs)
+    # rank (and running sums) inside each (group, bucket): one exchange on the cell
+    w = Window.partitionBy(*cell).orderBy(*keys)
+    local = b.withColumn("__rank", F.row_number().over(w) - 1)
+    for k, c in sums.items():
+        local = local.withColumn(f"__v_{k}", c).withColumn(f"__l_{k}", F.coalesce(
+            F.sum(f"__v_{k}").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+
+    # per-cell counts and sums, aggregated from the same (already clustered) frame, so the
+    # shuffle above is reused instead of reading the input again
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(f"__v_{k}").alias(f"__s_{k}") for k in sums]
+    counts = local.groupBy(*cell).agg(*aggs)
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     off_cols = [F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")]
     off_cols += [F.coalesce(F.sum(f"__s_{k}").over(before), F.lit(0)).alias(f"__o_{k}") for k in sums]
@@ -135,16 +143,11 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     if not groups:
         offsets = F.broadcast(offsets)  # one row per bucket: a fixed, small bound
 
-    w = Window.partitionBy(*cell).orderBy(*keys)
-    local = b.withColumn("__rank", F.row_number().over(w) - 1)
-    for k, c in sums.items():
-        local = local.withColumn(f"__l_{k}", F.coalesce(
-            F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     out = local.join(offsets, on=cell, how="inner")
     out = out.withColumn(name, (F.col("__off") + F.col("__rank")).cast("bigint"))
     for k in sums:
         out = out.withColumn(k, F.col(f"__o_{k}") + F.col(f"__l_{k}"))
-    drop = ["__bucket", "__rank", "__off"] + [f"__o_{k}" for k in sums] + [f"__l_{k}" for k in sums]
+    drop = ["__bucket", "__rank", "__off"] + [f"__{p}_{k}" for k in sums for p in ("o", "l", "v")]
     return out.drop(*drop)
 
 
@@ -171,20 +174,21 @@ def grouped_scan(df: DataFrame, partition_by, step: str, aggs: dict, *,
     cell = groups + ["__chunk"]
     frame_end = 0 if inclusive else -1
     w_in = Window.partitionBy(*cell).orderBy(step).rowsBetween(Window.unboundedPreceding, frame_end)
-    tot_aggs, prev_cols = [], []
     w_chunks = Window.partitionBy(*groups).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tot_aggs, prev_cols = [], []
     for out, (op, c) in aggs.items():
         fn, _ = _SCAN_OPS[op]
-        value = F.lit(1) if op == "count" else _col(c)
-        d = d.withColumn(f"__loc_{out}", fn(value).over(w_in))
-        tot_aggs.append(fn(value).alias(f"__tot_{out}"))
+        d = d.withColumn(f"__val_{out}", F.lit(1) if op == "count" else _col(c))
+        d = d.withColumn(f"__loc_{out}", fn(f"__val_{out}").over(w_in))
+        tot_aggs.append(fn(f"__val_{out}").alias(f"__tot_{out}"))
         prev_cols.append(fn(f"__tot_{out}").over(w_chunks).alias(f"__prev_{out}"))
+    # chunk totals come from the windowed frame (clustered by cell): the exchange is reused
     chunk_prev = d.groupBy(*cell).agg(*tot_aggs).select(*cell, *prev_cols)
     out_df = d.join(chunk_prev, on=cell, how="inner")
     for out, (op, _c) in aggs.items():
         _, combine = _SCAN_OPS[op]
         out_df = out_df.withColumn(out, combine(F.col(f"__prev_{out}"), F.col(f"__loc_{out}")))
-    drop = ["__chunk"] + [f"__loc_{o}" for o in aggs] + [f"__prev_{o}" for o in aggs]
+    drop = ["__chunk"] + [f"__{p}_{o}" for o in aggs for p in ("loc", "prev", "val")]
     return out_df.drop(*drop)
 
 

@@ -80,20 +80,28 @@ def _micros(df: DataFrame) -> DataFrame:
     return df.withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
 
 
-def train_log(events: DataFrame) -> DataFrame:
+def train_log(events: DataFrame, *, materialize: bool = True) -> DataFrame:
     """``run, epoch, micro_step, loss, sync``: each user's events in time order are the
     micro-steps of one run; loss = value / 100; a sync every ``ACCUMULATION`` micro-steps and at
-    the end of every epoch of ``STEPS_PER_EPOCH`` micro-steps."""
+    the end of every epoch of ``STEPS_PER_EPOCH`` micro-steps.
+
+    ``micro_step`` is a per-run row index whose buckets follow ``(run, time)``, so a run with
+    most of the events is still cut over many buckets. The narrow result is checkpointed (to
+    the session's shared checkpoint folder) because the running scans read it several times.
+    """
+    from corpusprep.session import checkpoint_dir
     e = _micros(events).select(F.col("user_id").alias("run"), "__us", "event_id", "value")
     key = lexicographic_bucket_key(e, "run", "__us")
-    idx = row_index(e, ["run", "__us", "event_id"], name="__g", bucket_key=key)
-    start = idx.groupBy("run").agg(F.min("__g").alias("__g0"))
-    d = idx.join(start, on="run", how="inner").withColumn("micro_step", F.col("__g") - F.col("__g0"))
+    d = row_index(e, ["__us", "event_id"], name="micro_step", partition_by=["run"], bucket_key=key)
     in_epoch = F.col("micro_step") % F.lit(STEPS_PER_EPOCH)
     sync = ((in_epoch + 1) % F.lit(ACCUMULATION) == 0) | (in_epoch == STEPS_PER_EPOCH - 1)
-    return d.select("run", F.floor(F.col("micro_step") / F.lit(STEPS_PER_EPOCH)).cast("int").alias("epoch"),
-                    F.col("micro_step").cast("bigint").alias("micro_step"),
-                    (F.col("value") / F.lit(100.0)).alias("loss"), sync.alias("sync"))
+    out = d.select("run", F.floor(F.col("micro_step") / F.lit(STEPS_PER_EPOCH)).cast("int").alias("epoch"),
+                   F.col("micro_step").cast("bigint").alias("micro_step"),
+                   (F.col("value") / F.lit(100.0)).alias("loss"), sync.alias("sync"))
+    if materialize:
+        checkpoint_dir(events.sparkSession)
+        out = out.checkpoint(eager=True)
+    return out
 
 
 def eval_log(events: DataFrame) -> DataFrame:
