@@ -62,14 +62,11 @@ def _model_tokenize(df: DataFrame, text_col: str, out: str, mask: str | None,
     path, special = tok.path, tok.add_special_tokens
 
     def run(batches):
-        model = _load(path)
+        model = _load(path)  # once per Python worker
         for pdf in batches:
-            texts = pdf[text_col]
-            valid = texts.notna()
-            enc = model.encode_batch(texts[valid].tolist(), add_special_tokens=special)
-            ids = [None] * len(pdf)
-            for pos, e in zip(valid[valid].index.tolist(), enc):
-                ids[pdf.index.get_loc(pos)] = e.ids
+            texts = pdf[text_col].tolist()
+            enc = iter(model.encode_batch([t for t in texts if t is not None], add_special_tokens=special))
+            ids = [None if t is None else next(enc).ids for t in texts]
             if not keep_text:
                 pdf = pdf.drop(columns=[text_col])
             pdf[out] = ids
