@@ -98,14 +98,14 @@ evals AS (SELECT run, epoch, completed_steps, CAST(sum(n) AS BIGINT) AS n_exampl
 
 
 def sql_pack(block: int, rows_per_batch: int, keep_short: bool = True, split_docs: str = SQL_SPLIT_DOCS,
-             with_split: bool = True) -> str:
+             with_split: bool = True, src: str = "split_docs") -> str:
     """Brute force: every token gets its position in the batch stream; tokens below the kept
     length are grouped by position // block."""
     short = "total" if keep_short else "0"
     split_out = "split, " if with_split else ""
     return f"""
 WITH {split_docs.strip()},
-toks AS (SELECT split, row_idx, row_idx // {rows_per_batch} AS batch_id, {sql_ids('text')} AS ids FROM split_docs),
+toks AS (SELECT split, row_idx, row_idx // {rows_per_batch} AS batch_id, {sql_ids('text')} AS ids FROM {src}),
 starts AS (SELECT split, batch_id, ids,
                   coalesce(sum(len(ids)) OVER (PARTITION BY split, batch_id ORDER BY row_idx
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
@@ -257,7 +257,8 @@ def q_instruction_source(spark, sf_dir):
     return _triples(spark, sf_dir).select("conv_id", "turn", build_source("instruction", "input").alias("source"))
 
 
-def sql_instruction(style: str, max_source: int, max_target: int) -> str:
+def sql_instruction(style: str, max_source: int, max_target: int, *, ctes: str = SQL_EXCHANGES,
+                    source: str = "triples", keep: str = "conv_id, turn") -> str:
     limit = max_source + max_target
     if style == "markers":
         ids = "[195] || s || [196] || t"
@@ -266,12 +267,12 @@ def sql_instruction(style: str, max_source: int, max_target: int) -> str:
         ids = "s || t"
         labels = f"{sql_repeat(-100, 'len(s)')} || t"
     return f"""
-WITH {SQL_EXCHANGES.strip()},
-tk AS (SELECT conv_id, turn, {sql_ids(SQL_SOURCE)} AS s, {sql_ids('output')} || [2] AS t
-       FROM triples WHERE instruction IS NOT NULL AND output IS NOT NULL),
+WITH {ctes.strip()},
+tk AS (SELECT {keep}, {sql_ids(SQL_SOURCE)} AS s, {sql_ids('output')} || [2] AS t
+       FROM {source} WHERE instruction IS NOT NULL AND output IS NOT NULL),
 ok AS (SELECT * FROM tk WHERE len(s) <= {max_source} AND len(t) <= {max_target}),
-fm AS (SELECT conv_id, turn, list_slice({ids}, 1, {limit}) AS input_ids, list_slice({labels}, 1, {limit}) AS labels FROM ok)
-SELECT conv_id, turn, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels
+fm AS (SELECT {keep}, list_slice({ids}, 1, {limit}) AS input_ids, list_slice({labels}, 1, {limit}) AS labels FROM ok)
+SELECT {keep}, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels
 FROM fm WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
 
 
@@ -801,3 +802,122 @@ def q_pack_stream(spark, sf_dir):
     return b.select(F.col("batch_id").cast("bigint"), F.col("block_no").cast("bigint"),
                     F.size("input_ids").cast("bigint").alias("n_tokens"), ids_text("input_ids").alias("ids"),
                     (F.col("labels") == F.col("input_ids")).alias("labels_same"))
+
+
+# ------------------------------------------------------------------------------------------------
+# end-to-end plans
+# ------------------------------------------------------------------------------------------------
+
+SQL_SFT_ROWS = SQL_EXCHANGES.strip() + f""",
+ordered AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS gidx,
+                   CAST(round_even(count(*) OVER () * 5 / 100.0, 0) AS BIGINT) AS cut FROM triples),
+sp AS (SELECT *, CASE WHEN gidx < cut THEN 'validation' ELSE 'train' END AS split,
+              CASE WHEN gidx < cut THEN gidx ELSE gidx - cut END AS row_idx FROM ordered),
+lim AS (SELECT * FROM sp WHERE (split = 'train' AND row_idx < 150) OR (split = 'validation' AND row_idx < 10)),
+pos_rows AS (SELECT *, CASE WHEN split = 'train'
+                            THEN row_number() OVER (PARTITION BY split ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='row_idx')}, row_idx) - 1
+                            ELSE row_idx END AS position FROM lim)"""
+
+
+def _pair_key():
+    return F.col("conv_id").cast("double") + F.col("turn").cast("double") / F.lit(2.0 ** 31)
+
+
+def _sft(spark, sf_dir):
+    from corpusprep.plans.sft import prepare_instructions
+    return prepare_instructions(_triples(spark, sf_dir), ["conv_id", "turn"], bucket_key=_pair_key(),
+                                max_train_samples=150, max_eval_samples=10, seed=42,
+                                max_source=1024, max_target=1024, keep=("conv_id", "turn"))
+
+
+@register("sft_prepare", sql_instruction("markers", 1024, 1024, ctes=SQL_SFT_ROWS, source="pos_rows",
+                                         keep="split, position, conv_id, turn"))
+def q_sft_prepare(spark, sf_dir):
+    """Instruction pairs end to end: 5% head validation, first 150 / 10 rows, train shuffled
+    with seed 42, formatted with limits 1024 / 1024, fully masked rows dropped."""
+    ex, _ = _sft(spark, sf_dir)
+    return ex.select("split", "position", "conv_id", "turn", ids_text("input_ids").alias("input_ids"),
+                     ids_text("labels").alias("labels"))
+
+
+@register("sft_sample_counts", f"""
+WITH {SQL_SFT_ROWS}
+SELECT split, CAST(count(*) AS BIGINT) AS samples FROM lim GROUP BY split""")
+def q_sft_sample_counts(spark, sf_dir):
+    """Sample counts the fine-tuning metrics report: taken after the limits, before the
+    length filter."""
+    _, counts = _sft(spark, sf_dir)
+    return counts
+
+
+SQL_DPO_ROWS = SQL_EXCHANGES.strip() + """,
+ordered AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS gidx,
+                   CAST(round_even(count(*) OVER () * 5 / 100.0, 0) AS BIGINT) AS cut FROM pairs),
+w AS (SELECT CASE WHEN gidx < cut THEN 'validation' ELSE 'train' END AS split, conv_id, turn,
+             '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM ordered)"""
+
+
+def _dpo(spark, sf_dir, filter_eval):
+    from corpusprep.operators.ordering import head_percent_split
+    from corpusprep.plans.preference import prepare_pairs
+    p = head_percent_split(_pairs(spark, sf_dir), ["conv_id", "turn"], 5, bucket_key=_pair_key(), keep_index=False)
+    out = prepare_pairs(p.where("split = 'train'").drop("split"), p.where("split = 'validation'").drop("split"),
+                        max_length=1024, filter_eval=filter_eval, keep=("conv_id", "turn"))
+    return out.select("split", "conv_id", "turn",
+                      *[F.length(c).cast("bigint").alias(f"{c}_len") for c in ("prompt", "chosen", "rejected")])
+
+
+SQL_DPO_OUT = """SELECT split, conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len,
+       CAST(length(chosen) AS BIGINT) AS chosen_len, CAST(length(rejected) AS BIGINT) AS rejected_len FROM w"""
+SQL_DPO_LEN = "length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024"
+
+
+@register("dpo_prepare", f"WITH {SQL_DPO_ROWS} {SQL_DPO_OUT} WHERE {SQL_DPO_LEN}")
+def q_dpo_prepare(spark, sf_dir):
+    """Preference pairs end to end: 5% head validation, prompts wrapped, both splits length
+    filtered (limit 1024 characters)."""
+    return _dpo(spark, sf_dir, True)
+
+
+@register("dpo_prepare_unfiltered_eval", f"WITH {SQL_DPO_ROWS} {SQL_DPO_OUT} WHERE split = 'validation' OR ({SQL_DPO_LEN})")
+def q_dpo_prepare_unfiltered_eval(spark, sf_dir):
+    """The reference's behaviour: its evaluation filter is always true, so only train pairs
+    are length filtered."""
+    return _dpo(spark, sf_dir, False)
+
+
+SQL_FILE_LINES = SQL_SPLIT_DOCS.strip() + """,
+lines AS (SELECT split, doc_id, unnest(string_split(text, chr(10))) AS line,
+                 generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM split_docs),
+split_lines AS (SELECT split, row_number() OVER (PARTITION BY split ORDER BY doc_id, ln) - 1 AS row_idx,
+                       line || chr(10) AS text FROM lines)"""
+
+
+@register("pretrain_from_files", sql_pack(1024, 1000, split_docs=SQL_FILE_LINES, src="split_lines"))
+def q_pretrain_from_files(spark, sf_dir):
+    """Pretraining from text folders: one row per line (line breaks kept) in file order,
+    given validation folder, blocks of 1024 per 1000 lines."""
+    from corpusprep.plans.pretrain import pretrain_from_files
+    base = _scratch(spark, "pretrain-files")
+    docs = _split_docs(spark, sf_dir)
+    for split in ("train", "validation"):
+        docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
+            .select("text").write.mode("overwrite").text(f"{base}/{split}")
+    return _blocks_out(pretrain_from_files(spark, f"{base}/train", f"{base}/validation", block_size=1024,
+                                           rows_per_batch=1000))
+
+
+@register("run_summary", f"""
+WITH {SQL_EVALS.strip()},
+pe AS (SELECT run, epoch, arg_max(eval_loss, completed_steps) AS eval_loss FROM evals GROUP BY run, epoch),
+fin AS (SELECT *, epoch = max(epoch) OVER (PARTITION BY run) AS is_final FROM pe)
+SELECT run, epoch, round(exp(eval_loss), 6) AS perplexity FROM fin WHERE is_final""")
+def q_run_summary(spark, sf_dir):
+    """Each run's reported result (perplexity after its last epoch) written as a JSON summary
+    and read back."""
+    from corpusprep.operators.runlog import epoch_summary
+    from corpusprep.sources.sinks import write_summary
+    path = _scratch(spark, "summary")
+    final = epoch_summary(_evals(spark, sf_dir)).where("is_final")
+    write_summary(final.select("run", "epoch", F.round("perplexity", 6).alias("perplexity")), path)
+    return spark.read.schema("run bigint, epoch int, perplexity double").json(path)

@@ -50,3 +50,23 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
         blocks = head_limit(blocks.where("split = 'train'"), max_train_samples, index_col="block_idx") \
             .unionByName(head_limit(blocks.where("split = 'validation'"), max_eval_samples, index_col="block_idx"))
     return blocks
+
+
+def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None, *,
+                        keep_linebreaks: bool = True, percent: float = DEFAULT_VALIDATION_PERCENT,
+                        block_size: int = DEFAULT_BLOCK_SIZE, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH,
+                        keep_short: bool = True) -> DataFrame:
+    """Corpus folders -> packed blocks. Rows keep file order (file rank, split start, position);
+    without a validation folder the first ``percent`` of train rows become validation."""
+    from corpusprep.sources.files import read_corpus
+    parts = read_corpus(spark, train_dir, validation_dir, keep_linebreaks=keep_linebreaks)
+    order = ["file_rank", "file_block", "file_row"]
+    key = F.col("file_pos")
+    if "validation" in parts:
+        rows = None
+        for name, frame in parts.items():
+            idx = row_index(frame, order, bucket_key=key).select(F.lit(name).alias("split"), "row_idx", "text")
+            rows = idx if rows is None else rows.unionByName(idx)
+    else:
+        rows = head_percent_split(parts["train"], order, percent, bucket_key=key).select("split", "row_idx", "text")
+    return pack_text_blocks(rows, block_size, rows_per_batch, keep_short=keep_short)
