@@ -813,7 +813,7 @@ ordered AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS gidx,
                    CAST(round_even(count(*) OVER () * 5 / 100.0, 0) AS BIGINT) AS cut FROM triples),
 sp AS (SELECT *, CASE WHEN gidx < cut THEN 'validation' ELSE 'train' END AS split,
               CASE WHEN gidx < cut THEN gidx ELSE gidx - cut END AS row_idx FROM ordered),
-lim AS (SELECT * FROM sp WHERE (split = 'train' AND row_idx < 150) OR (split = 'validation' AND row_idx < 10)),
+lim AS (SELECT * FROM sp),
 pos_rows AS (SELECT *, CASE WHEN split = 'train'
                             THEN row_number() OVER (PARTITION BY split ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='row_idx')}, row_idx) - 1
                             ELSE row_idx END AS position FROM lim)"""
@@ -826,14 +826,13 @@ def _pair_key():
 def _sft(spark, sf_dir):
     from corpusprep.plans.sft import prepare_instructions
     return prepare_instructions(_triples(spark, sf_dir), ["conv_id", "turn"], bucket_key=_pair_key(),
-                                max_train_samples=150, max_eval_samples=10, seed=42,
-                                max_source=1024, max_target=1024, keep=("conv_id", "turn"))
+                                seed=42, max_source=1024, max_target=1024, keep=("conv_id", "turn"))
 
 
 @register("sft_prepare", sql_instruction("markers", 1024, 1024, ctes=SQL_SFT_ROWS, source="pos_rows",
                                          keep="split, position, conv_id, turn"))
 def q_sft_prepare(spark, sf_dir):
-    """Instruction pairs end to end: 5% head validation, first 150 / 10 rows, train shuffled
+    """Instruction pairs end to end over the whole table: 5% head validation, train shuffled
     with seed 42, formatted with limits 1024 / 1024, fully masked rows dropped."""
     ex, _ = _sft(spark, sf_dir)
     return ex.select("split", "position", "conv_id", "turn", ids_text("input_ids").alias("input_ids"),
@@ -844,8 +843,7 @@ def q_sft_prepare(spark, sf_dir):
 WITH {SQL_SFT_ROWS}
 SELECT split, CAST(count(*) AS BIGINT) AS samples FROM lim GROUP BY split""")
 def q_sft_sample_counts(spark, sf_dir):
-    """Sample counts the fine-tuning metrics report: taken after the limits, before the
-    length filter."""
+    """Sample counts the fine-tuning metrics report: taken before the length filter."""
     _, counts = _sft(spark, sf_dir)
     return counts
 

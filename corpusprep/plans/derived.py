@@ -77,7 +77,13 @@ def transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def _micros(df: DataFrame) -> DataFrame:
-    return df.withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
+    """Microseconds since the epoch, independent of the session time zone."""
+    from pyspark.sql import types as T
+    if isinstance(df.schema["ts"].dataType, T.TimestampNTZType):
+        us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    else:
+        us = F.unix_micros(F.col("ts"))
+    return df.withColumn("__us", us.cast("bigint"))
 
 
 def train_log(events: DataFrame, *, materialize: bool = True) -> DataFrame:

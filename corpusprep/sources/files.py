@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from corpusprep.constants import CORPUS_EXTENSIONS
 
+RANK_BROADCAST_BYTES = 256 * 1024 * 1024
 TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
 PAIRS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt", "chosen", "rejected")])
 TRANSCRIPT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("chosen", "rejected")])
@@ -83,7 +84,10 @@ def with_file_position(df: DataFrame, files: list[str] | None = None, name: str
                       F.monotonically_increasing_id().alias("file_row")).drop(path_col, block_col)
         keys = list(files)
     ranks = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "__path string, file_rank bigint")
-    d = d.join(F.broadcast(ranks) if len(keys) <= 100_000 else ranks, on="__path", how="inner").drop("__path")
+    # one row per file: broadcast when its size is known to be small, else a shuffle join
+    # (AQE splits a file holding many rows)
+    small = sum(len(k) + 16 for k in keys) <= RANK_BROADCAST_BYTES
+    d = d.join(F.broadcast(ranks) if small else ranks, on="__path", how="inner").drop("__path")
     key = F.col("file_rank").cast("double") * F.lit(float(2 ** 40)) + F.col("file_block").cast("double")
     return d.withColumn(name, key)
 
