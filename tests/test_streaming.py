@@ -32,3 +32,33 @@ def test_pack_stream_per_micro_batch(spark, tmpdir_path):
     expect = sorted((r.batch_id, r.block_no, r.input_ids)
                     for r in pack_text_blocks(idx, 8, 10, split_col=None).collect())
     assert got == expect
+
+
+def test_stream_nested_chat_and_transcripts(spark, tmpdir_path):
+    import json
+    import os
+
+    from corpusprep.operators.chat import chat_examples_nested
+    from corpusprep.operators.preference import split_transcripts
+    from corpusprep.sources.files import CONVERSATION_SCHEMA, TRANSCRIPT_SCHEMA
+
+    os.makedirs(f"{tmpdir_path}/chat", exist_ok=True)
+    convs = [{"conversations": [{"from": "human", "value": "a" * i}, {"from": "gpt", "value": "b"}]} for i in range(5)]
+    with open(f"{tmpdir_path}/chat/part-0.json", "w") as f:
+        f.write("\n".join(json.dumps(c) for c in convs) + "\n")
+    fmt = lambda d: chat_examples_nested(d, max_source=8, max_target=8)
+    q = prepare_stream(spark, f"{tmpdir_path}/chat", f"{tmpdir_path}/chat_out", f"{tmpdir_path}/ck1", fmt,
+                       CONVERSATION_SCHEMA)
+    q.awaitTermination()
+    got = sorted(r.input_ids for r in spark.read.parquet(f"{tmpdir_path}/chat_out").collect())
+    expect = sorted(r.input_ids for r in fmt(spark.read.schema(CONVERSATION_SCHEMA).json(f"{tmpdir_path}/chat")).collect())
+    assert got == expect and len(got) == 5
+
+    os.makedirs(f"{tmpdir_path}/tr", exist_ok=True)
+    with open(f"{tmpdir_path}/tr/part-0.json", "w") as f:
+        f.write(json.dumps({"chosen": "\n\nHuman: q\n\nAssistant: x", "rejected": "\n\nHuman: q\n\nAssistant: y"}) + "\n")
+    q = prepare_stream(spark, f"{tmpdir_path}/tr", f"{tmpdir_path}/tr_out", f"{tmpdir_path}/ck2",
+                       split_transcripts, TRANSCRIPT_SCHEMA)
+    q.awaitTermination()
+    r = spark.read.parquet(f"{tmpdir_path}/tr_out").first()
+    assert (r.chosen, r.rejected) == (" x", " y")
