@@ -77,6 +77,16 @@ def _model_tokenize(df: DataFrame, text_col: str, out: str, mask: str | None,
     return df.mapInPandas(run, schema)
 
 
+def resolve_pad_id(pad_id: int | None = None, eos_id: int | None = None, *, pad_with_eos: bool = False) -> int:
+    """The pad id to use: the tokenizer's, else eos when asked (the transcript trainer does
+    that), else 0."""
+    if pad_id is not None:
+        return pad_id
+    if pad_with_eos and eos_id is not None:
+        return eos_id
+    return DEFAULT_PAD_ID
+
+
 def tokenize(df: DataFrame, text_col: str = "text", *, out: str = "input_ids",
              mask: str | None = "attention_mask", tokenizer="codepoint",
              keep_text: bool = False) -> DataFrame:

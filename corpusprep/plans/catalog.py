@@ -697,9 +697,9 @@ def q_read_text_corpus(spark, sf_dir):
     from corpusprep.sources.files import read_corpus
     base = _scratch(spark, "text-corpus")
     _write_docs(_split_docs(spark, sf_dir), base, "text")
+    from corpusprep.operators.ordering import choose_validation
     parts = read_corpus(spark, f"{base}/train", f"{base}/validation", keep_linebreaks=True)
-    rows = parts["train"].withColumn("split", F.lit("train")).unionByName(
-        parts["validation"].withColumn("split", F.lit("validation")))
+    rows = choose_validation(parts["train"], parts.get("validation"))
     return rows.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_lines"),
                                      F.sum(F.length("text")).cast("bigint").alias("n_chars"))
 

@@ -95,3 +95,13 @@ def test_grouped_scan_matches_running_values(spark, chunk):
             run += v
             mn = v if mn is None else min(mn, v)
             assert got[(g, s)] == (run, mn, i + 1)
+
+
+def test_choose_validation_given_or_cut(spark):
+    from corpusprep.operators.ordering import choose_validation
+    tr = spark.range(40).withColumnRenamed("id", "k")
+    va = spark.range(3).withColumnRenamed("id", "k")
+    given = choose_validation(tr, va)
+    assert given.where("split = 'validation'").count() == 3 and given.where("split = 'train'").count() == 40
+    cut = choose_validation(tr, None, order_by=["k"], percent=5)
+    assert sorted(r.k for r in cut.where("split = 'validation'").collect()) == [0, 1]

@@ -28,3 +28,10 @@ def test_decode_markers_and_display(spark):
 def test_argmax_first_on_ties(spark):
     df = spark.createDataFrame([([1.0, 3.0, 3.0, 2.0],), ([5.0],), ([],)], "a array<float>")
     assert [r.p for r in df.select(argmax("a").alias("p")).collect()] == [1, 0, None]
+
+
+def test_resolve_pad_id():
+    from corpusprep.operators.tokenizing import resolve_pad_id
+    assert resolve_pad_id(None, 2) == 0
+    assert resolve_pad_id(None, 2, pad_with_eos=True) == 2
+    assert resolve_pad_id(5, 2, pad_with_eos=True) == 5
