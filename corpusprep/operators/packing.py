@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import warnings
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,3 +158,134 @@ def packing_report(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT
            (F.sum("tokens") - F.sum("kept")).cast("bigint").alias("tokens_dropped"),
            F.sum("short").cast("bigint").alias("short_blocks")]
     return per_batch.groupBy(*outer).agg(*agg) if outer else per_batch.agg(*agg)
+
+
+def _lookup(values: list, index: Column) -> Column:
+    """``values[index]`` from a literal array planted in the plan (one entry per bucket)."""
+    return F.element_at(F.lit(values), index + 1)
+
+
+def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
+                     text_col: str = "text", percent: float | None = None, keep_short: bool = True,
+                     mask: str | None = "attention_mask", labels: bool = True,
+                     num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+    """Order by ``key`` (numeric, unique), cut the first ``percent`` of rows off as validation
+    (``None``: everything is train), tokenize (codepoint) and pack — moving the text through
+    **one** shuffle.
+
+    The general path (``row_index`` then ``pack_text_blocks``) shuffles the text twice: by key
+    bucket for the order, then by batch for the blocks. Here a narrow pass over
+    ``(key, length(text))`` first works out, per key bucket, the row and token offsets, the
+    batches that straddle a bucket boundary (at most one per boundary) and the key prefix of
+    each bucket whose text belongs to a block that starts in an earlier bucket. The text is
+    then shuffled once by bucket; those prefix rows (at most about one block of text per
+    bucket) are sent to the owning bucket as well. Every block is assembled in the bucket
+    where it starts, from rows present in that partition, so the row index, batch offsets,
+    pieces and block grouping all run on the one partitioning.
+    """
+    from corpusprep.operators.ordering import _bucketize, default_buckets
+
+    B, R = int(block_size), int(rows_per_batch)
+    nb = num_buckets or default_buckets(df)
+    base = df.select(F.col(key).alias("__key"), F.col(text_col).alias("__text"))
+    based = _bucketize(base, F.col("__key"), nb, relative_error).withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket")
+
+    # -- narrow pass: per-bucket totals (partial aggregation, one row per bucket to the driver)
+    narrow = based.select("__key", "__b", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint").alias("__n"))
+    stats = {r["__b"]: (r["c"], r["t"]) for r in narrow.groupBy("__b").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("__n").alias("t")).collect()}
+    width = (max(stats) + 1) if stats else 1
+    row_off, tok_off, r_acc, t_acc = [], [], 0, 0
+    for b in range(width):
+        c, t = stats.get(b, (0, 0))
+        row_off.append(r_acc)
+        tok_off.append(t_acc)
+        r_acc, t_acc = r_acc + c, t_acc + (t or 0)
+    total_rows = r_acc
+    cut = 0 if percent is None else int(round(total_rows * float(percent) / 100.0))  # half-even, like bround
+
+    def place(frame: DataFrame, rank: Column, before: Column) -> DataFrame:
+        g = _lookup(row_off, F.col("__b")) + rank
+        G = _lookup(tok_off, F.col("__b")) + before
+        split = F.when(g < F.lit(cut), F.lit("validation")).otherwise(F.lit("train"))
+        row_idx = F.when(g < F.lit(cut), g).otherwise(g - F.lit(cut))
+        return (frame.withColumn("__G", G.cast("bigint")).withColumn("split", split)
+                .withColumn("batch_id", F.floor(row_idx / F.lit(R)).cast("bigint")))
+
+    # owner bucket of a global token position: the bucket whose token range holds it
+    nonempty = [b for b in range(width) if stats.get(b, (0, 0))[1]]
+    owner_splits = [float("-inf")] + [float(tok_off[b]) for b in nonempty[1:]] + [float("inf")]
+
+    def with_owner(frame: DataFrame) -> DataFrame:
+        pos = (F.col("__S") + F.col("block_no") * F.lit(B)).cast("double")
+        if len(owner_splits) < 3:
+            return frame.withColumn("__owner", F.lit(nonempty[0] if nonempty else 0))
+        b = Bucketizer(splits=owner_splits, inputCol="__pos", outputCol="__oi")
+        out = b.transform(frame.withColumn("__pos", pos))
+        return out.withColumn("__owner", _lookup(nonempty, F.col("__oi").cast("int"))).drop("__pos", "__oi")
+
+    def pieces(frame: DataFrame) -> DataFrame:
+        start = F.col("__G") - F.col("__S")
+        keep = _kept(F.col("__E") - F.col("__S"), B, keep_short)
+        d = (frame.withColumn("__start", start).withColumn("__keep", keep)
+             .withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep")))
+             .where(F.col("__end") > F.col("__start")))
+        first = F.floor(F.col("__start") / F.lit(B)).cast("bigint")
+        last = F.floor((F.col("__end") - 1) / F.lit(B)).cast("bigint")
+        d = d.withColumn("block_no", F.explode(F.sequence(first, last)))
+        d = (d.withColumn("__lo", F.greatest(F.col("block_no") * F.lit(B), F.col("__start")))
+              .withColumn("__hi", F.least((F.col("block_no") + 1) * F.lit(B), F.col("__end"))))
+        return with_owner(d)
+
+    w_bucket = Window.partitionBy("__b").orderBy("__key")
+    before = F.coalesce(F.sum("__n").over(w_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nr = place(narrow, F.row_number().over(w_bucket) - 1, before)
+    w_batch = Window.partitionBy("split", "batch_id")
+    nr = (nr.withColumn("__S", F.min("__G").over(w_batch))
+            .withColumn("__E", F.max(F.col("__G") + F.col("__n")).over(w_batch))
+            .withColumn("__bmin", F.min("__b").over(w_batch))
+            .withColumn("__bmax", F.max("__b").over(w_batch)))
+    nr = nr.persist()
+    try:
+        # batches that cross a bucket boundary: at most one per boundary
+        edges = [tuple(r) for r in nr.where(F.col("__bmin") != F.col("__bmax"))
+                 .select("split", "batch_id", "__S", "__E").distinct().collect()]
+        # per bucket: the key prefix that continues a block owned by an earlier bucket
+        halo = {r["__b"]: (r["k"], r["o"], r["no"]) for r in pieces(nr).where(F.col("__owner") != F.col("__b"))
+                .groupBy("__b").agg(F.max("__key").alias("k"), F.min("__owner").alias("o"),
+                                     F.countDistinct("__owner").alias("no")).collect()}
+    finally:
+        nr.unpersist()
+    if any(v[2] > 1 for v in halo.values()):
+        raise AssertionError("a bucket continues blocks of more than one earlier bucket")
+    halo_key = [halo[b][0] if b in halo else None for b in range(width)]
+    halo_owner = [halo[b][1] if b in halo else None for b in range(width)]
+
+    # -- main pass: the text crosses the network once, partitioned by destination bucket
+    spark = df.sparkSession
+    key_type = narrow.schema["__key"].dataType.simpleString()
+    k_lim = _lookup(halo_key, F.col("__b")).cast(key_type)
+    dests = F.when(k_lim.isNotNull() & (F.col("__key") <= k_lim),
+                   F.array(F.col("__b"), _lookup(halo_owner, F.col("__b")).cast("int"))).otherwise(F.array(F.col("__b")))
+    main = (based.withColumn("__n", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint"))
+            .withColumn("__dest", F.explode(dests)).repartition("__dest"))
+    w_src = Window.partitionBy("__dest", "__b").orderBy("__key")
+    before_m = F.coalesce(F.sum("__n").over(w_src.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    m = place(main, F.row_number().over(w_src) - 1, before_m)
+    w_local = Window.partitionBy("__dest", "split", "batch_id")
+    m = m.withColumn("__Sl", F.min("__G").over(w_local)).withColumn("__El", F.max(F.col("__G") + F.col("__n")).over(w_local))
+    edge_df = spark.createDataFrame(edges or [], "split string, batch_id bigint, __Se bigint, __Ee bigint")
+    m = m.join(F.broadcast(edge_df), on=["split", "batch_id"], how="left")  # <= one row per bucket boundary
+    m = m.withColumn("__S", F.coalesce("__Se", "__Sl")).withColumn("__E", F.coalesce("__Ee", "__El"))
+    p = pieces(m).where(F.col("__owner") == F.col("__dest"))
+    first = (F.col("__lo") - F.col("__start") + 1).cast("int")
+    span = (F.col("__hi") - F.col("__lo")).cast("int")
+    piece = F.struct(F.col("__lo").alias("lo"), F.substring(F.col("__text"), first, span).alias("t"))
+    g = p.groupBy("__dest", "split", "batch_id", "block_no").agg(F.array_sort(F.collect_list(piece)).alias("__p"))
+    out = g.select("split", "batch_id", "block_no",
+                   codepoint_ids(F.array_join(F.transform("__p", lambda q: q["t"]), "")).alias("input_ids"))
+    if mask:
+        out = out.withColumn(mask, ones_like("input_ids"))
+    if labels:
+        out = out.withColumn("labels", F.col("input_ids"))
+    return out

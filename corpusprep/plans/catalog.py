@@ -149,6 +149,16 @@ def q_pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks_out(pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000))
 
 
+@register("pack_blocks_one_shuffle", sql_pack(1024, 1000))
+def q_pack_blocks_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with the plan chosen for large inputs: order, split and packing fused so
+    the text crosses the network once (``pack_corpus_text``)."""
+    from corpusprep.plans.pretrain import pretrain_blocks
+    docs = table(spark, sf_dir, "documents")
+    return _blocks_out(pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000,
+                                       strategy="one_shuffle"))
+
+
 @register("pack_short_tail", sql_pack(2048, 1))
 def q_pack_short_tail(spark, sf_dir):
     """Array packing (the model-tokenizer path) with one row per batch: short documents make

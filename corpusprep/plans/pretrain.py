@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import DEFAULT_BLOCK_SIZE, DEFAULT_ROWS_PER_BATCH, DEFAULT_VALIDATION_PERCENT
 from corpusprep.operators.ordering import head_limit, head_percent_split, row_index
-from corpusprep.operators.packing import number_blocks, pack_blocks, pack_text_blocks
+from corpusprep.operators.packing import number_blocks, pack_blocks, pack_corpus_text, pack_text_blocks
 from corpusprep.operators.tokenizing import tokenize
 
 
@@ -30,26 +30,72 @@ def _order_cols(order_by) -> list:
     return [c for c in cols if isinstance(c, str)]
 
 
+SINGLE_SHUFFLE_CONF = "corpusprep.pack.singleShuffleMinBytes"
+SINGLE_SHUFFLE_MIN_BYTES = 8 * 1024 ** 3
+
+
+def input_bytes_at_least(df: DataFrame, threshold: int) -> bool:
+    """True when the files behind ``df`` hold at least ``threshold`` bytes. Reads file sizes
+    from the file system (no job) and stops as soon as the threshold is passed."""
+    files = df.inputFiles()
+    if not files:
+        return False
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for uri in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        if total >= threshold:
+            return True
+    return False
+
+
 def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFrame | None = None,
                     percent: float = DEFAULT_VALIDATION_PERCENT, block_size: int = DEFAULT_BLOCK_SIZE,
                     rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, tokenizer="codepoint",
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
-                    max_train_samples: int | None = None, max_eval_samples: int | None = None) -> DataFrame:
+                    max_train_samples: int | None = None, max_eval_samples: int | None = None,
+                    strategy: str = "auto") -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
-    ``block_idx`` when a sample limit is given; the limit counts blocks)."""
+    ``block_idx`` when a sample limit is given; the limit counts blocks).
+
+    ``strategy``: ``"one_shuffle"`` moves the text through one shuffle (``pack_corpus_text``)
+    at the price of a narrow pre-pass that reads the key and text lengths; ``"two_shuffle"``
+    orders (``row_index``) and then packs. ``"auto"`` takes the one-shuffle plan when the input
+    files hold at least ``corpusprep.pack.singleShuffleMinBytes`` (default 8 GiB): below that
+    the extra jobs cost more than the saved shuffle."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
+    codepoint = tokenizer in (None, "codepoint")
+    fusable = (codepoint and validation is None and bucket_key is None and len(order_by) == 1
+               and isinstance(order_by[0], str))
+    if strategy == "auto":
+        threshold = int(docs.sparkSession.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
+        strategy = "one_shuffle" if fusable and input_bytes_at_least(docs, threshold) else "two_shuffle"
+    if strategy == "one_shuffle":
+        if not fusable:
+            raise ValueError("one_shuffle packing needs the codepoint tokenizer, one numeric order column "
+                             "and a head-percent validation split")
+        # one text shuffle: order, split and pack fused on the key buckets
+        blocks = pack_corpus_text(docs, order_by[0], block_size, rows_per_batch, text_col=text_col,
+                                  percent=percent, keep_short=keep_short)
+        return _limit(blocks, max_train_samples, max_eval_samples)
     rows = split_corpus(docs, order_by, validation=validation, percent=percent,
                         bucket_key=bucket_key, text_col=text_col)
-    if tokenizer in (None, "codepoint"):
+    if codepoint:
         blocks = pack_text_blocks(rows, block_size, rows_per_batch, text_col=text_col, keep_short=keep_short)
     else:
         toks = tokenize(rows, text_col, tokenizer=tokenizer)
         blocks = pack_blocks(toks, block_size, rows_per_batch, keep_short=keep_short)
-    if max_train_samples or max_eval_samples:
-        blocks = number_blocks(blocks)
-        blocks = head_limit(blocks.where("split = 'train'"), max_train_samples, index_col="block_idx") \
-            .unionByName(head_limit(blocks.where("split = 'validation'"), max_eval_samples, index_col="block_idx"))
-    return blocks
+    return _limit(blocks, max_train_samples, max_eval_samples)
+
+
+def _limit(blocks: DataFrame, max_train_samples, max_eval_samples) -> DataFrame:
+    """Sample limits count blocks (dense block index per split)."""
+    if not (max_train_samples or max_eval_samples):
+        return blocks
+    return head_limit(number_blocks(blocks), {"train": max_train_samples, "validation": max_eval_samples},
+                      index_col="block_idx")
 
 
 def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None, *,

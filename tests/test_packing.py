@@ -80,3 +80,37 @@ def test_effective_block_size():
     assert effective_block_size(512, 2048) == 512
     with pytest.warns(UserWarning):
         effective_block_size(None, 10_000)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_one_shuffle_packing_equals_general_path(spark, seed):
+    from corpusprep.operators.ordering import head_percent_split, row_index
+    from corpusprep.operators.packing import pack_corpus_text
+    rnd = random.Random(seed)
+    n = rnd.choice([5, 40, 120])
+    rows = [(k, "".join(chr(97 + rnd.randint(0, 25)) for _ in range(rnd.choice([0, 1, 3, 10, 40, 200]))))
+            for k in rnd.sample(range(100_000), n)]
+    df = spark.createDataFrame(rows, "k long, text string").repartition(3)
+    for B, R, pct, nbk, ks in [(16, 7, 5, 20, True), (8, 1000, None, 3, True), (32, 3, 50, 50, False), (4, 2, 10, 7, True)]:
+        if pct is None:
+            ref = row_index(df, ["k"]).select(F.lit("train").alias("split"), "row_idx", "text")
+        else:
+            ref = head_percent_split(df, ["k"], pct).select("split", "row_idx", "text")
+        expect = _blocks(pack_text_blocks(ref, B, R, keep_short=ks))
+        got = _blocks(pack_corpus_text(df, "k", B, R, percent=pct, keep_short=ks, num_buckets=nbk))
+        assert got == expect
+
+
+def test_strategy_auto_follows_input_size(spark, tmpdir_path):
+    from corpusprep.plans.pretrain import input_bytes_at_least, pretrain_blocks
+    spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string") \
+        .write.parquet(f"{tmpdir_path}/docs")
+    docs = spark.read.parquet(f"{tmpdir_path}/docs")
+    assert input_bytes_at_least(docs, 1) and not input_bytes_at_least(docs, 10 ** 12)
+    a = _blocks(pretrain_blocks(docs, ["doc_id"], block_size=32, rows_per_batch=8, percent=10))
+    spark.conf.set("corpusprep.pack.singleShuffleMinBytes", "1")
+    try:
+        b = _blocks(pretrain_blocks(docs, ["doc_id"], block_size=32, rows_per_batch=8, percent=10))
+    finally:
+        spark.conf.unset("corpusprep.pack.singleShuffleMinBytes")
+    assert a == b and a

@@ -89,3 +89,12 @@ def test_row_index_plan_has_no_single_partition_window_over_rows(spark):
     # the only window without a partition key runs over the per-bucket counts
     assert "SinglePartition" not in tree(p) or "HashAggregate" in p
     assert "hashpartitioning(knownfloatingpointnormalized(normalizenanandzero(__bucket" in p
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
+def test_one_shuffle_flagship_moves_text_once(spark):
+    import __spark_entry__ as m
+    p = plan(m.queries()["pack_blocks_one_shuffle"](spark, SF))
+    blocks = [b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]
+    assert len([b for b in blocks if "__text#" in b.split("Arguments")[0]]) == 1, blocks
+    assert not PY_NODES.search(p)
