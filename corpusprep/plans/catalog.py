@@ -420,6 +420,28 @@ def q_pair_sanity_head(spark, sf_dir):
     return w.select("conv_id", "turn", "prompt")
 
 
+SQL_TRANSCRIPTS = f"""
+prev AS (SELECT conv_id, turn + 2 AS turn, {NL2} || 'Human: ' || usr || {NL2} || 'Assistant: ' || answer AS history FROM ex),
+tr AS (SELECT p.conv_id, p.turn, coalesce(h.history, '') || {NL2} || 'Human: ' || p.prompt || {NL2} || 'Assistant: ' AS head,
+              p.chosen, p.rejected FROM pairs p LEFT JOIN prev h USING (conv_id, turn)),
+t2 AS (SELECT conv_id, turn, head || chosen AS c, head || rejected AS r FROM tr)"""
+
+
+@register("transcript_sanity_head", f"""
+WITH {SQL_EXCHANGES.strip()}, {SQL_TRANSCRIPTS.strip()},
+h AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM t2) AS x WHERE rn <= 1000),
+t3 AS (SELECT *, length(c) - length(string_split(c, {NL2} || 'Assistant:')[-1]) AS plen FROM h)
+SELECT conv_id, turn, left(c, plen) AS prompt, substr(c, plen + 1) AS chosen, substr(r, plen + 1) AS rejected,
+       starts_with(r, left(c, plen)) AS prefix_ok
+FROM t3""")
+def q_transcript_sanity_head(spark, sf_dir):
+    """Sanity mode of the transcript loader: the first 1000 dialogues, then split."""
+    from corpusprep.plans.preference import prepare_transcripts
+    t = derived.transcripts(table(spark, sf_dir, "conversations"))
+    return prepare_transcripts(t, order_by=["conv_id", "turn"], sanity=True, keep=("conv_id", "turn"),
+                               bucket_key=_pair_key())
+
+
 @register("transcript_split", f"""
 WITH {SQL_EXCHANGES.strip()},
 prev AS (SELECT conv_id, turn + 2 AS turn, {NL2} || 'Human: ' || usr || {NL2} || 'Assistant: ' || answer AS history FROM ex),
