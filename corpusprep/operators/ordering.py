@@ -22,8 +22,6 @@ totals, so one hot group never lands in a single task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -223,12 +221,6 @@ def choose_validation(train: DataFrame, validation: DataFrame | None = None, *,
                               keep_index=False)
 
 
-def split_index(df: DataFrame, order_by, *, split_col: str = "split", name: str = "row_idx",
-                bucket_key=None) -> DataFrame:
-    """Dense position inside each split."""
-    return row_index(df, order_by, name=name, partition_by=[split_col], bucket_key=bucket_key)
-
-
 def head_limit(df: DataFrame, n, *, index_col: str = "row_idx", split_col: str = "split") -> DataFrame:
     """Keep rows with position < n; NULL or n <= 0 keeps all rows. Needs a row index column
     (position within the split when the index restarts per split). ``n`` may be a dict

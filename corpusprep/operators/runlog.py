@@ -100,8 +100,8 @@ def final_best(evals: DataFrame, *, run: str = "run", step: str = "completed_ste
     """Best evaluation per run: the lowest loss, the earliest such step on ties (a later
     equal loss is not strictly lower, so the first one stays best)."""
     d = evals.where(~F.isnan(loss))
-    return d.groupBy(run).agg(F.min_by(F.struct(F.col(loss), F.col(step)), F.struct(F.col(loss), F.col(step))).alias("__b")) \
-        .select(run, F.col("__b")[loss].alias("best_loss"), F.col("__b")[step].alias("best_step"))
+    best = F.min(F.struct(F.col(loss).alias("l"), F.col(step).alias("s"))).alias("__b")
+    return d.groupBy(run).agg(best).select(run, F.col("__b.l").alias("best_loss"), F.col("__b.s").alias("best_step"))
 
 
 def checkpoint_ring(saves: DataFrame, save_steps: int, *, run: str = "run", step: str = "completed_steps",

@@ -54,3 +54,8 @@ def test_render_template(spark):
     assert [r.prompt for r in render_template(per_row, template_col="t").collect()] == got
     with pytest.raises(Exception):
         render_template(df.withColumn("t", F.lit("nope")), template_col="t").collect()
+
+
+def test_empty_output_keeps_eos_only(spark):
+    got = _fmt(spark, [(1, "a", None, "")])
+    assert got[1] == ([195, 353, 196, 2], [2, -100, -100, 2])

@@ -114,3 +114,14 @@ def test_strategy_auto_follows_input_size(spark, tmpdir_path):
     finally:
         spark.conf.unset("corpusprep.pack.singleShuffleMinBytes")
     assert a == b and a
+
+
+def test_batch_total_exactly_one_block_and_huge_document(spark):
+    df = tokenize(_rows(spark, [2, 2]))                       # 4 tokens, block 4: one full block
+    assert [len(b[2]) for b in _blocks(pack_blocks(df, 4, 10))] == [4]
+    lengths = [3, 5000, 2, 0, 7]                              # one document far above the block size
+    df = _rows(spark, lengths)
+    texts = [r.text for r in sorted(df.collect(), key=lambda r: r.row_idx)]
+    expect = sorted(pack([ids(t) for t in texts], 64, 3))
+    assert _blocks(pack_text_blocks(df, 64, 3)) == expect
+    assert _blocks(pack_blocks(tokenize(df), 64, 3)) == expect
