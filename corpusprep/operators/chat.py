@@ -12,7 +12,8 @@ Two entry points:
 * :func:`chat_examples` — one row per message (``conv_id, turn, from, value``). Each message's
   token offset inside its conversation comes from a two-level running sum, messages that start
   past the limits are left out, and only then are the pieces gathered per conversation, so the
-  gathered array never exceeds the limits, whatever a conversation's length.
+  gathered array never exceeds the limits, whatever a conversation's length. This is also how
+  a conversation is assembled from rows (6.1): no step ever gathers a whole conversation.
 """
 
 from __future__ import annotations
@@ -105,14 +106,3 @@ def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: s
     if drop_all_masked:
         out = out.where(~all_equal_to("labels", IGNORE_INDEX))
     return out
-
-
-def assemble_conversation(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
-                          from_col: str = "from", value_col: str = "value",
-                          out: str = "conversations") -> DataFrame:
-    """Long form -> nested ``ARRAY<STRUCT<from, value>>`` ordered by turn (for writing
-    conversation files; the example builder above does not need it)."""
-    g = messages.groupBy(conv_col).agg(F.array_sort(F.collect_list(F.struct(
-        F.col(turn_col).alias("turn"), F.col(from_col).alias("from"), F.col(value_col).alias("value")))).alias("__m"))
-    return g.select(conv_col, F.transform("__m", lambda x: F.struct(x["from"].alias("from"),
-                                                                   x["value"].alias("value"))).alias(out))

@@ -91,7 +91,7 @@ eval_log AS (SELECT user_id AS run,
                     CAST(floor((epoch_us(ts) - t0) / 3600000000) + 1 AS BIGINT) AS completed_steps,
                     event_id AS batch_no, CAST(json_extract_string(props, '$.k') AS BIGINT) + 1 AS n,
                     value / 100.0 AS loss
-             FROM events, t0),
+             FROM events JOIN t0 ON true),
 evals AS (SELECT run, epoch, completed_steps, CAST(sum(n) AS BIGINT) AS n_examples,
                  CAST(sum(CAST(loss AS DECIMAL(18,4)) * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS eval_loss
           FROM eval_log GROUP BY run, epoch, completed_steps)"""

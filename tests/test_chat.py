@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusprep.operators.chat import assemble_conversation, chat_examples, chat_examples_nested
+from corpusprep.operators.chat import chat_examples, chat_examples_nested
 from model import chat
 
 
@@ -34,7 +34,8 @@ def test_long_and_nested_forms_match_model(spark, limits, chunk):
     long_form = {r.conv_id: (r.input_ids, r.labels, r.attention_mask)
                  for r in chat_examples(msgs, max_source=S, max_target=T, allow_unequal=True,
                                         drop_all_masked=False, chunk_size=chunk).collect()}
-    nested = assemble_conversation(msgs)
+    nested = spark.createDataFrame([(c, [(f, v) for f, v in m]) for c, m in convs.items()],
+                                   "conv_id long, conversations array<struct<from:string,value:string>>")
     nested_form = {r.conv_id: (r.input_ids, r.labels, r.attention_mask)
                    for r in chat_examples_nested(nested, max_source=S, max_target=T, allow_unequal=True,
                                                  keep=("conv_id",), drop_all_masked=False).collect()}
