@@ -57,15 +57,22 @@ def chat_examples_nested(df: DataFrame, conversations: str = "conversations", *,
                          max_source: int = DEFAULT_MAX_SOURCE, max_target: int = DEFAULT_MAX_SOURCE,
                          pad_id: int = DEFAULT_PAD_ID, eos_id: int = EOS_ID,
                          human_roles=(HUMAN_ROLE,), skip_roles=(), allow_unequal: bool = False,
-                         keep=(), drop_all_masked: bool = True) -> DataFrame:
-    """``conversations ARRAY<STRUCT<from, value>>`` -> ``input_ids, labels, attention_mask``."""
+                         keep=(), drop_all_masked: bool = True, tokenizer="codepoint") -> DataFrame:
+    """``conversations ARRAY<STRUCT<from, value>>`` -> ``input_ids, labels, attention_mask``.
+    With a ``ModelTokenizer`` every message is encoded by the model (Arrow batches)."""
     _check_limits(max_source, max_target, allow_unequal)
-    msgs = F.col(conversations)
+    src = df
     if skip_roles:
-        msgs = F.filter(msgs, lambda m: ~m["from"].isin(list(skip_roles)))
-    pieces = F.transform(msgs, lambda m: F.struct(*[p.alias(n) for n, p in zip(
-        ("i", "l"), message_pieces(m["from"], codepoint_ids(m["value"]), human_roles, eos_id))]))
-    d = df.select(*keep, pieces.alias("__p"))
+        src = src.withColumn(conversations, F.filter(conversations, lambda m: ~m["from"].isin(list(skip_roles))))
+    if tokenizer in (None, "codepoint"):
+        pieces = F.transform(conversations, lambda m: F.struct(*[p.alias(n) for n, p in zip(
+            ("i", "l"), message_pieces(m["from"], codepoint_ids(m["value"]), human_roles, eos_id))]))
+    else:
+        from corpusprep.operators.tokenizing import encode_messages
+        src = encode_messages(src, conversations, "__vids", tokenizer)
+        pieces = F.transform(conversations, lambda m, i: F.struct(*[p.alias(n) for n, p in zip(
+            ("i", "l"), message_pieces(m["from"], F.col("__vids")[i], human_roles, eos_id))]))
+    d = src.select(*keep, pieces.alias("__p"))
     ids, labels = _finish(F.flatten(F.transform("__p", lambda p: p["i"])),
                           F.flatten(F.transform("__p", lambda p: p["l"])),
                           max_source, max_target, pad_id, eos_id)
@@ -81,19 +88,29 @@ def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: s
                   max_source: int = DEFAULT_MAX_SOURCE, max_target: int = DEFAULT_MAX_SOURCE,
                   pad_id: int = DEFAULT_PAD_ID, eos_id: int = EOS_ID, human_roles=(HUMAN_ROLE,),
                   skip_roles=(), allow_unequal: bool = False, drop_all_masked: bool = True,
-                  chunk_size: int = 1024) -> DataFrame:
-    """One row per message -> one example per conversation (``conv_col`` kept)."""
+                  chunk_size: int = 1024, tokenizer="codepoint") -> DataFrame:
+    """One row per message -> one example per conversation (``conv_col`` kept). With a
+    ``ModelTokenizer`` the messages are encoded first (Arrow batches) and their token counts
+    drive the offsets."""
     _check_limits(max_source, max_target, allow_unequal)
     m = messages
     if skip_roles:
         m = m.where(~F.col(from_col).isin(list(skip_roles)))
-    m = m.select(conv_col, turn_col, from_col, value_col,
-                 (F.length(value_col) + 1).cast("bigint").alias("__n"))
+    codepoint = tokenizer in (None, "codepoint")
+    if codepoint:  # lengths without tokenizing: the scan's exchange moves text, not int arrays
+        m = m.select(conv_col, turn_col, from_col, value_col,
+                     (F.length(value_col) + 1).cast("bigint").alias("__n"))
+    else:
+        from corpusprep.operators.tokenizing import tokenize
+        m = tokenize(m.select(conv_col, turn_col, from_col, value_col), value_col, out="__ids", mask=None,
+                     tokenizer=tokenizer)
+        m = m.withColumn("__n", (F.size("__ids") + 1).cast("bigint"))
     m = grouped_scan(m, [conv_col], turn_col, {"__off": ("sum", "__n")}, inclusive=False,
                      chunk_size=chunk_size)
     reach = max(max_source, max_target)
     m = m.where(F.col("__off") < reach)  # a message starting past both limits adds nothing
-    pi, pl = message_pieces(F.col(from_col), codepoint_ids(value_col), human_roles, eos_id)
+    ids = codepoint_ids(value_col) if codepoint else F.col("__ids")  # only kept messages are tokenized
+    pi, pl = message_pieces(F.col(from_col), ids, human_roles, eos_id)
     piece = F.struct(F.col(turn_col).alias("turn"),
                      take(pi, F.lit(max_source) - F.col("__off")).alias("i"),
                      take(pl, F.lit(max_target) - F.col("__off")).alias("l"))

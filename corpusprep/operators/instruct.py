@@ -74,13 +74,23 @@ def format_instructions(df: DataFrame, *, instruction: str = "instruction", inpu
                         output: str = "output", max_source: int = DEFAULT_MAX_SOURCE,
                         max_target: int = DEFAULT_MAX_TARGET, style: str = "markers",
                         null_policy: str = "drop", drop_all_masked: bool = True,
-                        keep=(), eos_id: int = EOS_ID) -> DataFrame:
-    """Instruction triples -> ``keep... , input_ids, labels`` (ARRAY<INT>, equal length)."""
+                        keep=(), eos_id: int = EOS_ID, tokenizer="codepoint") -> DataFrame:
+    """Instruction triples -> ``keep... , input_ids, labels`` (ARRAY<INT>, equal length).
+
+    ``tokenizer``: ``"codepoint"`` (native) or a ``ModelTokenizer``: the source is encoded with
+    the model's special tokens, the target without them, then eos is appended."""
     d = apply_null_policy(df, instruction, output, null_policy)
     d = d.select(*keep, build_source(instruction, input_col).alias("__src"), F.col(output).alias("__out"))
-    # 5.3 early exit: codepoint lengths are string lengths, so filter before tokenizing
-    d = d.where((token_count("__src") <= max_source) & (token_count("__out") + 1 <= max_target))
-    d = d.select(*keep, codepoint_ids("__src").alias("__s"), build_target_ids("__out", eos_id).alias("__t"))
+    if tokenizer in (None, "codepoint"):
+        # 5.3 early exit: codepoint lengths are string lengths, so filter before tokenizing
+        d = d.where((token_count("__src") <= max_source) & (token_count("__out") + 1 <= max_target))
+        d = d.select(*keep, codepoint_ids("__src").alias("__s"), build_target_ids("__out", eos_id).alias("__t"))
+    else:
+        from corpusprep.operators.tokenizing import tokenize
+        d = tokenize(d, "__src", out="__s", mask=None, tokenizer=tokenizer)
+        d = tokenize(d, "__out", out="__t0", mask=None, tokenizer=tokenizer, add_special_tokens=False)
+        d = d.select(*keep, "__s", F.concat("__t0", F.array(F.lit(eos_id))).alias("__t"))
+        d = d.where((F.size("__s") <= max_source) & (F.size("__t") <= max_target))
     s, t = F.col("__s"), F.col("__t")
     if style == "markers":
         limit = max_source + max_target

@@ -55,11 +55,12 @@ def _load(path: str):
 
 
 def _model_tokenize(df: DataFrame, text_col: str, out: str, mask: str | None,
-                    tok: ModelTokenizer, keep_text: bool) -> DataFrame:
+                    tok: ModelTokenizer, keep_text: bool, add_special_tokens: bool | None = None) -> DataFrame:
     fields = [f for f in df.schema.fields if keep_text or f.name != text_col]
     schema = T.StructType(fields + [T.StructField(out, T.ArrayType(T.IntegerType()))]
                           + ([T.StructField(mask, T.ArrayType(T.IntegerType()))] if mask else []))
-    path, special = tok.path, tok.add_special_tokens
+    path = tok.path
+    special = tok.add_special_tokens if add_special_tokens is None else add_special_tokens
 
     def run(batches):
         model = _load(path)  # once per Python worker
@@ -77,6 +78,42 @@ def _model_tokenize(df: DataFrame, text_col: str, out: str, mask: str | None,
     return df.mapInPandas(run, schema)
 
 
+def encode_messages(df: DataFrame, conversations: str, out: str, tok: ModelTokenizer) -> DataFrame:
+    """Token ids of every message ``value`` of a nested conversation column, as
+    ``ARRAY<ARRAY<INT>>`` aligned with the messages (one Arrow batch call per partition)."""
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.ArrayType(T.IntegerType())))])
+    path, special = tok.path, tok.add_special_tokens
+
+    def run(batches):
+        model = _load(path)
+        for pdf in batches:
+            convs = pdf[conversations].tolist()
+            values = [m["value"] or "" for c in convs if c is not None for m in c]
+            enc = iter(model.encode_batch(values, add_special_tokens=special))
+            pdf[out] = [None if c is None else [next(enc).ids for _m in c] for c in convs]
+            yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
+def decode_model_ids(df: DataFrame, ids_col: str, out: str, tok: ModelTokenizer,
+                     skip_special_tokens: bool = False) -> DataFrame:
+    """Ids -> text with a model file (3.5 for model tokenizers), Arrow batches per partition."""
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
+    path = tok.path
+
+    def run(batches):
+        model = _load(path)
+        for pdf in batches:
+            ids = pdf[ids_col].tolist()
+            present = [list(x) for x in ids if x is not None]
+            dec = iter(model.decode_batch(present, skip_special_tokens=skip_special_tokens))
+            pdf[out] = [None if x is None else next(dec) for x in ids]
+            yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
 def resolve_pad_id(pad_id: int | None = None, eos_id: int | None = None, *, pad_with_eos: bool = False) -> int:
     """The pad id to use: the tokenizer's, else eos when asked (the transcript trainer does
     that), else 0."""
@@ -89,15 +126,17 @@ def resolve_pad_id(pad_id: int | None = None, eos_id: int | None = None, *, pad_
 
 def tokenize(df: DataFrame, text_col: str = "text", *, out: str = "input_ids",
              mask: str | None = "attention_mask", tokenizer="codepoint",
-             keep_text: bool = False) -> DataFrame:
-    """Add token ids (and an all-ones attention mask) for ``text_col``."""
+             keep_text: bool = False, add_special_tokens: bool | None = None) -> DataFrame:
+    """Add token ids (and an all-ones attention mask) for ``text_col``. ``add_special_tokens``
+    overrides the model tokenizer's setting (targets are encoded without them); the codepoint
+    tokenizer has none."""
     if tokenizer in (None, "codepoint"):
         res = df.withColumn(out, codepoint_ids(text_col))
         if mask:
             res = res.withColumn(mask, ones_like(out))
         return res if keep_text else res.drop(text_col)
     if isinstance(tokenizer, ModelTokenizer):
-        return _model_tokenize(df, text_col, out, mask, tokenizer, keep_text)
+        return _model_tokenize(df, text_col, out, mask, tokenizer, keep_text, add_special_tokens)
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 

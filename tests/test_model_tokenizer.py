@@ -43,3 +43,52 @@ def test_model_tokens_pack(spark, model_path):
     assert toks.where(F.col("input_ids").isNull()).count() == 1
     blocks = pack_blocks(toks.where(F.col("input_ids").isNotNull()), 8, 3).collect()
     assert all(len(b.input_ids) <= 8 for b in blocks) and blocks
+
+
+def _local(model_path):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(model_path)
+
+
+def test_instructions_with_model(spark, model_path):
+    from corpusprep.operators.instruct import format_instructions
+    tok = _local(model_path)
+    rows = [(1, "the quick", "brown", "fox jumps"), (2, "the lazy dog", None, "over")]
+    df = spark.createDataFrame(rows, "id long, instruction string, input string, output string")
+    got = {r.id: (r.input_ids, r.labels) for r in format_instructions(
+        df, keep=("id",), tokenizer=ModelTokenizer(model_path), max_source=50, max_target=50).collect()}
+    for rid, ins, inp, out in rows:
+        src = ins + "\n" + inp if inp else ins
+        s = tok.encode(src).ids
+        t = tok.encode(out, add_special_tokens=False).ids + [2]
+        assert got[rid] == ([195] + s + [196] + t, [2] + [-100] * (len(s) + 1) + t)
+
+
+def test_chats_with_model_long_and_nested(spark, model_path):
+    from corpusprep.operators.chat import chat_examples, chat_examples_nested
+    tok = _local(model_path)
+    conv = [("human", "the quick brown"), ("gpt", "fox"), ("human", "jumps over")]
+    msgs = spark.createDataFrame([(1, t, f, v) for t, (f, v) in enumerate(conv)],
+                                 "conv_id long, turn long, from string, value string")
+    nested = spark.createDataFrame([(1, conv)], "conv_id long, conversations array<struct<from:string,value:string>>")
+    i, lab = [], []
+    for f, v in conv:
+        ids = tok.encode(v).ids
+        i += ([195] if f == "human" else [196]) + ids
+        lab += ([2] + [-100] * len(ids)) if f == "human" else ([-100] + ids)
+    i, lab = (i + [2])[:12], (lab + [2])[:12]
+    i += [0] * (12 - len(i))
+    lab += [-100] * (12 - len(lab))
+    a = chat_examples(msgs, max_source=12, max_target=12, tokenizer=ModelTokenizer(model_path)).first()
+    b = chat_examples_nested(nested, max_source=12, max_target=12, tokenizer=ModelTokenizer(model_path),
+                             keep=("conv_id",)).first()
+    assert (a.input_ids, a.labels) == (i, lab) == (b.input_ids, b.labels)
+
+
+def test_decode_with_model(spark, model_path):
+    from corpusprep.operators.tokenizing import decode_model_ids
+    tok = _local(model_path)
+    ids = tok.encode("the quick brown fox").ids
+    df = spark.createDataFrame([(ids,), (None,)], "ids array<int>")
+    got = [r.text for r in decode_model_ids(df, "ids", "text", ModelTokenizer(model_path)).collect()]
+    assert got == [tok.decode(ids, skip_special_tokens=False), None]
