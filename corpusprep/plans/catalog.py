@@ -871,6 +871,24 @@ def q_sft_prepare(spark, sf_dir):
                      ids_text("labels").alias("labels"))
 
 
+@register("sft_from_files", sql_instruction("markers", 1024, 1024, ctes=SQL_SFT_ROWS, source="pos_rows",
+                                            keep="split, position, conv_id, turn"))
+def q_sft_from_files(spark, sf_dir):
+    """The same preparation starting from JSON-lines files (written in (conv_id, turn) order):
+    discovery, type check, file-order row index, then split / shuffle / format."""
+    from pyspark.sql import types as T
+    from corpusprep.plans.sft import instructions_from_files
+    base = _scratch(spark, "sft-files")
+    _triples(spark, sf_dir).repartitionByRange(4, "conv_id", "turn").sortWithinPartitions("conv_id", "turn") \
+        .write.mode("overwrite").json(f"{base}/train")
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType())]
+                          + [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output")])
+    ex, _ = instructions_from_files(spark, f"{base}/train", schema=schema, seed=42, max_source=1024,
+                                    max_target=1024, keep=("conv_id", "turn"))
+    return ex.select("split", "position", "conv_id", "turn", ids_text("input_ids").alias("input_ids"),
+                     ids_text("labels").alias("labels"))
+
+
 @register("sft_sample_counts", f"""
 WITH {SQL_SFT_ROWS}
 SELECT split, CAST(count(*) AS BIGINT) AS samples FROM lim GROUP BY split""")

@@ -41,3 +41,23 @@ def prepare_transcripts(df: DataFrame, *, order_by=None, sanity: bool = False, o
     if sanity:
         df = _sanity(df, order_by, SANITY_ROWS_TRANSCRIPTS, bucket_key)
     return split_transcripts(df, on_missing=on_missing, keep=keep)
+
+
+def pairs_from_csv(spark, train_path: str, eval_path: str | None = None, **kw) -> DataFrame:
+    """Preference CSV files (``prompt, chosen, rejected``) -> prepared pairs, file order kept
+    for the sanity head."""
+    from corpusprep.sources.files import read_pairs_csv, with_file_position
+    order = ["file_rank", "file_block", "file_row"]
+
+    def load(path):
+        df = read_pairs_csv(spark, path)
+        return with_file_position(df, sorted(_readable(spark, df.inputFiles())))
+
+    train = load(train_path)
+    evaluation = load(eval_path) if eval_path else None
+    return prepare_pairs(train, evaluation, order_by=order, bucket_key=F.col("file_pos"), **kw)
+
+
+def _readable(spark, uris):
+    jvm = spark.sparkContext._jvm
+    return [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(u)).toString() for u in uris]

@@ -57,3 +57,35 @@ def prepare_chats(messages: DataFrame, *, max_source: int = DEFAULT_MAX_SOURCE,
     """One example per conversation from the long message form (see ``chat_examples``)."""
     return chat_examples(messages, max_source=max_source, max_target=max_target,
                          allow_unequal=allow_unequal, **kw)
+
+
+_FILE_ORDER = ["file_rank", "file_block", "file_row"]
+
+
+def _read_split_files(spark, train_dir: str, validation_dir: str | None, schema):
+    from corpusprep.sources.files import read_corpus
+    parts = read_corpus(spark, train_dir, validation_dir, schema=schema)
+    return parts["train"], parts.get("validation")
+
+
+def instructions_from_files(spark, train_dir: str, validation_dir: str | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+    """Instruction JSON / JSON-lines folders (``instruction, input, output``) -> examples and
+    sample counts, rows in file order (see ``prepare_instructions`` for the options)."""
+    from corpusprep.sources.files import INSTRUCTION_SCHEMA
+    train, val = _read_split_files(spark, train_dir, validation_dir, kw.pop("schema", INSTRUCTION_SCHEMA))
+    return prepare_instructions(train, _FILE_ORDER, validation=val, bucket_key=F.col("file_pos"), **kw)
+
+
+def chats_from_files(spark, train_dir: str, validation_dir: str | None = None, *,
+                     percent: float = DEFAULT_VALIDATION_PERCENT, max_train_samples: int | None = None,
+                     max_eval_samples: int | None = None, seed: int = 42, **kw) -> DataFrame:
+    """Conversation JSON folders (``conversations: [{from, value}, ...]`` per row) -> split,
+    limited, train shuffled, formatted per row (``chat_examples_nested``)."""
+    from corpusprep.operators.chat import chat_examples_nested
+    from corpusprep.sources.files import CONVERSATION_SCHEMA
+    train, val = _read_split_files(spark, train_dir, validation_dir, CONVERSATION_SCHEMA)
+    limited = split_and_limit(train, _FILE_ORDER, validation=val, percent=percent,
+                              max_train_samples=max_train_samples, max_eval_samples=max_eval_samples,
+                              bucket_key=F.col("file_pos"))
+    ordered = order_for_training(limited, seed)
+    return chat_examples_nested(ordered, keep=("split", "position"), **kw)

@@ -52,3 +52,33 @@ def test_pretrain_with_validation_table_and_model_path(spark):
     expect = [("train", b, k, tuple(t)) for b, k, t in pack([ids(t) for t in texts], 16, 5)]
     expect += [("validation", b, k, tuple(t)) for b, k, t in pack([ids("y" * 9)] * 4, 16, 5)]
     assert got == sorted(expect)
+
+
+def test_chats_from_files(spark, tmpdir_path):
+    import json
+    import os
+
+    from corpusprep.plans.sft import chats_from_files
+    from model import chat
+    os.makedirs(f"{tmpdir_path}/chats/sub", exist_ok=True)
+    convs = [[{"from": "human", "value": "q" * i}, {"from": "gpt", "value": "a" * (i % 3)}] for i in range(30)]
+    with open(f"{tmpdir_path}/chats/a.jsonl", "w") as f:
+        f.write("\n".join(json.dumps({"conversations": c, "extra": i}) for i, c in enumerate(convs[:20])) + "\n")
+    with open(f"{tmpdir_path}/chats/sub/b.jsonl", "w") as f:
+        f.write("\n".join(json.dumps({"conversations": c}) for c in convs[20:]) + "\n")
+    out = chats_from_files(spark, f"{tmpdir_path}/chats", percent=10, max_source=16, max_target=16,
+                           drop_all_masked=False)
+    rows = out.collect()
+    val = sorted((r.position, r.input_ids) for r in rows if r.split == "validation")
+    assert [i for _, i in val] == [chat([(m["from"], m["value"]) for m in c], 16, 16)[0] for c in convs[:3]]
+    assert sum(1 for r in rows if r.split == "train") == 27
+
+
+def test_pairs_from_csv_sanity_in_file_order(spark, tmpdir_path):
+    from corpusprep.plans.preference import pairs_from_csv
+    lines = ["prompt,chosen,rejected"] + [f'"p{i}\nx","c{i}","r{i}"' for i in range(250)]
+    with open(f"{tmpdir_path}/train.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    out = pairs_from_csv(spark, f"{tmpdir_path}/train.csv", sanity=True, max_length=4096).collect()
+    prompts = sorted(int(r.prompt[len("<reserved_106>p"):].split("\n")[0]) for r in out)
+    assert prompts == list(range(200))
