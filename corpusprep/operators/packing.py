@@ -205,12 +205,13 @@ def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: i
     cut = 0 if percent is None else int(round(total_rows * float(percent) / 100.0))  # half-even, like bround
 
     def place(frame: DataFrame, rank: Column, before: Column) -> DataFrame:
-        g = _lookup(row_off, F.col("__b")) + rank
-        G = _lookup(tok_off, F.col("__b")) + before
+        frame = frame.withColumn("__rank", rank).withColumn("__before", before)
+        g = _lookup(row_off, F.col("__b")) + F.col("__rank")
+        G = _lookup(tok_off, F.col("__b")) + F.col("__before")
         split = F.when(g < F.lit(cut), F.lit("validation")).otherwise(F.lit("train"))
         row_idx = F.when(g < F.lit(cut), g).otherwise(g - F.lit(cut))
         return (frame.withColumn("__G", G.cast("bigint")).withColumn("split", split)
-                .withColumn("batch_id", F.floor(row_idx / F.lit(R)).cast("bigint")))
+                .withColumn("batch_id", F.floor(row_idx / F.lit(R)).cast("bigint")).drop("__rank", "__before"))
 
     # owner bucket of a global token position: the bucket whose token range holds it
     nonempty = [b for b in range(width) if stats.get(b, (0, 0))[1]]
@@ -245,7 +246,9 @@ def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: i
             .withColumn("__E", F.max(F.col("__G") + F.col("__n")).over(w_batch))
             .withColumn("__bmin", F.min("__b").over(w_batch))
             .withColumn("__bmax", F.max("__b").over(w_batch)))
-    nr = nr.persist()
+    # the narrow frame (about 70 bytes a row, memory then disk) feeds two small driver-side
+    # tables; caching it avoids reading the text a third time. Lost blocks are recomputed.
+    nr = nr.select("__key", "__b", "__n", "__G", "split", "batch_id", "__S", "__E", "__bmin", "__bmax").persist()
     try:
         # batches that cross a bucket boundary: at most one per boundary
         edges = [tuple(r) for r in nr.where(F.col("__bmin") != F.col("__bmax"))
