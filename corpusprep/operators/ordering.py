@@ -236,6 +236,24 @@ def head_limit(df: DataFrame, n, *, index_col: str = "row_idx", split_col: str =
     return df.where(F.col(index_col) < F.lit(int(n)))
 
 
+TOPK_MAX_ROWS = 100_000
+
+
+def first_rows(df: DataFrame, order_by, n: int | None, *, name: str = "row_idx", bucket_key=None,
+               topk_max_rows: int = TOPK_MAX_ROWS) -> DataFrame:
+    """The first ``n`` rows in ``order_by`` order with their position ``name``.
+
+    Up to ``topk_max_rows`` this is a top-k (``orderBy().limit(n)`` → each task keeps ``n``
+    rows, one task merges them; no shuffle of the table) and the position is numbered on those
+    ``n`` rows only. Larger ``n`` (or ``None``: every row) takes ``row_index`` and a filter."""
+    keys = [_col(c) for c in (order_by if isinstance(order_by, (list, tuple)) else [order_by])]
+    if n is not None and 0 < n <= topk_max_rows:
+        top = df.orderBy(*keys).limit(int(n))
+        return top.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
+    idx = row_index(df, order_by, name=name, bucket_key=bucket_key)
+    return head_limit(idx, n, index_col=name)
+
+
 def seeded_shuffle(df: DataFrame, seed: int, id_col: str, *, name: str = "shuffle_idx",
                    partition_by=None) -> DataFrame:
     """Repeatable permutation: position of each row when ordered by the md5 key of

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.constants import DEFAULT_PAIR_MAX_LENGTH, SANITY_ROWS_PAIRS, SANITY_ROWS_TRANSCRIPTS
-from corpusprep.operators.ordering import head_limit, row_index
+from corpusprep.operators.ordering import first_rows
 from corpusprep.operators.preference import filter_pair_length, split_transcripts, wrap_prompt
 
 
 def _sanity(df: DataFrame, order_by, rows: int, bucket_key) -> DataFrame:
-    return head_limit(row_index(df, order_by, bucket_key=bucket_key, name="__pos"), rows, index_col="__pos").drop("__pos")
+    """The first rows in order: a top-k, no shuffle of the table."""
+    return first_rows(df, order_by, rows, name="__pos", bucket_key=bucket_key).drop("__pos")
 
 
 def prepare_pairs(train: DataFrame, evaluation: DataFrame | None = None, *, order_by=None,

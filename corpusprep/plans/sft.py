@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpusprep.constants import DEFAULT_MAX_SOURCE, DEFAULT_MAX_TARGET, DEFAULT_VALIDATION_PERCENT
 from corpusprep.operators.chat import chat_examples
 from corpusprep.operators.instruct import format_instructions
-from corpusprep.operators.ordering import head_limit, head_percent_split, row_index, seeded_shuffle, split_counts
+from corpusprep.operators.ordering import first_rows, head_limit, head_percent_split, seeded_shuffle, split_counts
 
 
 def split_and_limit(rows: DataFrame, order_by, *, validation: DataFrame | None = None,
@@ -22,10 +22,11 @@ def split_and_limit(rows: DataFrame, order_by, *, validation: DataFrame | None =
     """``split`` and ``row_idx`` (position inside the split), first rows kept per split."""
     if validation is None:
         idx = head_percent_split(rows, order_by, percent, bucket_key=bucket_key)
-    else:
-        parts = [row_index(frame, order_by, bucket_key=bucket_key).withColumn("split", F.lit(name))
-                 for name, frame in (("train", rows), ("validation", validation))]
-        idx = parts[0].unionByName(parts[1])
+    else:  # each split limited on its own: a top-k when the limit is small
+        parts = [first_rows(frame, order_by, limit, bucket_key=bucket_key).withColumn("split", F.lit(name))
+                 for name, frame, limit in (("train", rows, max_train_samples),
+                                            ("validation", validation, max_eval_samples))]
+        return parts[0].unionByName(parts[1])
     return head_limit(idx, {"train": max_train_samples, "validation": max_eval_samples})
 
 

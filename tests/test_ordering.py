@@ -105,3 +105,13 @@ def test_choose_validation_given_or_cut(spark):
     assert given.where("split = 'validation'").count() == 3 and given.where("split = 'train'").count() == 40
     cut = choose_validation(tr, None, order_by=["k"], percent=5)
     assert sorted(r.k for r in cut.where("split = 'validation'").collect()) == [0, 1]
+
+
+def test_first_rows_topk_and_large(spark):
+    from corpusprep.operators.ordering import first_rows
+    df = spark.range(500).withColumnRenamed("id", "k").repartition(7)
+    small = first_rows(df, ["k"], 20)
+    assert [(r.k, r.row_idx) for r in small.orderBy("k").collect()] == [(i, i) for i in range(20)]
+    big = first_rows(df, ["k"], 300, topk_max_rows=100)
+    assert sorted(r.row_idx for r in big.collect()) == list(range(300))
+    assert first_rows(df, ["k"], None).count() == 500
