@@ -41,14 +41,31 @@ def prepare_instructions(triples: DataFrame, order_by, *, validation: DataFrame
                          percent: float = DEFAULT_VALIDATION_PERCENT, max_train_samples: int | None = None,
                          max_eval_samples: int | None = None, seed: int = 42,
                          max_source: int = DEFAULT_MAX_SOURCE, max_target: int = DEFAULT_MAX_TARGET,
-                         style: str = "markers", keep=(), bucket_key=None) -> tuple[DataFrame, DataFrame]:
+                         style: str = "markers", keep=(), bucket_key=None,
+                         text_cols=("instruction", "input", "output")) -> tuple[DataFrame, DataFrame]:
     """Instruction triples -> (examples ``split, position, keep..., input_ids, labels``,
-    sample counts per split before filtering)."""
-    limited = split_and_limit(triples, order_by, validation=validation, percent=percent,
+    sample counts per split before filtering).
+
+    Split, limits and the seeded shuffle only need the order key, so they run on the table
+    without its text columns; the text joins back once on the (unique) order key. The text
+    therefore crosses the network once, and not at all when AQE finds the limited key side
+    small enough to broadcast."""
+    keys = [c for c in (order_by if isinstance(order_by, (list, tuple)) else [order_by])]
+    if not all(isinstance(c, str) for c in keys):
+        raise ValueError("order_by must name columns (they are the join key back to the text)")
+    frames = [("train", triples), ("validation", validation)]
+    narrow = {n: (f.drop(*text_cols) if f is not None else None) for n, f in frames}
+    limited = split_and_limit(narrow["train"], keys, validation=narrow["validation"], percent=percent,
                               max_train_samples=max_train_samples, max_eval_samples=max_eval_samples,
                               bucket_key=bucket_key)
-    ordered = order_for_training(limited, seed)
-    examples = format_instructions(ordered, max_source=max_source, max_target=max_target, style=style,
+    ordered = order_for_training(limited, seed).select(*keys, "split", "position")
+    if validation is None:
+        full = triples.join(ordered, on=keys, how="inner")
+    else:
+        full = (triples.withColumn("split", F.lit("train"))
+                .unionByName(validation.withColumn("split", F.lit("validation")))
+                .join(ordered, on=[*keys, "split"], how="inner"))
+    examples = format_instructions(full, max_source=max_source, max_target=max_target, style=style,
                                    keep=("split", "position", *keep))
     return examples, split_counts(limited, name="samples")
 

@@ -98,3 +98,14 @@ def test_one_shuffle_flagship_moves_text_once(spark):
     blocks = [b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]
     assert len([b for b in blocks if "__text#" in b.split("Arguments")[0]]) == 1, blocks
     assert not PY_NODES.search(p)
+
+
+def test_sft_moves_text_once(spark):
+    from corpusprep.plans.sft import prepare_instructions
+    tr = spark.createDataFrame([(i, f"q{i}", None, f"a{i}") for i in range(100)],
+                               "k long, instruction string, input string, output string")
+    ex, _ = prepare_instructions(tr, ["k"], seed=1, keep=("k",))
+    p = plan(ex)
+    nodes = [b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]
+    texty = [b for b in nodes if re.search(r"(instruction|output)#", b.split("Arguments")[0])]
+    assert len(texty) == 1, texty
