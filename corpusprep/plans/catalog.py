@@ -967,3 +967,41 @@ def q_run_summary(spark, sf_dir):
     final = epoch_summary(_evals(spark, sf_dir)).where("is_final")
     write_summary(final.select("run", "epoch", F.round("perplexity", 6).alias("perplexity")), path)
     return spark.read.schema("run bigint, epoch int, perplexity double").json(path)
+
+
+@register("stream_transcripts", f"""
+WITH {SQL_EXCHANGES.strip()}, {SQL_TRANSCRIPTS.strip()},
+t3 AS (SELECT *, length(c) - length(string_split(c, {NL2} || 'Assistant:')[-1]) AS plen FROM t2)
+SELECT conv_id, turn, left(c, plen) AS prompt, substr(c, plen + 1) AS chosen, substr(r, plen + 1) AS rejected,
+       starts_with(r, left(c, plen)) AS prefix_ok
+FROM t3""")
+def q_stream_transcripts(spark, sf_dir):
+    """Transcripts arriving as JSON files, split at the prompt by a streaming query."""
+    from pyspark.sql import types as T
+    from corpusprep.operators.preference import split_transcripts
+    from corpusprep.streaming.prepare import prepare_stream
+    base = _scratch(spark, "stream-transcripts")
+    derived.transcripts(table(spark, sf_dir, "conversations")).repartition(4).write.mode("overwrite").json(f"{base}/in")
+    schema = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
+                           T.StructField("chosen", T.StringType()), T.StructField("rejected", T.StringType())])
+    q = prepare_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
+                       lambda d: split_transcripts(d, keep=("conv_id", "turn")), schema)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_csv_pairs", ORACLE["csv_pairs"])
+def q_stream_csv_pairs(spark, sf_dir):
+    """Preference pairs arriving as CSV files (quoted newlines), wrapped and length filtered
+    (launch limit 4096) by a streaming query."""
+    from corpusprep.operators.preference import filter_pair_length, wrap_prompt
+    from corpusprep.sources.files import PAIRS_SCHEMA
+    from corpusprep.streaming.prepare import prepare_stream
+    base = _scratch(spark, "stream-pairs")
+    _pairs(spark, sf_dir).select("prompt", "chosen", "rejected").repartition(3).write.mode("overwrite") \
+        .option("header", "true").option("escape", '"').option("quoteAll", "true").csv(f"{base}/in")
+    q = prepare_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
+                       lambda d: filter_pair_length(wrap_prompt(d), 4096), PAIRS_SCHEMA, fmt="csv",
+                       options={"header": "true", "multiLine": "true", "escape": '"'})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
