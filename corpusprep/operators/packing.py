@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import DEFAULT_ROWS_PER_BATCH, TOKENIZER_LENGTH_WARNING
 from corpusprep.functions.tokens import codepoint_ids, ones_like
-from corpusprep.operators.ordering import row_index
 
 
 def effective_block_size(block_size: int | None, model_max_length: int) -> int:
@@ -122,13 +121,14 @@ def pack_text_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAU
 
 def number_blocks(blocks: DataFrame, *, split_col: str | None = "split", name: str = "block_idx") -> DataFrame:
     """Dense block position inside the split, in (batch_id, block_no) order: the unit of the
-    pretraining sample limit. Offsets come from a prefix sum over per-batch block counts
+    pretraining sample limit. Offsets come from a running sum over per-batch block counts
     (one row per batch), joined back on the batch."""
+    from corpusprep.operators.ordering import grouped_scan
     part = _batch_cols(split_col)
     per_batch = blocks.groupBy(*part).agg(F.count(F.lit(1)).alias("__nb"))
-    per_batch = row_index(per_batch, ["batch_id"], name="__bidx",
-                          partition_by=[split_col] if split_col else None,
-                          prefix_sums={"__boff": F.col("__nb")})
+    # batch_id is a dense integer step inside the split: a two-level running sum, no extra job
+    per_batch = grouped_scan(per_batch, [split_col] if split_col else [], "batch_id",
+                             {"__boff": ("sum", "__nb")}, inclusive=False)
     out = blocks.join(per_batch.select(*part, "__boff"), on=part, how="inner")
     return out.withColumn(name, (F.col("__boff") + F.col("block_no")).cast("bigint")).drop("__boff")
 
