@@ -190,8 +190,18 @@ def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: i
     base = df.select(F.col(key).alias("__key"), F.col(text_col).alias("__text"))
     based = _bucketize(base, F.col("__key"), nb, relative_error).withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket")
 
-    # -- narrow pass: per-bucket totals (partial aggregation, one row per bucket to the driver)
-    narrow = based.select("__key", "__b", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint").alias("__n"))
+    # -- narrow pass over (key, bucket, length): about 20 bytes a row, cached (memory, then
+    # disk) so the text is read only here and in the main pass; lost blocks are recomputed.
+    narrow = based.select("__key", "__b", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint").alias("__n")).persist()
+    try:
+        return _pack_corpus_text(based, narrow, B, R, percent, keep_short, mask, labels)
+    finally:
+        narrow.unpersist()
+
+
+def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, percent, keep_short: bool,
+                      mask, labels) -> DataFrame:
+    # per-bucket totals (partial aggregation, one row per bucket to the driver)
     stats = {r["__b"]: (r["c"], r["t"]) for r in narrow.groupBy("__b").agg(
         F.count(F.lit(1)).alias("c"), F.sum("__n").alias("t")).collect()}
     width = (max(stats) + 1) if stats else 1
@@ -246,26 +256,20 @@ def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: i
             .withColumn("__E", F.max(F.col("__G") + F.col("__n")).over(w_batch))
             .withColumn("__bmin", F.min("__b").over(w_batch))
             .withColumn("__bmax", F.max("__b").over(w_batch)))
-    # the narrow frame (about 70 bytes a row, memory then disk) feeds two small driver-side
-    # tables; caching it avoids reading the text a third time. Lost blocks are recomputed.
-    nr = nr.select("__key", "__b", "__n", "__G", "split", "batch_id", "__S", "__E", "__bmin", "__bmax").persist()
-    try:
-        # batches that cross a bucket boundary: at most one per boundary
-        edges = [tuple(r) for r in nr.where(F.col("__bmin") != F.col("__bmax"))
-                 .select("split", "batch_id", "__S", "__E").distinct().collect()]
-        # per bucket: the key prefix that continues a block owned by an earlier bucket
-        halo = {r["__b"]: (r["k"], r["o"], r["no"]) for r in pieces(nr).where(F.col("__owner") != F.col("__b"))
-                .groupBy("__b").agg(F.max("__key").alias("k"), F.min("__owner").alias("o"),
-                                     F.countDistinct("__owner").alias("no")).collect()}
-    finally:
-        nr.unpersist()
+    # batches that cross a bucket boundary: at most one per boundary
+    edges = [tuple(r) for r in nr.where(F.col("__bmin") != F.col("__bmax"))
+             .select("split", "batch_id", "__S", "__E").distinct().collect()]
+    # per bucket: the key prefix that continues a block owned by an earlier bucket
+    halo = {r["__b"]: (r["k"], r["o"], r["no"]) for r in pieces(nr).where(F.col("__owner") != F.col("__b"))
+            .groupBy("__b").agg(F.max("__key").alias("k"), F.min("__owner").alias("o"),
+                                 F.countDistinct("__owner").alias("no")).collect()}
     if any(v[2] > 1 for v in halo.values()):
         raise AssertionError("a bucket continues blocks of more than one earlier bucket")
     halo_key = [halo[b][0] if b in halo else None for b in range(width)]
     halo_owner = [halo[b][1] if b in halo else None for b in range(width)]
 
     # -- main pass: the text crosses the network once, partitioned by destination bucket
-    spark = df.sparkSession
+    spark = based.sparkSession
     key_type = narrow.schema["__key"].dataType.simpleString()
     k_lim = _lookup(halo_key, F.col("__b")).cast(key_type)
     dests = F.when(k_lim.isNotNull() & (F.col("__key") <= k_lim),
