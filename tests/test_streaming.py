@@ -62,3 +62,26 @@ def test_stream_nested_chat_and_transcripts(spark, tmpdir_path):
     q.awaitTermination()
     r = spark.read.parquet(f"{tmpdir_path}/tr_out").first()
     assert (r.chosen, r.rejected) == (" x", " y")
+
+
+def test_pack_stream_each_micro_batch_on_its_own(spark, tmpdir_path):
+    import json
+    import os
+
+    from model import ids, pack
+    os.makedirs(f"{tmpdir_path}/in", exist_ok=True)
+    files = {}
+    for f in range(3):
+        texts = ["abcdefghij"[: (f + i) % 10] for i in range(7)]
+        files[f] = texts
+        with open(f"{tmpdir_path}/in/part-{f}.json", "w") as fh:
+            fh.write("\n".join(json.dumps({"text": t}) for t in texts) + "\n")
+    q = pack_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", block_size=6,
+                    rows_per_batch=3, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = {}
+    for r in spark.read.parquet(f"{tmpdir_path}/out").collect():
+        got.setdefault(r.stream_batch, []).append((r.batch_id, r.block_no, list(r.input_ids)))
+    assert len(got) == 3
+    expect = sorted(sorted(pack([ids(t) for t in texts], 6, 3)) for texts in files.values())
+    assert sorted(sorted(v) for v in got.values()) == expect
