@@ -110,9 +110,11 @@ def read_json(spark: SparkSession, files: list[str], schema: T.StructType = TEXT
 
 
 def read_corpus(spark: SparkSession, train_dir: str, validation_dir: str | None = None, *,
-                keep_linebreaks: bool = True, schema: T.StructType = TEXT_SCHEMA) -> dict[str, DataFrame]:
+                keep_linebreaks: bool = True, schema: T.StructType = TEXT_SCHEMA,
+                json_multiline: bool = False) -> dict[str, DataFrame]:
     """Discover, type-check (both splits together) and read the corpus. The reader follows
-    the extension; a missing validation folder leaves that split out."""
+    the extension; a missing validation folder leaves that split out. ``json_multiline`` reads
+    ``.json`` files that hold a JSON array or pretty-printed documents (one file per task)."""
     files = {"train": discover_files(spark, train_dir)}
     if files["train"] is None:
         raise FileNotFoundError(f"no train folder {train_dir}")
@@ -128,7 +130,7 @@ def read_corpus(spark: SparkSession, train_dir: str, validation_dir: str | None
         if kind == "txt":
             out[split] = read_text(spark, paths, keep_linebreaks=keep_linebreaks)
         else:
-            out[split] = read_json(spark, paths, schema)
+            out[split] = read_json(spark, paths, schema, multiline=json_multiline)
     return out
 
 

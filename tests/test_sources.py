@@ -65,3 +65,12 @@ def test_write_prepared_reuse_and_read_split(spark, tmpdir_path):
     assert [r.v for r in read_split(spark, out, "validation").collect()] == [2]
     write_summary(spark.createDataFrame([(1.5,)], "perplexity double"), f"{tmpdir_path}/summary")
     assert spark.read.json(f"{tmpdir_path}/summary").first().perplexity == 1.5
+
+
+def test_json_array_files(spark, tmpdir_path):
+    docs = [{"text": f"doc {i}", "meta": {"n": i}} for i in range(5)]
+    _write(f"{tmpdir_path}/train/a.json", json.dumps(docs[:3], indent=2))
+    _write(f"{tmpdir_path}/train/b.json", json.dumps(docs[3:], indent=2))
+    parts = read_corpus(spark, f"{tmpdir_path}/train", json_multiline=True)
+    rows = row_index(parts["train"], ["file_rank", "file_block", "file_row"], bucket_key=F.col("file_pos"))
+    assert [r.text for r in rows.orderBy("row_idx").collect()] == [d["text"] for d in docs]
