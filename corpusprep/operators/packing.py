@@ -21,6 +21,7 @@ import warnings
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusprep.constants import DEFAULT_ROWS_PER_BATCH, TOKENIZER_LENGTH_WARNING
 from corpusprep.functions.tokens import codepoint_ids, ones_like
@@ -165,13 +166,14 @@ def _lookup(values: list, index: Column) -> Column:
     return F.element_at(F.lit(values), index + 1)
 
 
-def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
+def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                      text_col: str = "text", percent: float | None = None, keep_short: bool = True,
-                     mask: str | None = "attention_mask", labels: bool = True,
+                     mask: str | None = "attention_mask", labels: bool = True, bucket_key=None,
                      num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
-    """Order by ``key`` (numeric, unique), cut the first ``percent`` of rows off as validation
-    (``None``: everything is train), tokenize (codepoint) and pack — moving the text through
-    **one** shuffle.
+    """Order by ``key`` (a column name or a list of names; unique), cut the first ``percent`` of
+    rows off as validation (``None``: everything is train), tokenize (codepoint) and pack —
+    moving the text through **one** shuffle. ``bucket_key`` is a numeric column monotone in the
+    key (default: the key itself when it is one numeric column), as for ``row_index``.
 
     The general path (``row_index`` then ``pack_text_blocks``) shuffles the text twice: by key
     bucket for the order, then by batch for the blocks. Here a narrow pass over
@@ -187,8 +189,16 @@ def pack_corpus_text(df: DataFrame, key: str, block_size: int, rows_per_batch: i
 
     B, R = int(block_size), int(rows_per_batch)
     nb = num_buckets or default_buckets(df)
-    base = df.select(F.col(key).alias("__key"), F.col(text_col).alias("__text"))
-    based = _bucketize(base, F.col("__key"), nb, relative_error).withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket")
+    keys = [key] if isinstance(key, str) else list(key)
+    if bucket_key is None:
+        if len(keys) != 1:
+            raise ValueError("a composite key needs a numeric bucket_key")
+        bucket_key = F.col(keys[0])
+    # one comparable key value per row: the column itself, or a struct (lexicographic order)
+    key_col = F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
+    base = df.select(key_col.alias("__key"), bucket_key.alias("__bk"), F.col(text_col).alias("__text"))
+    based = (_bucketize(base, F.col("__bk"), nb, relative_error)
+             .withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket", "__bk"))
 
     # -- narrow pass over (key, bucket, length): about 20 bytes a row, cached (memory, then
     # disk) so the text is read only here and in the main pass; lost blocks are recomputed.
@@ -265,17 +275,18 @@ def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
                                  F.countDistinct("__owner").alias("no")).collect()}
     if any(v[2] > 1 for v in halo.values()):
         raise AssertionError("a bucket continues blocks of more than one earlier bucket")
-    halo_key = [halo[b][0] if b in halo else None for b in range(width)]
-    halo_owner = [halo[b][1] if b in halo else None for b in range(width)]
-
     # -- main pass: the text crosses the network once, partitioned by destination bucket
     spark = based.sparkSession
-    key_type = narrow.schema["__key"].dataType.simpleString()
-    k_lim = _lookup(halo_key, F.col("__b")).cast(key_type)
-    dests = F.when(k_lim.isNotNull() & (F.col("__key") <= k_lim),
-                   F.array(F.col("__b"), _lookup(halo_owner, F.col("__b")).cast("int"))).otherwise(F.array(F.col("__b")))
-    main = (based.withColumn("__n", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint"))
-            .withColumn("__dest", F.explode(dests)).repartition("__dest"))
+    key_type = narrow.schema["__key"].dataType
+    halo_df = spark.createDataFrame(  # one row per bucket at most: a bounded broadcast
+        [(b, k, o) for b, (k, o, _n) in halo.items()],
+        T.StructType([T.StructField("__b", T.IntegerType()), T.StructField("__klim", key_type),
+                      T.StructField("__hown", T.IntegerType())]))
+    dests = F.when(F.col("__klim").isNotNull() & (F.col("__key") <= F.col("__klim")),
+                   F.array(F.col("__b"), F.col("__hown"))).otherwise(F.array(F.col("__b")))
+    main = (based.join(F.broadcast(halo_df), on="__b", how="left")
+            .withColumn("__n", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint"))
+            .withColumn("__dest", F.explode(dests)).drop("__klim", "__hown").repartition("__dest"))
     w_src = Window.partitionBy("__dest", "__b").orderBy("__key")
     before_m = F.coalesce(F.sum("__n").over(w_src.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     m = place(main, F.row_number().over(w_src) - 1, before_m)

@@ -953,6 +953,20 @@ def q_pretrain_from_files(spark, sf_dir):
                                            rows_per_batch=1000))
 
 
+@register("pretrain_from_files_one_shuffle", sql_pack(1024, 1000, split_docs=SQL_FILE_LINES, src="split_lines"))
+def q_pretrain_from_files_one_shuffle(spark, sf_dir):
+    """``pretrain_from_files`` with the large-input plan: lines ordered by the file position
+    key, packed with the text shuffled once."""
+    from corpusprep.plans.pretrain import pretrain_from_files
+    base = _scratch(spark, "pretrain-files-1s")
+    docs = _split_docs(spark, sf_dir)
+    for split in ("train", "validation"):
+        docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
+            .select("text").write.mode("overwrite").text(f"{base}/{split}")
+    return _blocks_out(pretrain_from_files(spark, f"{base}/train", f"{base}/validation", block_size=1024,
+                                           rows_per_batch=1000, strategy="one_shuffle"))
+
+
 @register("run_summary", f"""
 WITH {SQL_EVALS.strip()},
 pe AS (SELECT run, epoch, arg_max(eval_loss, completed_steps) AS eval_loss FROM evals GROUP BY run, epoch),

@@ -101,13 +101,26 @@ def _limit(blocks: DataFrame, max_train_samples, max_eval_samples) -> DataFrame:
 def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None, *,
                         keep_linebreaks: bool = True, percent: float = DEFAULT_VALIDATION_PERCENT,
                         block_size: int = DEFAULT_BLOCK_SIZE, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH,
-                        keep_short: bool = True) -> DataFrame:
+                        keep_short: bool = True, strategy: str = "auto") -> DataFrame:
     """Corpus folders -> packed blocks. Rows keep file order (file rank, split start, position);
-    without a validation folder the first ``percent`` of train rows become validation."""
+    without a validation folder the first ``percent`` of train rows become validation.
+    ``strategy`` as for ``pretrain_blocks`` (the one-shuffle plan orders by the file position
+    key and buckets on ``file_pos``)."""
     from corpusprep.sources.files import read_corpus
     parts = read_corpus(spark, train_dir, validation_dir, keep_linebreaks=keep_linebreaks)
     order = ["file_rank", "file_block", "file_row"]
     key = F.col("file_pos")
+    if strategy == "auto":
+        threshold = int(spark.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
+        strategy = "one_shuffle" if input_bytes_at_least(parts["train"], threshold) else "two_shuffle"
+    if strategy == "one_shuffle":
+        if "validation" not in parts:
+            return pack_corpus_text(parts["train"], order, block_size, rows_per_batch, percent=percent,
+                                    bucket_key=key, keep_short=keep_short)
+        packed = [pack_corpus_text(frame, order, block_size, rows_per_batch, percent=None, bucket_key=key,
+                                   keep_short=keep_short).withColumn("split", F.lit(name))
+                  for name, frame in parts.items()]
+        return packed[0].unionByName(packed[1])
     if "validation" in parts:
         rows = None
         for name, frame in parts.items():

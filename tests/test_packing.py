@@ -125,3 +125,37 @@ def test_batch_total_exactly_one_block_and_huge_document(spark):
     expect = sorted(pack([ids(t) for t in texts], 64, 3))
     assert _blocks(pack_text_blocks(df, 64, 3)) == expect
     assert _blocks(pack_blocks(tokenize(df), 64, 3)) == expect
+
+
+@pytest.mark.parametrize("with_validation", [False, True])
+def test_files_one_shuffle_equals_two_shuffle(spark, tmpdir_path, with_validation):
+    import os
+    from corpusprep.plans.pretrain import pretrain_from_files
+    rnd = random.Random(11)
+    for split, n_files in (("train", 4), ("validation", 2)):
+        for f in range(n_files):
+            os.makedirs(f"{tmpdir_path}/{split}/d{f % 2}", exist_ok=True)
+            lines = ["".join(chr(97 + rnd.randint(0, 25)) for _ in range(rnd.choice([0, 3, 9, 40]))) for _ in range(25)]
+            with open(f"{tmpdir_path}/{split}/d{f % 2}/f{f}.txt", "w") as fh:
+                fh.write("\n".join(lines) + "\n")
+    val = f"{tmpdir_path}/validation" if with_validation else None
+    kw = dict(block_size=16, rows_per_batch=7, percent=10)
+    one = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+                 for r in pretrain_from_files(spark, f"{tmpdir_path}/train", val, strategy="one_shuffle", **kw).collect())
+    two = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+                 for r in pretrain_from_files(spark, f"{tmpdir_path}/train", val, strategy="two_shuffle", **kw).collect())
+    assert one == two and one
+
+
+def test_one_shuffle_composite_key_many_buckets(spark):
+    from corpusprep.operators.ordering import head_percent_split
+    from corpusprep.operators.packing import pack_corpus_text
+    rnd = random.Random(5)
+    rows = [(a, b, "".join(chr(97 + rnd.randint(0, 25)) for _ in range(rnd.choice([0, 2, 7, 60]))))
+            for a in range(6) for b in rnd.sample(range(1000), 15)]
+    df = spark.createDataFrame(rows, "a long, b long, text string").repartition(4)
+    key = F.col("a") * F.lit(1000) + F.col("b")
+    ref = head_percent_split(df, ["a", "b"], 20, bucket_key=key).select("split", "row_idx", "text")
+    expect = _blocks(pack_text_blocks(ref, 8, 4))
+    got = _blocks(pack_corpus_text(df, ["a", "b"], 8, 4, percent=20, bucket_key=key, num_buckets=40))
+    assert got == expect
