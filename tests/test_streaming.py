@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,7 +65,8 @@ def test_stream_nested_chat_and_transcripts(spark, tmpdir_path):
     assert (r.chosen, r.rejected) == (" x", " y")
 
 
-def test_pack_stream_each_micro_batch_on_its_own(spark, tmpdir_path):
+@pytest.mark.parametrize("strategy", ["two_shuffle", "one_shuffle"])
+def test_pack_stream_each_micro_batch_on_its_own(spark, tmpdir_path, strategy):
     import json
     import os
 
@@ -77,7 +79,7 @@ def test_pack_stream_each_micro_batch_on_its_own(spark, tmpdir_path):
         with open(f"{tmpdir_path}/in/part-{f}.json", "w") as fh:
             fh.write("\n".join(json.dumps({"text": t}) for t in texts) + "\n")
     q = pack_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", block_size=6,
-                    rows_per_batch=3, max_files_per_trigger=1)
+                    rows_per_batch=3, max_files_per_trigger=1, strategy=strategy)
     q.awaitTermination()
     got = {}
     for r in spark.read.parquet(f"{tmpdir_path}/out").collect():
