@@ -61,12 +61,13 @@ def chat_examples_nested(df: DataFrame, conversations: str = "conversations", *,
     """``conversations ARRAY<STRUCT<from, value>>`` -> ``input_ids, labels, attention_mask``.
     With a ``ModelTokenizer`` every message is encoded by the model (Arrow batches)."""
     _check_limits(max_source, max_target, allow_unequal)
-    src = df
+    src = df.withColumn(conversations, F.coalesce(F.col(conversations), F.array().cast(df.schema[conversations].dataType)))
     if skip_roles:
         src = src.withColumn(conversations, F.filter(conversations, lambda m: ~m["from"].isin(list(skip_roles))))
     if tokenizer in (None, "codepoint"):
         pieces = F.transform(conversations, lambda m: F.struct(*[p.alias(n) for n, p in zip(
-            ("i", "l"), message_pieces(m["from"], codepoint_ids(m["value"]), human_roles, eos_id))]))
+            ("i", "l"), message_pieces(m["from"], codepoint_ids(F.coalesce(m["value"], F.lit(""))),
+                                       human_roles, eos_id))]))
     else:
         from corpusprep.operators.tokenizing import encode_messages
         src = encode_messages(src, conversations, "__vids", tokenizer)
@@ -93,7 +94,7 @@ def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: s
     ``ModelTokenizer`` the messages are encoded first (Arrow batches) and their token counts
     drive the offsets."""
     _check_limits(max_source, max_target, allow_unequal)
-    m = messages
+    m = messages.withColumn(value_col, F.coalesce(F.col(value_col), F.lit("")))  # NULL text: empty message
     if skip_roles:
         m = m.where(~F.col(from_col).isin(list(skip_roles)))
     codepoint = tokenizer in (None, "codepoint")

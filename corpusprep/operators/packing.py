@@ -56,7 +56,7 @@ def _segments(df: DataFrame, length: Column, block_size: int, rows_per_batch: in
     stream that the row gives to block ``block_no``; the row's own first token is ``start``."""
     B = int(block_size)
     d = df.withColumn("batch_id", F.floor(F.col(index_col) / F.lit(int(rows_per_batch))).cast("bigint"))
-    d = d.withColumn("__n", length.cast("bigint"))
+    d = d.withColumn("__n", F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)))  # NULL rows: no tokens
     part = _batch_cols(split_col)
     w_batch = Window.partitionBy(*part)
     w_before = Window.partitionBy(*part).orderBy(index_col).rowsBetween(Window.unboundedPreceding, -1)

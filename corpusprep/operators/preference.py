@@ -49,12 +49,12 @@ def split_transcripts(df: DataFrame, chosen: str = "chosen", rejected: str = "re
     the job, ``drop`` leaves them out (see ``missing_marker_rows``)."""
     n = prompt_length(chosen, marker)
     c = F.col(chosen)
+    missing = c.isNull() | (F.instr(c, marker) == 0)
     d = df
     if on_missing == "error":
-        d = d.withColumn(chosen, F.when(F.instr(c, marker) == 0,
-                                        F.raise_error(F.lit(f"transcript without {marker!r}"))).otherwise(c))
+        d = d.withColumn(chosen, F.when(missing, F.raise_error(F.lit(f"transcript without {marker!r}"))).otherwise(c))
     elif on_missing == "drop":
-        d = d.where(F.instr(c, marker) > 0)
+        d = d.where(~missing)
     else:
         raise ValueError(f"unknown on_missing {on_missing!r}")
     d = d.withColumn("__plen", n)
@@ -68,4 +68,5 @@ def split_transcripts(df: DataFrame, chosen: str = "chosen", rejected: str = "re
 
 def missing_marker_rows(df: DataFrame, chosen: str = "chosen", marker: str = ASSISTANT_MARKER) -> DataFrame:
     """Quarantine for ``split_transcripts(on_missing='drop')``."""
-    return df.where(F.instr(F.col(chosen), marker) == 0).withColumn("reason", F.lit("marker not found"))
+    c = F.col(chosen)
+    return df.where(c.isNull() | (F.instr(c, marker) == 0)).withColumn("reason", F.lit("marker not found"))

@@ -63,3 +63,13 @@ def test_empty_list_token_equal_to_pad_and_skip_roles(spark):
     pad_df = spark.createDataFrame([([("gpt", "b")],)], "conversations array<struct<from:string,value:string>>")
     r = chat_examples_nested(pad_df, max_source=4, max_target=4, pad_id=354).first()
     assert r.attention_mask == [True, False, True, False]
+
+
+def test_null_message_value_counts_as_empty(spark):
+    msgs = spark.createDataFrame([(1, 0, "human", None), (1, 1, "gpt", "b")], "conv_id long, turn long, from string, value string")
+    r = chat_examples(msgs, max_source=6, max_target=6).first()
+    assert r.input_ids == chat([("human", ""), ("gpt", "b")], 6, 6)[0]
+    nested = spark.createDataFrame([([("human", None), ("gpt", "b")],), (None,)],
+                                   "conversations array<struct<from:string,value:string>>")
+    rows = chat_examples_nested(nested, max_source=6, max_target=6, drop_all_masked=False).collect()
+    assert rows[0].input_ids == r.input_ids and rows[1].input_ids == [2, 0, 0, 0, 0, 0]

@@ -159,3 +159,11 @@ def test_one_shuffle_composite_key_many_buckets(spark):
     expect = _blocks(pack_text_blocks(ref, 8, 4))
     got = _blocks(pack_corpus_text(df, ["a", "b"], 8, 4, percent=20, bucket_key=key, num_buckets=40))
     assert got == expect
+
+
+def test_null_rows_carry_no_tokens(spark):
+    data = [("train", 0, "abcdef"), ("train", 1, None), ("train", 2, "ghij")]
+    df = spark.createDataFrame(data, "split string, row_idx long, text string")
+    expect = sorted(pack([ids("abcdef"), [], ids("ghij")], 4, 10))
+    assert _blocks(pack_text_blocks(df, 4, 10)) == expect
+    assert _blocks(pack_blocks(tokenize(df), 4, 10)) == expect

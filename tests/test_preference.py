@@ -47,3 +47,11 @@ def test_csv_quoted_newlines_and_quotes(spark, tmpdir_path):
     rows = read_pairs_csv(spark, path).collect()
     assert rows[0].prompt == "line1\nline2" and rows[0].chosen == 'say "hi"' and rows[0].rejected is None
     assert rows[1].chosen == "a,b"
+
+
+def test_null_transcript_is_missing_marker(spark):
+    df = spark.createDataFrame([(None, "x"), ("\n\nAssistant: y", "z")], "chosen string, rejected string")
+    assert split_transcripts(df, on_missing="drop").count() == 1
+    assert missing_marker_rows(df).count() == 1
+    with pytest.raises(Exception):
+        split_transcripts(df).collect()
