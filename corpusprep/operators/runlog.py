@@ -41,7 +41,8 @@ def eval_loss(eval_log: DataFrame, group=("run", "epoch", "completed_steps"), *,
     products are summed as DECIMAL (exact, independent of summation order)."""
     g = list(group)
     weighted = _exact(F.col(loss), exact_scale) * F.col(n)
-    agg = eval_log.groupBy(*g).agg(F.sum(weighted).alias("__lw"), F.sum(n).cast("bigint").alias("n_examples"))
+    counted = F.when(F.col(loss).isNotNull(), F.col(n))  # a batch without a loss adds no weight
+    agg = eval_log.groupBy(*g).agg(F.sum(weighted).alias("__lw"), F.sum(counted).cast("bigint").alias("n_examples"))
     el = (F.col("__lw").cast("double") / F.col("n_examples").cast("double"))
     return agg.select(*g, "n_examples", el.alias("eval_loss"), perplexity(el).alias("perplexity"))
 

@@ -88,3 +88,10 @@ def test_argmax_and_accuracy(spark):
     r = next_token_accuracy(seq).first()
     assert (r.correct, r.compared) == (2, 3)
     assert perplexity is not None
+
+
+def test_eval_loss_ignores_batches_without_loss(spark):
+    rows = [("r", 0, 1, 0, 2, 1.0), ("r", 0, 1, 1, 5, None), ("r", 0, 1, 2, 1, 4.0)]
+    df = spark.createDataFrame(rows, "run string, epoch int, completed_steps long, batch_no long, n long, loss double")
+    r = eval_loss(df).first()
+    assert (r.n_examples, r.eval_loss) == (3, 2.0)
