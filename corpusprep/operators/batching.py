@@ -132,3 +132,73 @@ def epoch_plan_local(n: int, batch_size: int, accumulation: int = 1, epochs: int
     batches = math.ceil(n / batch_size)
     updates = math.ceil(batches / accumulation)
     return {"batches": batches, "updates_per_epoch": updates, "total_updates": epochs * updates}
+
+
+def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
+                    on_ragged: str = "repeat_first", pad: dict | None = None,
+                    num_buckets: int | None = None) -> DataFrame:
+    """``assign_batches`` followed by ``collate``, with the rows shuffled once.
+
+    Rows are bucketed on the seeded key (uniform, so buckets are balanced). The row counts per
+    bucket (one row per bucket, to the driver) fix where every batch starts; a bucket that
+    begins in the middle of a batch sends its first rows of that batch (fewer than
+    ``batch_size``) to the bucket where the batch starts, found by one narrow job that returns
+    at most one key per bucket. Each row is then kept only in the partition that owns its
+    batch, and the collation windows run on that same partitioning.
+    """
+    from pyspark.sql import types as T_
+    from corpusprep.operators.ordering import _bucketize, default_buckets, seeded_order_key
+
+    bs = int(batch_size)
+    spark = df.sparkSession
+    groups = [split_col] if split_col else []
+    nb = num_buckets or default_buckets(df)
+    keyed = df.withColumn("__skey", seeded_order_key(seed, id_col))
+    based = _bucketize(keyed, F.col("__skey"), nb, None).withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket")
+    key = F.struct(F.col("__skey"), F.col(id_col))
+
+    # per (group, bucket) counts -> where each bucket starts inside its group
+    counts = {tuple(r[:-1]): r[-1] for r in based.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("c")).collect()}
+    offsets, heads = {}, {}
+    for g in sorted({k[:-1] for k in counts}, key=str):
+        buckets = sorted(k[-1] for k in counts if k[:-1] == g)
+        acc, starts = 0, []
+        for b in buckets:
+            offsets[g + (b,)] = acc
+            starts.append((acc, b))
+            first = (acc // bs) * bs
+            if first < acc:  # the bucket begins inside a batch that started earlier
+                owner = max(sb for so, sb in starts if so <= first and counts[g + (sb,)] > 0)
+                heads[g + (b,)] = (min(counts[g + (b,)], first + bs - acc), owner)
+            acc += counts[g + (b,)]
+    off_df = spark.createDataFrame([(*k, v) for k, v in offsets.items()],
+                                   based.select(*groups, "__b").schema.add("__off", T_.LongType()))
+
+    limits = {}
+    if heads:
+        need = spark.createDataFrame([(*k, h) for k, (h, _o) in heads.items()],
+                                     based.select(*groups, "__b").schema.add("__h", T_.LongType()))
+        w = Window.partitionBy(*groups, "__b").orderBy("__skey", id_col)
+        ranked = (based.select(*groups, "__b", "__skey", id_col).join(F.broadcast(need), on=[*groups, "__b"])
+                  .withColumn("__r", F.row_number().over(w)))
+        limits = {tuple(r[:-1]): r[-1] for r in ranked.where(F.col("__r") == F.col("__h"))
+                  .select(*groups, "__b", key.alias("__klim")).collect()}  # <= one key per bucket
+    halo_df = spark.createDataFrame(
+        [(*k, limits[k], heads[k][1]) for k in limits],
+        based.select(*groups, "__b").schema.add("__klim", based.select(key.alias("k")).schema["k"].dataType)
+        .add("__owner", T_.IntegerType()))
+    dests = F.when(F.col("__klim").isNotNull() & (key <= F.col("__klim")),
+                   F.array(F.col("__b"), F.col("__owner"))).otherwise(F.array(F.col("__b")))
+    rows = (based.join(F.broadcast(halo_df), on=[*groups, "__b"], how="left")
+            .withColumn("__dest", F.explode(dests)).drop("__klim", "__owner").repartition("__dest"))
+    w_src = Window.partitionBy("__dest", *groups, "__b").orderBy("__skey", id_col)
+    rows = rows.join(F.broadcast(off_df), on=[*groups, "__b"], how="inner")  # one row per bucket
+    idx = F.col("__off") + F.row_number().over(w_src) - 1
+    rows = (rows.withColumn("__idx", idx)
+            .withColumn("batch_no", F.floor(F.col("__idx") / F.lit(bs)).cast("bigint"))
+            .withColumn("pos", (F.col("__idx") % F.lit(bs)).cast("bigint")))
+    # keep a row where its batch is built: halo copies, and own rows of batches starting here
+    own = (F.col("__dest") != F.col("__b")) | (F.col("__idx") - F.col("pos") >= F.col("__off"))
+    rows = rows.where(own).drop("__skey", "__b", "__off", "__idx")
+    out = collate(rows, batch_cols=(*groups, "__dest", "batch_no"), pos_col="pos", on_ragged=on_ragged, pad=pad)
+    return out.drop("__dest")

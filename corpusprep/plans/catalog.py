@@ -510,6 +510,18 @@ def q_collate_fallback(spark, sf_dir):
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
+@register("collate_batches", ORACLE["collate_fallback"])
+def q_collate_batches(spark, sf_dir):
+    """The same collation with batching fused in: rows shuffled once (``collate_batches``)."""
+    from corpusprep.operators.batching import collate_batches
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    ex = docs.join(lab, on="doc_id", how="left").select(
+        "doc_id", codepoint_ids("source").alias("input_ids"), "label", F.col("source").alias("name"))
+    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first")
+    return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
+
+
 @register("pad_to_longest", f"""
 WITH {SQL_BATCHES.strip()},
 ex AS (SELECT batch_no, pos, {sql_ids('source')} AS ids FROM bt),

@@ -53,3 +53,26 @@ def test_collate_pad_and_pad_to_longest(spark):
     ex = df.select("batch_no", "pos", "input_ids", F.col("input_ids").alias("labels"))
     q = {r.pos: (r.input_ids, r.labels) for r in pad_to_longest(ex).collect()}
     assert q[1] == ([4, 0, 0], [4, -100, -100])
+
+
+import random  # noqa: E402
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("bs,nbk,split", [(8, 20, False), (3, 50, False), (5, 4, True), (64, 10, False)])
+def test_collate_batches_equals_two_steps(spark, bs, nbk, split):
+    from corpusprep.operators.batching import collate_batches
+    rnd = random.Random(bs)
+    rows = [(i, [1] * rnd.choice([1, 2, 2, 3]), rnd.choice([0, 1, None]), "a" if i % 3 else "b") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, input_ids array<int>, label int, split string").repartition(3)
+    if not split:
+        df = df.drop("split")
+    split_col = "split" if split else None
+    ref = collate(assign_batches(df, bs, 42, "doc_id", split_col=split_col),
+                  batch_cols=(("split",) if split else ()) + ("batch_no",))
+    cols = ref.columns
+    a = sorted(tuple(str(x) for x in r) for r in ref.select(*cols).collect())
+    b = sorted(tuple(str(x) for x in r)
+               for r in collate_batches(df, bs, 42, "doc_id", split_col=split_col, num_buckets=nbk).select(*cols).collect())
+    assert a == b

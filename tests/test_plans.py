@@ -109,3 +109,10 @@ def test_sft_moves_text_once(spark):
     nodes = [b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]
     texty = [b for b in nodes if re.search(r"(instruction|output)#", b.split("Arguments")[0])]
     assert len(texty) == 1, texty
+
+
+def test_collate_batches_moves_rows_once(spark):
+    from corpusprep.operators.batching import collate_batches
+    df = spark.createDataFrame([(i, [1] * (i % 3 + 1), i % 2) for i in range(120)], "doc_id long, input_ids array<int>, label int")
+    p = plan(collate_batches(df, 8, 42, "doc_id"))
+    assert len([b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]) == 1
