@@ -147,14 +147,15 @@ def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, s
     batch, and the collation windows run on that same partitioning.
     """
     from pyspark.sql import types as T_
-    from corpusprep.operators.ordering import _bucketize, default_buckets, seeded_order_key
+    from corpusprep.operators.ordering import SEEDED_KEY_RANGE, _bucketize, default_buckets, seeded_order_key
 
     bs = int(batch_size)
     spark = df.sparkSession
     groups = [split_col] if split_col else []
     nb = num_buckets or default_buckets(df)
     keyed = df.withColumn("__skey", seeded_order_key(seed, id_col))
-    based = _bucketize(keyed, F.col("__skey"), nb, None).withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket")
+    based = (_bucketize(keyed, F.col("__skey"), nb, None, SEEDED_KEY_RANGE)
+             .withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket"))
     key = F.struct(F.col("__skey"), F.col(id_col))
 
     # per (group, bucket) counts -> where each bucket starts inside its group

@@ -61,14 +61,21 @@ def seeded_order_key(seed: int, id_col) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+SEEDED_KEY_RANGE = (0, 2 ** 60)  # seeded_order_key is uniform on this range
+
+
 def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
-               relative_error: float | None) -> DataFrame:
+               relative_error: float | None, uniform_range: tuple | None = None) -> DataFrame:
     tmp = df.withColumn("__bk", F.coalesce(bucket_key.cast("double"), F.lit(float("-inf"))))
     if num_buckets <= 1:
         return tmp.withColumn("__bucket", F.lit(0.0)).drop("__bk")
-    err = relative_error if relative_error is not None else 1.0 / (10.0 * num_buckets)
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    bounds = tmp.approxQuantile("__bk", probs, err)  # one pass over the key column
+    if uniform_range is not None:  # a key uniform by construction: equal-width bounds, no pass
+        lo, hi = uniform_range
+        bounds = [lo + (hi - lo) * i / num_buckets for i in range(1, num_buckets)]
+    else:
+        err = relative_error if relative_error is not None else 1.0 / (10.0 * num_buckets)
+        probs = [i / num_buckets for i in range(1, num_buckets)]
+        bounds = tmp.approxQuantile("__bk", probs, err)  # one pass over the key column
     inner = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
     if not inner:  # empty input or a single key value: one bucket
         return tmp.withColumn("__bucket", F.lit(0.0)).drop("__bk")
@@ -93,7 +100,8 @@ def lexicographic_bucket_key(df: DataFrame, group_col: str, order_col: str) -> C
 
 def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=None,
               bucket_key=None, prefix_sums: dict | None = None, total_name: str | None = None,
-              num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+              num_buckets: int | None = None, relative_error: float | None = None,
+              uniform_range: tuple | None = None) -> DataFrame:
     """Add ``name``: the dense 0-based position of each row in ascending ``order_by``
     (restarting per ``partition_by`` group). ``order_by`` must be unique within a group for a
     deterministic result.
@@ -104,7 +112,8 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
 
     ``prefix_sums`` maps output names to numeric columns: each output is the *exclusive*
     running sum of that column along the same order (e.g. the token offset of a document).
-    ``total_name`` adds the group's row count to every row.
+    ``total_name`` adds the group's row count to every row. ``uniform_range=(lo, hi)`` declares
+    the bucket key uniform on that range (a hash), so the bounds need no pass over the data.
     """
     keys = [_col(c) for c in (order_by if isinstance(order_by, (list, tuple)) else [order_by])]
     groups = _names(partition_by)
@@ -118,7 +127,7 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     nb = num_buckets or default_buckets(df)
     sums = dict(prefix_sums or {})
 
-    b = _bucketize(df, _col(bucket_key), nb, relative_error)
+    b = _bucketize(df, _col(bucket_key), nb, relative_error, uniform_range)
     cell = groups + ["__bucket"]
 
     # rank (and running sums) inside each (group, bucket): one exchange on the cell
@@ -260,7 +269,7 @@ def seeded_shuffle(df: DataFrame, seed: int, id_col: str, *, name: str = "shuffl
     ``(seed, id)``, ``id`` breaking ties."""
     keyed = df.withColumn("__skey", seeded_order_key(seed, id_col))
     out = row_index(keyed, ["__skey", id_col], name=name, partition_by=partition_by,
-                    bucket_key=F.col("__skey"))
+                    bucket_key=F.col("__skey"), uniform_range=SEEDED_KEY_RANGE)
     return out.drop("__skey")
 
 
