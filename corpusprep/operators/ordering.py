@@ -204,19 +204,37 @@ def head_percent_split(df: DataFrame, order_by, percent: float = DEFAULT_VALIDAT
                        keep_index: bool = True) -> DataFrame:
     """The first ``round_half_even(n * percent / 100)`` rows become ``validation``, the rest
     ``train`` (a head cut by position, not a random split). With ``keep_index`` the
-    ``index_col`` holds the position inside the row's split."""
+    ``index_col`` holds the position inside the row's split.
+
+    Without ``keep_index`` only membership is needed: a narrow index over the key columns finds
+    the last validation key (one value to the driver), and the split is a plain comparison —
+    the rows themselves are not shuffled."""
+    if not keep_index:
+        return _split_by_boundary(df, order_by, percent, split_col, bucket_key)
     idx = row_index(df, order_by, name=index_col, bucket_key=bucket_key, total_name="__total")
     cut = F.bround(F.col("__total") * F.lit(float(percent)) / F.lit(100.0), 0).cast("bigint")
     is_val = F.col(index_col) < cut
     out = idx.withColumn(split_col, F.when(is_val, F.lit("validation")).otherwise(F.lit("train")))
-    if keep_index:
-        out = out.withColumn(index_col, F.when(is_val, F.col(index_col))
-                             .otherwise(F.col(index_col) - cut))
-    else:
-        out = out.drop(index_col)
+    out = out.withColumn(index_col, F.when(is_val, F.col(index_col)).otherwise(F.col(index_col) - cut))
     return out.drop("__total")
 
 
+def _split_by_boundary(df: DataFrame, order_by, percent: float, split_col: str, bucket_key) -> DataFrame:
+    cols = order_by if isinstance(order_by, (list, tuple)) else [order_by]
+    if not all(isinstance(c, str) for c in cols):
+        raise ValueError("order_by must name columns")
+    key = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
+    narrow = df.select(*cols, *([bucket_key.alias("__bkey")] if bucket_key is not None else []))
+    idx = row_index(narrow, cols, name="__i", bucket_key=F.col("__bkey") if bucket_key is not None else None,
+                    total_name="__total")
+    cut = F.bround(F.col("__total") * F.lit(float(percent)) / F.lit(100.0), 0).cast("bigint")
+    last = idx.where(F.col("__i") == cut - 1).select(key.alias("__k")).collect()  # at most one row
+    if not last:
+        return df.withColumn(split_col, F.lit("train"))
+    boundary = F.lit(last[0]["__k"]) if len(cols) == 1 else F.struct(*[F.lit(last[0]["__k"][c]).alias(c) for c in cols])
+    return df.withColumn(split_col, F.when(key <= boundary, F.lit("validation")).otherwise(F.lit("train")))
+
+
 def choose_validation(train: DataFrame, validation: DataFrame | None = None, *, order_by=None,
                       percent: float = DEFAULT_VALIDATION_PERCENT, split_col: str = "split",
                       bucket_key=None) -> DataFrame:

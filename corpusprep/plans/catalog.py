@@ -131,11 +131,19 @@ def _blocks_out(blocks: DataFrame) -> DataFrame:
 
 
 def _split_docs(spark, sf_dir) -> DataFrame:
+    """Documents with ``split`` and ``row_idx`` (position inside the split)."""
     from corpusprep.operators.ordering import head_percent_split
     docs = table(spark, sf_dir, "documents")
     return head_percent_split(docs.select("doc_id", "text", "source", "lang"), ["doc_id"], 5)
 
 
+def _split_only(spark, sf_dir) -> DataFrame:
+    """Documents with ``split`` only: the rows are not shuffled (boundary key + comparison)."""
+    from corpusprep.operators.ordering import head_percent_split
+    docs = table(spark, sf_dir, "documents")
+    return head_percent_split(docs.select("doc_id", "text", "source", "lang"), ["doc_id"], 5, keep_index=False)
+
+
 # ------------------------------------------------------------------------------------------------
 # packing and order
 # ------------------------------------------------------------------------------------------------
@@ -206,7 +214,7 @@ WITH {SQL_SPLIT_DOCS.strip()}
 SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM split_docs GROUP BY split""")
 def q_split_counts(spark, sf_dir):
     from corpusprep.operators.ordering import split_counts
-    return split_counts(_split_docs(spark, sf_dir))
+    return split_counts(_split_only(spark, sf_dir))
 
 
 @register("head_limit", f"""
@@ -239,7 +247,7 @@ SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_to
 FROM t GROUP BY split""")
 def q_token_stats(spark, sf_dir):
     from corpusprep.operators.tokenizing import token_stats, tokenize
-    return token_stats(tokenize(_split_docs(spark, sf_dir).select("split", "text")))
+    return token_stats(tokenize(_split_only(spark, sf_dir).select("split", "text")))
 
 
 @register("decode_roundtrip", f"""
@@ -550,7 +558,7 @@ FROM u""")
 def q_epoch_plan(spark, sf_dir):
     """Batch size 8, accumulation 4, 3 epochs, one process."""
     from corpusprep.operators.batching import epoch_plan
-    return epoch_plan(_split_docs(spark, sf_dir), 8, accumulation=4, epochs=3)
+    return epoch_plan(_split_only(spark, sf_dir), 8, accumulation=4, epochs=3)
 
 
 # ------------------------------------------------------------------------------------------------
@@ -738,7 +746,7 @@ def q_read_text_corpus(spark, sf_dir):
     type-checked and read one row per line with line breaks kept."""
     from corpusprep.sources.files import read_corpus
     base = _scratch(spark, "text-corpus")
-    _write_docs(_split_docs(spark, sf_dir), base, "text")
+    _write_docs(_split_only(spark, sf_dir), base, "text")
     from corpusprep.operators.ordering import choose_validation
     parts = read_corpus(spark, f"{base}/train", f"{base}/validation", keep_linebreaks=True)
     rows = choose_validation(parts["train"], parts.get("validation"))
@@ -758,7 +766,7 @@ def q_read_json_corpus(spark, sf_dir):
     from corpusprep.sources.files import read_corpus
     from pyspark.sql import types as T
     base = _scratch(spark, "json-corpus")
-    _write_docs(_split_docs(spark, sf_dir), base, "json")
+    _write_docs(_split_only(spark, sf_dir), base, "json")
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
     parts = read_corpus(spark, f"{base}/train", f"{base}/validation", schema=schema)
     out = None
@@ -957,7 +965,7 @@ def q_pretrain_from_files(spark, sf_dir):
     given validation folder, blocks of 1024 per 1000 lines."""
     from corpusprep.plans.pretrain import pretrain_from_files
     base = _scratch(spark, "pretrain-files")
-    docs = _split_docs(spark, sf_dir)
+    docs = _split_only(spark, sf_dir)
     for split in ("train", "validation"):
         docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
             .select("text").write.mode("overwrite").text(f"{base}/{split}")
@@ -971,7 +979,7 @@ def q_pretrain_from_files_one_shuffle(spark, sf_dir):
     key, packed with the text shuffled once."""
     from corpusprep.plans.pretrain import pretrain_from_files
     base = _scratch(spark, "pretrain-files-1s")
-    docs = _split_docs(spark, sf_dir)
+    docs = _split_only(spark, sf_dir)
     for split in ("train", "validation"):
         docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
             .select("text").write.mode("overwrite").text(f"{base}/{split}")

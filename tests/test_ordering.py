@@ -115,3 +115,15 @@ def test_first_rows_topk_and_large(spark):
     big = first_rows(df, ["k"], 300, topk_max_rows=100)
     assert sorted(r.row_idx for r in big.collect()) == list(range(300))
     assert first_rows(df, ["k"], None).count() == 500
+
+
+@pytest.mark.parametrize("n,pct", [(37, 10), (10, 4), (200, 50)])
+def test_membership_split_equals_indexed_split(spark, n, pct):
+    rnd = random.Random(n)
+    rows = [(rnd.randint(0, 5), i, f"t{i}") for i in rnd.sample(range(10_000), n)]
+    df = spark.createDataFrame(rows, "a long, b long, text string").repartition(3)
+    key = F.col("a") * F.lit(10_000) + F.col("b")
+    full = {(r.a, r.b): r.split for r in head_percent_split(df, ["a", "b"], pct, bucket_key=key).collect()}
+    only = head_percent_split(df, ["a", "b"], pct, bucket_key=key, keep_index=False)
+    assert "row_idx" not in only.columns
+    assert {(r.a, r.b): r.split for r in only.collect()} == full
