@@ -222,8 +222,11 @@ WITH {SQL_SPLIT_DOCS.strip()}
 SELECT split, row_idx, doc_id FROM split_docs
 WHERE (split = 'train' AND row_idx < 100) OR (split = 'validation' AND row_idx < 10)""")
 def q_head_limit(spark, sf_dir):
-    from corpusprep.operators.ordering import head_limit
-    return head_limit(_split_docs(spark, sf_dir), {"train": 100, "validation": 10}).select("split", "row_idx", "doc_id")
+    """First 100 train / 10 validation rows: membership split, then a top-k per split."""
+    from corpusprep.plans.sft import split_and_limit
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return split_and_limit(docs, ["doc_id"], percent=5, max_train_samples=100, max_eval_samples=10) \
+        .select("split", "row_idx", "doc_id")
 
 
 @register("seeded_shuffle_head", f"""
@@ -234,9 +237,11 @@ SELECT doc_id, CAST(row_number() OVER (ORDER BY {SQL_SHUFFLE_KEY.format(seed=42,
 FROM lim""")
 def q_seeded_shuffle_head(spark, sf_dir):
     """SFT order: limit the train rows (200), then shuffle them with seed 42."""
-    from corpusprep.operators.ordering import head_limit, seeded_shuffle
-    lim = head_limit(_split_docs(spark, sf_dir), {"train": 200, "validation": 0}).where("split = 'train'")
-    return seeded_shuffle(lim.select("doc_id"), 42, "doc_id")
+    from corpusprep.operators.ordering import seeded_shuffle
+    from corpusprep.plans.sft import split_and_limit
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    lim = split_and_limit(docs, ["doc_id"], percent=5, max_train_samples=200, max_eval_samples=1)
+    return seeded_shuffle(lim.where("split = 'train'").select("doc_id"), 42, "doc_id")
 
 
 @register("token_stats", f"""

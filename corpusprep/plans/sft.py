@@ -13,21 +13,27 @@ from pyspark.sql import functions as F
 from corpusprep.constants import DEFAULT_MAX_SOURCE, DEFAULT_MAX_TARGET, DEFAULT_VALIDATION_PERCENT
 from corpusprep.operators.chat import chat_examples
 from corpusprep.operators.instruct import format_instructions
-from corpusprep.operators.ordering import first_rows, head_limit, head_percent_split, seeded_shuffle, split_counts
+from corpusprep.operators.ordering import first_rows, head_percent_split, seeded_shuffle, split_counts
 
 
 def split_and_limit(rows: DataFrame, order_by, *, validation: DataFrame | None = None,
                     percent: float = DEFAULT_VALIDATION_PERCENT, max_train_samples: int | None = None,
                     max_eval_samples: int | None = None, bucket_key=None) -> DataFrame:
-    """``split`` and ``row_idx`` (position inside the split), first rows kept per split."""
+    """``split`` and ``row_idx`` (position inside the split), first rows kept per split.
+
+    The split itself needs only membership (a boundary key, rows not shuffled); each split then
+    keeps its first rows with ``first_rows`` — a top-k for small limits, a row index otherwise."""
     if validation is None:
-        idx = head_percent_split(rows, order_by, percent, bucket_key=bucket_key)
+        members = head_percent_split(rows, order_by, percent, bucket_key=bucket_key, keep_index=False)
+        parts = [first_rows(members.where(F.col("split") == name).drop("split"), order_by, limit,
+                            bucket_key=bucket_key).withColumn("split", F.lit(name))
+                 for name, limit in (("train", max_train_samples), ("validation", max_eval_samples))]
+        return parts[0].unionByName(parts[1])
     else:  # each split limited on its own: a top-k when the limit is small
         parts = [first_rows(frame, order_by, limit, bucket_key=bucket_key).withColumn("split", F.lit(name))
                  for name, frame, limit in (("train", rows, max_train_samples),
                                             ("validation", validation, max_eval_samples))]
         return parts[0].unionByName(parts[1])
-    return head_limit(idx, {"train": max_train_samples, "validation": max_eval_samples})
 
 
 def order_for_training(limited: DataFrame, seed: int, *, name: str = "position") -> DataFrame:
