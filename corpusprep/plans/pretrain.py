@@ -91,11 +91,20 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
 
 
 def _limit(blocks: DataFrame, max_train_samples, max_eval_samples) -> DataFrame:
-    """Sample limits count blocks (dense block index per split)."""
+    """Sample limits count blocks (``block_idx``: dense position in the split). A small limit is
+    a top-k over ``(batch_id, block_no)``; otherwise blocks are numbered by running sums over
+    per-batch counts."""
+    from corpusprep.operators.ordering import TOPK_MAX_ROWS, first_rows
     if not (max_train_samples or max_eval_samples):
         return blocks
-    return head_limit(number_blocks(blocks), {"train": max_train_samples, "validation": max_eval_samples},
-                      index_col="block_idx")
+    parts = []
+    for name, limit in (("train", max_train_samples), ("validation", max_eval_samples)):
+        part = blocks.where(F.col("split") == name)
+        if limit is not None and 0 < limit <= TOPK_MAX_ROWS:
+            parts.append(first_rows(part, ["batch_id", "block_no"], limit, name="block_idx"))
+        else:
+            parts.append(head_limit(number_blocks(part), limit, index_col="block_idx"))
+    return parts[0].unionByName(parts[1])
 
 
 def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None, *,
