@@ -190,10 +190,13 @@ SELECT split, CAST(sum(nrows) AS BIGINT) AS rows_in, CAST(sum(tokens) AS BIGINT)
        CAST(sum(short) AS BIGINT) AS short_blocks
 FROM k GROUP BY split""")
 def q_packing_report(spark, sf_dir):
+    """Per split: what packing keeps and drops. Only (doc_id, length) is indexed: no text moves."""
+    from corpusprep.operators.ordering import head_percent_split
     from corpusprep.operators.packing import packing_report
-    from corpusprep.operators.tokenizing import tokenize
-    toks = tokenize(_split_docs(spark, sf_dir).select("split", "row_idx", "text"))
-    return packing_report(toks, 1024, 100)
+    from corpusprep.functions.tokens import token_count
+    docs = table(spark, sf_dir, "documents").select("doc_id", token_count("text").alias("n"))
+    rows = head_percent_split(docs, ["doc_id"], 5)
+    return packing_report(rows, 1024, 100, length=F.col("n"))
 
 
 @register("pack_limited", f"""
