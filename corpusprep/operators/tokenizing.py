@@ -124,6 +124,18 @@ def resolve_pad_id(pad_id: int | None = None, eos_id: int | None = None, *, pad_
     return DEFAULT_PAD_ID
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work at least ``min_partitions`` tasks (default: the session's
+    parallelism). A large input already has more partitions than cores and is returned as is;
+    a small one (one parquet row group is one scan task) is repartitioned round-robin.
+
+    Meant for frames read straight from files: there the partition count comes from the file
+    listing. On a plan with shuffles, asking for the partition count would run those stages
+    early, so it is not applied inside the operators."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def tokenize(df: DataFrame, text_col: str = "text", *, out: str = "input_ids",
              mask: str | None = "attention_mask", tokenizer="codepoint",
              keep_text: bool = False, add_special_tokens: bool | None = None) -> DataFrame:

@@ -138,9 +138,11 @@ def _split_docs(spark, sf_dir) -> DataFrame:
 
 
 def _split_only(spark, sf_dir) -> DataFrame:
-    """Documents with ``split`` only: the rows are not shuffled (boundary key + comparison)."""
+    """Documents with ``split`` only: the rows are not shuffled (boundary key + comparison).
+    The scan is spread over the session's cores when the file gives fewer tasks."""
     from corpusprep.operators.ordering import head_percent_split
-    docs = table(spark, sf_dir, "documents")
+    from corpusprep.operators.tokenizing import spread
+    docs = spread(table(spark, sf_dir, "documents"))
     return head_percent_split(docs.select("doc_id", "text", "source", "lang"), ["doc_id"], 5, keep_index=False)
 
 
