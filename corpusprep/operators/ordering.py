@@ -45,10 +45,15 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
+MAX_DEFAULT_BUCKETS = 100_000
+
+
 def default_buckets(df: DataFrame) -> int:
-    """Two buckets per shuffle partition: enough to spread hash collisions, bounded above."""
+    """Two buckets per shuffle partition (enough to spread hash collisions), at most 100,000:
+    with shuffle partitions sized to the data (~200 MB each) a bucket window stays near that
+    size up to about 20 TB of ordered rows, and near 1 GB at 100 TB."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(2 * parts, 20000))
+    return max(2, min(2 * parts, MAX_DEFAULT_BUCKETS))
 
 
 def seeded_order_key(seed: int, id_col) -> Column:
@@ -73,7 +78,8 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
         lo, hi = uniform_range
         bounds = [lo + (hi - lo) * i / num_buckets for i in range(1, num_buckets)]
     else:
-        err = relative_error if relative_error is not None else 1.0 / (10.0 * num_buckets)
+        # balance only needs to be approximate; the floor keeps the quantile summaries small
+        err = relative_error if relative_error is not None else max(1.0 / (10.0 * num_buckets), 1e-5)
         probs = [i / num_buckets for i in range(1, num_buckets)]
         bounds = tmp.approxQuantile("__bk", probs, err)  # one pass over the key column
     inner = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
