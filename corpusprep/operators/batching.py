@@ -42,7 +42,7 @@ def _batch_window(batch_cols):
 
 
 def collate(df: DataFrame, *, batch_cols=("batch_no",), pos_col: str = "pos",
-            on_ragged: str = "repeat_first", pad: dict | None = None) -> DataFrame:
+            on_ragged: str = "error", pad: dict | None = None) -> DataFrame:
     """Column-wise collation of each batch, judged on the batch's first row.
 
     * ``labels``: from ``label`` when the first row's label is set (LONG for integer labels,
@@ -53,7 +53,7 @@ def collate(df: DataFrame, *, batch_cols=("batch_no",), pos_col: str = "pos",
       ``repeat_first`` - every row becomes a copy of the first row (labels excepted), as the
       reference's fallback does, flagged ``fell_back``; ``pad`` - arrays padded to the batch's
       longest (``pad`` maps column -> pad value, default pad id 0 / -100 for labels);
-      ``error`` - the job fails.
+      ``error`` (default) - the job fails instead of silently repeating rows.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     keys = set(batch_cols) | {pos_col}
@@ -135,7 +135,7 @@ def epoch_plan_local(n: int, batch_size: int, accumulation: int = 1, epochs: int
 
 
 def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
-                    on_ragged: str = "repeat_first", pad: dict | None = None,
+                    on_ragged: str = "error", pad: dict | None = None,
                     num_buckets: int | None = None) -> DataFrame:
     """``assign_batches`` followed by ``collate``, with the rows shuffled once.
 

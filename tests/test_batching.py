@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators.batching import (
@@ -36,13 +37,15 @@ SCHEMA = "batch_no long, pos long, input_ids array<int>, label int, name string,
 def test_collate_fallback_labels_and_strings(spark):
     rows = [(0, 0, [1, 2], 1, "a", None), (0, 1, [3], 0, "b", [9]),       # ragged -> first row
             (1, 0, [5, 6], None, "c", [1]), (1, 1, [7, 8], 1, "d", [2])]   # first label NULL -> no labels
-    c = {(r.batch_no, r.pos): r for r in collate(spark.createDataFrame(rows, SCHEMA)).collect()}
+    c = {(r.batch_no, r.pos): r for r in collate(spark.createDataFrame(rows, SCHEMA), on_ragged="repeat_first").collect()}
     assert c[(0, 1)].input_ids == [1, 2] and c[(0, 1)].fell_back
     assert c[(0, 1)].labels == 0                      # labels are not replaced
     assert c[(0, 0)].extra is None and c[(0, 1)].extra is None   # NULL in the first row: dropped
     assert c[(1, 1)].input_ids == [7, 8] and not c[(1, 1)].fell_back
     assert c[(1, 0)].labels is None and c[(1, 1)].labels is None
-    assert "name" not in collate(spark.createDataFrame(rows, SCHEMA)).columns
+    assert "name" not in collate(spark.createDataFrame(rows, SCHEMA), on_ragged="repeat_first").columns
+    with pytest.raises(Exception):  # the default refuses to repeat rows of a ragged batch
+        collate(spark.createDataFrame(rows, SCHEMA)).collect()
 
 
 def test_collate_pad_and_pad_to_longest(spark):
@@ -57,7 +60,6 @@ def test_collate_pad_and_pad_to_longest(spark):
 
 import random  # noqa: E402
 
-import pytest  # noqa: E402
 
 
 @pytest.mark.parametrize("bs,nbk,split", [(8, 20, False), (3, 50, False), (5, 4, True), (64, 10, False)])
@@ -70,9 +72,10 @@ def test_collate_batches_equals_two_steps(spark, bs, nbk, split):
         df = df.drop("split")
     split_col = "split" if split else None
     ref = collate(assign_batches(df, bs, 42, "doc_id", split_col=split_col),
-                  batch_cols=(("split",) if split else ()) + ("batch_no",))
+                  batch_cols=(("split",) if split else ()) + ("batch_no",), on_ragged="repeat_first")
     cols = ref.columns
     a = sorted(tuple(str(x) for x in r) for r in ref.select(*cols).collect())
     b = sorted(tuple(str(x) for x in r)
-               for r in collate_batches(df, bs, 42, "doc_id", split_col=split_col, num_buckets=nbk).select(*cols).collect())
+               for r in collate_batches(df, bs, 42, "doc_id", split_col=split_col, num_buckets=nbk,
+                                        on_ragged="repeat_first").select(*cols).collect())
     assert a == b
