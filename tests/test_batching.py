@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,9 +60,6 @@ def test_collate_pad_and_pad_to_longest(spark):
     assert q[1] == ([4, 0, 0], [4, -100, -100])
 
 
-import random  # noqa: E402
-
-
 
 @pytest.mark.parametrize("bs,nbk,split", [(8, 20, False), (3, 50, False), (5, 4, True), (64, 10, False)])
 def test_collate_batches_equals_two_steps(spark, bs, nbk, split):
