@@ -13,9 +13,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusprep.constants import ANSWER_TEXT, EOS_TEXT, QUESTION_TEXT, TEMPLATES
 from corpusprep.functions.tokens import codepoint_ids, decode_ids, ids_text, labels_for_display
 from corpusprep.plans import derived
 
+TEMPLATE_NAME, _SYSTEM, TEMPLATE_TEXT, _ROLES, TEMPLATE_SEP = TEMPLATES[0]
+Q_SQL, A_SQL = f"'{QUESTION_TEXT}'", f"'{ANSWER_TEXT}'"  # marker texts as SQL literals
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -328,8 +332,8 @@ WITH fm AS ({sql_instruction("markers", 1024, 1024)})
 SELECT conv_id, turn,
        array_to_string(list_transform(string_split(labels, ','), lambda x: CASE
          WHEN CAST(x AS INTEGER) >= 256 THEN chr(CAST(x AS INTEGER) - 256)
-         WHEN CAST(x AS INTEGER) = 195 THEN '<reserved_106>' WHEN CAST(x AS INTEGER) = 196 THEN '<reserved_107>'
-         WHEN CAST(x AS INTEGER) = 2 THEN '</s>' ELSE '' END), '') AS label_text
+         WHEN CAST(x AS INTEGER) = 195 THEN {Q_SQL} WHEN CAST(x AS INTEGER) = 196 THEN {A_SQL}
+         WHEN CAST(x AS INTEGER) = 2 THEN '{EOS_TEXT}' ELSE '' END), '') AS label_text
 FROM fm""")
 def q_display_labels(spark, sf_dir):
     """Labels with the ignore id shown as pad, decoded to text (the answer and its eos)."""
@@ -340,13 +344,13 @@ def q_display_labels(spark, sf_dir):
 @register("render_template", f"""
 WITH {SQL_EXCHANGES.strip()}
 SELECT conv_id, turn,
-       replace(' <reserved_102> {{query}} <reserved_103> ', '{{query}}',
-               '' || instruction || CASE WHEN instruction <> '' THEN '</s>' ELSE '' END || coalesce(input, '')) AS prompt
+       replace('{TEMPLATE_TEXT}', '{{query}}',
+               '{_SYSTEM}' || instruction || CASE WHEN instruction <> '' THEN '{TEMPLATE_SEP}' ELSE '' END || coalesce(input, '')) AS prompt
 FROM triples""")
 def q_render_template(spark, sf_dir):
     from corpusprep.operators.instruct import render_template
     t = _triples(spark, sf_dir).withColumn("source", F.coalesce("input", F.lit("")))
-    return render_template(t, "baichuan-chat", instruction="instruction", source="source").select("conv_id", "turn", "prompt")
+    return render_template(t, TEMPLATE_NAME, instruction="instruction", source="source").select("conv_id", "turn", "prompt")
 
 
 # ------------------------------------------------------------------------------------------------
@@ -403,7 +407,7 @@ def _pairs(spark, sf_dir):
 
 @register("wrap_prompt", f"""
 WITH {SQL_EXCHANGES.strip()}
-SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs""")
+SELECT conv_id, turn, {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs""")
 def q_wrap_prompt(spark, sf_dir):
     from corpusprep.operators.preference import wrap_prompt
     return wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn"))
@@ -411,7 +415,7 @@ def q_wrap_prompt(spark, sf_dir):
 
 @register("pair_length_filter", f"""
 WITH {SQL_EXCHANGES.strip()},
-w AS (SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs)
+w AS (SELECT conv_id, turn, {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs)
 SELECT conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len, CAST(length(chosen) AS BIGINT) AS chosen_len,
        CAST(length(rejected) AS BIGINT) AS rejected_len
 FROM w WHERE length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024""")
@@ -424,7 +428,7 @@ def q_pair_length_filter(spark, sf_dir):
 @register("pair_sanity_head", f"""
 WITH {SQL_EXCHANGES.strip()},
 h AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM pairs) AS x WHERE rn <= 200),
-w AS (SELECT conv_id, turn, '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM h)
+w AS (SELECT conv_id, turn, {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM h)
 SELECT conv_id, turn, prompt FROM w WHERE length(prompt) + length(chosen) <= 4096 AND length(prompt) + length(rejected) <= 4096""")
 def q_pair_sanity_head(spark, sf_dir):
     """Sanity mode: the first 200 pairs before formatting and filtering (launch limit 4096)."""
@@ -789,7 +793,7 @@ def q_read_json_corpus(spark, sf_dir):
 
 @register("csv_pairs", f"""
 WITH {SQL_EXCHANGES.strip()},
-w AS (SELECT '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM pairs)
+w AS (SELECT {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs)
 SELECT prompt, chosen, rejected FROM w
 WHERE length(prompt) + length(chosen) <= 4096 AND length(prompt) + length(rejected) <= 4096""")
 def q_csv_pairs(spark, sf_dir):
@@ -926,11 +930,11 @@ def q_sft_sample_counts(spark, sf_dir):
     return counts
 
 
-SQL_DPO_ROWS = SQL_EXCHANGES.strip() + """,
+SQL_DPO_ROWS = SQL_EXCHANGES.strip() + f""",
 ordered AS (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS gidx,
                    CAST(round_even(count(*) OVER () * 5 / 100.0, 0) AS BIGINT) AS cut FROM pairs),
 w AS (SELECT CASE WHEN gidx < cut THEN 'validation' ELSE 'train' END AS split, conv_id, turn,
-             '<reserved_106>' || prompt || '<reserved_107>' AS prompt, chosen, rejected FROM ordered)"""
+             {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM ordered)"""
 
 
 def _dpo(spark, sf_dir, filter_eval):

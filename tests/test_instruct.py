@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusprep.constants import TEMPLATES
 from corpusprep.operators.instruct import format_instructions, null_rows, render_template
 from model import instruction
 
@@ -46,11 +47,11 @@ def test_null_policies(spark):
 
 def test_render_template(spark):
     df = spark.createDataFrame([("sys", "hi"), ("", "hi")], "instruction string, source string")
-    got = [r.prompt for r in render_template(df, "baichuan-chat").collect()]
+    got = [r.prompt for r in render_template(df, TEMPLATES[0][0]).collect()]
     assert got == [" <reserved_102> sys</s>hi <reserved_103> ", " <reserved_102> hi <reserved_103> "]
     with pytest.raises(KeyError):
         render_template(df, "dxy")
-    per_row = df.withColumn("t", F.lit("baichuan-chat"))
+    per_row = df.withColumn("t", F.lit(TEMPLATES[0][0]))
     assert [r.prompt for r in render_template(per_row, template_col="t").collect()] == got
     with pytest.raises(Exception):
         render_template(df.withColumn("t", F.lit("nope")), template_col="t").collect()
