@@ -67,18 +67,25 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     the extra jobs cost more than the saved shuffle."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     codepoint = tokenizer in (None, "codepoint")
-    fusable = (codepoint and validation is None and bucket_key is None and len(order_by) == 1
-               and isinstance(order_by[0], str))
+    fusable = (codepoint and all(isinstance(c, str) for c in order_by)
+               and (bucket_key is not None or len(order_by) == 1))
     if strategy == "auto":
         threshold = int(docs.sparkSession.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
         strategy = "one_shuffle" if fusable and input_bytes_at_least(docs, threshold) else "two_shuffle"
     if strategy == "one_shuffle":
         if not fusable:
-            raise ValueError("one_shuffle packing needs the codepoint tokenizer, one numeric order column "
-                             "and a head-percent validation split")
+            raise ValueError("one_shuffle packing needs the codepoint tokenizer and named order columns "
+                             "(a numeric bucket_key when there are several)")
         # one text shuffle: order, split and pack fused on the key buckets
-        blocks = pack_corpus_text(docs, order_by[0], block_size, rows_per_batch, text_col=text_col,
-                                  percent=percent, keep_short=keep_short)
+        key = order_by if len(order_by) > 1 else order_by[0]
+        if validation is None:
+            blocks = pack_corpus_text(docs, key, block_size, rows_per_batch, text_col=text_col,
+                                      percent=percent, keep_short=keep_short, bucket_key=bucket_key)
+        else:  # each split packed on its own
+            parts = [pack_corpus_text(frame, key, block_size, rows_per_batch, text_col=text_col, percent=None,
+                                      keep_short=keep_short, bucket_key=bucket_key).withColumn("split", F.lit(name))
+                     for name, frame in (("train", docs), ("validation", validation))]
+            blocks = parts[0].unionByName(parts[1])
         return _limit(blocks, max_train_samples, max_eval_samples)
     rows = split_corpus(docs, order_by, validation=validation, percent=percent,
                         bucket_key=bucket_key, text_col=text_col)

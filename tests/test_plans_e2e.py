@@ -82,3 +82,14 @@ def test_pairs_from_csv_sanity_in_file_order(spark, tmpdir_path):
     out = pairs_from_csv(spark, f"{tmpdir_path}/train.csv", sanity=True, max_length=4096).collect()
     prompts = sorted(int(r.prompt[len("<reserved_106>p"):].split("\n")[0]) for r in out)
     assert prompts == list(range(200))
+
+
+def test_pretrain_one_shuffle_with_validation_table(spark):
+    docs = spark.createDataFrame([(i, "x" * (i * 7 % 23)) for i in range(40)], "doc_id long, text string")
+    val = spark.createDataFrame([(1000 + i, "y" * (i + 5)) for i in range(6)], "doc_id long, text string")
+    kw = dict(validation=val, block_size=16, rows_per_batch=5)
+    a = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], strategy="two_shuffle", **kw).collect())
+    b = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], strategy="one_shuffle", **kw).collect())
+    assert a == b and a
