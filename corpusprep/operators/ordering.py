@@ -143,8 +143,8 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
         local = local.withColumn(f"__v_{k}", c).withColumn(f"__l_{k}", F.coalesce(
             F.sum(f"__v_{k}").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
-    # per-cell counts and sums, aggregated from the same (already clustered) frame, so the
-    # shuffle above is reused instead of reading the input again
+    # per-cell counts and sums (one row per cell): Catalyst prunes this branch to the key
+    # columns, so it re-reads only those and aggregates them map-side before its small shuffle
     aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(f"__v_{k}").alias(f"__s_{k}") for k in sums]
     counts = local.groupBy(*cell).agg(*aggs)
     before = Window.partitionBy(*groups).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -195,7 +195,7 @@ def grouped_scan(df: DataFrame, partition_by, step: str, aggs: dict, *,
         d = d.withColumn(f"__loc_{out}", fn(f"__val_{out}").over(w_in))
         tot_aggs.append(fn(f"__val_{out}").alias(f"__tot_{out}"))
         prev_cols.append(fn(f"__tot_{out}").over(w_chunks).alias(f"__prev_{out}"))
-    # chunk totals come from the windowed frame (clustered by cell): the exchange is reused
+    # chunk totals (one row per chunk): pruned by Catalyst to the step and value columns
     chunk_prev = d.groupBy(*cell).agg(*tot_aggs).select(*cell, *prev_cols)
     out_df = d.join(chunk_prev, on=cell, how="inner")
     for out, (op, _c) in aggs.items():
