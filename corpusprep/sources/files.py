@@ -134,12 +134,16 @@ def read_corpus(spark: SparkSession, train_dir: str, validation_dir: str | None
     return out
 
 
-def read_pairs_csv(spark: SparkSession, path: str, *, schema: T.StructType = PAIRS_SCHEMA) -> DataFrame:
-    """Preference CSV with a header: quoted newlines and doubled quotes inside fields, blank
+def read_pairs_csv(spark: SparkSession, path: str, *, columns=("prompt", "chosen", "rejected")) -> DataFrame:
+    """Preference CSV with a header: columns are taken by header name (any order, other
+    columns ignored), all as text; quoted newlines and doubled quotes inside fields, blank
     cells read as NULL."""
-    df = (spark.read.schema(schema).option("header", "true").option("multiLine", "true")
+    df = (spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
           .option("escape", '"').option("mode", "FAILFAST").csv(path))
-    return df
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"CSV {path} lacks columns {missing} (has {df.columns})")
+    return df.select(*[F.col(c).cast("string") for c in columns])
 
 
 def read_split(spark: SparkSession, directory: str, split: str, *, split_col: str = "split") -> DataFrame:

@@ -55,3 +55,15 @@ def test_null_transcript_is_missing_marker(spark):
     assert missing_marker_rows(df).count() == 1
     with pytest.raises(Exception):
         split_transcripts(df).collect()
+
+
+def test_csv_columns_by_header_name(spark, tmpdir_path):
+    path = f"{tmpdir_path}/reordered.csv"
+    with open(path, "w") as f:
+        f.write('id,rejected,prompt,chosen\n1,"r","p","c"\n')
+    r = read_pairs_csv(spark, path).first()
+    assert (r.prompt, r.chosen, r.rejected) == ("p", "c", "r")
+    with open(f"{tmpdir_path}/bad.csv", "w") as f:
+        f.write("prompt,chosen\np,c\n")
+    with pytest.raises(ValueError):
+        read_pairs_csv(spark, f"{tmpdir_path}/bad.csv")
