@@ -74,3 +74,12 @@ def test_json_array_files(spark, tmpdir_path):
     parts = read_corpus(spark, f"{tmpdir_path}/train", json_multiline=True)
     rows = row_index(parts["train"], ["file_rank", "file_block", "file_row"], bucket_key=F.col("file_pos"))
     assert [r.text for r in rows.orderBy("row_idx").collect()] == [d["text"] for d in docs]
+
+
+def test_write_prepared_notices_new_input_files(spark, tmpdir_path):
+    df = spark.createDataFrame([("train", 1)], "split string, v int")
+    out = f"{tmpdir_path}/prep2"
+    write_prepared(df, out, params={"a": 1}, input_files=["f1"])
+    assert write_prepared(df, out, params={"a": 1}, input_files=["f1"])[1]
+    assert not write_prepared(df, out, params={"a": 1}, input_files=["f1", "f2"])[1]
+    assert not write_prepared(df, out, params={"a": 1}, input_files=["f1", "f2"], overwrite=True)[1]
