@@ -266,18 +266,28 @@ def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
             .withColumn("__E", F.max(F.col("__G") + F.col("__n")).over(w_batch))
             .withColumn("__bmin", F.min("__b").over(w_batch))
             .withColumn("__bmax", F.max("__b").over(w_batch)))
-    # batches that cross a bucket boundary: at most one per boundary
-    edges = [tuple(r) for r in nr.where(F.col("__bmin") != F.col("__bmax"))
-             .select("split", "batch_id", "__S", "__E").distinct().collect()]
-    # per bucket: the key prefix that continues a block owned by an earlier bucket
-    halo = {r["__b"]: (r["k"], r["o"], r["no"]) for r in pieces(nr).where(F.col("__owner") != F.col("__b"))
-            .groupBy("__b").agg(F.max("__key").alias("k"), F.min("__owner").alias("o"),
-                                 F.countDistinct("__owner").alias("no")).collect()}
+    # One small job for both driver-side tables (both branches read the cached narrow frame):
+    # batches that cross a bucket boundary (at most one per boundary), and per bucket the key
+    # prefix that continues a block owned by an earlier bucket.
+    key_type = narrow.schema["__key"].dataType
+    edge_rows = (nr.where(F.col("__bmin") != F.col("__bmax"))
+                 .select(F.lit("edge").alias("kind"), "split", "batch_id", "__S", "__E",
+                         F.lit(None).cast("int").alias("__b"), F.lit(None).cast(key_type).alias("k"),
+                         F.lit(None).cast("int").alias("o"), F.lit(None).cast("bigint").alias("no"))
+                 .distinct())
+    halo_rows = (pieces(nr).where(F.col("__owner") != F.col("__b")).groupBy("__b")
+                 .agg(F.max("__key").alias("k"), F.min("__owner").cast("int").alias("o"),
+                      F.countDistinct("__owner").alias("no"))
+                 .select(F.lit("halo").alias("kind"), F.lit(None).cast("string").alias("split"),
+                         F.lit(None).cast("bigint").alias("batch_id"), F.lit(None).cast("bigint").alias("__S"),
+                         F.lit(None).cast("bigint").alias("__E"), "__b", "k", "o", "no"))
+    small = edge_rows.unionByName(halo_rows).collect()  # at most two rows per bucket
+    edges = [(r["split"], r["batch_id"], r["__S"], r["__E"]) for r in small if r["kind"] == "edge"]
+    halo = {r["__b"]: (r["k"], r["o"], r["no"]) for r in small if r["kind"] == "halo"}
     if any(v[2] > 1 for v in halo.values()):
         raise AssertionError("a bucket continues blocks of more than one earlier bucket")
     # -- main pass: the text crosses the network once, partitioned by destination bucket
     spark = based.sparkSession
-    key_type = narrow.schema["__key"].dataType
     halo_df = spark.createDataFrame(  # one row per bucket at most: a bounded broadcast
         [(b, k, o) for b, (k, o, _n) in halo.items()],
         T.StructType([T.StructField("__b", T.IntegerType()), T.StructField("__klim", key_type),
