@@ -185,6 +185,25 @@ def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int =
     where it starts, from rows present in that partition, so the row index, batch offsets,
     pieces and block grouping all run on the one partitioning.
     """
+    return _pack_corpus(df, key, block_size, rows_per_batch, payload=[text_col], text=True, percent=percent,
+                        keep_short=keep_short, mask=mask, labels=labels, bucket_key=bucket_key,
+                        num_buckets=num_buckets, relative_error=relative_error)
+
+
+def pack_corpus_ids(df: DataFrame, key, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
+                    columns=("input_ids", "attention_mask"), percent: float | None = None,
+                    keep_short: bool = True, labels: bool = True, bucket_key=None,
+                    num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+    """``pack_corpus_text`` for rows that are already tokenized (array ``columns`` of equal
+    length per row, e.g. a stored tokenized corpus): order, split and pack with the arrays
+    shuffled once. The narrow pre-pass reads ``size(columns[0])`` only."""
+    return _pack_corpus(df, key, block_size, rows_per_batch, payload=list(columns), text=False, percent=percent,
+                        keep_short=keep_short, mask=None, labels=labels, bucket_key=bucket_key,
+                        num_buckets=num_buckets, relative_error=relative_error)
+
+
+def _pack_corpus(df: DataFrame, key, block_size: int, rows_per_batch: int, *, payload: list, text: bool,
+                 percent, keep_short: bool, mask, labels: bool, bucket_key, num_buckets, relative_error) -> DataFrame:
     from corpusprep.operators.ordering import _bucketize, default_buckets
 
     B, R = int(block_size), int(rows_per_batch)
@@ -196,21 +215,26 @@ def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int =
         bucket_key = F.col(keys[0])
     # one comparable key value per row: the column itself, or a struct (lexicographic order)
     key_col = F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
-    base = df.select(key_col.alias("__key"), bucket_key.alias("__bk"), F.col(text_col).alias("__text"))
+    fields = [f"__p{i}" for i in range(len(payload))]
+    base = df.select(key_col.alias("__key"), bucket_key.alias("__bk"),
+                     *[F.col(c).alias(f) for c, f in zip(payload, fields)])
     based = (_bucketize(base, F.col("__bk"), nb, relative_error)
              .withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket", "__bk"))
+    length = F.length(fields[0]) if text else F.size(fields[0])
+    n_expr = F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0))
 
     # -- narrow pass over (key, bucket, length): about 20 bytes a row, cached (memory, then
-    # disk) so the text is read only here and in the main pass; lost blocks are recomputed.
-    narrow = based.select("__key", "__b", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint").alias("__n")).persist()
+    # disk) so the payload is read only here and in the main pass; lost blocks are recomputed.
+    narrow = based.select("__key", "__b", n_expr.alias("__n")).persist()
     try:
-        return _pack_corpus_text(based, narrow, B, R, percent, keep_short, mask, labels)
+        return _pack_corpus_body(based, narrow, B, R, percent, keep_short, mask, labels, n_expr,
+                                 fields, payload, text)
     finally:
         narrow.unpersist()
 
 
-def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, percent, keep_short: bool,
-                      mask, labels) -> DataFrame:
+def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, percent, keep_short: bool,
+                      mask, labels, n_expr: Column, fields: list, payload: list, text: bool) -> DataFrame:
     # per-bucket totals (partial aggregation, one row per bucket to the driver)
     stats = {r["__b"]: (r["c"], r["t"]) for r in narrow.groupBy("__b").agg(
         F.count(F.lit(1)).alias("c"), F.sum("__n").alias("t")).collect()}
@@ -295,7 +319,7 @@ def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
     dests = F.when(F.col("__klim").isNotNull() & (F.col("__key") <= F.col("__klim")),
                    F.array(F.col("__b"), F.col("__hown"))).otherwise(F.array(F.col("__b")))
     main = (based.join(F.broadcast(halo_df), on="__b", how="left")
-            .withColumn("__n", F.coalesce(F.length("__text"), F.lit(0)).cast("bigint"))
+            .withColumn("__n", n_expr)
             .withColumn("__dest", F.explode(dests)).drop("__klim", "__hown").repartition("__dest"))
     w_src = Window.partitionBy("__dest", "__b").orderBy("__key")
     before_m = F.coalesce(F.sum("__n").over(w_src.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -308,12 +332,22 @@ def _pack_corpus_text(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
     p = pieces(m).where(F.col("__owner") == F.col("__dest"))
     first = (F.col("__lo") - F.col("__start") + 1).cast("int")
     span = (F.col("__hi") - F.col("__lo")).cast("int")
-    piece = F.struct(F.col("__lo").alias("lo"), F.substring(F.col("__text"), first, span).alias("t"))
+    if text:
+        parts = [F.substring(F.col(fields[0]), first, span).alias("t")]
+    else:
+        parts = [F.slice(F.col(f), first, span).alias(f) for f in fields]
+    piece = F.struct(F.col("__lo").alias("lo"), *parts)
     g = p.groupBy("__dest", "split", "batch_id", "block_no").agg(F.array_sort(F.collect_list(piece)).alias("__p"))
-    out = g.select("split", "batch_id", "block_no",
-                   codepoint_ids(F.array_join(F.transform("__p", lambda q: q["t"]), "")).alias("input_ids"))
-    if mask:
-        out = out.withColumn(mask, ones_like("input_ids"))
+    if text:
+        out = g.select("split", "batch_id", "block_no",
+                       codepoint_ids(F.array_join(F.transform("__p", lambda q: q["t"]), "")).alias("input_ids"))
+        if mask:
+            out = out.withColumn(mask, ones_like("input_ids"))
+        first_col = "input_ids"
+    else:
+        out = g.select("split", "batch_id", "block_no",
+                       *[F.flatten(F.transform("__p", _field(f))).alias(c) for f, c in zip(fields, payload)])
+        first_col = payload[0]
     if labels:
-        out = out.withColumn("labels", F.col("input_ids"))
+        out = out.withColumn("labels", F.col(first_col))
     return out

@@ -167,3 +167,20 @@ def test_null_rows_carry_no_tokens(spark):
     expect = sorted(pack([ids("abcdef"), [], ids("ghij")], 4, 10))
     assert _blocks(pack_text_blocks(df, 4, 10)) == expect
     assert _blocks(pack_blocks(tokenize(df), 4, 10)) == expect
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_shuffle_ids_equals_array_packing(spark, seed):
+    from corpusprep.operators.ordering import head_percent_split
+    from corpusprep.operators.packing import pack_corpus_ids
+    rnd = random.Random(seed)
+    rows = [(k, "".join(chr(97 + rnd.randint(0, 25)) for _ in range(rnd.choice([0, 1, 4, 30, 90]))))
+            for k in rnd.sample(range(10_000), 60)]
+    toks = tokenize(spark.createDataFrame(rows, "k long, text string").repartition(3), keep_text=False)
+    ref = tokenize(head_percent_split(spark.createDataFrame(rows, "k long, text string"), ["k"], 10)
+                   .select("split", "row_idx", "text"))
+    expect = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids), tuple(r.attention_mask))
+                    for r in pack_blocks(ref, 16, 5).collect())
+    got = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids), tuple(r.attention_mask))
+                 for r in pack_corpus_ids(toks, "k", 16, 5, percent=10, num_buckets=9).collect())
+    assert got == expect
