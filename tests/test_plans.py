@@ -96,7 +96,7 @@ def test_one_shuffle_flagship_moves_text_once(spark):
     import __spark_entry__ as m
     p = plan(m.queries()["pack_blocks_one_shuffle"](spark, SF))
     blocks = [b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]
-    assert len([b for b in blocks if "__text#" in b.split("Arguments")[0]]) == 1, blocks
+    assert len([b for b in blocks if "__p0#" in b.split("Arguments")[0]]) == 1, blocks
     assert not PY_NODES.search(p)
 
 
