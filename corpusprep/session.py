@@ -37,11 +37,14 @@ def build_session(app: str = "corpusprep", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``. Only when the cluster names none
-    (local tests) is a private temporary folder set."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a local-mode session that
+    names none (tests) gets a private temporary folder; on a cluster a missing setting is an
+    error, because a machine-local folder is not shared."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         current = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
