@@ -86,9 +86,8 @@ def format_instructions(df: DataFrame, *, instruction: str = "instruction", inpu
         d = d.where((token_count("__src") <= max_source) & (token_count("__out") + 1 <= max_target))
         d = d.select(*keep, codepoint_ids("__src").alias("__s"), build_target_ids("__out", eos_id).alias("__t"))
     else:
-        from corpusprep.operators.tokenizing import tokenize
-        d = tokenize(d, "__src", out="__s", mask=None, tokenizer=tokenizer)
-        d = tokenize(d, "__out", out="__t0", mask=None, tokenizer=tokenizer, add_special_tokens=False)
+        from corpusprep.operators.tokenizing import encode_columns
+        d = encode_columns(d, {"__s": ("__src", tokenizer.add_special_tokens), "__t0": ("__out", False)}, tokenizer)
         d = d.select(*keep, "__s", F.concat("__t0", F.array(F.lit(eos_id))).alias("__t"))
         d = d.where((F.size("__s") <= max_source) & (F.size("__t") <= max_target))
     s, t = F.col("__s"), F.col("__t")

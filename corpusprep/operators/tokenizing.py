@@ -78,6 +78,30 @@ def _model_tokenize(df: DataFrame, text_col: str, out: str, mask: str | None,
     return df.mapInPandas(run, schema)
 
 
+def encode_columns(df: DataFrame, specs: dict, tok: ModelTokenizer, *, drop: bool = True) -> DataFrame:
+    """Several text columns encoded by the model in one Arrow pass: ``specs`` maps an output
+    column to ``(text column, add_special_tokens)``. The text columns are dropped unless
+    ``drop`` is false."""
+    inputs = {c for c, _ in specs.values()}
+    fields = [f for f in df.schema.fields if not (drop and f.name in inputs)]
+    schema = T.StructType(fields + [T.StructField(o, T.ArrayType(T.IntegerType())) for o in specs])
+    path = tok.path
+    plan = [(o, c, special) for o, (c, special) in specs.items()]
+
+    def run(batches):
+        model = _load(path)
+        for pdf in batches:
+            for o, c, special in plan:
+                texts = pdf[c].tolist()
+                enc = iter(model.encode_batch([t for t in texts if t is not None], add_special_tokens=special))
+                pdf[o] = [None if t is None else next(enc).ids for t in texts]
+            if drop:
+                pdf = pdf.drop(columns=sorted(inputs))
+            yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
 def encode_messages(df: DataFrame, conversations: str, out: str, tok: ModelTokenizer) -> DataFrame:
     """Token ids of every message ``value`` of a nested conversation column, as
     ``ARRAY<ARRAY<INT>>`` aligned with the messages (one Arrow batch call per partition)."""
