@@ -87,3 +87,27 @@ def test_pack_stream_each_micro_batch_on_its_own(spark, tmpdir_path, strategy):
     assert len(got) == 3
     expect = sorted(sorted(pack([ids(t) for t in texts], 6, 3)) for texts in files.values())
     assert sorted(sorted(v) for v in got.values()) == expect
+
+
+def test_stream_restart_processes_only_new_files(spark, tmpdir_path):
+    import json
+    import os
+    os.makedirs(f"{tmpdir_path}/in", exist_ok=True)
+    schema = T.StructType([T.StructField("id", T.LongType())] +
+                          [T.StructField(c, T.StringType()) for c in ("instruction", "input", "output")])
+    fmt = lambda d: format_instructions(d, max_source=50, max_target=50, keep=("id",))
+
+    def add(name, ids):
+        with open(f"{tmpdir_path}/in/{name}.json", "w") as f:
+            f.write("\n".join(json.dumps({"id": i, "instruction": f"q{i}", "input": None, "output": f"a{i}"})
+                              for i in ids) + "\n")
+
+    def run():
+        q = prepare_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", fmt, schema)
+        q.awaitTermination()
+        return sorted(r.id for r in spark.read.parquet(f"{tmpdir_path}/out").collect())
+
+    add("first", range(5))
+    assert run() == list(range(5))
+    add("second", range(5, 8))
+    assert run() == list(range(8))      # the first file is not read again: no duplicates
