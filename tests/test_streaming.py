@@ -111,3 +111,24 @@ def test_stream_restart_processes_only_new_files(spark, tmpdir_path):
     assert run() == list(range(5))
     add("second", range(5, 8))
     assert run() == list(range(8))      # the first file is not read again: no duplicates
+
+
+def test_pack_stream_restart_adds_a_batch_folder(spark, tmpdir_path):
+    import json
+    import os
+    os.makedirs(f"{tmpdir_path}/in", exist_ok=True)
+
+    def add(name, texts):
+        with open(f"{tmpdir_path}/in/{name}.json", "w") as f:
+            f.write("\n".join(json.dumps({"text": t}) for t in texts) + "\n")
+
+    def run():
+        q = pack_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", block_size=4,
+                        rows_per_batch=2)
+        q.awaitTermination()
+        return sorted({r.stream_batch for r in spark.read.parquet(f"{tmpdir_path}/out").collect()})
+
+    add("a", ["abcdef", "gh"])
+    assert run() == [0]
+    add("b", ["ijklmnop"])
+    assert run() == [0, 1]
