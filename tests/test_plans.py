@@ -116,3 +116,26 @@ def test_collate_batches_moves_rows_once(spark):
     df = spark.createDataFrame([(i, [1] * (i % 3 + 1), i % 2) for i in range(120)], "doc_id long, input_ids array<int>, label int")
     p = plan(collate_batches(df, 8, 42, "doc_id", on_ragged="repeat_first"))
     assert len([b for b in p.split("\n\n") if re.match(r"\(\d+\) Exchange", b.strip())]) == 1
+
+
+def test_hot_run_log_is_split_across_chunks(spark):
+    from corpusprep.operators.runlog import running_train_loss
+    rows = []
+    for run, n in (("hot", 3000), ("a", 7), ("b", 40)):
+        for step in range(n):
+            rows.append((run, step // 100, step, float(step % 13), (step + 1) % 4 == 0))
+    log = spark.createDataFrame(rows, "run string, epoch int, micro_step long, loss double, sync boolean").repartition(5)
+    out = running_train_loss(log, chunk_size=128)
+    p = plan(out)
+    windows = re.findall(r"windowspecdefinition\(([^)]*?)(?:,\s*\w+#\d+L? ASC)", p)
+    assert "__chunk" in p
+    got = {(r.run, r.micro_step): (r.completed_steps, r.epoch_loss_sum) for r in out.collect()}
+    for run in ("hot", "a", "b"):
+        steps = sorted((s, e, l, y) for rr, e, s, l, y in rows if rr == run)
+        cs, acc, epoch = 0, 0.0, None
+        for s, e, l, y in steps:
+            if e != epoch:
+                acc, epoch = 0.0, e
+            cs += int(y)
+            acc += l
+            assert got[(run, s)] == (cs, acc)
