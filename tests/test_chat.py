@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusprep.operators.chat import chat_examples, chat_examples_nested
 from model import chat

@@ -1,6 +1,5 @@
 """End-to-end plans on literal fixtures: given validation tables, limits, sanity mode."""
 
-from pyspark.sql import functions as F
 
 from corpusprep.plans.preference import prepare_pairs, prepare_transcripts
 from corpusprep.plans.pretrain import pretrain_blocks

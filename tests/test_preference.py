@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from corpusprep.operators.preference import (
     filter_pair_length,

@@ -1,6 +1,5 @@
 import math
 
-from pyspark.sql import functions as F
 
 from corpusprep.operators.runlog import (
     argmax_prediction,

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.operators.instruct import format_instructions

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from corpusprep.functions import argmax, codepoint_ids, decode_ids, labels_for_display
 from model import ids
