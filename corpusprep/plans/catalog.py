@@ -173,6 +173,18 @@ def q_pack_blocks_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        strategy="one_shuffle"))
 
 
+@register("pack_stored_tokens", sql_pack(1024, 1000))
+def q_pack_stored_tokens(spark, sf_dir):
+    """A tokenized corpus stored as parquet (doc_id, input_ids, attention_mask), packed with
+    the arrays shuffled once (``pack_corpus_ids``)."""
+    from corpusprep.operators.packing import pack_corpus_ids
+    from corpusprep.operators.tokenizing import tokenize
+    path = _scratch(spark, "stored-tokens")
+    tokenize(table(spark, sf_dir, "documents").select("doc_id", "text")).write.mode("overwrite").parquet(path)
+    blocks = pack_corpus_ids(spark.read.parquet(path), "doc_id", 1024, 1000, percent=5)
+    return _blocks_out(blocks)
+
+
 @register("pack_short_tail", sql_pack(2048, 1))
 def q_pack_short_tail(spark, sf_dir):
     """Array packing (the model-tokenizer path) with one row per batch: short documents make
