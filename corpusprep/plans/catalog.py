@@ -571,6 +571,16 @@ def q_pad_to_longest(spark, sf_dir):
     return p.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
+@register("collate_batches_padded", ORACLE["pad_to_longest"])
+def q_collate_batches_padded(spark, sf_dir):
+    """Batching and padding to the longest row of each batch in one shuffle
+    (``collate_batches(on_ragged='pad')``): ids padded with 0, labels with -100."""
+    from corpusprep.operators.batching import collate_batches
+    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("source").alias("input_ids"))
+    c = collate_batches(docs.withColumn("labels", F.col("input_ids")), 8, 42, "doc_id", on_ragged="pad")
+    return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
 @register("epoch_plan", f"""
 WITH {SQL_SPLIT_DOCS.strip()},
 n AS (SELECT split, count(*) AS n_examples FROM split_docs GROUP BY split),
