@@ -474,6 +474,24 @@ def q_transcript_sanity_head(spark, sf_dir):
                                bucket_key=_pair_key())
 
 
+@register("pairs_from_csv_sanity", f"""
+WITH {SQL_EXCHANGES.strip()},
+h AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM pairs) AS x WHERE rn <= 200),
+w AS (SELECT {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM h)
+SELECT prompt, chosen, rejected FROM w
+WHERE length(prompt) + length(chosen) <= 4096 AND length(prompt) + length(rejected) <= 4096""")
+def q_pairs_from_csv_sanity(spark, sf_dir):
+    """Preference CSV files written in (conv_id, turn) order, read back in file order; sanity
+    mode keeps the first 200 pairs before wrapping and filtering."""
+    from corpusprep.plans.preference import pairs_from_csv
+    path = _scratch(spark, "pairs-csv-files")
+    _pairs(spark, sf_dir).repartitionByRange(3, "conv_id", "turn").sortWithinPartitions("conv_id", "turn") \
+        .select("prompt", "chosen", "rejected").write.mode("overwrite") \
+        .option("header", "true").option("escape", '"').option("quoteAll", "true").csv(path)
+    out = pairs_from_csv(spark, path, sanity=True, max_length=4096)
+    return out.select("prompt", "chosen", "rejected")
+
+
 @register("transcript_split", f"""
 WITH {SQL_EXCHANGES.strip()},
 prev AS (SELECT conv_id, turn + 2 AS turn, {NL2} || 'Human: ' || usr || {NL2} || 'Assistant: ' || answer AS history FROM ex),
