@@ -169,6 +169,7 @@ def _lookup(values: list, index: Column) -> Column:
 def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                      text_col: str = "text", percent: float | None = None, keep_short: bool = True,
                      mask: str | None = "attention_mask", labels: bool = True, bucket_key=None,
+                     length_col: str | None = None,
                      num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
     """Order by ``key`` (a column name or a list of names; unique), cut the first ``percent`` of
     rows off as validation (``None``: everything is train), tokenize (codepoint) and pack —
@@ -184,26 +185,33 @@ def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int =
     bucket) are sent to the owning bucket as well. Every block is assembled in the bucket
     where it starts, from rows present in that partition, so the row index, batch offsets,
     pieces and block grouping all run on the one partitioning.
+
+    ``length_col`` names a stored column holding each row's length (characters of the text):
+    the pre-pass then reads only the key and that column, so the text is read once in all. The
+    main pass checks every stored length against the text and fails on a mismatch.
     """
     return _pack_corpus(df, key, block_size, rows_per_batch, payload=[text_col], text=True, percent=percent,
                         keep_short=keep_short, mask=mask, labels=labels, bucket_key=bucket_key,
-                        num_buckets=num_buckets, relative_error=relative_error)
+                        length_col=length_col, num_buckets=num_buckets, relative_error=relative_error)
 
 
 def pack_corpus_ids(df: DataFrame, key, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                     columns=("input_ids", "attention_mask"), percent: float | None = None,
                     keep_short: bool = True, labels: bool = True, bucket_key=None,
+                    length_col: str | None = None,
                     num_buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
     """``pack_corpus_text`` for rows that are already tokenized (array ``columns`` of equal
     length per row, e.g. a stored tokenized corpus): order, split and pack with the arrays
-    shuffled once. The narrow pre-pass reads ``size(columns[0])`` only."""
+    shuffled once. The narrow pre-pass reads ``size(columns[0])``, or only ``length_col`` (a
+    stored token count, checked in the main pass) when given."""
     return _pack_corpus(df, key, block_size, rows_per_batch, payload=list(columns), text=False, percent=percent,
                         keep_short=keep_short, mask=None, labels=labels, bucket_key=bucket_key,
-                        num_buckets=num_buckets, relative_error=relative_error)
+                        length_col=length_col, num_buckets=num_buckets, relative_error=relative_error)
 
 
 def _pack_corpus(df: DataFrame, key, block_size: int, rows_per_batch: int, *, payload: list, text: bool,
-                 percent, keep_short: bool, mask, labels: bool, bucket_key, num_buckets, relative_error) -> DataFrame:
+                 percent, keep_short: bool, mask, labels: bool, bucket_key, length_col, num_buckets,
+                 relative_error) -> DataFrame:
     from corpusprep.operators.ordering import _bucketize, default_buckets
 
     B, R = int(block_size), int(rows_per_batch)
@@ -216,16 +224,24 @@ def _pack_corpus(df: DataFrame, key, block_size: int, rows_per_batch: int, *, pa
     # one comparable key value per row: the column itself, or a struct (lexicographic order)
     key_col = F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
     fields = [f"__p{i}" for i in range(len(payload))]
+    stored = [F.col(length_col).alias("__len")] if length_col else []
     base = df.select(key_col.alias("__key"), bucket_key.alias("__bk"),
-                     *[F.col(c).alias(f) for c, f in zip(payload, fields)])
+                     *[F.col(c).alias(f) for c, f in zip(payload, fields)], *stored)
     based = (_bucketize(base, F.col("__bk"), nb, relative_error)
              .withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket", "__bk"))
     length = F.length(fields[0]) if text else F.size(fields[0])
     n_expr = F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0))
+    if length_col:  # the stored length drives the plan; the main pass checks it row by row
+        pre_n = F.greatest(F.coalesce(F.col("__len").cast("bigint"), F.lit(0)), F.lit(0))
+        n_expr = F.when(n_expr == pre_n, n_expr).otherwise(
+            F.raise_error(F.lit(f"stored length column {length_col!r} does not match the data")))
+    else:
+        pre_n = n_expr
 
     # -- narrow pass over (key, bucket, length): about 20 bytes a row, cached (memory, then
-    # disk) so the payload is read only here and in the main pass; lost blocks are recomputed.
-    narrow = based.select("__key", "__b", n_expr.alias("__n")).persist()
+    # disk) so the payload is read only here and in the main pass (with ``length_col``: only in
+    # the main pass); lost blocks are recomputed.
+    narrow = based.select("__key", "__b", pre_n.alias("__n")).persist()
     try:
         return _pack_corpus_body(based, narrow, B, R, percent, keep_short, mask, labels, n_expr,
                                  fields, payload, text)

@@ -166,11 +166,13 @@ def q_pack_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pack_blocks_one_shuffle", sql_pack(1024, 1000))
 def q_pack_blocks_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship with the plan chosen for large inputs: order, split and packing fused so
-    the text crosses the network once (``pack_corpus_text``)."""
+    the text crosses the network once and is read once (``pack_corpus_text`` with the stored
+    ``n_chars``)."""
     from corpusprep.plans.pretrain import pretrain_blocks
+    from corpusprep.operators.packing import pack_corpus_text
     docs = table(spark, sf_dir, "documents")
-    return _blocks_out(pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000,
-                                       strategy="one_shuffle"))
+    # the stored character count (n_chars) lets the pre-pass skip the text; checked per row
+    return _blocks_out(pack_corpus_text(docs, "doc_id", 1024, 1000, percent=5, length_col="n_chars"))
 
 
 @register("pack_stored_tokens", sql_pack(1024, 1000))

@@ -184,3 +184,15 @@ def test_one_shuffle_ids_equals_array_packing(spark, seed):
     got = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids), tuple(r.attention_mask))
                  for r in pack_corpus_ids(toks, "k", 16, 5, percent=10, num_buckets=9).collect())
     assert got == expect
+
+
+def test_one_shuffle_with_stored_lengths(spark):
+    from corpusprep.operators.packing import pack_corpus_text
+    rows = [(k, "ab" * (k % 9)) for k in range(50)]
+    df = spark.createDataFrame(rows, "k long, text string").withColumn("n", F.length("text"))
+    a = _blocks(pack_corpus_text(df, "k", 8, 4, percent=10, num_buckets=7))
+    b = _blocks(pack_corpus_text(df, "k", 8, 4, percent=10, num_buckets=7, length_col="n"))
+    assert a == b
+    wrong = df.withColumn("n", F.col("n") + F.when(F.col("k") == 3, 1).otherwise(0))
+    with pytest.raises(Exception):
+        pack_corpus_text(wrong, "k", 8, 4, percent=10, num_buckets=7, length_col="n").collect()
