@@ -56,7 +56,7 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
                     rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, tokenizer="codepoint",
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
                     max_train_samples: int | None = None, max_eval_samples: int | None = None,
-                    strategy: str = "auto") -> DataFrame:
+                    strategy: str = "auto", length_col: str | None = None) -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
     ``block_idx`` when a sample limit is given; the limit counts blocks).
 
@@ -64,7 +64,8 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     at the price of a narrow pre-pass that reads the key and text lengths; ``"two_shuffle"``
     orders (``row_index``) and then packs. ``"auto"`` takes the one-shuffle plan when the input
     files hold at least ``corpusprep.pack.singleShuffleMinBytes`` (default 8 GiB): below that
-    the extra jobs cost more than the saved shuffle."""
+    the extra jobs cost more than the saved shuffle. ``length_col`` (a stored character count,
+    e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     codepoint = tokenizer in (None, "codepoint")
     fusable = (codepoint and all(isinstance(c, str) for c in order_by)
@@ -80,10 +81,12 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
         key = order_by if len(order_by) > 1 else order_by[0]
         if validation is None:
             blocks = pack_corpus_text(docs, key, block_size, rows_per_batch, text_col=text_col,
-                                      percent=percent, keep_short=keep_short, bucket_key=bucket_key)
+                                      percent=percent, keep_short=keep_short, bucket_key=bucket_key,
+                                      length_col=length_col)
         else:  # each split packed on its own
             parts = [pack_corpus_text(frame, key, block_size, rows_per_batch, text_col=text_col, percent=None,
-                                      keep_short=keep_short, bucket_key=bucket_key).withColumn("split", F.lit(name))
+                                      keep_short=keep_short, bucket_key=bucket_key, length_col=length_col)
+                     .withColumn("split", F.lit(name))
                      for name, frame in (("train", docs), ("validation", validation))]
             blocks = parts[0].unionByName(parts[1])
         return _limit(blocks, max_train_samples, max_eval_samples)

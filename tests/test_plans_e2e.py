@@ -92,3 +92,14 @@ def test_pretrain_one_shuffle_with_validation_table(spark):
     b = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
                for r in pretrain_blocks(docs, ["doc_id"], strategy="one_shuffle", **kw).collect())
     assert a == b and a
+
+
+def test_pretrain_one_shuffle_with_stored_lengths(spark):
+    docs = spark.createDataFrame([(i, "x" * (i * 7 % 23)) for i in range(40)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "text", "length(text) AS n_chars")
+    a = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], block_size=16, rows_per_batch=5, strategy="two_shuffle").collect())
+    b = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], block_size=16, rows_per_batch=5, strategy="one_shuffle",
+                                        length_col="n_chars").collect())
+    assert a == b and a
