@@ -276,11 +276,19 @@ def first_rows(df: DataFrame, order_by, n: int | None, *, name: str = "row_idx",
                topk_max_rows: int = TOPK_MAX_ROWS) -> DataFrame:
     """The first ``n`` rows in ``order_by`` order with their position ``name``.
 
-    Up to ``topk_max_rows`` this is a top-k (``orderBy().limit(n)`` → each task keeps ``n``
-    rows, one task merges them; no shuffle of the table) and the position is numbered on those
-    ``n`` rows only. Larger ``n`` (or ``None``: every row) takes ``row_index`` and a filter."""
-    keys = [_col(c) for c in (order_by if isinstance(order_by, (list, tuple)) else [order_by])]
+    Up to ``topk_max_rows`` this is a top-k over the key columns (``orderBy().limit(n)``: each
+    task keeps ``n`` keys, one task merges them), numbered, and broadcast-joined back to the
+    rows (a bounded broadcast; the table is not shuffled). Larger ``n`` (or ``None``: every
+    row) takes ``row_index`` and a filter."""
+    cols = order_by if isinstance(order_by, (list, tuple)) else [order_by]
+    keys = [_col(c) for c in cols]
     if n is not None and 0 < n <= topk_max_rows:
+        if all(isinstance(c, str) for c in cols):
+            # top-k over the key columns only (tasks hold n small keys, not n rows), numbered,
+            # then broadcast back: at most n keys, and the rows themselves are not shuffled
+            top = df.select(*cols).orderBy(*keys).limit(int(n))
+            top = top.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
+            return df.join(F.broadcast(top), on=list(cols), how="inner")
         top = df.orderBy(*keys).limit(int(n))
         return top.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
     idx = row_index(df, order_by, name=name, bucket_key=bucket_key)
