@@ -31,12 +31,23 @@ def main():
     spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
+    from corpusprep.operators.batching import collate_batches
+    from corpusprep.functions.tokens import codepoint_ids
     docs = spark.read.parquet(sys.argv[1]).select("doc_id", "text")
-    clean = blocks(pretrain_blocks(docs, ["doc_id"], block_size=256, rows_per_batch=20))
     flaky_scan = docs.where(fail_first_attempt(F.col("doc_id")))           # fails in the map stage
-    packed = pretrain_blocks(flaky_scan, ["doc_id"], block_size=256, rows_per_batch=20)
-    flaky_out = packed.where(fail_first_attempt(F.col("block_no")))        # fails after the shuffles
-    print("EQUAL" if blocks(flaky_out) == clean and clean else "DIFFERENT")
+    results = []
+    for strategy in ("two_shuffle", "one_shuffle"):
+        clean = blocks(pretrain_blocks(docs, ["doc_id"], block_size=256, rows_per_batch=20, strategy=strategy))
+        packed = pretrain_blocks(flaky_scan, ["doc_id"], block_size=256, rows_per_batch=20, strategy=strategy)
+        flaky_out = packed.where(fail_first_attempt(F.col("block_no")))    # fails after the shuffles
+        results.append(blocks(flaky_out) == clean and bool(clean))
+
+    def collated(frame):
+        ex = frame.select("doc_id", codepoint_ids("text").alias("input_ids"))
+        return sorted((r.batch_no, r.pos, tuple(r.input_ids))
+                      for r in collate_batches(ex, 8, 42, "doc_id", on_ragged="pad").collect())
+    results.append(collated(flaky_scan) == collated(docs))
+    print("EQUAL" if all(results) else f"DIFFERENT {results}")
 
 
 if __name__ == "__main__":
