@@ -47,6 +47,14 @@ def main():
         return sorted((r.batch_no, r.pos, tuple(r.input_ids))
                       for r in collate_batches(ex, 8, 42, "doc_id", on_ragged="pad").collect())
     results.append(collated(flaky_scan) == collated(docs))
+
+    from corpusprep.operators.runlog import completed_steps
+    from corpusprep.plans.derived import train_log
+    events = spark.read.parquet(sys.argv[1].replace("documents.parquet", "events.parquet"))
+
+    def steps(frame):
+        return sorted(tuple(r) for r in completed_steps(train_log(frame)).collect())
+    results.append(steps(events.where(fail_first_attempt(F.col("event_id")))) == steps(events))
     print("EQUAL" if all(results) else f"DIFFERENT {results}")
 
 
