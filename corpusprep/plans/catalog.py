@@ -236,6 +236,7 @@ def q_pack_limited(spark, sf_dir):
 WITH {SQL_SPLIT_DOCS.strip()}
 SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM split_docs GROUP BY split""")
 def q_split_counts(spark, sf_dir):
+    """Rows per split after the 5 % head validation cut (membership only, rows not shuffled)."""
     from corpusprep.operators.ordering import split_counts
     return split_counts(_split_only(spark, sf_dir))
 
@@ -274,6 +275,7 @@ SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_to
        CAST(max(n) AS BIGINT) AS max_tokens, CAST(min(n) AS BIGINT) AS min_tokens
 FROM t GROUP BY split""")
 def q_token_stats(spark, sf_dir):
+    """Rows, tokens, longest and shortest row per split."""
     from corpusprep.operators.tokenizing import token_stats, tokenize
     return token_stats(tokenize(_split_only(spark, sf_dir).select("split", "text")))
 
@@ -283,6 +285,7 @@ SELECT item_id, CAST(len({sql_ids('text')}) AS BIGINT) AS n_tokens,
        array_to_string(list_transform({sql_ids('text')}, lambda i: chr(i - 256)), '') AS decoded
 FROM benchmark""")
 def q_decode_roundtrip(spark, sf_dir):
+    """Benchmark texts tokenized and decoded back: token counts and the decoded text."""
     b = table(spark, sf_dir, "benchmark").select("item_id", codepoint_ids("text").alias("ids"))
     return b.select("item_id", F.size("ids").cast("bigint").alias("n_tokens"), decode_ids("ids").alias("decoded"))
 
@@ -299,6 +302,7 @@ def _triples(spark, sf_dir):
 WITH {SQL_EXCHANGES.strip()}
 SELECT conv_id, turn, {SQL_SOURCE} AS source FROM triples""")
 def q_instruction_source(spark, sf_dir):
+    """Source text of every instruction triple: instruction plus the input when set."""
     from corpusprep.operators.instruct import build_source
     return _triples(spark, sf_dir).select("conv_id", "turn", build_source("instruction", "input").alias("source"))
 
@@ -337,6 +341,7 @@ def q_instruction_examples(spark, sf_dir):
 
 @register("instruction_plain", sql_instruction("plain", 1024, 1024))
 def q_instruction_plain(spark, sf_dir):
+    """The older plain style: source then target ids, the source masked in the labels."""
     d = _instruction_examples(spark, sf_dir, "plain")
     return d.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
@@ -362,6 +367,7 @@ SELECT conv_id, turn,
                '{_SYSTEM}' || instruction || CASE WHEN instruction <> '' THEN '{TEMPLATE_SEP}' ELSE '' END || coalesce(input, '')) AS prompt
 FROM triples""")
 def q_render_template(spark, sf_dir):
+    """Instruction and system text rendered through the registered prompt template."""
     from corpusprep.operators.instruct import render_template
     t = _triples(spark, sf_dir).withColumn("source", F.coalesce("input", F.lit("")))
     return render_template(t, TEMPLATE_NAME, instruction="instruction", source="source").select("conv_id", "turn", "prompt")
@@ -423,6 +429,7 @@ def _pairs(spark, sf_dir):
 WITH {SQL_EXCHANGES.strip()}
 SELECT conv_id, turn, {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs""")
 def q_wrap_prompt(spark, sf_dir):
+    """Preference prompts wrapped in the question and answer marker texts."""
     from corpusprep.operators.preference import wrap_prompt
     return wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn"))
 
@@ -434,6 +441,7 @@ SELECT conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len, CAST(length(
        CAST(length(rejected) AS BIGINT) AS rejected_len
 FROM w WHERE length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024""")
 def q_pair_length_filter(spark, sf_dir):
+    """Wrapped pairs kept when prompt + chosen and prompt + rejected fit 1024 characters."""
     from corpusprep.operators.preference import filter_pair_length, wrap_prompt
     w = filter_pair_length(wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn")), 1024)
     return w.select("conv_id", "turn", *[F.length(c).cast("bigint").alias(f"{c}_len") for c in ("prompt", "chosen", "rejected")])
@@ -505,6 +513,7 @@ SELECT conv_id, turn, left(c, plen) AS prompt, substr(c, plen + 1) AS chosen, su
        starts_with(r, left(c, plen)) AS prefix_ok
 FROM t3""")
 def q_transcript_split(spark, sf_dir):
+    """Whole dialogues split at the last assistant marker into prompt, chosen and rejected."""
     from corpusprep.operators.preference import split_transcripts
     t = derived.transcripts(table(spark, sf_dir, "conversations"))
     return split_transcripts(t, keep=("conv_id", "turn"))
@@ -535,6 +544,7 @@ def q_batches(spark, sf_dir):
 @register("skip_batches", f"WITH {SQL_BATCHES.strip()} SELECT doc_id, CAST(batch_no AS BIGINT) AS batch_no, "
                           "CAST(pos AS BIGINT) AS pos FROM bt WHERE batch_no >= 10")
 def q_skip_batches(spark, sf_dir):
+    """Resuming inside an epoch: the first 10 batches left out."""
     from corpusprep.operators.batching import skip_batches
     return skip_batches(_batches(spark, sf_dir), 10).select("doc_id", "batch_no", "pos")
 
@@ -585,6 +595,7 @@ SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(pos AS BIGINT) AS pos,
        array_to_string(ids || {sql_repeat(-100, 'm - len(ids)')}, ',') AS labels
 FROM w""")
 def q_pad_to_longest(spark, sf_dir):
+    """Batches of 8 padded to their longest row: ids with pad 0, labels with -100."""
     from corpusprep.operators.batching import pad_to_longest
     b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("source").alias("input_ids"))
     p = pad_to_longest(b.withColumn("labels", F.col("input_ids")))
@@ -634,6 +645,7 @@ def _evals(spark, sf_dir):
 WITH {SQL_TRAIN_LOG.strip()}
 SELECT run, epoch, micro_step, sync, CAST(completed_steps AS BIGINT) AS completed_steps FROM cs""")
 def q_completed_steps(spark, sf_dir):
+    """Optimizer steps completed at every micro-step of the derived run log (one per gradient sync)."""
     from corpusprep.operators.runlog import completed_steps
     return completed_steps(_train_log(spark, sf_dir)).select("run", "epoch", "micro_step", "sync", "completed_steps")
 
@@ -682,6 +694,7 @@ SELECT run, completed_steps, eval_loss, best_before,
        (best_before IS NULL OR eval_loss < best_before) AS is_best
 FROM b""")
 def q_best_so_far(spark, sf_dir):
+    """Per run, whether each evaluation is strictly better than all before it (two-level running minimum)."""
     from corpusprep.operators.runlog import best_so_far
     return best_so_far(_evals(spark, sf_dir)).select("run", "completed_steps", "eval_loss", "best_before", "is_best")
 
@@ -694,6 +707,7 @@ SELECT run, epoch, completed_steps, eval_loss, round(exp(eval_loss), 6) AS perpl
        epoch = max(epoch) OVER (PARTITION BY run) AS is_final
 FROM pe""")
 def q_epoch_summary(spark, sf_dir):
+    """Per run and epoch: the last evaluation's loss and perplexity, and which epoch is final."""
     from corpusprep.operators.runlog import epoch_summary
     s = epoch_summary(_evals(spark, sf_dir))
     return s.select("run", "epoch", "completed_steps", "eval_loss", F.round("perplexity", 6).alias("perplexity"), "is_final")
@@ -754,6 +768,7 @@ def q_resume_point(spark, sf_dir):
 @register("argmax_prediction", """
 SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS prediction FROM embeddings""")
 def q_argmax_prediction(spark, sf_dir):
+    """Index of the largest logit per vector, the first one on ties."""
     from corpusprep.operators.runlog import argmax_prediction
     return argmax_prediction(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "prediction")
 
@@ -767,6 +782,7 @@ SELECT CAST(sum(hit) AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS compared
        CAST(sum(hit) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS accuracy
 FROM hits""")
 def q_next_token_accuracy(spark, sf_dir):
+    """Share of positions where the next label equals the prediction, over all sequences."""
     from corpusprep.operators.runlog import next_token_accuracy
     return next_token_accuracy(derived.logit_sequences(table(spark, sf_dir, "embeddings")))
 
