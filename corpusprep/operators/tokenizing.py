@@ -186,3 +186,14 @@ def token_stats(df: DataFrame, ids_col: str = "input_ids", *, split_col: str | N
     if split_col:
         return df.groupBy(split_col).agg(*aggs)
     return df.agg(*aggs)
+
+
+def store_tokens(df: DataFrame, path: str, text_col: str = "text", *, tokenizer="codepoint",
+                 count_col: str = "n_tokens", mode: str = "overwrite") -> DataFrame:
+    """Tokenize once and keep the result: ``df`` minus ``text_col`` plus ``input_ids``,
+    ``attention_mask`` and ``count_col`` (tokens per row) written as parquet at ``path`` (a
+    shared folder), read back. Packing the stored arrays with ``pack_corpus_ids(...,
+    length_col=count_col)`` then reads only the counts in its pre-pass."""
+    toks = tokenize(df, text_col, tokenizer=tokenizer)
+    toks.withColumn(count_col, F.size("input_ids").cast("bigint")).write.mode(mode).parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -56,7 +56,8 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
                     rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, tokenizer="codepoint",
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
                     max_train_samples: int | None = None, max_eval_samples: int | None = None,
-                    strategy: str = "auto", length_col: str | None = None) -> DataFrame:
+                    strategy: str = "auto", length_col: str | None = None,
+                    token_store: str | None = None) -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
     ``block_idx`` when a sample limit is given; the limit counts blocks).
 
@@ -65,7 +66,11 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     orders (``row_index``) and then packs. ``"auto"`` takes the one-shuffle plan when the input
     files hold at least ``corpusprep.pack.singleShuffleMinBytes`` (default 8 GiB): below that
     the extra jobs cost more than the saved shuffle. ``length_col`` (a stored character count,
-    e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row."""
+    e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row.
+
+    With a model tokenizer the one-shuffle plan needs ``token_store`` (a shared folder): the
+    corpus is tokenized once into it (``store_tokens``) and the stored arrays are packed with
+    one shuffle, the pre-pass reading only the stored token counts."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     codepoint = tokenizer in (None, "codepoint")
     fusable = (codepoint and all(isinstance(c, str) for c in order_by)
@@ -73,6 +78,21 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     if strategy == "auto":
         threshold = int(docs.sparkSession.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
         strategy = "one_shuffle" if fusable and input_bytes_at_least(docs, threshold) else "two_shuffle"
+    if strategy == "one_shuffle" and not codepoint and token_store:
+        from corpusprep.operators.packing import pack_corpus_ids
+        from corpusprep.operators.tokenizing import store_tokens
+        key = order_by if len(order_by) > 1 else order_by[0]
+        frames = [("train", docs)] + ([("validation", validation)] if validation is not None else [])
+        parts = []
+        for name, frame in frames:
+            stored = store_tokens(frame.select(*order_by, text_col), f"{token_store.rstrip('/')}/{name}",
+                                  text_col, tokenizer=tokenizer)
+            packed = pack_corpus_ids(stored, key, block_size, rows_per_batch, bucket_key=bucket_key,
+                                     percent=percent if validation is None else None, keep_short=keep_short,
+                                     length_col="n_tokens")
+            parts.append(packed if validation is None else packed.withColumn("split", F.lit(name)))
+        blocks = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return _limit(blocks, max_train_samples, max_eval_samples)
     if strategy == "one_shuffle":
         if not fusable:
             raise ValueError("one_shuffle packing needs the codepoint tokenizer and named order columns "

@@ -92,3 +92,16 @@ def test_decode_with_model(spark, model_path):
     df = spark.createDataFrame([(ids,), (None,)], "ids array<int>")
     got = [r.text for r in decode_model_ids(df, "ids", "text", ModelTokenizer(model_path)).collect()]
     assert got == [tok.decode(ids, skip_special_tokens=False), None]
+
+
+def test_pretrain_model_tokens_one_shuffle_via_store(spark, model_path, tmp_path):
+    from corpusprep.plans.pretrain import pretrain_blocks
+    docs = spark.createDataFrame([(i, "the quick brown fox " * (i % 5 + 1)) for i in range(30)], "doc_id long, text string")
+    tok = ModelTokenizer(model_path)
+    kw = dict(block_size=8, rows_per_batch=4, percent=10, tokenizer=tok)
+    a = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], strategy="two_shuffle", **kw).collect())
+    b = sorted((r.split, r.batch_id, r.block_no, tuple(r.input_ids))
+               for r in pretrain_blocks(docs, ["doc_id"], strategy="one_shuffle", token_store=str(tmp_path / "tok"),
+                                        **kw).collect())
+    assert a == b and a
