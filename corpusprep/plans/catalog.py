@@ -180,10 +180,9 @@ def q_pack_stored_tokens(spark, sf_dir):
     """A tokenized corpus stored as parquet (doc_id, input_ids, attention_mask), packed with
     the arrays shuffled once (``pack_corpus_ids``)."""
     from corpusprep.operators.packing import pack_corpus_ids
-    from corpusprep.operators.tokenizing import tokenize
-    path = _scratch(spark, "stored-tokens")
-    tokenize(table(spark, sf_dir, "documents").select("doc_id", "text")).write.mode("overwrite").parquet(path)
-    blocks = pack_corpus_ids(spark.read.parquet(path), "doc_id", 1024, 1000, percent=5)
+    from corpusprep.operators.tokenizing import store_tokens
+    stored = store_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), _scratch(spark, "stored-tokens"))
+    blocks = pack_corpus_ids(stored, "doc_id", 1024, 1000, percent=5, length_col="n_tokens")  # pre-pass reads counts only
     return _blocks_out(blocks)
 
 
