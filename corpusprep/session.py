@@ -56,3 +56,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local temp dir)."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "corpusprep", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (the same path on every
+    machine, as when the package is installed or its folder is on a shared path)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
