@@ -9,6 +9,7 @@ from corpusprep.session import scratch_path, share_package
 
 from . import url_templates
 from .packing import pack_documents
+from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -28,6 +29,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.url_verdicts(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -47,5 +53,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_token_counts, op8_url_filter, op9_token_files, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op4_packing, op5_token_counts, op6_repeats, op8_url_filter, op9_token_files, op10_secrets)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
