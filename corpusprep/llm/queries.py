@@ -9,6 +9,7 @@ from corpusprep.session import scratch_path, share_package
 
 from . import url_templates
 from .packing import pack_documents
+from .projections import near_vectors
 from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .token_counts import token_counts
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -53,5 +58,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op5_token_counts, op6_repeats, op8_url_filter, op9_token_files, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op4_packing, op5_token_counts, op6_repeats, op8_url_filter, op9_token_files, op10_secrets)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
