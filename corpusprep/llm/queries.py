@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.session import scratch_path, share_package
 
-from . import url_templates
+from . import perplexity, url_templates
 from .packing import pack_documents
 from .projections import near_vectors
 from .repeats import remove_repeats
@@ -39,6 +39,13 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = perplexity.fit(docs, _table(spark, sf_dir, "labels"))
+    return model.score(docs).select("doc_id", "lang", F.round("perplexity", 6).alias("perplexity"),
+                                    F.round("peak_perplexity", 6).alias("peak_perplexity"), "keep")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.url_verdicts(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -58,5 +65,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_vectors, op4_packing, op5_token_counts, op6_repeats, op8_url_filter, op9_token_files, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
