@@ -78,22 +78,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, ends: np.ndarray, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text, A-Z lower-cased, and the number
     of words before each text (one more entry than texts). Works through ``limit`` bytes at a time."""
-    found, counts = [], np.zeros(len(ends), np.int64)
+    return placed_words(data, ends, limit)[:2]
+
+
+def placed_words(data: np.ndarray, ends: np.ndarray, limit: int = SLICE_BYTES,
+                 separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes``, and the first byte and the byte after each word in ``data`` ([word, 2]).
+    ``separator``: for each byte value whether it separates words."""
+    found, counts, spans = [], np.zeros(len(ends), np.int64), []
     at, stop = int(ends[0]), int(ends[-1])
     while at < stop:
         end = min(at + limit, stop)
-        if end < stop and not _SEPARATOR[data[end]]:  # end a step between two words
-            gaps = np.flatnonzero(_SEPARATOR[data[at:end]])
+        if end < stop and not separator[data[end]]:  # end a step between two words
+            gaps = np.flatnonzero(separator[data[at:end]])
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
             else:
-                later = np.flatnonzero(_SEPARATOR[data[end:stop]])
+                later = np.flatnonzero(separator[data[end:stop]])
                 end = end + int(later[0]) if len(later) else stop
         part = data[at:end]
         cuts = ends[(ends > at) & (ends < end)] - at
         inside = np.empty(len(part) + 2, bool)
         inside[0] = inside[-1] = False
-        np.logical_not(_SEPARATOR[part], out=inside[1:-1])
+        np.logical_not(separator[part], out=inside[1:-1])
         first = inside[1:-1] & ~inside[:-2]
         last = inside[1:-1] & ~inside[2:]
         first[cuts] = inside[1:-1][cuts]
@@ -104,10 +111,13 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, limit: int = SLICE_BYTES) ->
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
         found.append(mix((sums[stops] - sums[starts]) * down[starts]))
+        spans.append(np.stack([starts + at, stops + at], 1))
         which = np.searchsorted(ends, starts + at, side="right")
         counts += np.bincount(which, minlength=len(ends))[: len(ends)]
         at = end
-    return (np.concatenate(found) if found else np.zeros(0, np.uint64)), np.cumsum(counts)
+    if not found:
+        return np.zeros(0, np.uint64), np.cumsum(counts), np.zeros((0, 2), np.int64)
+    return np.concatenate(found), np.cumsum(counts), np.concatenate(spans)
 
 
 _MULTIPLIERS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusprep.session import scratch_path, share_package
 
 from . import perplexity, url_templates
+from .decontaminate import find_items
 from .packing import pack_documents
 from .projections import near_vectors
 from .repeats import remove_repeats
@@ -25,6 +26,10 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(_table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -65,5 +70,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op2_near_vectors, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
