@@ -176,19 +176,17 @@ def find_items(docs: DataFrame, items: DataFrame, similarity: float = 0.8, repet
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, `{item_col}` {item_kind}, edits int, item_words int, start bigint, end bigint"
     item_type = items.select(item_col).limit(0).toArrow().schema.field(0).type
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def matches(index: Index, names: list, texts: DataFrame) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast((index, names))  # a block: block_words words at most
+    def matches(block: list[tuple]) -> DataFrame:
+        names = [n for n, _ in block]
+        shared = docs.sparkSession.sparkContext.broadcast(Index([t for _, t in block], similarity, repetitions, bits))  # block_words words at most
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, names = shared.value
-            sizes = {i: len(x) for c in index.classes for i, x in zip(c.numbers, c.items)}
+            sizes = {i: len(x) for c in shared.value.classes for i, x in zip(c.numbers, c.items)}
             for batch in batches:
                 for part in text_slices(batch, "text"):
-                    data, ends = text_buffers(part.column(1))
-                    words, before, spans = placed_words(data, ends, separator=_SEPARATOR)
-                    of = np.repeat(np.arange(part.num_rows), np.diff(before))
-                    rows = index.search(words, of)
+                    rows, spans, ends = _matches(shared.value, part.column(1))
                     column = lambda f, t: pa.array([f(r) for r in rows], t)
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(column(lambda r: r[0], pa.int64())), column(lambda r: names[r[1]], item_type),
@@ -199,15 +197,42 @@ def find_items(docs: DataFrame, items: DataFrame, similarity: float = 0.8, repet
 
         return texts.mapInArrow(search, schema)
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found, names, block, held = [], [], [], 0
+    return reduce(DataFrame.unionAll, map(matches, _blocks(items, item_col, item_text_col, block_words)))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, similarity: float = 0.8, repetitions: int = 16, bits: int = 3,
+                      block_words: int = 1_000_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold an item; all columns are kept. One pass per block of items."""
+    for block in _blocks(items, item_col, item_text_col, block_words):
+        shared = docs.sparkSession.sparkContext.broadcast(Index([t for _, t in block], similarity, repetitions, bits))
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in text_slices(batch, text_col):
+                    rows, _, _ = _matches(shared.value, part.column(part.schema.get_field_index(text_col)))
+                    keep = np.ones(part.num_rows, bool)
+                    keep[[r[0] for r in rows]] = False
+                    yield part.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs
+
+
+def _blocks(items: DataFrame, item_col: str, item_text_col: str, block_words: int) -> Iterator[list[tuple]]:
+    """(id, text) of the items, in blocks of about ``block_words`` words; one empty block if there are none."""
+    block, held = [], 0
     for row in items.select(item_col, F.col(item_text_col).cast("string")).toLocalIterator():
         size = len((row[1] or "").split()) + 1
         if block and held + size > block_words:
-            found.append(matches(Index(block, similarity, repetitions, bits), names, texts))
-            names, block, held = [], [], 0
-        names.append(row[0])
-        block.append(row[1])
+            yield block
+            block, held = [], 0
+        block.append((row[0], row[1]))
         held += size
-    found.append(matches(Index(block, similarity, repetitions, bits), names, texts))
-    return reduce(DataFrame.unionAll, found)
+    yield block
+
+
+def _matches(index: Index, column: pa.Array) -> tuple[list[tuple[int, int, int, int, int]], np.ndarray, np.ndarray]:
+    """The matches in a column of texts, the bytes of its words and the texts' first bytes."""
+    data, ends = text_buffers(column)
+    words, before, spans = placed_words(data, ends, separator=_SEPARATOR)
+    return index.search(words, np.repeat(np.arange(len(column)), np.diff(before))), spans, ends

@@ -160,7 +160,8 @@ def judge_unit(names: list[int], sets: list[np.ndarray], pivots: np.ndarray, nee
 
 def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85, group: int = 128,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``."""
+    """Per row: id, ``n_shingles``, ``component_id``, ``kept`` (this row stands for its component: least id, nulls first,
+    then least ``row_hash``; rows equal in id and text stand together) and ``row_hash`` (xxhash64 of id and text)."""
     spark = docs.sparkSession
     needs = Needs(threshold)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -197,7 +198,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
         yield counted()
 
     members = stored(rows.mapInArrow(classes, f"row bigint, id {kind}, n bigint, name bigint"), "shingle-classes")
-    reps = members.where("n > 0").groupBy("name", "n").agg(F.min("row").alias("row"), F.min("id").alias("least"))
+    reps = members.where("n > 0").groupBy("name", "n").agg(
+        F.min("row").alias("row"), F.min("id").alias("least"), F.min(F.struct("id", "row")).alias("first"))
     counts = stored(rows.mapInArrow(frequent, "token bigint, n bigint, total bigint").groupBy("token").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total")), "shingle-counts")
     total = counts.agg(F.sum("total")).first()[0] or 0
@@ -296,11 +298,21 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     links = met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint")
     found = components(links)
     named = reps.join(found.withColumnRenamed("id", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    named = stored(named.select("name", "n", "least", "component"), "shingle-components")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = named.join(least, "component").select("name", "n", "component_id")
+    named = stored(named.select("name", "n", "least", "first", "component"), "shingle-components")
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
+    by_class = named.select("name", "n", "component").join(least, "component").select("name", "n", "component_id", "first")
+    empty = F.col("n") == 0
     return members.join(by_class, ["name", "n"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        (empty | F.col("first").eqNullSafe(F.struct("id", "row"))).alias("kept"), F.col("row").alias("row_hash"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, group: int = 128, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component; of rows equal in id and text one stays."""
+    kept = jaccard_components(docs, words, threshold, group, id_col, text_col).where("kept").select("row_hash").distinct()
+    rows = docs.withColumn("row_hash", F.xxhash64(id_col, F.col(text_col).cast("string")))
+    return rows.join(kept, "row_hash", "left_semi").dropDuplicates(["row_hash"]).select(*(f"`{c}`" for c in docs.columns))
 
 
 ENTRY = np.dtype([("token", "<u8"), ("name", "<i8"), ("n", "<u4")])

@@ -24,7 +24,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard_components(_table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,30 +105,62 @@ def evidence(run: str, kind: str, frequency: Counter, total: int) -> int:
 
 def scan_secrets(docs: DataFrame, fdr: float = 0.001, reject: float = 1e-4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id and ``spans``, an array of (kind, start, end, match) by start, then kind as in ``KINDS``."""
-    kind_of_id = docs.schema[id_col].dataType.simpleString()
-    span = "struct<start:int,rank:int,end:int,match:string,size:int,bits:int>"
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    found = stored(texts.mapInArrow(_scanner(reject), f"id {docs.schema[id_col].dataType.simpleString()}, spans array<{SPAN}>"), "secret-spans")
+    least = _least_evidence(found, fdr)
+    needed = F.create_map(*(F.lit(v) for item in least.items() for v in item)) if least else None
+    enough = (lambda s: s["bits"] >= needed[s["size"]]) if least else (lambda s: F.lit(False))
+    kept = F.filter("spans", lambda s: (s["rank"] < 3) | F.coalesce(enough(s), F.lit(False)))
+    names = F.array(*(F.lit(k) for k in KINDS))
+    return found.select(F.col("id").alias(id_col), F.transform(F.sort_array(kept), lambda s: F.struct(
+        names[s["rank"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"))).alias("spans"))
+
+
+def redact_secrets(docs: DataFrame, fdr: float = 0.001, reject: float = 1e-4, text_col: str = "text") -> DataFrame:
+    """``docs`` with every span replaced by ``<kind>`` (overlapping spans by the first one's kind). Every
+    row and column stays. One pass finds the thresholds, a second one rewrites."""
+    texts = docs.select(F.lit(0).alias("id"), F.col(text_col).cast("string").alias("text"))
+    least = _least_evidence(texts.mapInArrow(_scanner(reject), f"id int, spans array<{SPAN}>"), fdr)
+
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text_col):
+                at = part.schema.get_field_index(text_col)
+                texts = part.column(at).to_pylist()
+                for row in _rows_to_read(*text_buffers(part.column(at))):
+                    spans = [s for s in _spans(texts[row], reject) if s["rank"] < 3 or s["bits"] >= least.get(s["size"], MAX_EVIDENCE + 1)]
+                    texts[row] = _redacted(texts[row], spans)
+                yield part.set_column(at, text_col, pa.array(texts, part.schema.field(at).type))
+
+    return docs.mapInArrow(rewrite, docs.schema)
+
 
+def _redacted(text: str | None, spans: list[dict]) -> str | None:
+    out, done = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], s["rank"])):
+        if s["start"] >= done:
+            out += [text[done: s["start"]], f"<{KINDS[s['rank']]}>"]
+        done = max(done, s["end"])
+    return "".join(out) + text[done:] if out else text
+
+
+SPAN = "struct<start:int,rank:int,end:int,match:string,size:int,bits:int>"
+
+
+def _scanner(reject: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                data, ends = text_buffers(part.column(1))
-                interesting = _rows_to_read(data, ends)
-                column = []
-                for row in range(part.num_rows):
-                    column.append(_spans(part.column(1)[row].as_py(), reject) if row in interesting else [])
+                interesting = _rows_to_read(*text_buffers(part.column(1)))
+                column = [_spans(part.column(1)[row].as_py(), reject) if row in interesting else [] for row in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(column, _SPANS)], ["id", "spans"])
 
-    found = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        scan, f"id {kind_of_id}, spans array<{span}>"), "secret-spans")
+    return scan
+
+
+def _least_evidence(found: DataFrame, fdr: float) -> dict[int, int]:
     runs = found.select(F.explode("spans").alias("s")).where("s.rank = 3")
-    histogram = runs.groupBy("s.size", "s.bits").count().collect()  # at most 16 classes of MAX_EVIDENCE + 2 bins
-    least = _thresholds([tuple(r) for r in histogram], fdr)
-    needed = F.create_map(*(F.lit(v) for item in least.items() for v in item)) if least else None
-    enough = (lambda s: s["bits"] >= needed[s["size"]]) if least else (lambda s: F.lit(False))
-    kept = F.filter("spans", lambda s: (s["rank"] < 3) | enough(s))
-    names = F.array(*(F.lit(k) for k in KINDS))
-    return found.select(F.col("id").alias(id_col), F.transform(F.sort_array(kept), lambda s: F.struct(
-        names[s["rank"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"))).alias("spans"))
+    return _thresholds([tuple(r) for r in runs.groupBy("s.size", "s.bits").count().collect()], fdr)  # at most 16 classes of MAX_EVIDENCE + 2 bins
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32()), ("match", pa.string()), ("size", pa.int32()), ("bits", pa.int32())]))
