@@ -53,7 +53,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = perplexity.fit(docs, _table(spark, sf_dir, "labels"))
     return model.score(docs).select("doc_id", "lang", F.round("perplexity", 6).alias("perplexity"),
-                                    F.round("peak_perplexity", 6).alias("peak_perplexity"), "keep")
+                                    F.round("peak_perplexity", 6).alias("peak_perplexity"), F.round("contrast", 6).alias("contrast"), "keep")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
