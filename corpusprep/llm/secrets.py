@@ -44,6 +44,9 @@ ALPHABETS = {"decimal": _DIGITS, "hex": _DIGITS + "abcdef", "HEX": _DIGITS + "AB
              "base62": _DIGITS + _UPPER + _LOWER, "base64": _UPPER + _LOWER + _DIGITS + "+/", "base64url": _UPPER + _LOWER + _DIGITS + "-_",
              "any": _UPPER + _LOWER + _DIGITS + "+/-_="}
 _SETS = {k: frozenset(v) for k, v in ALPHABETS.items()}
+#: Usual text: letters fall off by rank, other characters are rare.
+_USUAL = {c: 2.0 for c in ALPHABETS["any"]} | {c: max(4.0, 120 * 0.87**i) for i, c in enumerate("etaoinshrdlcumwfgypbvkjxqz")}
+_USUAL_TOTAL = sum(_USUAL.values()) * 1.25  # blanks and punctuation
 MAX_EVIDENCE = 400  # bins of log2 evidence; larger values count as this
 
 
@@ -97,9 +100,10 @@ def battery(run: str) -> tuple[str, float]:
 
 
 def evidence(run: str, kind: str, frequency: Counter, total: int) -> int:
-    """log2 of the likelihood ratio of the uniform alphabet to the document's own characters."""
+    """log2 of the likelihood ratio of the uniform alphabet to ordinary text: the document's other characters, on top of
+    usual letter frequencies that carry short documents."""
     k, body = len(ALPHABETS[kind]), run.rstrip("=") or run
-    bits = -len(body) * math.log2(k) - sum(math.log2((frequency[c] + 1) / (total + 68)) for c in body)
+    bits = -len(body) * math.log2(k) - sum(math.log2((frequency[c] + _USUAL[c]) / (total + _USUAL_TOTAL)) for c in body)
     return max(-1, min(MAX_EVIDENCE, math.floor(bits)))
 
 
