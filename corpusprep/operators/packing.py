@@ -7,8 +7,8 @@ is kept (``keep_short``); an empty batch gives nothing. ``labels`` is a copy of
 No block crosses a split or a batch.
 
 Plan: one hash exchange on ``(split, batch_id)``. A window over the batch gives every row its
-token offset; each row is exploded into the pieces it contributes to each block (so no row
-ever holds more than one block, and no array larger than a block is built); the pieces are
+token offset; each row is cut once, in one pass over it, into the pieces it contributes to each
+block, and only the pieces go on (no row holds more than one block from there on); the pieces are
 grouped by ``(split, batch_id, block_no)`` on the same partitioning and concatenated in order.
 A batch has at most ``rows_per_batch`` rows and a block at most ``block_size`` tokens, so no
 group grows with the data.
@@ -50,26 +50,64 @@ def _kept(total: Column, block_size: int, keep_short: bool) -> Column:
     return F.when(total >= block_size, full).otherwise(total if keep_short else F.lit(0)).cast("bigint")
 
 
-def _segments(df: DataFrame, length: Column, block_size: int, rows_per_batch: int,
-              index_col: str, split_col: str | None, keep_short: bool) -> DataFrame:
-    """Rows exploded into (block_no, lo, hi, start): the token range [lo, hi) of the batch
-    stream that the row gives to block ``block_no``; the row's own first token is ``start``."""
-    B = int(block_size)
+def _placed(df: DataFrame, length: Column, block_size: int, rows_per_batch: int,
+            index_col: str, split_col: str | None, keep_short: bool) -> DataFrame:
+    """Rows with their token offset ``__start`` in the batch stream and ``__end``, where the part
+    of them that is kept ends. Rows that give nothing are left out."""
     d = df.withColumn("batch_id", F.floor(F.col(index_col) / F.lit(int(rows_per_batch))).cast("bigint"))
     d = d.withColumn("__n", F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)))  # NULL rows: no tokens
     part = _batch_cols(split_col)
     w_batch = Window.partitionBy(*part)
     w_before = Window.partitionBy(*part).orderBy(index_col).rowsBetween(Window.unboundedPreceding, -1)
     d = (d.withColumn("__start", F.coalesce(F.sum("__n").over(w_before), F.lit(0)).cast("bigint"))
-          .withColumn("__keep", _kept(F.sum("__n").over(w_batch), B, keep_short)))
+          .withColumn("__keep", _kept(F.sum("__n").over(w_batch), int(block_size), keep_short)))
     d = d.withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep")))
-    d = d.where(F.col("__end") > F.col("__start"))  # rows past the kept part give nothing
-    first = F.floor(F.col("__start") / F.lit(B)).cast("bigint")
-    last = F.floor((F.col("__end") - 1) / F.lit(B)).cast("bigint")
-    d = d.withColumn("block_no", F.explode(F.sequence(first, last)))
-    d = (d.withColumn("__lo", F.greatest(F.col("block_no") * F.lit(B), F.col("__start")))
-          .withColumn("__hi", F.least((F.col("block_no") + 1) * F.lit(B), F.col("__end"))))
-    return d
+    return d.where(F.col("__end") > F.col("__start"))
+
+
+def _text_cuts(text: str, block_size: int) -> Column:
+    """The text cut at its block boundaries: the first piece fills the block that ``__start`` lies
+    in, all others are whole blocks. One pass over the text."""
+    B = int(block_size)
+    first = (F.lit(B) - F.col("__start") % F.lit(B)).cast("int")
+    rest = F.substring(F.col(text), first + 1, F.length(text))
+    return F.concat(F.array(F.substring(F.col(text), F.lit(1), first)),
+                    F.when(F.col("__n") > first, F.regexp_extract_all(rest, F.lit(f"(?s).{{1,{B}}}"), F.lit(0)))
+                    .otherwise(F.array().cast("array<string>")))
+
+
+def _array_cuts(columns: list, names: list, block_size: int) -> Column:
+    """The arrays cut at their block boundaries (an array of structs of pieces). Elements are taken
+    by position, so the work grows with the row's length, not with its square."""
+    B = int(block_size)
+    begin = F.col("__start")
+
+    def taken(column: str):
+        return lambda i: F.get(F.col(column), i)
+
+    def piece(block: Column) -> Column:
+        low = (F.greatest(block * F.lit(B), begin) - begin).cast("int")
+        high = (F.least((block + 1) * F.lit(B), F.col("__end")) - begin - 1).cast("int")
+        return F.struct(*[F.transform(F.sequence(low, high), taken(c)).alias(n) for c, n in zip(columns, names)])
+
+    first, last = F.floor(begin / F.lit(B)).cast("bigint"), F.floor((F.col("__end") - 1) / F.lit(B)).cast("bigint")
+    return F.transform(F.sequence(first, last), piece)
+
+
+def _exploded(d: DataFrame, cuts: Column, block_size: int, keep: list) -> DataFrame:
+    """One row per piece: ``keep``, ``block_no``, ``__lo`` / ``__hi`` (its token range in the batch
+    stream) and ``__piece``. The whole row's text or arrays go no further."""
+    B = F.lit(int(block_size))
+    d = d.select(*keep, "__start", "__end", F.posexplode(cuts).alias("__i", "__piece"))
+    d = d.withColumn("block_no", (F.floor(F.col("__start") / B) + F.col("__i")).cast("bigint"))
+    d = (d.withColumn("__lo", F.greatest(F.col("block_no") * B, F.col("__start")))
+          .withColumn("__hi", F.least((F.col("block_no") + 1) * B, F.col("__end"))))
+    return d.where(F.col("__hi") > F.col("__lo")).drop("__i", "__start", "__end")
+
+
+def _text_piece() -> Column:
+    """A text piece cut to what is kept of it (at most a block)."""
+    return F.substring(F.col("__piece"), F.lit(1), (F.col("__hi") - F.col("__lo")).cast("int"))
 
 
 def _field(name: str):
@@ -86,13 +124,13 @@ def pack_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_RO
     Output: ``split, batch_id, block_no, <columns...>, labels``.
     """
     cols = list(columns)
-    d = _segments(df, F.size(cols[0]), block_size, rows_per_batch, index_col, split_col, keep_short)
-    first = F.col("__lo") - F.col("__start") + 1
-    span = (F.col("__hi") - F.col("__lo")).cast("int")
-    pieces = F.struct(F.col("__lo").alias("lo"), *[F.slice(c, first.cast("int"), span).alias(c) for c in cols])
+    names = [f"c{i}" for i in range(len(cols))]
+    d = _placed(df, F.size(cols[0]), block_size, rows_per_batch, index_col, split_col, keep_short)
+    d = _exploded(d, _array_cuts(cols, names, block_size), block_size, _batch_cols(split_col))
+    pieces = F.struct(F.col("__lo").alias("lo"), *[F.col(f"__piece.{n}").alias(n) for n in names])
     key = _batch_cols(split_col) + ["block_no"]
     g = d.groupBy(*key).agg(F.array_sort(F.collect_list(pieces)).alias("__p"))
-    out = g.select(*key, *[F.flatten(F.transform("__p", _field(c))).alias(c) for c in cols])
+    out = g.select(*key, *[F.flatten(F.transform("__p", _field(n))).alias(c) for c, n in zip(cols, names)])
     if labels:
         out = out.withColumn("labels", F.col(cols[0]))
     return out
@@ -103,13 +141,12 @@ def pack_text_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAU
                      split_col: str | None = "split", keep_short: bool = True,
                      mask: str | None = "attention_mask", labels: bool = True) -> DataFrame:
     """Same blocks as ``tokenize`` + ``pack_blocks`` for the codepoint tokenizer, whose ids
-    are a per-character map: tokens(a + b) = tokens(a) + tokens(b). Pieces are cut as
-    substrings and each block is tokenized once, so both shuffles move text (1-2 bytes per
+    are a per-character map: tokens(a + b) = tokens(a) + tokens(b). Each text is cut once into
+    its pieces and each block is tokenized once, so both shuffles move text (1-2 bytes per
     character) instead of int arrays (4 bytes per token)."""
-    d = _segments(df, F.length(text_col), block_size, rows_per_batch, index_col, split_col, keep_short)
-    first = (F.col("__lo") - F.col("__start") + 1).cast("int")
-    span = (F.col("__hi") - F.col("__lo")).cast("int")
-    piece = F.struct(F.col("__lo").alias("lo"), F.substring(F.col(text_col), first, span).alias("t"))
+    d = _placed(df, F.length(text_col), block_size, rows_per_batch, index_col, split_col, keep_short)
+    d = _exploded(d, _text_cuts(text_col, block_size), block_size, _batch_cols(split_col))
+    piece = F.struct(F.col("__lo").alias("lo"), _text_piece().alias("t"))
     key = _batch_cols(split_col) + ["block_no"]
     g = d.groupBy(*key).agg(F.array_sort(F.collect_list(piece)).alias("__p"))
     out = g.select(*key, codepoint_ids(F.array_join(F.transform("__p", lambda p: p["t"]), "")).alias("input_ids"))
@@ -285,18 +322,18 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
         out = b.transform(frame.withColumn("__pos", pos))
         return out.withColumn("__owner", _lookup(nonempty, F.col("__oi").cast("int"))).drop("__pos", "__oi")
 
-    def pieces(frame: DataFrame) -> DataFrame:
-        start = F.col("__G") - F.col("__S")
+    def kept_part(frame: DataFrame) -> DataFrame:
         keep = _kept(F.col("__E") - F.col("__S"), B, keep_short)
-        d = (frame.withColumn("__start", start).withColumn("__keep", keep)
-             .withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep")))
-             .where(F.col("__end") > F.col("__start")))
+        return (frame.withColumn("__start", F.col("__G") - F.col("__S")).withColumn("__keep", keep)
+                .withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep")))
+                .where(F.col("__end") > F.col("__start")))
+
+    def touched(frame: DataFrame) -> DataFrame:
+        """The blocks each (narrow) row gives tokens to."""
+        d = kept_part(frame)
         first = F.floor(F.col("__start") / F.lit(B)).cast("bigint")
         last = F.floor((F.col("__end") - 1) / F.lit(B)).cast("bigint")
-        d = d.withColumn("block_no", F.explode(F.sequence(first, last)))
-        d = (d.withColumn("__lo", F.greatest(F.col("block_no") * F.lit(B), F.col("__start")))
-              .withColumn("__hi", F.least((F.col("block_no") + 1) * F.lit(B), F.col("__end"))))
-        return with_owner(d)
+        return with_owner(d.withColumn("block_no", F.explode(F.sequence(first, last))))
 
     w_bucket = Window.partitionBy("__b").orderBy("__key")
     before = F.coalesce(F.sum("__n").over(w_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -315,7 +352,7 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
                          F.lit(None).cast("int").alias("__b"), F.lit(None).cast(key_type).alias("k"),
                          F.lit(None).cast("int").alias("o"), F.lit(None).cast("bigint").alias("no"))
                  .distinct())
-    halo_rows = (pieces(nr).where(F.col("__owner") != F.col("__b")).groupBy("__b")
+    halo_rows = (touched(nr).where(F.col("__owner") != F.col("__b")).groupBy("__b")
                  .agg(F.max("__key").alias("k"), F.min("__owner").cast("int").alias("o"),
                       F.countDistinct("__owner").alias("no"))
                  .select(F.lit("halo").alias("kind"), F.lit(None).cast("string").alias("split"),
@@ -345,13 +382,11 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
     edge_df = spark.createDataFrame(edges or [], "split string, batch_id bigint, __Se bigint, __Ee bigint")
     m = m.join(F.broadcast(edge_df), on=["split", "batch_id"], how="left")  # <= one row per bucket boundary
     m = m.withColumn("__S", F.coalesce("__Se", "__Sl")).withColumn("__E", F.coalesce("__Ee", "__El"))
-    p = pieces(m).where(F.col("__owner") == F.col("__dest"))
-    first = (F.col("__lo") - F.col("__start") + 1).cast("int")
-    span = (F.col("__hi") - F.col("__lo")).cast("int")
-    if text:
-        parts = [F.substring(F.col(fields[0]), first, span).alias("t")]
-    else:
-        parts = [F.slice(F.col(f), first, span).alias(f) for f in fields]
+    names = [f"c{i}" for i in range(len(fields))]
+    cuts = _text_cuts(fields[0], B) if text else _array_cuts(fields, names, B)
+    p = _exploded(kept_part(m), cuts, B, ["__dest", "split", "batch_id", "__S"])
+    p = with_owner(p).where(F.col("__owner") == F.col("__dest"))
+    parts = [_text_piece().alias("t")] if text else [F.col(f"__piece.{n}").alias(n) for n in names]
     piece = F.struct(F.col("__lo").alias("lo"), *parts)
     g = p.groupBy("__dest", "split", "batch_id", "block_no").agg(F.array_sort(F.collect_list(piece)).alias("__p"))
     if text:
@@ -362,7 +397,7 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
         first_col = "input_ids"
     else:
         out = g.select("split", "batch_id", "block_no",
-                       *[F.flatten(F.transform("__p", _field(f))).alias(c) for f, c in zip(fields, payload)])
+                       *[F.flatten(F.transform("__p", _field(n))).alias(c) for n, c in zip(names, payload)])
         first_col = payload[0]
     if labels:
         out = out.withColumn("labels", F.col(first_col))

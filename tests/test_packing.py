@@ -101,21 +101,40 @@ def test_one_shuffle_packing_equals_general_path(spark, seed):
         assert got == expect
 
 
-def test_strategy_auto_follows_input_size(spark, tmpdir_path):
-    from corpusprep.plans.pretrain import input_bytes_at_least, pretrain_blocks
+def test_strategies_agree(spark, tmpdir_path):
+    from corpusprep.plans.pretrain import pretrain_blocks
     spark.createDataFrame([(i, "word " * i) for i in range(50)], "doc_id long, text string") \
         .write.parquet(f"{tmpdir_path}/docs")
     docs = spark.read.parquet(f"{tmpdir_path}/docs")
-    assert input_bytes_at_least(docs, 1) and not input_bytes_at_least(docs, 10 ** 12)
-    a = _blocks(pretrain_blocks(docs, ["doc_id"], block_size=32, rows_per_batch=8, percent=10))
-    spark.conf.set("corpusprep.pack.singleShuffleMinBytes", "1")
-    try:
-        b = _blocks(pretrain_blocks(docs, ["doc_id"], block_size=32, rows_per_batch=8, percent=10))
-    finally:
-        spark.conf.unset("corpusprep.pack.singleShuffleMinBytes")
+    a, b = (_blocks(pretrain_blocks(docs, ["doc_id"], block_size=32, rows_per_batch=8, percent=10, strategy=s))
+            for s in ("two_shuffle", "one_shuffle"))
     assert a == b and a
 
 
+def test_pieces_carry_no_whole_text_and_grow_linearly(spark):
+    import time
+
+    from corpusprep.operators.packing import pack_blocks, pack_text_blocks
+
+    def seconds(n):
+        df = spark.range(1).select(F.lit("train").alias("split"), F.lit(0).cast("bigint").alias("row_idx"),
+                                   F.repeat(F.lit("añ😀b "), n // 5).alias("text"))
+        t0 = time.perf_counter()
+        r = pack_text_blocks(df, 1024, 10).agg(F.count("*"), F.sum(F.size("input_ids"))).first()
+        assert tuple(r) == (n // 1024, n // 1024 * 1024)
+        return time.perf_counter() - t0
+
+    seconds(1_000_000)
+    assert seconds(20_000_000) < 60
+    df = spark.range(1).select(F.lit("train").alias("split"), F.col("id").alias("row_idx"), F.lit("x").alias("text"))
+    plan = pack_text_blocks(df, 16, 10)._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = plan[plan.index("Aggregate"):]
+    assert "text#" not in aggregate.split("Generate")[0]
+    long = spark.range(1).select(F.lit("train").alias("split"), F.col("id").alias("row_idx"), F.sequence(F.lit(1), F.lit(300_000)).alias("input_ids"))
+    long = long.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    assert pack_blocks(long, 1000, 10).agg(F.sum(F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] == 300_000 * 300_001 // 2
+
+
 def test_batch_total_exactly_one_block_and_huge_document(spark):
     df = tokenize(_rows(spark, [2, 2]))                       # 4 tokens, block 4: one full block
     assert [len(b[2]) for b in _blocks(pack_blocks(df, 4, 10))] == [4]
