@@ -66,15 +66,17 @@ def collate(df: DataFrame, *, batch_cols=("batch_no",), pos_col: str = "pos",
 
     d = df
     label_cols = []
+    whole = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
     if "label" in fields:
-        ltype = "bigint" if isinstance(fields["label"], (T.IntegerType, T.LongType, T.ShortType,
-                                                         T.ByteType, T.BooleanType)) else "double"
+        ltype = "bigint" if isinstance(fields["label"], whole) else "double"
         label_cols.append(F.when(first("label").isNotNull(), F.col("label").cast(ltype)).alias("labels"))
-        if "label_ids" in fields:  # label wins; label_ids only where the first label is NULL
-            label_cols.append(F.when(first("label").isNull() & first("label_ids").isNotNull(),
-                                     F.col("label_ids")).alias("labels_seq"))
-    elif "label_ids" in fields:
-        label_cols.append(F.when(first("label_ids").isNotNull(), F.col("label_ids")).alias("labels"))
+    if "label_ids" in fields:
+        ltype = "bigint" if isinstance(fields["label_ids"].elementType, whole) else "double"
+        ids = F.col("label_ids").cast(f"array<{ltype}>")
+        if "label" in fields:  # label wins; label_ids only where the first label is NULL
+            label_cols.append(F.when(first("label").isNull() & first("label_ids").isNotNull(), ids).alias("labels_seq"))
+        else:
+            label_cols.append(F.when(first("label_ids").isNotNull(), ids).alias("labels"))
     others = [c for c, t in fields.items()
               if c not in keys and c not in ("label", "label_ids") and not isinstance(t, T.StringType)]
     arrays = [c for c in others if isinstance(fields[c], T.ArrayType)]
@@ -111,14 +113,15 @@ def pad_to_longest(df: DataFrame, *, batch_cols=("batch_no",), columns: dict | N
 def epoch_plan(df: DataFrame, batch_size: int, *, split_col: str | None = "split",
                accumulation: int = 1, epochs: int = 1, processes: int = 1,
                max_steps: int | None = None) -> DataFrame:
-    """Per split: examples, batches = ceil(n / bs), updates per epoch = ceil(batches / accum),
-    total updates = epochs * updates (or ``max_steps`` when given), total batch size =
+    """Per split: examples, batches = ceil(n / bs), batches per process = ceil(batches / processes)
+    (the loader is spread over them), updates per epoch = ceil(batches per process / accum), total updates = epochs * updates (or ``max_steps`` when given), total batch size =
     bs * processes * accum."""
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_examples")]
     g = df.groupBy(split_col).agg(*aggs) if split_col else df.agg(*aggs)
     batches = F.ceil(F.col("n_examples") / F.lit(int(batch_size))).cast("bigint")
     g = g.withColumn("batches", batches)
-    updates = F.ceil(F.col("batches") / F.lit(int(accumulation))).cast("bigint")
+    share = F.ceil(F.col("batches") / F.lit(int(processes)))
+    updates = F.ceil(share / F.lit(int(accumulation))).cast("bigint")
     g = g.withColumn("updates_per_epoch", updates)
     total = F.lit(int(max_steps)).cast("bigint") if max_steps else (F.col("updates_per_epoch") * F.lit(int(epochs))).cast("bigint")
     g = g.withColumn("total_updates", total)
@@ -160,18 +163,20 @@ def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, s
 
     # per (group, bucket) counts -> where each bucket starts inside its group
     counts = {tuple(r[:-1]): r[-1] for r in based.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("c")).collect()}
-    offsets, heads = {}, {}
-    for g in sorted({k[:-1] for k in counts}, key=str):
-        buckets = sorted(k[-1] for k in counts if k[:-1] == g)
-        acc, starts = 0, []
-        for b in buckets:
+    offsets, heads, by_group = {}, {}, {}
+    for k in sorted(counts, key=lambda k: k[-1]):
+        by_group.setdefault(k[:-1], []).append(k[-1])
+    for g in by_group:
+        acc, owner = 0, None  # owner: the bucket in which the batch that is open at ``acc`` starts
+        for b in by_group[g]:
+            n = counts[g + (b,)]
             offsets[g + (b,)] = acc
-            starts.append((acc, b))
             first = (acc // bs) * bs
             if first < acc:  # the bucket begins inside a batch that started earlier
-                owner = max(sb for so, sb in starts if so <= first and counts[g + (sb,)] > 0)
-                heads[g + (b,)] = (min(counts[g + (b,)], first + bs - acc), owner)
-            acc += counts[g + (b,)]
+                heads[g + (b,)] = (min(n, first + bs - acc), owner)
+            acc += n
+            if (acc - 1) // bs * bs >= acc - n:  # the last batch begins in this bucket
+                owner = b
     off_df = spark.createDataFrame([(*k, v) for k, v in offsets.items()],
                                    based.select(*groups, "__b").schema.add("__off", T_.LongType()))
 

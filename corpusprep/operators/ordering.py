@@ -45,15 +45,17 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
-MAX_DEFAULT_BUCKETS = 100_000
+def default_buckets(df: DataFrame) -> int:
+    """Two buckets per shuffle partition (enough to spread hash collisions): with shuffle
+    partitions sized to the data a bucket window stays near a partition's size."""
+    return max(2, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Two buckets per shuffle partition (enough to spread hash collisions), at most 100,000:
-    with shuffle partitions sized to the data (~200 MB each) a bucket window stays near that
-    size up to about 20 TB of ordered rows, and near 1 GB at 100 TB."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(2 * parts, MAX_DEFAULT_BUCKETS))
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, on)`` that also matches NULL keys with NULL keys. ``right`` has one row per key."""
+    renamed = right.select(*[F.col(c).alias(f"__on_{c}") if c in on else F.col(c) for c in right.columns])
+    match = [left[c].eqNullSafe(renamed[f"__on_{c}"]) for c in on]
+    return left.join(renamed, match, how).drop(*[f"__on_{c}" for c in on])
 
 
 def seeded_order_key(seed: int, id_col) -> Column:
@@ -78,8 +80,8 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
         lo, hi = uniform_range
         bounds = [lo + (hi - lo) * i / num_buckets for i in range(1, num_buckets)]
     else:
-        # balance only needs to be approximate; the floor keeps the quantile summaries small
-        err = relative_error if relative_error is not None else max(1.0 / (10.0 * num_buckets), 1e-5)
+        # balance only needs to be approximate: a tenth of a bucket
+        err = relative_error if relative_error is not None else 1.0 / (10.0 * num_buckets)
         probs = [i / num_buckets for i in range(1, num_buckets)]
         bounds = tmp.approxQuantile("__bk", probs, err)  # one pass over the key column
     inner = sorted({b for b in bounds if b == b and b not in (float("inf"), float("-inf"))})
@@ -156,7 +158,7 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     if not groups:
         offsets = F.broadcast(offsets)  # one row per bucket: a fixed, small bound
 
-    out = local.join(offsets, on=cell, how="inner")
+    out = null_safe_join(local, offsets, cell)
     out = out.withColumn(name, (F.col("__off") + F.col("__rank")).cast("bigint"))
     for k in sums:
         out = out.withColumn(k, F.col(f"__o_{k}") + F.col(f"__l_{k}"))
@@ -197,7 +199,7 @@ def grouped_scan(df: DataFrame, partition_by, step: str, aggs: dict, *,
         prev_cols.append(fn(f"__tot_{out}").over(w_chunks).alias(f"__prev_{out}"))
     # chunk totals (one row per chunk): pruned by Catalyst to the step and value columns
     chunk_prev = d.groupBy(*cell).agg(*tot_aggs).select(*cell, *prev_cols)
-    out_df = d.join(chunk_prev, on=cell, how="inner")
+    out_df = null_safe_join(d, chunk_prev, cell)
     for out, (op, _c) in aggs.items():
         _, combine = _SCAN_OPS[op]
         out_df = out_df.withColumn(out, combine(F.col(f"__prev_{out}"), F.col(f"__loc_{out}")))
@@ -238,7 +240,10 @@ def _split_by_boundary(df: DataFrame, order_by, percent: float, split_col: str,
     if not last:
         return df.withColumn(split_col, F.lit("train"))
     boundary = F.lit(last[0]["__k"]) if len(cols) == 1 else F.struct(*[F.lit(last[0]["__k"][c]).alias(c) for c in cols])
-    return df.withColumn(split_col, F.when(key <= boundary, F.lit("validation")).otherwise(F.lit("train")))
+    first = key <= boundary
+    if len(cols) == 1:  # NULL keys come first in the order
+        first = key.isNull() | F.coalesce(first, F.lit(False))
+    return df.withColumn(split_col, F.when(first, F.lit("validation")).otherwise(F.lit("train")))
 
 
 def choose_validation(train: DataFrame, validation: DataFrame | None = None, *, order_by=None,
@@ -269,30 +274,11 @@ def head_limit(df: DataFrame, n, *, index_col: str = "row_idx", split_col: str =
     return df.where(F.col(index_col) < F.lit(int(n)))
 
 
-TOPK_MAX_ROWS = 100_000
-
-
-def first_rows(df: DataFrame, order_by, n: int | None, *, name: str = "row_idx", bucket_key=None,
-               topk_max_rows: int = TOPK_MAX_ROWS) -> DataFrame:
-    """The first ``n`` rows in ``order_by`` order with their position ``name``.
-
-    Up to ``topk_max_rows`` this is a top-k over the key columns (``orderBy().limit(n)``: each
-    task keeps ``n`` keys, one task merges them), numbered, and broadcast-joined back to the
-    rows (a bounded broadcast; the table is not shuffled). Larger ``n`` (or ``None``: every
-    row) takes ``row_index`` and a filter."""
-    cols = order_by if isinstance(order_by, (list, tuple)) else [order_by]
-    keys = [_col(c) for c in cols]
-    if n is not None and 0 < n <= topk_max_rows:
-        if all(isinstance(c, str) for c in cols):
-            # top-k over the key columns only (tasks hold n small keys, not n rows), numbered,
-            # then broadcast back: at most n keys, and the rows themselves are not shuffled
-            top = df.select(*cols).orderBy(*keys).limit(int(n))
-            top = top.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
-            return df.join(F.broadcast(top), on=list(cols), how="inner")
-        top = df.orderBy(*keys).limit(int(n))
-        return top.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))
-    idx = row_index(df, order_by, name=name, bucket_key=bucket_key)
-    return head_limit(idx, n, index_col=name)
+def first_rows(df: DataFrame, order_by, n: int | None, *, name: str = "row_idx", bucket_key=None) -> DataFrame:
+    """The first ``n`` rows in ``order_by`` order with their position ``name`` (``None``: every
+    row): a row index and a filter, the same plan and answer for every ``n``. NULL keys come
+    first; of rows with equal keys exactly as many are taken as ``n`` allows."""
+    return head_limit(row_index(df, order_by, name=name, bucket_key=bucket_key), n, index_col=name)
 
 
 def seeded_shuffle(df: DataFrame, seed: int, id_col: str, *, name: str = "shuffle_idx",

@@ -33,6 +33,18 @@ def filter_pair_length(df: DataFrame, max_length: int = DEFAULT_PAIR_MAX_LENGTH,
     return df.where(pair_length_ok(prompt, chosen, rejected, max_length))
 
 
+def rejected_pairs(df: DataFrame, max_length: int | None = DEFAULT_PAIR_MAX_LENGTH, *, prompt: str = "prompt",
+                   chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
+    """Quarantine for ``filter_pair_length`` on wrapped pairs: the rows it leaves out, each with a ``reason`` (a NULL
+    cell, or too long). ``max_length=None``: only NULL cells count. Kept and quarantined rows together are all rows."""
+    reason = F.lit(None).cast("string")
+    if max_length is not None:
+        reason = F.when(~pair_length_ok(prompt, chosen, rejected, max_length), F.lit("pair too long"))
+    for c in (rejected, chosen, prompt):
+        reason = F.when(F.col(c).isNull(), F.lit(f"{c} is NULL")).otherwise(reason)
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def prompt_length(transcript, marker: str = ASSISTANT_MARKER) -> Column:
     """Characters up to and including the last ``marker``; 0 when the marker is absent."""
     t = _col(transcript)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import CHECKPOINT_RING_SIZE
 from corpusprep.functions.arrays import argmax
-from corpusprep.operators.ordering import grouped_scan
+from corpusprep.operators.ordering import grouped_scan, null_safe_join
 
 
 def _col(c) -> Column:
@@ -100,7 +100,7 @@ def final_best(evals: DataFrame, *, run: str = "run", step: str = "completed_ste
                loss: str = "eval_loss") -> DataFrame:
     """Best evaluation per run: the lowest loss, the earliest such step on ties (a later
     equal loss is not strictly lower, so the first one stays best)."""
-    d = evals.where(~F.isnan(loss))
+    d = evals.where(F.col(loss).isNotNull() & ~F.isnan(loss))  # a missing loss is never best
     best = F.min(F.struct(F.col(loss).alias("l"), F.col(step).alias("s"))).alias("__b")
     return d.groupBy(run).agg(best).select(run, F.col("__b.l").alias("best_loss"), F.col("__b.s").alias("best_step"))
 
@@ -122,7 +122,7 @@ def epoch_summary(evals: DataFrame, *, run: str = "run", epoch: str = "epoch",
     per_epoch = evals.groupBy(run, epoch).agg(F.max_by(F.col(loss), F.col(step)).alias(loss),
                                              F.max(step).alias(step))
     last = per_epoch.groupBy(run).agg(F.max(epoch).alias("__last"))
-    out = per_epoch.join(last, on=run, how="inner")
+    out = null_safe_join(per_epoch, last, [run])
     return out.select(run, epoch, step, loss, perplexity(loss).alias("perplexity"),
                       (F.col(epoch) == F.col("__last")).alias("is_final"))
 

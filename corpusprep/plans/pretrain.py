@@ -30,43 +30,20 @@ def _order_cols(order_by) -> list:
     return [c for c in cols if isinstance(c, str)]
 
 
-SINGLE_SHUFFLE_CONF = "corpusprep.pack.singleShuffleMinBytes"
-SINGLE_SHUFFLE_MIN_BYTES = 8 * 1024 ** 3
-
-
-def input_bytes_at_least(df: DataFrame, threshold: int) -> bool:
-    """True when the files behind ``df`` hold at least ``threshold`` bytes. Reads file sizes
-    from the file system (no job) and stops as soon as the threshold is passed."""
-    files = df.inputFiles()
-    if not files:
-        return False
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for uri in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        if total >= threshold:
-            return True
-    return False
-
-
 def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFrame | None = None,
                     percent: float = DEFAULT_VALIDATION_PERCENT, block_size: int = DEFAULT_BLOCK_SIZE,
                     rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, tokenizer="codepoint",
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
                     max_train_samples: int | None = None, max_eval_samples: int | None = None,
-                    strategy: str = "auto", length_col: str | None = None,
+                    strategy: str = "two_shuffle", length_col: str | None = None,
                     token_store: str | None = None) -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
     ``block_idx`` when a sample limit is given; the limit counts blocks).
 
-    ``strategy``: ``"one_shuffle"`` moves the text through one shuffle (``pack_corpus_text``)
-    at the price of a narrow pre-pass that reads the key and text lengths; ``"two_shuffle"``
-    orders (``row_index``) and then packs. ``"auto"`` takes the one-shuffle plan when the input
-    files hold at least ``corpusprep.pack.singleShuffleMinBytes`` (default 8 GiB): below that
-    the extra jobs cost more than the saved shuffle. ``length_col`` (a stored character count,
-    e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row.
+    ``strategy``: ``"two_shuffle"`` orders (``row_index``) and then packs; ``"one_shuffle"`` moves
+    the text through one shuffle (``pack_corpus_text``) at the price of a narrow pre-pass that
+    reads the key and text lengths. The caller chooses; the size of the input does not. ``length_col``
+    (a stored character count, e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row.
 
     With a model tokenizer the one-shuffle plan needs ``token_store`` (a shared folder): the
     corpus is tokenized once into it (``store_tokens``) and the stored arrays are packed with
@@ -75,9 +52,6 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     codepoint = tokenizer in (None, "codepoint")
     fusable = (codepoint and all(isinstance(c, str) for c in order_by)
                and (bucket_key is not None or len(order_by) == 1))
-    if strategy == "auto":
-        threshold = int(docs.sparkSession.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
-        strategy = "one_shuffle" if fusable and input_bytes_at_least(docs, threshold) else "two_shuffle"
     if strategy == "one_shuffle" and not codepoint and token_store:
         from corpusprep.operators.packing import pack_corpus_ids
         from corpusprep.operators.tokenizing import store_tokens
@@ -121,26 +95,18 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
 
 
 def _limit(blocks: DataFrame, max_train_samples, max_eval_samples) -> DataFrame:
-    """Sample limits count blocks (``block_idx``: dense position in the split). A small limit is
-    a top-k over ``(batch_id, block_no)``; otherwise blocks are numbered by running sums over
-    per-batch counts."""
-    from corpusprep.operators.ordering import TOPK_MAX_ROWS, first_rows
+    """Sample limits count blocks (``block_idx``: dense position in the split, from running sums
+    over per-batch block counts)."""
     if not (max_train_samples or max_eval_samples):
         return blocks
-    parts = []
-    for name, limit in (("train", max_train_samples), ("validation", max_eval_samples)):
-        part = blocks.where(F.col("split") == name)
-        if limit is not None and 0 < limit <= TOPK_MAX_ROWS:
-            parts.append(first_rows(part, ["batch_id", "block_no"], limit, name="block_idx"))
-        else:
-            parts.append(head_limit(number_blocks(part), limit, index_col="block_idx"))
-    return parts[0].unionByName(parts[1])
+    limits = {"train": max_train_samples, "validation": max_eval_samples}
+    return head_limit(number_blocks(blocks), limits, index_col="block_idx")
 
 
 def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None, *,
                         keep_linebreaks: bool = True, percent: float = DEFAULT_VALIDATION_PERCENT,
                         block_size: int = DEFAULT_BLOCK_SIZE, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH,
-                        keep_short: bool = True, strategy: str = "auto") -> DataFrame:
+                        keep_short: bool = True, strategy: str = "two_shuffle") -> DataFrame:
     """Corpus folders -> packed blocks. Rows keep file order (file rank, split start, position);
     without a validation folder the first ``percent`` of train rows become validation.
     ``strategy`` as for ``pretrain_blocks`` (the one-shuffle plan orders by the file position
@@ -149,9 +115,6 @@ def pretrain_from_files(spark, train_dir: str, validation_dir: str | None = None
     parts = read_corpus(spark, train_dir, validation_dir, keep_linebreaks=keep_linebreaks)
     order = ["file_rank", "file_block", "file_row"]
     key = F.col("file_pos")
-    if strategy == "auto":
-        threshold = int(spark.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
-        strategy = "one_shuffle" if input_bytes_at_least(parts["train"], threshold) else "two_shuffle"
     if strategy == "one_shuffle":
         if "validation" not in parts:
             return pack_corpus_text(parts["train"], order, block_size, rows_per_batch, percent=percent,

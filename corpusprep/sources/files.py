@@ -8,6 +8,8 @@ count as different). Rows keep their file order through a position key:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,9 +47,12 @@ def discover_files(spark: SparkSession, directory: str | None, extensions=CORPUS
 
 
 def _metadata_form(spark: SparkSession, path: str) -> str:
-    """The spelling ``_metadata.file_path`` uses for ``path`` (an encoded URI)."""
+    """The spelling ``_metadata.file_path`` uses for ``path``: an encoded URI with its file system,
+    also for a path given without one."""
     jvm = spark.sparkContext._jvm
-    return jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+    path = jvm.org.apache.hadoop.fs.Path(path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().toString()
 
 
 def extension(path: str) -> str:
@@ -87,7 +92,9 @@ def with_file_position(df: DataFrame, files: list[str] | None = None, name: str
     # one row per file: broadcast when its size is known to be small, else a shuffle join
     # (AQE splits a file holding many rows)
     small = sum(len(k) + 16 for k in keys) <= RANK_BROADCAST_BYTES
-    d = d.join(F.broadcast(ranks) if small else ranks, on="__path", how="inner").drop("__path")
+    d = d.join(F.broadcast(ranks) if small else ranks, on="__path", how="left")
+    unknown = F.raise_error(F.concat(F.lit("no rank for file "), F.col("__path"))).cast("bigint")
+    d = d.withColumn("file_rank", F.coalesce("file_rank", unknown)).drop("__path")
     key = F.col("file_rank").cast("double") * F.lit(float(2 ** 40)) + F.col("file_block").cast("double")
     return d.withColumn(name, key)
 
@@ -134,16 +141,35 @@ def read_corpus(spark: SparkSession, train_dir: str, validation_dir: str | None
     return out
 
 
+def csv_by_header(spark: SparkSession, path: str, columns=("prompt", "chosen", "rejected")) -> list[DataFrame]:
+    """The CSV files of a path, one frame per distinct header (files may name the columns in any
+    order): ``columns`` by name, as text. Each file is checked against its own header."""
+    listed = spark.read.text(path, recursiveFileLookup=True) if "*" not in path else spark.read.text(path)
+    lines = listed.select("value", F.col("_metadata.file_path").alias("file"),
+                          F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    jvm = spark.sparkContext._jvm
+    frames = []
+    for g in groups:  # one per distinct header; the files of a folder are listed on the driver anyway
+        files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in g["files"]]
+        df = (spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
+              .option("escape", '"').option("enforceSchema", "false").option("mode", "FAILFAST").csv(files))
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"CSV {files[0]} lacks columns {missing} (has {df.columns})")
+        frames.append(df.select(*[F.col(c).cast("string") for c in columns]))
+    if not frames:
+        raise ValueError(f"no CSV rows under {path}")
+    return frames
+
+
 def read_pairs_csv(spark: SparkSession, path: str, *, columns=("prompt", "chosen", "rejected")) -> DataFrame:
-    """Preference CSV with a header: columns are taken by header name (any order, other
-    columns ignored), all as text; quoted newlines and doubled quotes inside fields, blank
-    cells read as NULL."""
-    df = (spark.read.option("header", "true").option("inferSchema", "false").option("multiLine", "true")
-          .option("escape", '"').option("mode", "FAILFAST").csv(path))
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"CSV {path} lacks columns {missing} (has {df.columns})")
-    return df.select(*[F.col(c).cast("string") for c in columns])
+    """Preference CSV with a header: columns are taken by header name (any order, also different
+    orders in different files; other columns ignored), all as text; quoted newlines and doubled
+    quotes inside fields, blank cells read as NULL. A file with quoted newlines cannot be split: one task
+    per file, so large tables should come as many files."""
+    return reduce(DataFrame.unionByName, csv_by_header(spark, path, columns))
 
 
 def read_split(spark: SparkSession, directory: str, split: str, *, split_col: str = "split") -> DataFrame:

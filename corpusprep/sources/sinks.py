@@ -16,22 +16,37 @@ def fingerprint(params: dict, input_files: list[str] | None = None) -> str:
     return hashlib.sha256(payload.encode()).hexdigest()
 
 
+def file_states(spark: SparkSession, input_files: list[str] | None) -> list[str]:
+    """Path, length and modification time of every input file, so changed content is noticed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in input_files or []:
+        path = jvm.org.apache.hadoop.fs.Path(name if "%" not in name else jvm.java.net.URI(name))
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            out.append(f"{name} absent")
+            continue
+        status = fs.getFileStatus(path)
+        out.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return out
+
+
 def stored_fingerprint(spark: SparkSession, directory: str) -> str | None:
-    try:
-        rows = spark.read.json(f"{directory}/{FINGERPRINT_DIR}").select("fingerprint").collect()
-    except Exception:  # absent folder
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{directory}/{FINGERPRINT_DIR}")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return None
+    rows = spark.read.json(f"{directory}/{FINGERPRINT_DIR}").select("fingerprint").collect()
     return rows[0][0] if rows else None
 
 
 def write_prepared(df: DataFrame, directory: str, *, params: dict, input_files: list[str] | None = None,
                    overwrite: bool = False, split_col: str | None = "split") -> tuple[DataFrame, bool]:
     """Write the prepared table partitioned by split, unless the folder already holds a table
-    made from the same parameters and input files (then it is reused). Returns the stored
+    made from the same parameters and unchanged input files (then it is reused). Returns the stored
     table and whether it was reused. Written through Spark's committer, so a lost executor
     only repeats its tasks."""
     spark = df.sparkSession
-    fp = fingerprint(params, input_files)
+    fp = fingerprint(params, file_states(spark, input_files))
     if not overwrite and stored_fingerprint(spark, directory) == fp:
         return spark.read.parquet(directory), True
     writer = df.write.mode("overwrite")

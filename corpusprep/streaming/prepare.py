@@ -50,14 +50,13 @@ def pack_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
                 block_size: int = DEFAULT_BLOCK_SIZE, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH,
                 schema: T.StructType = TEXT_SCHEMA, text_col: str = "text", fmt: str = "json",
                 available_now: bool = True, max_files_per_trigger: int | None = 1000,
-                strategy: str = "auto") -> StreamingQuery:
+                strategy: str = "two_shuffle") -> StreamingQuery:
     """Tokenize (codepoint) and pack each micro-batch: rows in file order, batches of
     ``rows_per_batch``, blocks of ``block_size``. Output columns as ``pack_text_blocks`` plus
-    ``stream_batch`` (the micro-batch id). ``strategy`` as for ``pretrain_blocks``; ``auto``
-    compares the micro-batch's file bytes with ``corpusprep.pack.singleShuffleMinBytes``."""
+    ``stream_batch`` (the micro-batch id). ``strategy`` as for ``pretrain_blocks``. Row batches
+    start anew in every micro-batch, so blocks depend on which files arrive together."""
     from corpusprep.operators.ordering import row_index
     from corpusprep.operators.packing import pack_corpus_text, pack_text_blocks
-    from corpusprep.plans.pretrain import SINGLE_SHUFFLE_CONF, SINGLE_SHUFFLE_MIN_BYTES
 
     src = read_stream(spark, in_dir, schema, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
     src = src.select(text_col, F.col("_metadata.file_path").alias("__file"),
@@ -73,11 +72,7 @@ def pack_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str,
             if not files:
                 return
             rows = with_file_position(batch.drop("__size"), files, path_col="__file", block_col="__block")
-            plan = strategy
-            if plan == "auto":
-                threshold = int(spark.conf.get(SINGLE_SHUFFLE_CONF, str(SINGLE_SHUFFLE_MIN_BYTES)))
-                plan = "one_shuffle" if sum(r[1] for r in listed) >= threshold else "two_shuffle"
-            if plan == "one_shuffle":
+            if strategy == "one_shuffle":
                 blocks = pack_corpus_text(rows, order, block_size, rows_per_batch, text_col=text_col,
                                           bucket_key=F.col("file_pos")).drop("split")
             else:

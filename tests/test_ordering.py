@@ -107,12 +107,28 @@ def test_choose_validation_given_or_cut(spark):
     assert sorted(r.k for r in cut.where("split = 'validation'").collect()) == [0, 1]
 
 
-def test_first_rows_topk_and_large(spark):
+def test_null_groups_steps_and_keys_stay(spark):
+    from corpusprep.operators.ordering import first_rows, grouped_scan, row_index
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("a", 1, 7), ("a", None, 8)], "g string, s long, v long")
+    got = sorted((str(r.g), str(r.s), r.row_idx) for r in row_index(df, ["s"], partition_by="g").collect())
+    assert got == [("None", "1", 0), ("None", "2", 1), ("a", "1", 1), ("a", "None", 0)]
+    got = sorted((str(r.g), str(r.s), r.t) for r in grouped_scan(df, ["g"], "s", {"t": ("sum", "v")}).collect())
+    assert [x[:2] for x in got] == [("None", "1"), ("None", "2"), ("a", "1"), ("a", "None")] and [x[2] for x in got[:2]] == [5, 11]
+    keys = spark.createDataFrame([(None,), (1,), (1,), (1,), (2,)], "k long")
+    for n in (1, 2, 3, 5):
+        assert [r.k for r in sorted(first_rows(keys, ["k"], n).collect(), key=lambda r: r.row_idx)] == [None, 1, 1, 1, 2][:n]
+    many = spark.createDataFrame([(None, "x")] + [(i, "x") for i in range(39)], "k long, text string")
+    a = head_percent_split(many, ["k"], 5).select("k", "split")
+    b = head_percent_split(many, ["k"], 5, keep_index=False).select("k", "split")
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_first_rows_small_and_large(spark):
     from corpusprep.operators.ordering import first_rows
     df = spark.range(500).withColumnRenamed("id", "k").repartition(7)
     small = first_rows(df, ["k"], 20)
     assert [(r.k, r.row_idx) for r in small.orderBy("k").collect()] == [(i, i) for i in range(20)]
-    big = first_rows(df, ["k"], 300, topk_max_rows=100)
+    big = first_rows(df, ["k"], 300)
     assert sorted(r.row_idx for r in big.collect()) == list(range(300))
     assert first_rows(df, ["k"], None).count() == 500
 
