@@ -38,7 +38,7 @@ def test_every_query_has_an_oracle_or_is_known():
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents conversations labels benchmark events embeddings").split():
+    for t in ("documents conversations labels benchmark events embeddings pages").split():
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
