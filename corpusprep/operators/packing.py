@@ -198,11 +198,6 @@ def packing_report(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT
     return per_batch.groupBy(*outer).agg(*agg) if outer else per_batch.agg(*agg)
 
 
-def _lookup(values: list, index: Column) -> Column:
-    """``values[index]`` from a literal array planted in the plan (one entry per bucket)."""
-    return F.element_at(F.lit(values), index + 1)
-
-
 def pack_corpus_text(df: DataFrame, key, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                      text_col: str = "text", percent: float | None = None, keep_short: bool = True,
                      mask: str | None = "attention_mask", labels: bool = True, bucket_key=None,
@@ -301,26 +296,33 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
     total_rows = r_acc
     cut = 0 if percent is None else int(round(total_rows * float(percent) / 100.0))  # half-even, like bround
 
+    spark = based.sparkSession
+    offsets = spark.createDataFrame([(b, r, t) for b, (r, t) in enumerate(zip(row_off, tok_off))],
+                                    "__b int, __ro bigint, __to bigint")  # one row per bucket
+
     def place(frame: DataFrame, rank: Column, before: Column) -> DataFrame:
         frame = frame.withColumn("__rank", rank).withColumn("__before", before)
-        g = _lookup(row_off, F.col("__b")) + F.col("__rank")
-        G = _lookup(tok_off, F.col("__b")) + F.col("__before")
+        frame = frame.join(F.broadcast(offsets), "__b")
+        g = F.col("__ro") + F.col("__rank")
+        G = F.col("__to") + F.col("__before")
         split = F.when(g < F.lit(cut), F.lit("validation")).otherwise(F.lit("train"))
         row_idx = F.when(g < F.lit(cut), g).otherwise(g - F.lit(cut))
         return (frame.withColumn("__G", G.cast("bigint")).withColumn("split", split)
-                .withColumn("batch_id", F.floor(row_idx / F.lit(R)).cast("bigint")).drop("__rank", "__before"))
+                .withColumn("batch_id", F.floor(row_idx / F.lit(R)).cast("bigint")).drop("__rank", "__before", "__ro", "__to"))
 
     # owner bucket of a global token position: the bucket whose token range holds it
     nonempty = [b for b in range(width) if stats.get(b, (0, 0))[1]]
     owner_splits = [float("-inf")] + [float(tok_off[b]) for b in nonempty[1:]] + [float("inf")]
 
+    owners = spark.createDataFrame([(float(i), b) for i, b in enumerate(nonempty)], "__oi double, __owner int")
+
     def with_owner(frame: DataFrame) -> DataFrame:
         pos = (F.col("__S") + F.col("block_no") * F.lit(B)).cast("double")
         if len(owner_splits) < 3:
             return frame.withColumn("__owner", F.lit(nonempty[0] if nonempty else 0))
         b = Bucketizer(splits=owner_splits, inputCol="__pos", outputCol="__oi")
         out = b.transform(frame.withColumn("__pos", pos))
-        return out.withColumn("__owner", _lookup(nonempty, F.col("__oi").cast("int"))).drop("__pos", "__oi")
+        return out.join(F.broadcast(owners), "__oi").drop("__pos", "__oi")
 
     def kept_part(frame: DataFrame) -> DataFrame:
         keep = _kept(F.col("__E") - F.col("__S"), B, keep_short)
@@ -364,7 +366,6 @@ def _pack_corpus_body(based: DataFrame, narrow: DataFrame, B: int, R: int, perce
     if any(v[2] > 1 for v in halo.values()):
         raise AssertionError("a bucket continues blocks of more than one earlier bucket")
     # -- main pass: the text crosses the network once, partitioned by destination bucket
-    spark = based.sparkSession
     halo_df = spark.createDataFrame(  # one row per bucket at most: a bounded broadcast
         [(b, k, o) for b, (k, o, _n) in halo.items()],
         T.StructType([T.StructField("__b", T.IntegerType()), T.StructField("__klim", key_type),

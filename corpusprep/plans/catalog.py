@@ -142,11 +142,9 @@ def _split_docs(spark, sf_dir) -> DataFrame:
 
 
 def _split_only(spark, sf_dir) -> DataFrame:
-    """Documents with ``split`` only: the rows are not shuffled (boundary key + comparison).
-    The scan is spread over the session's cores when the file gives fewer tasks."""
+    """Documents with ``split`` only: the rows are not shuffled (boundary key + comparison)."""
     from corpusprep.operators.ordering import head_percent_split
-    from corpusprep.operators.tokenizing import spread
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return head_percent_split(docs.select("doc_id", "text", "source", "lang"), ["doc_id"], 5, keep_index=False)
 
 
@@ -219,7 +217,7 @@ def q_packing_report(spark, sf_dir):
 
 
 @register("pack_limited", f"""
-SELECT split, batch_id, block_no, n_tokens, block_idx FROM (
+SELECT split, batch_id, block_no, n_tokens, ids, block_idx FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY split ORDER BY batch_id, block_no) - 1 AS BIGINT) AS block_idx
   FROM ({sql_pack(1024, 100)}) AS p) AS q
 WHERE (split = 'train' AND block_idx < 500) OR (split = 'validation' AND block_idx < 20)""")
@@ -228,7 +226,7 @@ def q_pack_limited(spark, sf_dir):
     from corpusprep.plans.pretrain import pretrain_blocks
     b = pretrain_blocks(table(spark, sf_dir, "documents"), ["doc_id"], block_size=1024, rows_per_batch=100,
                         max_train_samples=500, max_eval_samples=20)
-    return b.select("split", "batch_id", "block_no", F.size("input_ids").cast("bigint").alias("n_tokens"), "block_idx")
+    return b.select("split", "batch_id", "block_no", F.size("input_ids").cast("bigint").alias("n_tokens"), ids_text("input_ids").alias("ids"), "block_idx")
 
 
 @register("split_counts", f"""
@@ -436,14 +434,12 @@ def q_wrap_prompt(spark, sf_dir):
 @register("pair_length_filter", f"""
 WITH {SQL_EXCHANGES.strip()},
 w AS (SELECT conv_id, turn, {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs)
-SELECT conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len, CAST(length(chosen) AS BIGINT) AS chosen_len,
-       CAST(length(rejected) AS BIGINT) AS rejected_len
+SELECT conv_id, turn, prompt, chosen, rejected
 FROM w WHERE length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024""")
 def q_pair_length_filter(spark, sf_dir):
     """Wrapped pairs kept when prompt + chosen and prompt + rejected fit 1024 characters."""
     from corpusprep.operators.preference import filter_pair_length, wrap_prompt
-    w = filter_pair_length(wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn")), 1024)
-    return w.select("conv_id", "turn", *[F.length(c).cast("bigint").alias(f"{c}_len") for c in ("prompt", "chosen", "rejected")])
+    return filter_pair_length(wrap_prompt(_pairs(spark, sf_dir), keep=("conv_id", "turn")), 1024)
 
 
 @register("pair_sanity_head", f"""
@@ -523,14 +519,14 @@ def q_transcript_split(spark, sf_dir):
 # ------------------------------------------------------------------------------------------------
 
 SQL_BATCHES = f"""
-bt AS (SELECT doc_id, source, idx // 8 AS batch_no, idx % 8 AS pos FROM (
-         SELECT doc_id, source, row_number() OVER (ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='doc_id')}, doc_id) - 1 AS idx
+bt AS (SELECT doc_id, source, text, idx // 8 AS batch_no, idx % 8 AS pos FROM (
+         SELECT doc_id, source, text, row_number() OVER (ORDER BY {SQL_SHUFFLE_KEY.format(seed=42, col='doc_id')}, doc_id) - 1 AS idx
          FROM documents) AS s)"""
 
 
 def _batches(spark, sf_dir):
     from corpusprep.operators.batching import assign_batches
-    return assign_batches(table(spark, sf_dir, "documents").select("doc_id", "source"), 8, 42, "doc_id")
+    return assign_batches(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), 8, 42, "doc_id")
 
 
 @register("batches", f"WITH {SQL_BATCHES.strip()} SELECT doc_id, CAST(batch_no AS BIGINT) AS batch_no, "
@@ -550,7 +546,7 @@ def q_skip_batches(spark, sf_dir):
 
 @register("collate_fallback", f"""
 WITH {SQL_BATCHES.strip()},
-ex AS (SELECT bt.batch_no, bt.pos, {sql_ids('bt.source')} AS input_ids, l.quality AS label
+ex AS (SELECT bt.batch_no, bt.pos, {sql_ids('bt.text')} AS input_ids, l.quality AS label
        FROM bt LEFT JOIN labels l USING (doc_id)),
 w AS (SELECT *,
         first_value(input_ids) OVER (PARTITION BY batch_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_ids,
@@ -567,7 +563,7 @@ def q_collate_fallback(spark, sf_dir):
     from corpusprep.operators.batching import collate
     b = _batches(spark, sf_dir)
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", codepoint_ids("source").alias("input_ids"),
+    ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", codepoint_ids("text").alias("input_ids"),
                                                      "label", F.col("source").alias("name"))
     c = collate(ex, on_ragged="repeat_first")
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
@@ -578,16 +574,16 @@ def q_collate_batches(spark, sf_dir):
     """The same collation with batching fused in: rows shuffled once (``collate_batches``)."""
     from corpusprep.operators.batching import collate_batches
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     ex = docs.join(lab, on="doc_id", how="left").select(
-        "doc_id", codepoint_ids("source").alias("input_ids"), "label", F.col("source").alias("name"))
+        "doc_id", codepoint_ids("text").alias("input_ids"), "label", F.col("source").alias("name"))
     c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first")
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
 @register("pad_to_longest", f"""
 WITH {SQL_BATCHES.strip()},
-ex AS (SELECT batch_no, pos, {sql_ids('source')} AS ids FROM bt),
+ex AS (SELECT batch_no, pos, {sql_ids('text')} AS ids FROM bt),
 w AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_no) AS m FROM ex)
 SELECT CAST(batch_no AS BIGINT) AS batch_no, CAST(pos AS BIGINT) AS pos,
        array_to_string(ids || {sql_repeat(0, 'm - len(ids)')}, ',') AS input_ids,
@@ -596,7 +592,7 @@ FROM w""")
 def q_pad_to_longest(spark, sf_dir):
     """Batches of 8 padded to their longest row: ids with pad 0, labels with -100."""
     from corpusprep.operators.batching import pad_to_longest
-    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("source").alias("input_ids"))
+    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("text").alias("input_ids"))
     p = pad_to_longest(b.withColumn("labels", F.col("input_ids")))
     return p.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
@@ -606,7 +602,7 @@ def q_collate_batches_padded(spark, sf_dir):
     """Batching and padding to the longest row of each batch in one shuffle
     (``collate_batches(on_ragged='pad')``): ids padded with 0, labels with -100."""
     from corpusprep.operators.batching import collate_batches
-    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("source").alias("input_ids"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("text").alias("input_ids"))
     c = collate_batches(docs.withColumn("labels", F.col("input_ids")), 8, 42, "doc_id", on_ragged="pad")
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
@@ -1000,12 +996,10 @@ def _dpo(spark, sf_dir, filter_eval):
     p = head_percent_split(_pairs(spark, sf_dir), ["conv_id", "turn"], 5, bucket_key=_pair_key(), keep_index=False)
     out = prepare_pairs(p.where("split = 'train'").drop("split"), p.where("split = 'validation'").drop("split"),
                         max_length=1024, filter_eval=filter_eval, keep=("conv_id", "turn"))
-    return out.select("split", "conv_id", "turn",
-                      *[F.length(c).cast("bigint").alias(f"{c}_len") for c in ("prompt", "chosen", "rejected")])
+    return out.select("split", "conv_id", "turn", "prompt", "chosen", "rejected")
 
 
-SQL_DPO_OUT = """SELECT split, conv_id, turn, CAST(length(prompt) AS BIGINT) AS prompt_len,
-       CAST(length(chosen) AS BIGINT) AS chosen_len, CAST(length(rejected) AS BIGINT) AS rejected_len FROM w"""
+SQL_DPO_OUT = "SELECT split, conv_id, turn, prompt, chosen, rejected FROM w"
 SQL_DPO_LEN = "length(prompt) + length(chosen) <= 1024 AND length(prompt) + length(rejected) <= 1024"
 
 

@@ -124,8 +124,8 @@ def test_pieces_carry_no_whole_text_and_grow_linearly(spark):
         assert tuple(r) == (n // 1024, n // 1024 * 1024)
         return time.perf_counter() - t0
 
-    seconds(1_000_000)
-    assert seconds(20_000_000) < 60
+    seconds(500_000)
+    assert seconds(4_000_000) < 60
     df = spark.range(1).select(F.lit("train").alias("split"), F.col("id").alias("row_idx"), F.lit("x").alias("text"))
     plan = pack_text_blocks(df, 16, 10)._jdf.queryExecution().optimizedPlan().toString()
     aggregate = plan[plan.index("Aggregate"):]
