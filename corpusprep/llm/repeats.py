@@ -66,27 +66,29 @@ def triggers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
     return pos, key[once], context[once]
 
 
-def repeated_offsets(lefts: list[bytes], rights: list[bytes]) -> np.ndarray:
+def repeated_offsets(groups: np.ndarray, lefts: list[bytes], rights: list[bytes]) -> np.ndarray:
     """[place, d]: whether the string of ``d`` bytes to the left of a phrase and ``136 - d`` to its right
-    stands at another of the places too. A context cut short by its text's ends holds fewer strings."""
+    stands at another place of its group too. A context cut short by its text's ends holds fewer strings."""
     n = len(lefts)
     out = np.zeros((n, SIDE + 1), bool)
-    grid = np.zeros((n, 2 * SIDE), np.uint64)
-    size = np.zeros((n, 2), np.int64)
-    for i, (left, right) in enumerate(zip(lefts, rights)):
-        grid[i, : len(left)] = np.frombuffer(left, np.uint8)[::-1].astype(np.uint64) + np.uint64(1)
-        grid[i, SIDE: SIDE + len(right)] = np.frombuffer(right, np.uint8).astype(np.uint64) + np.uint64(1)
-        size[i] = len(left), len(right)
-    up, _ = _powers(2 * SIDE)
-    weights = mix(up[: 2 * SIDE]) | np.uint64(1)
-    left_sums = np.concatenate([np.zeros((n, 1), np.uint64), np.cumsum(grid[:, :SIDE] * weights[:SIDE], 1, dtype=np.uint64)], 1)
-    right_sums = np.concatenate([np.zeros((n, 1), np.uint64), np.cumsum(grid[:, SIDE:] * weights[SIDE:], 1, dtype=np.uint64)], 1)
+    size = np.array([(len(a), len(b)) for a, b in zip(lefts, rights)], np.int64).reshape(n, 2)
+    weights = mix(_powers(2 * SIDE)[0][: 2 * SIDE]) | np.uint64(1)
+    sums = []
+    for side, parts in enumerate(([a[::-1] for a in lefts], rights)):
+        grid = np.frombuffer(b"".join(p.ljust(SIDE, b"\0") for p in parts), np.uint8).reshape(n, SIDE)
+        hashed = np.zeros((SIDE + 1, n), np.uint64)
+        np.cumsum((grid.T.astype(np.uint64) + np.uint64(1)) * weights[side * SIDE: (side + 1) * SIDE, None], 0, out=hashed[1:])
+        sums.append(hashed)
+    names = mix(groups.astype(np.uint64))
     for d in range(SIDE + 1):
         held = np.flatnonzero((size[:, 0] >= d) & (size[:, 1] >= SIDE - d))
         if len(held) > 1:
-            string = mix(left_sums[held, d]) ^ right_sums[held, SIDE - d]
-            _, which, counts = np.unique(string, return_inverse=True, return_counts=True)
-            out[held[counts[which] > 1], d] = True
+            string = mix(sums[0][d][held]) + mix(sums[1][SIDE - d][held] ^ names[held])
+            by = np.argsort(string)
+            string = string[by]
+            same = string[1:] == string[:-1]
+            out[held[by[1:][same]], d] = True
+            out[held[by[:-1][same]], d] = True
     return out
 
 
@@ -150,21 +152,22 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["phrase", "k1", "k2", "pos", "alone", "lefts", "rights"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def spans(group: list[dict]) -> pa.RecordBatch:
-            flags = repeated_offsets([g["lefts"] for g in group], [g["rights"] for g in group])
-            out = [(g["k1"], g["k2"], g["pos"] - last, g["pos"] - first + length)
-                   for g, f in zip(group, flags) if g["alone"] for first, last in _spans(f)]
+        def spans(rows: list[dict]) -> pa.RecordBatch:
+            _, groups = np.unique([r["phrase"] for r in rows], return_inverse=True)
+            flags = repeated_offsets(groups, [r["lefts"] for r in rows], [r["rights"] for r in rows])
+            out = [(r["k1"], r["k2"], r["pos"] - last, r["pos"] - first + length)
+                   for r, f in zip(rows, flags) if r["alone"] and f.any() for first, last in _spans(f)]
             return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)], ["k1", "k2", "start", "end"])
 
-        group: list[dict] = []
+        held: list[dict] = []  # whole groups, several thousand places together
         for batch in batches:
             for row in batch.to_pylist():
-                if group and group[0]["phrase"] != row["phrase"]:
-                    yield spans(group)
-                    group = []
-                group.append(row)
-        if group:
-            yield spans(group)
+                if len(held) >= 8192 and held[-1]["phrase"] != row["phrase"]:
+                    yield spans(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield spans(held)
 
     met = involved.select("k1", "k2", "text", "asked").mapInArrow(
         cut_contexts, "phrase bigint, k1 bigint, k2 bigint, pos int, alone boolean, lefts binary, rights binary")
