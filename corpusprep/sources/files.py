@@ -95,7 +95,9 @@ def with_file_position(df: DataFrame, files: list[str] | None = None, name: str
     d = d.join(F.broadcast(ranks) if small else ranks, on="__path", how="left")
     unknown = F.raise_error(F.concat(F.lit("no rank for file "), F.col("__path"))).cast("bigint")
     d = d.withColumn("file_rank", F.coalesce("file_rank", unknown)).drop("__path")
-    key = F.col("file_rank").cast("double") * F.lit(float(2 ** 40)) + F.col("file_block").cast("double")
+    # rank plus a share below 1 that grows with the block: monotone for files of any size
+    block = F.col("file_block").cast("double")
+    key = F.col("file_rank").cast("double") + block / (block + F.lit(float(2 ** 30)))
     return d.withColumn(name, key)
 
 
