@@ -2,8 +2,8 @@
 
 Documents are range-partitioned by id; each partition is a shard, written in ascending id order as
 blocks of whole documents. In a block the most frequent pairs of neighbouring symbols are replaced by
-new nonterminals, round after round, until no pair occurs ``min_count`` times; every
-round takes the pairs at least half as frequent as the most frequent one. A block keeps its rules
+new nonterminals, round after round, until no pair occurs ``min_count`` times; the first round
+takes pairs at least an eighth as frequent as the most frequent one, each later one pairs a quarter as frequent as the last. A block keeps its rules
 (left, right), the first nonterminal of each round, every nonterminal's expansion length and the
 remaining sequence, so any range of ids is found by summing lengths and decoded alone.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .vocabulary import default_vocabulary, encoder
 
-_TABLE_BITS = 21
+_TABLE_BITS = 20
 
 
 def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -34,29 +34,34 @@ def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarr
     rules, rounds, lengths = [], [], [np.zeros(0, np.int64)]
     limit = None
     while len(seq) > 1 and symbol < 2**32 - len(seq):
-        pairs = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        left, right = seq[:-1], seq[1:]
         # exact counts of the pairs whose hash bucket could hold a frequent one
-        bucket = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
+        bucket = ((left * np.uint32(0x9E3779B1) ^ right) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _TABLE_BITS)
         in_bucket = np.bincount(bucket, minlength=1 << _TABLE_BITS)
-        limit = max(min_count, int(in_bucket.max()) // 4) if limit is None else max(min_count, limit // 2)
-        at = np.flatnonzero(in_bucket[bucket] >= limit)
-        found, inverse, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
+        limit = max(min_count, int(in_bucket.max()) // 8) if limit is None else max(min_count, limit // 4)
+        at = np.flatnonzero((in_bucket >= limit)[bucket])
+        pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
+        by = np.argsort(pairs, kind="stable")
+        first = np.flatnonzero(np.append(True, pairs[by][1:] != pairs[by][:-1])) if len(at) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(first, len(at)))
         taken = counts >= limit
         if not taken.any():
             if limit <= min_count:
                 break
             continue
-        at = at[taken[inverse]]
+        which = np.empty(len(at), np.int64)  # the rule of each place, or -1
+        which[by] = np.repeat(np.where(taken, np.cumsum(taken) - 1, -1), counts)
+        at, which = at[which >= 0], which[which >= 0]
         # of overlapping occurrences every second one of a run is replaced, from its left end
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        start = np.repeat(at[run], np.diff(np.append(run, len(at))))
-        at = at[(at - start) % 2 == 0]
-        used = np.unique(pairs[at])
-        new = np.searchsorted(used, pairs[at]).astype(np.uint32) + np.uint32(symbol)
-        seq = seq.copy()
-        seq[at] = new
-        seq = np.delete(seq, at + 1)
-        rule = np.stack([used >> np.uint64(32), used & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0
+        at, which = at[even], which[even]
+        pair = pairs[by][first[taken]]
+        rule = np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        new, kept = seq.copy(), np.ones(len(seq), bool)
+        new[at] = which.astype(np.uint32) + np.uint32(symbol)
+        kept[at + 1] = False
+        seq = new[kept]
         known = np.concatenate(lengths)
         size = lambda s: np.where(s < base, 1, known[np.where(s < base, 0, s.astype(np.int64) - base)] if len(known) else 1)
         lengths.append(size(rule[:, 0]) + size(rule[:, 1]))

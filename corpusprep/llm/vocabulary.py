@@ -1,13 +1,14 @@
 """Token ids of whole texts by a byte-level BPE file of the ``tokenizers`` library.
 
 The library's own splitting rule lets a text be cut before every white-space character that follows
-another character, and each such piece encoded by itself. Pieces repeat, so their ids are kept in a
-bounded table per Python worker: the library encodes each distinct piece about once per worker."""
+another character, and each such piece encoded by itself. Pieces repeat, so their ids are kept in
+bounded tables per Python worker: the library encodes each distinct piece about once per worker."""
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
@@ -16,8 +17,11 @@ import numpy as np
 WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Each match is a run of whole pre-tokens: the splitting rule with letters and digits as one kind.
 PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[^\W_]+| ?(?:[^\w{WS}]|_)+|[{WS}]+(?![^{WS}])|[{WS}]+")
-#: Pieces kept per worker; beyond it the table starts anew (a cache: results do not change).
-KEPT_PIECES = 600_000
+#: White space before a space, Latin-1 and any.
+BLANK_SPACE = tuple(c + " " for c in " \n\t\r\x0b\x0c\x85\xa0")
+WIDE_BLANK_SPACE = re.compile(f"[{WS}] ")
+#: Pieces kept per worker and table, the first ones met, so the frequent ones (a cache: results do not change).
+KEPT_PIECES = 300_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -32,28 +36,58 @@ class Encoder:
                  and split.get("use_regex") and not split.get("add_prefix_space")
                  and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]))
         self.specials = [t["content"] for t in spec["added_tokens"]] if plain else None
-        self.kept: dict[str, bytes] = {}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level alphabet: these bytes as they are
+        hidden = [b for b in range(256) if b not in set(shown)]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.pieces: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+
+    def _new_piece(self, piece: str) -> bytes:
+        if piece.lstrip(" ").isalpha():  # one pre-token: the library's merges alone
+            ids = [t.id for t in self.library.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.library.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _between_boundaries(self, text: str) -> bytes:
+        """Ids of a text that starts and ends where the splitting rule always cuts."""
+        out = []
+        for piece in PIECES.findall(text):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self._new_piece(piece)
+                if len(self.pieces) < KEPT_PIECES:
+                    self.pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as ``encode(add_special_tokens=False)``."""
-        out: list[bytes] = []
-        for text in texts:
-            if self.specials is None or any(s in text for s in self.specials):
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            pieces = PIECES.findall(text)
-            try:
-                out.append(b"".join(map(self.kept.__getitem__, pieces)))
-            except KeyError:
-                if len(self.kept) > KEPT_PIECES:
-                    self.kept.clear()
-                new = [p for p in dict.fromkeys(pieces) if p not in self.kept]
-                for i in range(0, len(new), 20_000):
-                    part = new[i: i + 20_000]
-                    for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                        self.kept[p] = np.array(e.ids, "<u4").tobytes()
-                out.append(b"".join(map(self.kept.__getitem__, pieces)))
-        return out
+        return [self._whole(text) for text in texts]
+
+    def _whole(self, text: str) -> bytes:
+        if self.specials is None or any(s in text for s in self.specials):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if any(s in text for s in BLANK_SPACE) or (_wide(text) and WIDE_BLANK_SPACE.search(text)):
+            return self._between_boundaries(text)
+        # no blank stands before a space, so the rule cuts before every space
+        first, *rest = text.split(" ")
+        out = list(map(self.spaced.get, rest))
+        if None in out:
+            for i, ids in enumerate(out):
+                if ids is None:
+                    out[i] = ids = self.spaced.get(rest[i]) or self._between_boundaries(" " + rest[i])
+                    if len(self.spaced) < KEPT_PIECES:
+                        self.spaced[rest[i]] = ids
+        return self._between_boundaries(first) + b"".join(out)
+
+
+def _wide(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return True
+    return False
 
 
 def encoder(path: str) -> Encoder:
