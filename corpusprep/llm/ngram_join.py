@@ -9,7 +9,8 @@ A text's set is its distinct ``words``-word shingles, as 64-bit hashes. Two text
 * Prefixes: linked sets of n shingles share one of the first n - ceil(threshold * n) + 1. Prefixes travel
   packed, so the shuffle has few rows. A prefix shingle held by up to ``group`` classes makes candidate
   pairs. Their common prefix shingles are counted over all of them: linked sets of a and b shingles
-  that need overlap o share at least min(prefix(a) - (a - o), prefix(b) - (b - o)), so pairs with fewer go without being read.
+  that need overlap o share at least min(prefix(a) - (a - o), prefix(b) - (b - o)), so pairs with fewer go without being read,
+  and so do pairs whose bitmaps (a few bits a shingle) already differ in more places than linked sets can.
 * A shingle held by more classes makes units instead: blocks of its classes in order of size, met pairwise where
   sizes allow. Every pair that shares such a shingle is judged there, so no count is needed for it.
 * Judging: a unit's ordered sets are stored in a prefix tree with edges of 16 shingles. It is traversed once for all
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, shingle_sets, stored, text_buffers, text_slices
-from .components import components
+from .components import components, forest
 
 EDGE = 16
 #: Shingles counted together in a task before the frequent ones among them are sent on.
@@ -117,22 +118,21 @@ def tree_overlaps(sets: list[np.ndarray], pivots: list[np.ndarray], needs: Needs
     return out
 
 
-def _forest(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Links that span the same components, towards each component's least name."""
-    parent: dict[int, int] = {}
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Shingles toggle bits of a map of two to four bits each: two sets differ in at least as many
+    shingles as their maps differ in bits. A map folds to half its length."""
+    size = max(64, 1 << (2 * max(len(tokens), 1) - 1).bit_length())
+    return np.packbits(np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) % 2 > 0).tobytes()
 
-    def root(x: int) -> int:
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    for a, b in links:
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    return [(x, root(x)) for x in parent if root(x) != x]
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of shingles in which two sets differ, from their maps."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def judge_unit(names: list[int], sets: list[np.ndarray], pivots: np.ndarray, needs: Needs) -> list[tuple[int, int]]:
@@ -261,11 +261,10 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     need = F.ceil((F.col("na") + F.col("nb")) * needs.num / F.lit(needs.num + needs.den))
     prefix = lambda n: F.col(n) - F.ceil(F.col(n) * needs.num / F.lit(needs.den)) + 1
     pairs = stored(pairs.where(F.col("shared") >= F.least(prefix("na") - (F.col("na") - need), prefix("nb") - (F.col("nb") - need))), "shingle-pairs")
-    # units: a pivot with its partners, or two blocks of the classes that hold a frequent prefix shingle
-    units = pairs.groupBy("a", "na").agg(F.lit(1)).select(F.xxhash64("a", "na").alias("unit"), F.col("a").alias("name"), F.col("na").alias("n"), F.lit(0).alias("side"))
-    units = units.unionAll(pairs.select(F.xxhash64("a", "na").alias("unit"), F.col("b").alias("name"), F.col("nb").alias("n"), F.lit(1).alias("side")))
-    units = units.unionAll(met.where("unit IS NOT NULL").select("unit", F.col("a").alias("name"), F.col("na").alias("n"), "side"))
-    asked = units.select("name", "n").distinct().join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size"))
+    # the sets of all classes still in question, read once, with their bitmaps
+    blocks = met.where("unit IS NOT NULL").select("unit", F.col("a").alias("name"), F.col("na").alias("n"), "side")
+    asked = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).unionAll(blocks.select("name", "n")).distinct()
+    asked = asked.join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,16 +272,31 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
                 wanted = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
                 keep = [i for i, s in enumerate(found) if (set_name(s), len(s)) == wanted[i]]
                 yield pa.RecordBatch.from_arrays([pa.array([wanted[i][0] for i in keep], pa.int64()), pa.array([wanted[i][1] for i in keep], pa.int64()),
-                                                  pa.array([order.value.sort(found[i]).tobytes() for i in keep], pa.binary())], ["name", "n", "tokens"])
+                                                  pa.array([order.value.sort(found[i]).tobytes() for i in keep], pa.binary()),
+                                                  pa.array([bitmap(found[i]) for i in keep], pa.binary())], ["name", "n", "tokens", "bits"])
 
     texts = rows.select("row", "text").join(asked, "row").select("text", "asked", "size")
-    ordered = stored(texts.mapInArrow(sets, "name bigint, n bigint, tokens binary").dropDuplicates(["name", "n"]), "shingle-sets")
+    ordered = stored(texts.mapInArrow(sets, "name bigint, n bigint, tokens binary, bits binary").dropDuplicates(["name", "n"]), "shingle-sets")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [least_difference(x.as_py(), y.as_py()) <= na + nb - 2 * needs.overlap(na, nb)
+                    for na, nb, x, y in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5))]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:4]], ["a", "na", "b", "nb"])
+
+    bits = lambda i: ordered.select(F.col("name").alias("ab"[i]), F.col("n").alias(("na", "nb")[i]), F.col("bits").alias(("x", "y")[i]))
+    pairs = pairs.join(bits(0), ["a", "na"]).join(bits(1), ["b", "nb"]).select("a", "na", "b", "nb", "x", "y").mapInArrow(
+        possible, "a bigint, na bigint, b bigint, nb bigint")
+    pairs = stored(pairs, "shingle-possible")
+    # units: a pivot with its partners, or two blocks of the classes that hold a frequent prefix shingle
+    unit = F.xxhash64("a", "na").alias("unit")
+    units = blocks.unionAll(pairs.select(unit, "a", "na", F.lit(0).alias("side")).distinct()).unionAll(pairs.select(unit, "b", "nb", F.lit(1).alias("side")))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def links() -> pa.RecordBatch:
-            found = _forest(judge_unit([h[1] for h in held], [np.frombuffer(h[3], "<u8") for h in held], np.array([h[2] == 0 for h in held]), needs))
+            found = forest(judge_unit([h[1] for h in held], [np.frombuffer(h[3], "<u8") for h in held], np.array([h[2] == 0 for h in held]), needs))
             return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
