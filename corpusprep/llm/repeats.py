@@ -122,8 +122,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     places = stored(long_rows.select("k1", "k2", "text").mapInArrow(
         parse, "k1 bigint, k2 bigint, pos int, phrase bigint, context bigint"), "repeat-places")
     phrases = places.groupBy("phrase").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1")
-    repeated = places.join(phrases.select("phrase", (F.col("lo") != F.col("hi")).alias("mixed")), "phrase")
-    repeated = stored(repeated, "repeat-phrases")
+    # stored first: a join alone can be split where one phrase is hot, a join on the aggregate's partitioning cannot
+    phrases = stored(phrases.select("phrase", (F.col("lo") != F.col("hi")).alias("mixed")), "repeat-counts")
+    repeated = stored(places.join(phrases, "phrase"), "repeat-phrases")
     contexts = repeated.where("mixed").groupBy("phrase", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "pos")).alias("place"))
     contexts = stored(contexts, "repeat-contexts")
