@@ -295,18 +295,27 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def links() -> pa.RecordBatch:
-            found = forest(judge_unit([h[1] for h in held], [np.frombuffer(h[3], "<u8") for h in held], np.array([h[2] == 0 for h in held]), needs))
-            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+        found: list[tuple[int, int]] = []  # of all units of a task, so that a family's links leave it once
+
+        def judged() -> list[tuple[int, int]]:
+            return judge_unit([h[1] for h in held], [np.frombuffer(h[3], "<u8") for h in held], np.array([h[2] == 0 for h in held]), needs)
+
+        def spanning() -> pa.RecordBatch:
+            links = forest(found)
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0][0] != row[0]:
-                    yield links()
+                    found += forest(judged())
                     held = []
+                    if len(found) > 500_000:
+                        yield spanning()
+                        found = []
                 held.append(row)
         if held:
-            yield links()
+            found += forest(judged())
+        yield spanning()
 
     met_sets = units.join(ordered, ["name", "n"]).select("unit", "name", "side", "tokens")
     links = met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint")
