@@ -6,8 +6,10 @@ of it is within ``1 - similarity`` edits per item word (insert, delete, replace
 * Items are taken in blocks of a bounded number of words, each sent to every task: the stated query set against all rows.
 * CGK embedding: a walk over a word string writes the word it stands on and then steps on or stays, by a random
   bit of the step's number and the word. Strings at a small edit distance fall back into step, so edit distance becomes
-  Hamming distance. Each repetition (its own walk) samples ``bits`` of the written words;
-  a window of the text that starts at any word and an item are candidates if all samples of a repetition agree.
+  Hamming distance. Each repetition (its own walk) samples ``bits`` of the written words.
+* A walk takes 64 steps at most, about 32 words. An item is walked from its first word, from every 32nd and from the last
+  that leaves a whole walk, so a part of it that has few edits is met wherever it lies in the item. A window of the text that
+  starts at any word and a window of an item are candidates if all samples of a repetition agree.
 * Windows are only walked where they can match: a stretch within the allowed edits shares a certain number of word q-grams
   with the item (q-gram lemma), so fewer shared ones rule it out without loss.
 * Every candidate is verified by the exact edit distance, semi-global over the surrounding words.
@@ -49,13 +51,18 @@ class _Class:
         self.steps = max(2, min(64, 2 * min(sizes) - 2 * max(self.allowed)))
         rng = np.random.default_rng([7, min(sizes), max(sizes)])
         self.walks = [(np.uint64(int(rng.integers(1 << 63))), np.sort(rng.integers(0, self.steps, bits))) for _ in range(repetitions)]
-        self.keys: list[dict[int, list[int]]] = []
-        first = np.concatenate([[0], np.cumsum([n + self.steps for n in sizes])])[:-1]
+        self.keys: list[dict[int, list[tuple[int, int]]]] = []
+        # (item, offset) of every window; a walk seldom goes further than half its steps and three deviations
+        walked = self.steps // 2 + int(1.5 * self.steps**0.5) if self.steps == 64 else self.steps // 2
+        windows = [(i, o) for i, n in enumerate(sizes) for o in sorted({*range(0, max(n - walked, 0) + 1, 32), max(n - walked, 0)})]
+        self.furthest = max(o for _, o in windows)
+        before = np.concatenate([[0], np.cumsum([n + self.steps for n in sizes])])
+        first = np.array([before[i] + o for i, o in windows], np.int64)
         flat = np.concatenate([np.concatenate([x, np.zeros(self.steps, np.uint64)]) for x in items])
         for key in self.embed(flat, first):
-            table: dict[int, list[int]] = defaultdict(list)
-            for i, k in enumerate(key.tolist()):
-                table[k].append(i)
+            table: dict[int, list[tuple[int, int]]] = defaultdict(list)
+            for w, k in zip(windows, key.tolist()):
+                table[k].append(w)
             self.keys.append(dict(table))
         self.sorted_keys = [np.array(sorted(t), np.uint64) for t in self.keys]
 
@@ -143,23 +150,26 @@ class Index:
             first = hits[: len(hits) - c.needed + 1][far & same]
             if not len(first):
                 continue
-            # a window that holds the hits starts at most ``reach`` words before the last of them
+            # a stretch that holds the hits starts at most ``reach`` words before the last of them, its windows up to ``furthest``
+            # words and the edits later, but inside the stretch
+            later = min(c.furthest + max(c.allowed), c.reach)
             marks = np.zeros(len(words) + 1, np.int32)
             np.add.at(marks, np.maximum(first - c.reach, 0), 1)
-            np.add.at(marks, np.minimum(first + 1, len(words)), -1)
+            np.add.at(marks, np.minimum(first + later + 1, len(words)), -1)
             starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
             padded = np.concatenate([words, np.zeros(c.steps, np.uint64)])
             tried: set[tuple[int, int]] = set()
             for key, table, ordered in zip(c.embed(padded, starts), c.keys, c.sorted_keys):
                 for at in np.flatnonzero(_member(key, ordered)).tolist():
                     start, text = int(starts[at]), int(texts[starts[at]])
-                    for i in table[int(key[at])]:
+                    for i, offset in table[int(key[at])]:
                         n, k = len(c.items[i]), c.allowed[i]
-                        place = (i, start // max(n, 1))
+                        block = (start - offset) // n  # where the item starts, in steps of its length
+                        place = (i, block)
                         if (place, text) in tried or found.get((text, c.numbers[i]), (1,))[0] == 0:
                             continue
                         tried.add((place, text))
-                        low, high = (start // max(n, 1)) * n - n - 2 * k, (start // max(n, 1) + 1) * n + n + 2 * k
+                        low, high = block * n - n - 2 * k, (block + 1) * n + n + 2 * k
                         low = max(low, int(np.searchsorted(texts, text)))
                         high = min(high, int(np.searchsorted(texts, text, side="right")))
                         match = best_match(c.items[i], words[low:high], k)

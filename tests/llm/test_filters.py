@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusprep.llm import perplexity, url_templates
-from corpusprep.llm.decontaminate import Index, best_match, drop_contaminated, find_items
+from corpusprep.llm.decontaminate import Index, _matches, best_match, drop_contaminated, find_items
 from corpusprep.llm.secrets import battery, redact_secrets, scan_secrets
 
 
@@ -48,6 +49,23 @@ def test_edited_items_are_found(spark, items, corpus, share, recall):
     assert sum((k, i) in found for k, (i, _) in enumerate(items)) >= recall * len(items)
 
 
+@pytest.mark.parametrize("size", [20, 59, 120, 300])
+@pytest.mark.parametrize("cut", ["first", "last", "spread", "dense"])
+def test_long_items_are_found_without_their_ends(size, cut):
+    rng = random.Random(size)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passages = [rng.choices(vocabulary, k=size) for _ in range(40)]
+    index = Index([" ".join(p) for p in passages], 0.8, 16, 3)
+    found, k = 0, size // 5
+    for i, p in enumerate(passages):
+        middle = {"first": p[k:], "last": p[:-k], "spread": _edited(p, k, vocabulary, rng),
+                  "dense": rng.choices(vocabulary, k=k // 2) + p[k // 2: -(k // 2)] + rng.choices(vocabulary, k=k // 2)}[cut]
+        text = " ".join(rng.choices(vocabulary, k=50) + middle + rng.choices(vocabulary, k=50))
+        rows, _, _ = _matches(index, pa.array([text]))
+        found += any(r[1] == i and r[2] <= k for r in rows)
+    assert found >= (0.9 if size == 20 else 0.95) * len(passages)
+
+
 def test_matches_are_exact_and_clean_texts_stay(spark, table, items, corpus):
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     docs = table(corpus)
