@@ -242,3 +242,38 @@ def test_pipeline_against_plain_stages(spark):
     assert {(r.doc_id, r.doc_tokens) for r in run} == {(r.doc_id, r.doc_tokens) for r in last}
     assert hashlib.sha256(str(sorted((r.doc_id, r.start) for r in run if r.length == 1024)).encode()).hexdigest() == hashlib.sha256(
         str(sorted((r.doc_id, r.start) for r in last if r.length == 1024)).encode()).hexdigest()
+
+
+def test_gram_tables_are_kneser_ney(spark):
+    rng = np.random.default_rng(3)
+    c = perplexity.CLASSES
+    folds, models = perplexity.FOLDS, tuple(perplexity.MODELS)
+    counts = np.zeros((folds + 1, perplexity.GRAMS))
+    for m in range(folds):
+        np.add.at(counts[m], (rng.integers(0, 6, (2000, 4)) * rng.integers(1, 4, (2000, 1)) % c) @ [c**3, c**2, c, 1], 1)
+    counts[folds] = counts[:folds].sum(0)
+    seen = np.flatnonzero(counts[folds])
+    split = lambda g: ((int(g) // c**3) << 42 | (int(g) // c**2 % c) << 21 | int(g) // c % c, int(g) % c)
+    table = spark.createDataFrame([(*split(g), *map(int, counts[:, g])) for g in seen], "before bigint, last int, " + ", ".join(f"n{m} bigint" for m in models))
+    asked = [*seen[::7], *rng.integers(0, perplexity.GRAMS, 200)]
+    rows = spark.createDataFrame([(k, *split(g)) for k, g in enumerate(asked)], "_chunk bigint, before bigint, last int")
+    points, perplexity.POINTS = perplexity.POINTS, c  # the same alphabet as the plain form
+    try:
+        got = {r[0]: r[3:] for r in perplexity.GramTables(table).bits(rows, models).collect()}
+    finally:
+        perplexity.POINTS = points
+    for m in models:
+        want = -np.log2(perplexity.kneser_ney(counts[m]))[asked]
+        assert np.allclose([got[k][m] for k in range(len(asked))], want, atol=1e-3)
+
+
+@pytest.mark.parametrize("script", [0x430, 0x4E00, 65])
+def test_garbled_text_of_any_script_is_rejected(spark, table, script):
+    rng = random.Random(script)
+    lexicon = ["".join(chr(script + rng.randrange(26)) for _ in range(rng.randint(3, 8))) for _ in range(60)]
+    clean = [" ".join(rng.choices(lexicon, k=60)) for _ in range(420)]
+    garbled = [" ".join("".join(chr(script + rng.randrange(26)) for _ in w) for w in t.split()) for t in clean[:40]]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    model = perplexity.fit(table(list(enumerate(clean[:400]))), labels)
+    judged = {r.doc_id: r.keep for r in model.score(table(list(enumerate(garbled + clean[400:])))).collect()}
+    assert not any(judged[i] for i in range(40)) and sum(judged[i] for i in range(40, 60)) >= 17
