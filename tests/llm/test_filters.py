@@ -277,3 +277,15 @@ def test_garbled_text_of_any_script_is_rejected(spark, table, script):
     model = perplexity.fit(table(list(enumerate(clean[:400]))), labels)
     judged = {r.doc_id: r.keep for r in model.score(table(list(enumerate(garbled + clean[400:])))).collect()}
     assert not any(judged[i] for i in range(40)) and sum(judged[i] for i in range(40, 60)) >= 17
+
+
+def test_toxic_text_of_other_languages_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = perplexity.fit(docs.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 0"))
+    rows = docs.where("doc_id % 2 = 1").join(labels.where("toxic = 1 OR quality = 1"), "doc_id").select("text", "toxic", "lang")
+    rows = rows.selectExpr("text", "toxic", "explode(array(NULL, 'xx')) AS lang")
+    judged = model.score(rows).select("lang", "toxic", "keep").collect()
+    for lang in (None, "xx"):
+        share = {t: np.mean([r.keep for r in judged if r.lang == lang and r.toxic == t]) for t in (0, 1)}
+        assert share[1] <= 0.1 and share[0] >= 0.95, (lang, share)
