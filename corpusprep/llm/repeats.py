@@ -10,6 +10,8 @@ as hashes; the parse is their places.
 * Two places with equal phrase and context repeat all strings around the phrase.
 * Phrases with several contexts: only the distinct contexts meet, one place each, and for each of the
   137 offsets the strings (that much left context, the rest right) are put in order and neighbours compared.
+* A phrase with more than ``many`` distinct contexts (a short line in different surroundings) is not compared in one task: each context sends
+  the hash of its string at every offset, the hashes are counted, and those seen twice are joined back to their places.
 
 Copies thus shrink to one place per distinct context before anything is gathered. Long texts are worked
 through in steps; matches never cross rows. Rows are named by two 64-bit hashes of id and text, so null and repeated
@@ -66,11 +68,10 @@ def triggers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
     return pos, key[once], context[once]
 
 
-def repeated_offsets(groups: np.ndarray, lefts: list[bytes], rights: list[bytes]) -> np.ndarray:
-    """[place, d]: whether the string of ``d`` bytes to the left of a phrase and ``136 - d`` to its right
-    stands at another place of its group too. A context cut short by its text's ends holds fewer strings."""
+def offset_hashes(groups: np.ndarray, lefts: list[bytes], rights: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each d, the places that hold a string of ``d`` bytes to the left of a phrase and ``136 - d`` to its right, and hashes of it and the
+    group. A context cut short by its text's ends holds fewer strings."""
     n = len(lefts)
-    out = np.zeros((n, SIDE + 1), bool)
     size = np.array([(len(a), len(b)) for a, b in zip(lefts, rights)], np.int64).reshape(n, 2)
     weights = mix(_powers(2 * SIDE)[0][: 2 * SIDE]) | np.uint64(1)
     sums = []
@@ -82,8 +83,15 @@ def repeated_offsets(groups: np.ndarray, lefts: list[bytes], rights: list[bytes]
     names = mix(groups.astype(np.uint64))
     for d in range(SIDE + 1):
         held = np.flatnonzero((size[:, 0] >= d) & (size[:, 1] >= SIDE - d))
+        yield held, mix(sums[0][d][held]) + mix(sums[1][SIDE - d][held] ^ names[held])
+
+
+def repeated_offsets(groups: np.ndarray, lefts: list[bytes], rights: list[bytes]) -> np.ndarray:
+    """[place, d]: whether the string of ``d`` bytes to the left of a phrase and ``136 - d`` to its right
+    stands at another place of its group too."""
+    out = np.zeros((len(lefts), SIDE + 1), bool)
+    for d, (held, string) in enumerate(offset_hashes(groups, lefts, rights)):
         if len(held) > 1:
-            string = mix(sums[0][d][held]) + mix(sums[1][SIDE - d][held] ^ names[held])
             by = np.argsort(string)
             string = string[by]
             same = string[1:] == string[:-1]
@@ -98,7 +106,7 @@ def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", many: int = 8192) -> DataFrame:
     """Per row: id, ``n_bytes``, ``spans`` (array of start, end: the maximal removed byte ranges), ``n_removed``,
     ``kept`` (binary: the remaining bytes; null if nothing was removed) and ``kept_sha256``."""
     if length < 2 * SIDE:
@@ -131,27 +139,48 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     # whole: every string around the phrase is repeated; apart: to be held against the other contexts
     whole = repeated.where("NOT mixed").select("k1", "k2", "pos").unionAll(
         repeated.where("mixed").join(contexts.where("n > 1").select("phrase", "context"), ["phrase", "context"]).select("k1", "k2", "pos"))
-    apart = contexts.select("place.*", "phrase", (F.col("n") == 1).alias("alone"))
-    asked = whole.withColumns({"phrase": F.lit(None).cast("bigint"), "alone": F.lit(None).cast("boolean")}).unionAll(apart)
-    asked = asked.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "phrase", "alone")).alias("asked"))  # at most a text's places
+    # stored for the same reason
+    wide = stored(contexts.groupBy("phrase").agg(F.count("*").alias("contexts")).where(F.col("contexts") > many).select("phrase", F.lit(True).alias("wide")), "repeat-wide")
+    apart = contexts.join(wide, "phrase", "left").select("place.*", "phrase", (F.col("n") == 1).alias("alone"), F.coalesce("wide", F.lit(False)).alias("wide"))
+    null = F.lit(None)
+    asked = whole.withColumns({"phrase": null.cast("bigint"), "alone": null.cast("boolean"), "wide": null.cast("boolean")}).unionAll(apart)
+    asked = asked.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "phrase", "alone", "wide")).alias("asked"))  # at most a text's places
     involved = stored(long_rows.select("k1", "k2", "text").join(asked, name), "repeat-texts")
 
+    def places_of(part: pa.RecordBatch, wide: bool) -> list[tuple]:
+        gram, out = length - SIDE, []
+        for k1, k2, text, asked in zip(*(part.column(i) for i in range(4))):
+            body = memoryview(text.as_buffer())
+            for a in asked.as_py():
+                if a["alone"] is not None and a["wide"] == wide:
+                    p = a["pos"]
+                    out.append((a["phrase"], k1.as_py(), k2.as_py(), p, a["alone"],
+                                bytes(body[max(p - SIDE, 0): p]), bytes(body[p + gram: p + length])))
+        return out
+
     def cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram = length - SIDE
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
         for batch in batches:
             for part in text_slices(batch, "text"):
-                out: list[tuple] = []
-                for k1, k2, text, asked in zip(*(part.column(i) for i in range(4))):
-                    body = memoryview(text.as_buffer())
-                    for a in asked.as_py():
-                        if a["alone"] is not None:
-                            p = a["pos"]
-                            out.append((a["phrase"], k1.as_py(), k2.as_py(), p, a["alone"],
-                                        bytes(body[max(p - SIDE, 0): p]), bytes(body[p + gram: p + length])))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+                out = places_of(part, False)
                 columns = zip(*out) if out else [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["phrase", "k1", "k2", "pos", "alone", "lefts", "rights"])
 
+    def hash_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                out = places_of(part, True)
+                for at in range(0, len(out), 4096):
+                    phrase, k1, k2, pos, alone, lefts, rights = zip(*out[at: at + 4096])
+                    names = np.array(phrase, np.int64)
+                    found = list(offset_hashes(names.view(np.uint64), lefts, rights))
+                    held = np.concatenate([h for h, _ in found])
+                    d = np.repeat(np.arange(SIDE + 1, dtype=np.int32), [len(h) for h, _ in found])
+                    string = np.concatenate([x for _, x in found]).view(np.int64)
+                    start = np.array(pos, np.int64)[held] - d
+                    columns = [names[held], d, string, np.array(k1, np.int64)[held], np.array(k2, np.int64)[held], start, np.array(alone, bool)[held]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["phrase", "d", "string", "k1", "k2", "start", "alone"])
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def spans(rows: list[dict]) -> pa.RecordBatch:
             _, groups = np.unique([r["phrase"] for r in rows], return_inverse=True)
@@ -173,6 +202,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     met = involved.select("k1", "k2", "text", "asked").mapInArrow(
         cut_contexts, "phrase bigint, k1 bigint, k2 bigint, pos int, alone boolean, lefts binary, rights binary")
     spans = met.repartition("phrase").sortWithinPartitions("phrase").mapInArrow(compare, "k1 bigint, k2 bigint, start bigint, end bigint")
+    if not wide.isEmpty():
+        strings = involved.where(F.exists("asked", lambda a: F.coalesce(a["wide"], F.lit(False)))).select("k1", "k2", "text", "asked").mapInArrow(
+            hash_contexts, "phrase bigint, d int, string bigint, k1 bigint, k2 bigint, start bigint, alone boolean")
+        twice = stored(strings.groupBy("phrase", "d", "string").agg(F.count("*").alias("n")).where("n > 1").select("phrase", "d", "string"), "repeat-strings")
+        back = strings.where("alone").join(twice, ["phrase", "d", "string"])
+        spans = spans.unionAll(back.select("k1", "k2", "start", (F.col("start") + length).alias("end")))
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("parts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

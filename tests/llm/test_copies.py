@@ -157,3 +157,17 @@ def test_repeats_of_odd_rows(table, odd):
     rows = [(i, t if i != 9 else "long " * 900) for i, t in odd] + [(9, "long " * 900)]
     assert _removed(table(rows)) == _repeats(rows)
     assert remove_repeats(table([])).count() == 0
+
+
+def test_a_phrase_with_many_contexts_is_counted_by_its_strings(table):
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefgh ", k=330))
+    other = lambda n: "".join(rng.choices("ijklmnop ", k=n))
+    ends = [other(90), other(90)]
+    rows = [(i, other(300) + rng.choice(ends) + line + rng.choice([ends[0], other(90)]) + other(300)) for i in range(60)]
+    rows += [(100 + i, other(300) + line) for i in range(5)] + [(200, rows[0][1])]
+    told = lambda many: sorted((r.doc_id, r.n_removed, str(r.spans), r.kept_sha256) for r in remove_repeats(table(rows), many=many).collect())
+    want = told(1 << 30)
+    assert sum(n > 0 for _, n, _, _ in want) > 50
+    assert told(3) == want
+    assert _removed(table(rows)) == _repeats(rows)
