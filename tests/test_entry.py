@@ -49,3 +49,20 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(entry_mod.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
+
+
+def test_library_starts_without_the_subpackage(tmp_path):
+    """A copy without both llm folders imports, and keeps all other queries."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry_mod.__file__))
+    copy = tmp_path / "repo"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", "*.parquet"))
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries())); print(sorted(e.oracle_sql()))"],
+                          cwd=copy, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr
+    core = sorted(k for k in entry_mod.queries() if k != "pipeline" and not k.startswith("op"))
+    assert eval(said.stdout.splitlines()[0]) == core
+    assert eval(said.stdout.splitlines()[1]) == [k for k in core if k in entry_mod.oracle_sql()]
