@@ -16,6 +16,7 @@ from .repeats import remove_repeats
 from .secrets import scan_secrets
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .word_bpe import decode_words, encode_words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,5 +76,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(told(base).cast("binary"), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets)}
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decode_words(encode_words(_table(spark, sf_dir, "documents")))
+    told = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(told.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets, op11_word_bpe)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
