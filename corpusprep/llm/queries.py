@@ -13,6 +13,7 @@ from .ngram_join import jaccard_components
 from .packing import pack_documents
 from .projections import near_vectors
 from .repeats import remove_repeats
+from .runs import greatest_run, periodic_runs, with_periods
 from .secrets import scan_secrets
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -83,5 +84,13 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets, op11_word_bpe)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(_table(spark, sf_dir, "documents"))).withColumn("best", greatest_run(F.col("runs")))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(told.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets, op11_word_bpe, op13_periodic_runs)}
 ORACLE = {"op8_url_filter": url_templates.oracle()}
