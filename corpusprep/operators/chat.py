@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpusprep.constants import ANSWER_ID, DEFAULT_MAX_SOURCE, DEFAULT_PAD_ID, EOS_ID, HUMAN_ROLE, IGNORE_INDEX, QUESTION_ID
 from corpusprep.functions.arrays import all_equal_to, not_equal_mask, pad_right, repeat, take
 from corpusprep.functions.tokens import codepoint_ids
-from corpusprep.operators.ordering import grouped_scan
+from corpusprep.operators.ordering import grouped_scan, step_span
 
 
 def _check_limits(max_source: int, max_target: int, allow_unequal: bool) -> None:
@@ -98,6 +98,7 @@ def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: s
     if skip_roles:
         m = m.where(~F.col(from_col).isin(list(skip_roles)))
     codepoint = tokenizer in (None, "codepoint")
+    span = step_span(messages, turn_col)
     if codepoint:  # lengths without tokenizing: the scan's exchange moves text, not int arrays
         m = m.select(conv_col, turn_col, from_col, value_col,
                      (F.length(value_col) + 1).cast("bigint").alias("__n"))
@@ -107,7 +108,7 @@ def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: s
                      tokenizer=tokenizer)
         m = m.withColumn("__n", (F.size("__ids") + 1).cast("bigint"))
     m = grouped_scan(m, [conv_col], turn_col, {"__off": ("sum", "__n")}, inclusive=False,
-                     chunk_size=chunk_size)
+                     chunk_size=chunk_size, span=span)
     reach = max(max_source, max_target)
     m = m.where(F.col("__off") < reach)  # a message starting past both limits adds nothing
     ids = codepoint_ids(value_col) if codepoint else F.col("__ids")  # only kept messages are tokenized

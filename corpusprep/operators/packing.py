@@ -164,9 +164,9 @@ def number_blocks(blocks: DataFrame, *, split_col: str | None = "split", name: s
     from corpusprep.operators.ordering import grouped_scan
     part = _batch_cols(split_col)
     per_batch = blocks.groupBy(*part).agg(F.count(F.lit(1)).alias("__nb"))
-    # batch_id is a dense integer step inside the split: a two-level running sum, no extra job
+    # batch_id is a dense integer step inside the split: three levels, up to 10**9 batches, no extra job
     per_batch = grouped_scan(per_batch, [split_col] if split_col else [], "batch_id",
-                             {"__boff": ("sum", "__nb")}, inclusive=False)
+                             {"__boff": ("sum", "__nb")}, inclusive=False, span=10 ** 9)
     out = blocks.join(per_batch.select(*part, "__boff"), on=part, how="inner")
     return out.withColumn(name, (F.col("__boff") + F.col("block_no")).cast("bigint")).drop("__boff")
 

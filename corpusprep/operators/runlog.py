@@ -7,7 +7,7 @@ Input tables:
 * eval log: ``run, epoch, completed_steps, batch_no, n, loss`` - one row per evaluation batch.
 * checkpoints: ``run, name`` (``epoch_N``, ``step_N``, ...).
 
-Running values per run use the two-level :func:`grouped_scan`, so a run with a third of all
+Running values per run use :func:`grouped_scan`, a tree of windows, so a run with a third of all
 rows is still spread over many tasks; everything else is partial (map-side) aggregation.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.constants import CHECKPOINT_RING_SIZE
 from corpusprep.functions.arrays import argmax
-from corpusprep.operators.ordering import grouped_scan, null_safe_join
+from corpusprep.operators.ordering import grouped_scan, null_safe_join, step_span
 
 
 def _col(c) -> Column:
@@ -48,10 +48,11 @@ def eval_loss(eval_log: DataFrame, group=("run", "epoch", "completed_steps"), *,
 
 
 def completed_steps(train_log: DataFrame, *, run: str = "run", step: str = "micro_step",
-                    sync: str = "sync", name: str = "completed_steps", chunk_size: int = 1024) -> DataFrame:
-    """Optimizer steps done up to and including each micro-step (one per sync)."""
+                    sync: str = "sync", name: str = "completed_steps", chunk_size: int = 1024,
+                    span: int | None = None) -> DataFrame:
+    """Optimizer steps done up to and including each micro-step (one per sync). ``span`` as for ``grouped_scan``."""
     d = train_log.withColumn("__sync", F.col(sync).cast("bigint"))
-    out = grouped_scan(d, [run], step, {name: ("sum", "__sync")}, inclusive=True, chunk_size=chunk_size)
+    out = grouped_scan(d, [run], step, {name: ("sum", "__sync")}, inclusive=True, chunk_size=chunk_size, span=span)
     return out.withColumn(name, F.col(name).cast("bigint")).drop("__sync")
 
 
@@ -64,10 +65,11 @@ def running_train_loss(train_log: DataFrame, *, run: str = "run", epoch: str = "
     ``denominator='completed'`` divides by the steps completed over *all* epochs (what the
     reference logs); ``'epoch'`` by the steps completed in this epoch. NULL while no step is
     complete (the reference divides by zero there)."""
-    d = completed_steps(train_log, run=run, step=step, sync=sync, chunk_size=chunk_size)
+    span = step_span(train_log, step)
+    d = completed_steps(train_log, run=run, step=step, sync=sync, chunk_size=chunk_size, span=span)
     d = d.withColumn("__l", _exact(F.col(loss), exact_scale)).withColumn("__s", F.col(sync).cast("bigint"))
     d = grouped_scan(d, [run, epoch], step, {"epoch_loss_sum": ("sum", "__l"), "__es": ("sum", "__s")},
-                     inclusive=True, chunk_size=chunk_size)
+                     inclusive=True, chunk_size=chunk_size, span=span)
     den = F.col("completed_steps") if denominator == "completed" else F.col("__es")
     if denominator not in ("completed", "epoch"):
         raise ValueError(f"unknown denominator {denominator!r}")

@@ -450,9 +450,9 @@ SELECT conv_id, turn, prompt FROM w WHERE length(prompt) + length(chosen) <= 409
 def q_pair_sanity_head(spark, sf_dir):
     """Sanity mode: the first 200 pairs before formatting and filtering (launch limit 4096)."""
     from corpusprep.constants import SANITY_ROWS_PAIRS
-    from corpusprep.operators.ordering import first_rows
+    from corpusprep.operators.ordering import head_rows
     from corpusprep.operators.preference import filter_pair_length, wrap_prompt
-    p = first_rows(_pairs(spark, sf_dir), ["conv_id", "turn"], SANITY_ROWS_PAIRS)
+    p = head_rows(_pairs(spark, sf_dir), ["conv_id", "turn"], SANITY_ROWS_PAIRS)
     w = filter_pair_length(wrap_prompt(p, keep=("conv_id", "turn")), 4096)
     return w.select("conv_id", "turn", "prompt")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.operators.ordering import lexicographic_bucket_key, row_index
+from corpusprep.operators.ordering import row_index
 
 # fixed parameters of the derived run logs
 STEPS_PER_EPOCH = 30        # micro-steps (batches) per epoch
@@ -91,14 +91,13 @@ def train_log(events: DataFrame, *, materialize: bool = True) -> DataFrame:
     micro-steps of one run; loss = value / 100; a sync every ``ACCUMULATION`` micro-steps and at
     the end of every epoch of ``STEPS_PER_EPOCH`` micro-steps.
 
-    ``micro_step`` is a per-run row index whose buckets follow ``(run, time)``, so a run with
-    most of the events is still cut over many buckets. The narrow result is checkpointed (to
+    ``micro_step`` is a per-run row index over ranges of ``(run, time, event)``, so a run with
+    most of the events is still cut over many ranges. The narrow result is checkpointed (to
     the session's shared checkpoint folder) because the running scans read it several times.
     """
     from corpusprep.session import checkpoint_dir
     e = _micros(events).select(F.col("user_id").alias("run"), "__us", "event_id", "value")
-    key = lexicographic_bucket_key(e, "run", "__us")
-    d = row_index(e, ["__us", "event_id"], name="micro_step", partition_by=["run"], bucket_key=key)
+    d = row_index(e, ["__us", "event_id"], name="micro_step", partition_by=["run"])
     in_epoch = F.col("micro_step") % F.lit(STEPS_PER_EPOCH)
     sync = ((in_epoch + 1) % F.lit(ACCUMULATION) == 0) | (in_epoch == STEPS_PER_EPOCH - 1)
     out = d.select("run", F.floor(F.col("micro_step") / F.lit(STEPS_PER_EPOCH)).cast("int").alias("epoch"),

@@ -8,20 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.constants import DEFAULT_PAIR_MAX_LENGTH, SANITY_ROWS_PAIRS, SANITY_ROWS_TRANSCRIPTS
-from corpusprep.operators.ordering import first_rows
+from corpusprep.operators.ordering import head_rows
 from corpusprep.operators.preference import filter_pair_length, rejected_pairs, split_transcripts, wrap_prompt
 
 
-def _sanity(df: DataFrame, order_by, rows: int, bucket_key) -> DataFrame:
-    """The first rows in order: a top-k, no shuffle of the table."""
-    return first_rows(df, order_by, rows, name="__pos", bucket_key=bucket_key).drop("__pos")
+def _sanity(df: DataFrame, order_by, rows: int) -> DataFrame:
+    """The first rows in order, by comparison with the key of the last of them: no shuffle of the table."""
+    return head_rows(df, order_by, rows)
 
 
 def _wrapped(train, evaluation, order_by, sanity, keep, bucket_key):
     for name, frame in (("train", train), ("validation", evaluation)):
         if frame is not None:
             if sanity:
-                frame = _sanity(frame, order_by, SANITY_ROWS_PAIRS, bucket_key)
+                frame = _sanity(frame, order_by, SANITY_ROWS_PAIRS)
             yield name, wrap_prompt(frame, keep=keep)
 
 
@@ -58,7 +58,7 @@ def prepare_transcripts(df: DataFrame, *, order_by=None, sanity: bool = False, o
                         keep=(), bucket_key=None) -> DataFrame:
     """Whole dialogues -> ``prompt, chosen, rejected`` (first 1000 rows in sanity mode)."""
     if sanity:
-        df = _sanity(df, order_by, SANITY_ROWS_TRANSCRIPTS, bucket_key)
+        df = _sanity(df, order_by, SANITY_ROWS_TRANSCRIPTS)
     return split_transcripts(df, on_missing=on_missing, keep=keep)
 
 

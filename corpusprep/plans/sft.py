@@ -22,14 +22,14 @@ def split_and_limit(rows: DataFrame, order_by, *, validation: DataFrame | None =
     """``split`` and ``row_idx`` (position inside the split), first rows kept per split.
 
     The split itself needs only membership (a boundary key, rows not shuffled); each split then
-    keeps its first rows with ``first_rows`` — a top-k for small limits, a row index otherwise."""
+    keeps its first rows with ``first_rows``: a comparison with the last one's key, then an index of those."""
     if validation is None:
         members = head_percent_split(rows, order_by, percent, bucket_key=bucket_key, keep_index=False)
         parts = [first_rows(members.where(F.col("split") == name).drop("split"), order_by, limit,
                             bucket_key=bucket_key).withColumn("split", F.lit(name))
                  for name, limit in (("train", max_train_samples), ("validation", max_eval_samples))]
         return parts[0].unionByName(parts[1])
-    else:  # each split limited on its own: a top-k when the limit is small
+    else:  # each split limited on its own
         parts = [first_rows(frame, order_by, limit, bucket_key=bucket_key).withColumn("split", F.lit(name))
                  for name, frame, limit in (("train", rows, max_train_samples),
                                             ("validation", validation, max_eval_samples))]

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -58,6 +58,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "corpusprep", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read again: later jobs read the files, so nothing
+    is computed twice and a lost executor costs no lineage. ``drop_stored`` deletes the files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_scratch_path"] = path
+    return out
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``stored`` returned, once nothing that is still to run reads them. Other frames are left alone."""
+    for df in frames:
+        path = df.__dict__.pop("_scratch_path", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            place = sc._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def share_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it (the same path on every
     machine, as when the package is installed or its folder is on a shared path)."""

@@ -41,10 +41,9 @@ def test_row_index_per_group_with_hot_group(spark):
     assert all(r.row_idx == seen[(r.g, r.k)] for r in out)
 
 
-def test_row_index_needs_numeric_bucket_key(spark):
-    df = spark.createDataFrame([("a",)], "s string")
-    with pytest.raises(ValueError):
-        row_index(df, ["s"])
+def test_row_index_by_strings(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",)], "s string")
+    assert sorted((r.row_idx, r.s) for r in row_index(df, ["s"]).collect()) == [(0, None), (1, "a"), (2, "a"), (3, "b")]
 
 
 @pytest.mark.parametrize("n,expect", [(1010, 50), (30, 2), (10, 0), (50, 2), (70, 4)])
@@ -143,3 +142,94 @@ def test_membership_split_equals_indexed_split(spark, n, pct):
     only = head_percent_split(df, ["a", "b"], pct, bucket_key=key, keep_index=False)
     assert "row_idx" not in only.columns
     assert {(r.a, r.b): r.split for r in only.collect()} == full
+
+
+def _keys_of(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, "a", "b", "bb", "", "é"]), rnd.choice([None, rnd.randint(-3, 3)]), i) for i in range(900)]
+    rows += [("hot", 7, 10_000 + i) for i in range(600)]  # one key in the first two columns holds two fifths of all rows
+    rnd.shuffle(rows)
+    return rows, spark.createDataFrame(rows, "s string, k int, i long").repartition(5)
+
+
+def _nulls_first(row):
+    return [(v is not None, v if v is not None else 0) for v in row]
+
+
+def test_row_index_by_any_key_and_group(spark):
+    rows, df = _keys_of(spark)
+    want = {r[2]: i for i, r in enumerate(sorted(rows, key=_nulls_first))}
+    got = row_index(df, ["s", "k", "i"], num_buckets=9, prefix_sums={"before": F.col("i")}, total_name="n").collect()
+    assert {r.i: r.row_idx for r in got} == want and {r.n for r in got} == {len(rows)}
+    run, before = 0, {}
+    for r in sorted(rows, key=_nulls_first):
+        before[r[2]], run = run, run + r[2]
+    assert {r.i: r.before for r in got} == before
+    got = row_index(df, ["k", "i"], partition_by="s", num_buckets=9).collect()
+    for g in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == g), key=lambda r: _nulls_first(r[1:]))
+        assert {r.i: r.row_idx for r in got if r.s == g} == {r[2]: i for i, r in enumerate(mine)}
+    assert row_index(df.where("false"), ["s"]).count() == 0
+
+
+def test_ties_nulls_and_hot_keys_are_dealt_over_many_ranges(spark):
+    rows, df = _keys_of(spark)
+    from corpusprep.operators.ordering import in_ranges, ordered_buckets
+    for order in (["s", "k"], ["k"]):
+        held = in_ranges(df, [F.col(c) for c in order], 12)
+        assert held.groupBy("__bucket").count().agg({"count": "max"}).first()[0] < len(rows) / 4
+        index = sorted((r.row_idx, r.s, r.k) for r in row_index(df, order, num_buckets=12).collect())
+        assert [i for i, _, _ in index] == list(range(len(rows)))
+        keys = [_nulls_first((s, k) if order[0] == "s" else (k,)) for _, s, k in index]
+        assert keys == sorted(keys)
+    one = spark.range(1000).withColumn("k", F.lit(5))  # a numeric key of one value: no single bucket
+    assert ordered_buckets(one, ["k"], num_buckets=8)[0].groupBy("__bucket").count().count() > 4
+    assert sorted(r.row_idx for r in row_index(one, ["k"], num_buckets=8).collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("order", [["i"], ["s", "i"], ["k", "s", "i"], ["s"], ["k"]])
+def test_nth_key_and_head_rows(spark, order, monkeypatch):
+    from corpusprep.operators import ordering
+    monkeypatch.setattr(ordering, "_HELD_KEYS", 40)
+    monkeypatch.setattr(ordering, "_HISTOGRAM", 4)
+    rows, df = _keys_of(spark)
+    at = ["s", "k", "i"].index
+    ranked = sorted(([r[at(c)] for c in order] for r in rows), key=_nulls_first)
+    for n in (1, 2, 39, 40, 41, 500, 899, 1200, len(rows) - 41, len(rows) - 1, len(rows)):
+        found = ordering.nth_key(df, order, n)
+        assert list(found.values) == ranked[n - 1], (order, n)
+        assert found.tied == (n < len(rows) and ranked[n] == ranked[n - 1])
+        assert df.where(found.before).count() == sum(_nulls_first(r) < _nulls_first(ranked[n - 1]) for r in ranked)
+        if n in (1, 500, 1200, len(rows)):
+            got = ordering.head_rows(df, order, n).select(*order).collect()
+            assert sorted(map(list, got), key=_nulls_first) == ranked[:n]
+    assert ordering.nth_key(df, order, len(rows) + 1) is None and ordering.nth_key(df, order, 0) is None
+    assert ordering.head_rows(df, order, 5000).count() == len(rows)
+    assert ordering.nth_key(df.where("false"), order, 1) is None
+
+
+def test_heads_move_no_rows(spark):
+    from corpusprep.operators.ordering import head_rows
+    df = spark.range(5000).withColumn("text", F.lit("t" * 50)).repartition(4).checkpoint()
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(head_rows(df, ["id"], 1000))
+    assert "Exchange" not in plan(head_percent_split(df, ["id"], 5, keep_index=False))
+
+
+@pytest.mark.parametrize("span", [None, 10 ** 9])
+def test_grouped_scan_in_three_levels_and_more(spark, span):
+    """Chunks of 4: the hot group's 400 steps take five levels, and no window holds more than a chunk."""
+    rnd = random.Random(4)
+    rows = [(g, s, rnd.randint(-9, 9)) for g, n in ((None, 7), (1, 400), (2, 65)) for s in rnd.sample(range(n), n * 3 // 4)]
+    df = spark.createDataFrame(rows, "g int, s long, v long")
+    out = grouped_scan(df, ["g"], "s", {"cum": ("sum", "v"), "mn": ("min", "v"), "mx": ("max", "v"), "n": ("count", None)},
+                       chunk_size=4, span=span)
+    got = {(r.g, r.s): (r.cum, r.mn, r.mx, r.n) for r in out.collect()}
+    for g in (None, 1, 2):
+        seen = []
+        for s, v in sorted((s, v) for gg, s, v in rows if gg == g):
+            seen.append(v)
+            assert got[(g, s)] == (sum(seen), min(seen), max(seen), len(seen))
+    if span is None:
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") >= 4
