@@ -181,9 +181,8 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     counts = b.groupBy(*cell).agg(*aggs)
     scans = {"__off": ("sum", "__n")} | {f"__o_{k}": ("sum", f"__s_{k}") for k in sums}
     offsets = grouped_scan(counts, groups, "__bucket", scans, inclusive=False, span=nb + 1)
-    if total_name:
-        totals = counts.groupBy(*groups).agg(F.sum("__n").alias(total_name))
-        offsets = null_safe_join(offsets, totals, groups) if groups else offsets.crossJoin(totals)  # one row
+    if total_name:  # over one row per cell
+        offsets = offsets.withColumn(total_name, F.sum("__n").over(Window.partitionBy(*groups)))
     offsets = offsets.drop("__n", *[f"__s_{k}" for k in sums])
     if not groups:
         offsets = F.broadcast(offsets)  # one row per bucket: a fixed, small bound

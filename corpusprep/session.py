@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,9 +68,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_scratch_path"] = path
+    for scope in _SCOPES[-1:]:
+        scope.append(out)
     return out
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[DataFrame]]:
+    """Collects every table that ``stored`` writes inside, so that the caller can drop those that its result does not read."""
+    made: list[DataFrame] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.pop()
+
+
 def drop_stored(*frames: DataFrame) -> None:
     """Delete the files of frames that ``stored`` returned, once nothing that is still to run reads them. Other frames are left alone."""
     for df in frames:
