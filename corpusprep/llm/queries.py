@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.session import scratch_path, share_package
 
-from . import perplexity, url_templates
+from . import merkle, perplexity, url_templates
 from .decontaminate import find_items
 from .ngram_join import jaccard_components
 from .packing import pack_documents
@@ -84,6 +84,16 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    changed = {f: F.col(f) for f in merkle.FIELDS} | {"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")}
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf_digest(changed))
+    rows = merkle.merkle_manifest(docs, extra={"tampered": tampered}).withColumn("held", F.coalesce("tampered", "leaf"))
+    siblings = F.array_join(F.transform("witness", lambda p: p["others"]), "")
+    rows = merkle.verify(rows, "held").withColumn("proof_sha256", F.sha2(siblings.cast("binary"), 256))
+    return rows.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs(with_periods(_table(spark, sf_dir, "documents"))).withColumn("best", greatest_run(F.col("runs")))
     told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
@@ -92,5 +102,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets, op11_word_bpe, op13_periodic_runs)}
-ORACLE = {"op8_url_filter": url_templates.oracle()}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_near_vectors, op3_decontamination, op4_packing, op5_token_counts, op6_repeats, op7_quality, op8_url_filter, op9_token_files, op10_secrets, op11_word_bpe, op12_merkle_manifest, op13_periodic_runs)}
+ORACLE = {"op8_url_filter": url_templates.oracle(), "op12_merkle_manifest": merkle.oracle()}
