@@ -45,13 +45,16 @@ def test_latin_rule_equals_the_library(library):
         assert coder.encode(text).tolist() == _ids(library, text), a
 
 
-def test_scanned_and_linked_ranks_agree(library):
+def test_scanned_and_linked_ranks_agree(library, monkeypatch):
+    monkeypatch.setattr("corpusprep.llm.word_bpe.ROW_WORDS", 70)
     coder, rng = WordBpe(default_word_vocabulary()), random.Random(12)
-    for _ in range(500):
-        word = "".join(rng.choices("aaabehlnorst", k=rng.randint(1, SHORT)))
-        assert coder.merged(word) == coder._merged_by_heap(word), word
+    words = ["".join(rng.choices("aaabehlnorst", k=rng.randint(1, SHORT))) for _ in range(900)] + ["a" * n for n in range(1, SHORT + 1)]
+    for word, ids in zip(words, coder.merged(words)):
+        assert ids == coder._merged_by_heap(word), word
+        assert list(memoryview(ids).cast("I")) == _ids(library, word), word
     for word in ("a" * 1000, "ab" * 700, "".join(rng.choices("aeinorst", k=30_000))):
         assert coder.encode(word).tolist() == _ids(library, word)
+    assert coder.merged([]) == []
 
 
 def test_text_is_cut_at_blanks_and_strings_are_found_before(library, monkeypatch):
@@ -67,7 +70,7 @@ def test_a_full_cache_changes_nothing(library, monkeypatch):
     coder = WordBpe(default_word_vocabulary())
     for text in _odd_strings(300, 14):
         assert coder.encode(text).tolist() == _ids(library, text)
-    assert len(coder.kept) == len(coder.words) == 3
+    assert len(coder.words) == len(coder.kept) == 3
 
 
 def test_unknown_ids_are_left_out(library):
