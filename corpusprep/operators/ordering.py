@@ -146,6 +146,12 @@ def ordered_buckets(df: DataFrame, order_by, *, partition_by=None, bucket_key=No
     return in_ranges(df, [*groups, *keys], nb), [F.col("__place")]
 
 
+def with_cell(df: DataFrame, groups: list) -> DataFrame:
+    """``df`` with ``__cell``, a struct of group and bucket in place of ``__bucket``. Structs are equal where their NULL fields are, so windows,
+    aggregates and joins on it share one exchange."""
+    return df.withColumn("__cell", F.struct(*groups, F.col("__bucket").cast("bigint").alias("__bucket"))).drop("__bucket")
+
+
 def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=None,
               bucket_key=None, prefix_sums: dict | None = None, total_name: str | None = None,
               num_buckets: int | None = None, relative_error: float | None = None,
@@ -170,7 +176,8 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
         df = df.withColumn(f"__v_{k}", c)
     b, keys = ordered_buckets(df, order_by, partition_by=groups, bucket_key=bucket_key, num_buckets=nb,
                               relative_error=relative_error, uniform_range=uniform_range)
-    cell = groups + ["__bucket"]
+    cell = "__cell" if groups else "__bucket"
+    b = with_cell(b, groups) if groups else b
     in_range = "__place" in b.columns
 
     # per-cell counts and sums (one row per cell): Catalyst prunes this branch to the key
@@ -178,28 +185,32 @@ def row_index(df: DataFrame, order_by, *, name: str = "row_idx", partition_by=No
     aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(f"__v_{k}").alias(f"__s_{k}") for k in sums]
     if in_range:  # the rows of a cell stand one after the other in their range
         aggs.append(F.min("__place").alias("__first"))
-    counts = b.groupBy(*cell).agg(*aggs)
+    counts = b.groupBy(cell).agg(*aggs)
+    if groups:
+        counts = counts.select("*", "__cell.*")
     scans = {"__off": ("sum", "__n")} | {f"__o_{k}": ("sum", f"__s_{k}") for k in sums}
     offsets = grouped_scan(counts, groups, "__bucket", scans, inclusive=False, span=nb + 1)
     if total_name:  # over one row per cell
         offsets = offsets.withColumn(total_name, F.sum("__n").over(Window.partitionBy(*groups)))
     offsets = offsets.drop("__n", *[f"__s_{k}" for k in sums])
-    if not groups:
+    if groups:
+        offsets = offsets.drop(*groups, "__bucket")
+    else:
         offsets = F.broadcast(offsets)  # one row per bucket: a fixed, small bound
 
     # rank (and running sums) inside each (group, bucket): one exchange on the cell; none for the rank in a range
-    w = Window.partitionBy(*cell).orderBy(*keys)
+    w = Window.partitionBy(cell).orderBy(*keys)
     local = b if in_range else b.withColumn("__rank", F.row_number().over(w) - 1)
     for k in sums:
         local = local.withColumn(f"__l_{k}", F.coalesce(
             F.sum(f"__v_{k}").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
-    out = null_safe_join(local, offsets, cell)
+    out = local.join(offsets, cell)
     rank = F.col("__place") - F.col("__first") if in_range else F.col("__rank")
     out = out.withColumn(name, (F.col("__off") + rank).cast("bigint"))
     for k in sums:
         out = out.withColumn(k, F.col(f"__o_{k}") + F.col(f"__l_{k}"))
-    drop = ["__bucket", "__rank", "__off", "__place", "__first"] + [f"__{p}_{k}" for k in sums for p in ("o", "l", "v")]
+    drop = ["__bucket", "__cell", "__rank", "__off", "__place", "__first"] + [f"__{p}_{k}" for k in sums for p in ("o", "l", "v")]
     return out.drop(*drop)
 
 

@@ -171,6 +171,72 @@ def number_blocks(blocks: DataFrame, *, split_col: str | None = "split", name: s
     return out.withColumn(name, (F.col("__boff") + F.col("block_no")).cast("bigint")).drop("__boff")
 
 
+def pack_whole_splits(df: DataFrame, key, block_size: int, *, text_col: str | None = "text", columns=("input_ids", "attention_mask"),
+                      split_col: str | None = "split", keep_short: bool = True, mask: str | None = "attention_mask",
+                      labels: bool = True, bucket_key=None, num_buckets: int | None = None) -> DataFrame:
+    """Pack across the whole of each split instead of per batch of rows (``scope='corpus'``): all rows of a split in ``key`` order
+    are one token stream, cut into blocks of ``block_size``. The remainder is dropped if there is a full block, else the one short
+    block is kept (``keep_short``). Output: ``split, block_no, <columns...>, labels``; ``block_no`` is dense in the split.
+
+    ``text_col`` packs text by the codepoint tokenizer; with ``text_col=None`` the array ``columns`` of equal length per row are
+    packed. Rows of NULL text or arrays have no tokens. ``key`` is one column or a list, unique and of any orderable type.
+
+    A row's token offset is its range's offset (a running sum over one row per split and range) plus a running sum inside the
+    range, so the rows cross the network once, by range. Blocks that lie inside a range are built there. Only the
+    pieces of blocks that span ranges, at most two a range, move again and are put together by block number."""
+    from corpusprep.operators.ordering import default_buckets, grouped_scan, ordered_buckets, with_cell
+
+    B, parts = int(block_size), [split_col] if split_col else []
+    keys = [key] if isinstance(key, str) else list(key)
+    payload = [text_col] if text_col else list(columns)
+    fields = [f"__p{i}" for i in range(len(payload))]
+    nb = num_buckets or default_buckets(df)
+    length = F.length(text_col) if text_col else F.size(payload[0])
+    rows = df.select(*parts, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                     *([bucket_key.alias("__given")] if bucket_key is not None else []),
+                     *[F.col(c).alias(f) for c, f in zip(payload, fields)],
+                     F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)).alias("__n"))
+    order = [f"__k{i}" for i in range(len(keys))]
+    rows, within = ordered_buckets(rows, order, partition_by=parts, num_buckets=nb,
+                                   bucket_key=F.col("__given") if bucket_key is not None else None)
+    rows = with_cell(rows, parts)
+    cells = rows.groupBy("__cell").agg(F.sum("__n").alias("__t"))  # reads keys and lengths only
+    cells = grouped_scan(cells.select("*", "__cell.*"), parts, "__bucket", {"__off": ("sum", "__t")}, inclusive=False, span=nb + 1)
+    total = F.sum("__t").over(Window.partitionBy(*parts))
+    cells = cells.select("__cell", "__off", (F.col("__off") + F.col("__t")).alias("__stop"), _kept(total, B, keep_short).alias("__keep"))
+    before = Window.partitionBy("__cell").orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+    d = rows.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    d = d.join(cells, "__cell").withColumn("__start", (F.col("__off") + F.col("__before")).cast("bigint"))
+    d = d.withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep"))).where(F.col("__end") > F.col("__start"))
+
+    def spans(block: Column) -> Column:
+        """Whether a block has tokens of another range too."""
+        low, high = block * F.lit(B), F.least((block + 1) * F.lit(B), F.col("__keep"))
+        return (low < F.col("__off")) | (high > F.col("__stop"))
+
+    first, last = F.floor(F.col("__start") / F.lit(B)), F.floor((F.col("__end") - 1) / F.lit(B))
+    names = [f"c{i}" for i in range(len(payload))]
+    cuts = _text_cuts(fields[0], B) if text_col else _array_cuts(fields, names, B)
+    held = [_text_piece().alias("t")] if text_col else [F.col(f"__piece.{n}").alias(n) for n in names]
+
+    def blocks(frame: DataFrame, spanning: bool, on: list[str]) -> DataFrame:
+        pieces = _exploded(frame, cuts, B, ["__cell", "__off", "__stop", "__keep"])
+        pieces = pieces.where(spans(F.col("block_no")) == F.lit(spanning))
+        pieces = pieces if spanning is False else pieces.select("*", *[F.col(f"__cell.{c}").alias(c) for c in parts])
+        g = pieces.groupBy(*on).agg(F.array_sort(F.collect_list(F.struct(F.col("__lo").alias("lo"), *held))).alias("__p"))
+        return g.select(*[F.col(c if spanning else f"__cell.{c}").alias(c) for c in parts], "block_no", "__p")
+
+    inner = blocks(d, False, ["__cell", "block_no"])  # on the rows' own partitioning
+    outer = blocks(d.where(spans(first) | spans(last)), True, [*parts, "block_no"])
+    g = inner.unionByName(outer)
+    if text_col:
+        out = g.select(*parts, "block_no", codepoint_ids(F.array_join(F.transform("__p", lambda p: p["t"]), "")).alias("input_ids"))
+        out = out.withColumn(mask, ones_like("input_ids")) if mask else out
+    else:
+        out = g.select(*parts, "block_no", *[F.flatten(F.transform("__p", _field(n))).alias(c) for n, c in zip(names, payload)])
+    return out.withColumn("labels", F.col("input_ids" if text_col else payload[0])) if labels else out
+
+
 def packing_report(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                    length=None, index_col: str = "row_idx", split_col: str | None = "split",
                    keep_short: bool = True) -> DataFrame:

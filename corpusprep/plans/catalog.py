@@ -173,6 +173,52 @@ def q_pack_blocks_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocks_out(pack_corpus_text(docs, "doc_id", 1024, 1000, percent=5, length_col="n_chars"))
 
 
+def sql_pack_scope(block: int, where: str = "true") -> str:
+    """Brute force: the whole split concatenated and cut."""
+    return f"""
+SELECT split, block_no, n_tokens, ids, labels_same FROM ({sql_pack(block, 10 ** 15)}) AS p WHERE {where}"""
+
+
+def _scope_out(blocks: DataFrame) -> DataFrame:
+    return blocks.select("split", F.col("block_no").cast("bigint").alias("block_no"), F.size("input_ids").cast("bigint").alias("n_tokens"),
+                         ids_text("input_ids").alias("ids"), (F.col("labels") == F.col("input_ids")).alias("labels_same"))
+
+
+@register("pack_corpus_scope", sql_pack_scope(1024))
+def q_pack_corpus_scope(spark, sf_dir):
+    """Each split is one token stream: no row batches. The block size comes from the tokenizer's limit."""
+    from corpusprep.plans.pretrain import pretrain_blocks
+    docs = table(spark, sf_dir, "documents")
+    return _scope_out(pretrain_blocks(docs, ["doc_id"], block_size=None, model_max_length=1024, scope="corpus"))
+
+
+@register("pack_corpus_scope_by_text", sql_pack_scope(2048, "split = 'train' AND block_no < 300 OR split = 'validation' AND block_no < 15")
+          .replace("ORDER BY doc_id", "ORDER BY source, lang, doc_id"))
+def q_pack_corpus_scope_by_text(spark, sf_dir):
+    """The same on a tokenized table, ordered and split by strings (source, language, id), with sample limits in blocks."""
+    from corpusprep.operators.ordering import head_limit, head_percent_split
+    from corpusprep.operators.packing import pack_whole_splits
+    from corpusprep.operators.tokenizing import tokenize
+    order = ["source", "lang", "doc_id"]
+    docs = head_percent_split(table(spark, sf_dir, "documents").select("text", *order), order, 5, keep_index=False)
+    blocks = pack_whole_splits(tokenize(docs), order, 2048, text_col=None)
+    return _scope_out(head_limit(blocks, {"train": 300, "validation": 15}, index_col="block_no"))
+
+
+@register("row_index_by_text", """
+SELECT doc_id, source, CAST(row_number() OVER (ORDER BY lang, source, text, doc_id) - 1 AS BIGINT) AS row_idx,
+       CAST(row_number() OVER (PARTITION BY lang ORDER BY text, doc_id) - 1 AS BIGINT) AS in_lang,
+       CAST(coalesce(sum(n_chars) OVER (PARTITION BY lang ORDER BY text, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS chars_before
+FROM documents""")
+def q_row_index_by_text(spark, sf_dir):
+    """Positions by string keys whose first columns are held by many rows, and by text within a language."""
+    from corpusprep.operators.ordering import row_index
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", "n_chars")
+    docs = row_index(docs, ["lang", "source", "text", "doc_id"])
+    docs = row_index(docs, ["text", "doc_id"], partition_by="lang", name="in_lang", prefix_sums={"chars_before": F.col("n_chars")})
+    return docs.select("doc_id", "source", "row_idx", "in_lang", F.col("chars_before").cast("bigint").alias("chars_before"))
+
+
 @register("pack_stored_tokens", sql_pack(1024, 1000))
 def q_pack_stored_tokens(spark, sf_dir):
     """A tokenized corpus stored as parquet (doc_id, input_ids, attention_mask), packed with

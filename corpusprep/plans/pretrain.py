@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.constants import DEFAULT_BLOCK_SIZE, DEFAULT_ROWS_PER_BATCH, DEFAULT_VALIDATION_PERCENT
-from corpusprep.operators.ordering import head_limit, head_percent_split, row_index
-from corpusprep.operators.packing import number_blocks, pack_blocks, pack_corpus_text, pack_text_blocks
+from corpusprep.operators.ordering import choose_validation, head_limit, head_percent_split, row_index
+from corpusprep.operators.packing import effective_block_size, number_blocks, pack_blocks, pack_corpus_text, pack_text_blocks, pack_whole_splits
 from corpusprep.operators.tokenizing import tokenize
 
 
@@ -36,7 +36,7 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
                     max_train_samples: int | None = None, max_eval_samples: int | None = None,
                     strategy: str = "two_shuffle", length_col: str | None = None,
-                    token_store: str | None = None) -> DataFrame:
+                    token_store: str | None = None, scope: str = "batch", model_max_length: int | None = None) -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
     ``block_idx`` when a sample limit is given; the limit counts blocks).
 
@@ -45,11 +45,22 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     reads the key and text lengths. The caller chooses; the size of the input does not. ``length_col``
     (a stored character count, e.g. ``n_chars``) lets the one-shuffle pre-pass skip the text; it is checked per row.
 
+    ``scope``: ``"batch"`` packs every ``rows_per_batch`` rows on their own, ``"corpus"`` the whole of each split
+    (``pack_whole_splits``; the result has no ``batch_id``). ``model_max_length`` is the tokenizer's limit:
+    ``block_size=None`` takes it, a larger ``block_size`` is cut to it (``effective_block_size``).
+
     With a model tokenizer the one-shuffle plan needs ``token_store`` (a shared folder): the
     corpus is tokenized once into it (``store_tokens``) and the stored arrays are packed with
     one shuffle, the pre-pass reading only the stored token counts."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     codepoint = tokenizer in (None, "codepoint")
+    if model_max_length is not None or block_size is None:
+        block_size = effective_block_size(block_size, model_max_length or DEFAULT_BLOCK_SIZE)
+    if scope == "corpus":
+        return _pack_whole(docs, order_by, validation, percent, block_size, None if codepoint else tokenizer, text_col, keep_short,
+                           bucket_key, {"train": max_train_samples, "validation": max_eval_samples})
+    if scope != "batch":
+        raise ValueError(f"unknown scope {scope!r}")
     fusable = (codepoint and all(isinstance(c, str) for c in order_by)
                and (bucket_key is not None or len(order_by) == 1))
     if strategy == "one_shuffle" and not codepoint and token_store:
@@ -94,6 +105,19 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     return _limit(blocks, max_train_samples, max_eval_samples)
 
 
+def _pack_whole(docs, order_by, validation, percent, block_size, tokenizer, text_col, keep_short, bucket_key, limits) -> DataFrame:
+    named = [c for c in order_by if isinstance(c, str)]
+    if len(named) < len(order_by):
+        raise ValueError("packing whole splits needs named order columns")
+    rows = choose_validation(docs, validation, order_by=named, percent=percent).withColumn("__given", F.lit(None) if bucket_key is None else bucket_key)
+    rows = rows.select("split", *named, text_col, "__given")
+    if tokenizer is not None:
+        rows = tokenize(rows, text_col, tokenizer=tokenizer)
+    blocks = pack_whole_splits(rows, named, block_size, text_col=text_col if tokenizer is None else None, keep_short=keep_short,
+                               bucket_key=None if bucket_key is None else F.col("__given"))
+    return head_limit(blocks, limits, index_col="block_no") if any(limits.values()) else blocks
+
+
 def _limit(blocks: DataFrame, max_train_samples, max_eval_samples) -> DataFrame:
     """Sample limits count blocks (``block_idx``: dense position in the split, from running sums
     over per-batch block counts)."""

@@ -215,3 +215,70 @@ def test_one_shuffle_with_stored_lengths(spark):
     wrong = df.withColumn("n", F.col("n") + F.when(F.col("k") == 3, 1).otherwise(0))
     with pytest.raises(Exception):
         pack_corpus_text(wrong, "k", 8, 4, percent=10, num_buckets=7, length_col="n").collect()
+
+
+def _whole(rows, block, keep_short=True):
+    """Concatenate and cut each split: {(split, block_no): text}."""
+    out = {}
+    for split in {r[0] for r in rows}:
+        text = "".join(r[3] or "" for r in sorted((r for r in rows if r[0] == split), key=lambda r: (r[1], r[2])))
+        full = len(text) // block * block
+        for i in range(0, full, block):
+            out[(split, i // block)] = text[i: i + block]
+        if not full and text and keep_short:
+            out[(split, 0)] = text
+    return out
+
+
+@pytest.mark.parametrize("block,buckets,keep_short", [(7, 1, True), (7, 5, True), (64, 9, True), (5000, 4, True), (5000, 4, False), (1, 3, True)])
+def test_pack_whole_splits(spark, block, buckets, keep_short):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corpusprep.functions.tokens import codepoint_ids, ones_like
+    from corpusprep.operators.packing import pack_whole_splits
+    rng = random.Random(block + buckets)
+    rows = [(rng.choice(["train", "train", "validation", "none"]), rng.choice("abc"), i,
+             rng.choice([None, "", "x" * rng.randint(1, 40), "".join(rng.choices("uvwé😀", k=rng.choice([3, 9, 300])))])) for i in range(260)]
+    rows += [("none", "d", 1000, None), ("tiny", "a", 1001, "ab")]
+    df = spark.createDataFrame(rows, "split string, a string, i long, text string").repartition(4)
+    want = {k: [ord(c) + 256 for c in t] for k, t in _whole(rows, block, keep_short).items()}
+
+    def read(blocks):
+        got = blocks.collect()
+        assert len({(r.split, r.block_no) for r in got}) == len(got)
+        assert all(r.labels == r.input_ids and len(r.attention_mask) == len(r.input_ids) for r in got)
+        return {(r.split, r.block_no): r.input_ids for r in got}
+
+    assert read(pack_whole_splits(df, ["a", "i"], block, num_buckets=buckets, keep_short=keep_short)) == want
+    ids = df.select("split", "a", "i", codepoint_ids("text").alias("input_ids")).withColumn("attention_mask", ones_like("input_ids"))
+    assert read(pack_whole_splits(ids, ["a", "i"], block, text_col=None, num_buckets=buckets, keep_short=keep_short)) == want
+    by_number = {k: [ord(c) + 256 for c in t] for k, t in _whole([(s, "", i, t) for s, _, i, t in rows], block, keep_short).items()}
+    assert read(pack_whole_splits(df, "i", block, num_buckets=buckets, keep_short=keep_short)) == by_number
+    one = pack_whole_splits(df.where("split = 'train'").drop("split"), "i", block, split_col=None, num_buckets=buckets, keep_short=keep_short)
+    assert {("train", r.block_no): r.input_ids for r in one.collect()} == {k: v for k, v in by_number.items() if k[0] == "train"}
+    assert pack_whole_splits(df.where(F.lit(False)), "i", block).count() == 0
+
+
+def test_pack_whole_splits_moves_text_once(spark):
+    """One exchange carries whole texts; the second one only pieces of blocks that span ranges."""
+    from corpusprep.operators.packing import pack_whole_splits
+    df = spark.range(3000).selectExpr("id", "'train' AS split", "repeat('t', 50) AS text").checkpoint()
+    blocks = pack_whole_splits(df, "id", 64, num_buckets=6)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("block_no" in line and "__bucket" in line for line in moved) == 0  # blocks inside a range: no exchange of their own
+    assert blocks.count() == 3000 * 50 // 64
+
+
+def test_block_size_rules_in_the_plan(spark):
+    from corpusprep.plans.pretrain import pretrain_blocks
+    docs = spark.createDataFrame([(i, "abcdefghij") for i in range(40)], "doc_id long, text string")
+    size = lambda **kw: {len(r.input_ids) for r in pretrain_blocks(docs, ["doc_id"], percent=0, **kw).collect()}
+    assert size(block_size=None, model_max_length=25) == {25}
+    with pytest.warns(UserWarning):
+        assert size(block_size=50, model_max_length=20, scope="corpus") == {20}
+    assert size(block_size=16, model_max_length=20) == {16}
+    with pytest.raises(ValueError):
+        size(scope="file")
