@@ -426,12 +426,12 @@ def first_rows(df: DataFrame, order_by, n: int | None, *, name: str = "row_idx",
 
 
 def seeded_shuffle(df: DataFrame, seed: int, id_col: str, *, name: str = "shuffle_idx",
-                   partition_by=None) -> DataFrame:
+                   partition_by=None, num_buckets: int | None = None) -> DataFrame:
     """Repeatable permutation: position of each row when ordered by the md5 key of
     ``(seed, id)``, ``id`` breaking ties."""
     keyed = df.withColumn("__skey", seeded_order_key(seed, id_col))
     out = row_index(keyed, ["__skey", id_col], name=name, partition_by=partition_by,
-                    bucket_key=F.col("__skey"), uniform_range=SEEDED_KEY_RANGE)
+                    bucket_key=F.col("__skey"), uniform_range=SEEDED_KEY_RANGE, num_buckets=num_buckets)
     return out.drop("__skey")
 
 

@@ -460,6 +460,14 @@ def q_chat_examples_short(spark, sf_dir):
     return _chat_out(chat_examples(msgs, max_source=512, max_target=256, allow_unequal=True))
 
 
+@register("chat_all_masked", sql_chat(64, 1))
+def q_chat_all_masked(spark, sf_dir):
+    """Labels cut to one: of a conversation that does not start with a human turn only the marker's -100 is left, and it goes."""
+    from corpusprep.operators.chat import chat_examples
+    msgs = derived.chat_messages(table(spark, sf_dir, "conversations"))
+    return _chat_out(chat_examples(msgs, max_source=64, max_target=1, allow_unequal=True))
+
+
 # ------------------------------------------------------------------------------------------------
 # preference pairs
 # ------------------------------------------------------------------------------------------------
@@ -610,8 +618,8 @@ def q_collate_fallback(spark, sf_dir):
     b = _batches(spark, sf_dir)
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", codepoint_ids("text").alias("input_ids"),
-                                                     "label", F.col("source").alias("name"))
-    c = collate(ex, on_ragged="repeat_first")
+                                                     F.length("text").alias("n"), "label", F.col("source").alias("name"))
+    c = collate(ex, on_ragged="repeat_first", lengths={"input_ids": "n"})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
@@ -622,8 +630,8 @@ def q_collate_batches(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     ex = docs.join(lab, on="doc_id", how="left").select(
-        "doc_id", codepoint_ids("text").alias("input_ids"), "label", F.col("source").alias("name"))
-    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first")
+        "doc_id", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"), "label", F.col("source").alias("name"))
+    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first", lengths={"input_ids": "n"})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
@@ -638,8 +646,8 @@ FROM w""")
 def q_pad_to_longest(spark, sf_dir):
     """Batches of 8 padded to their longest row: ids with pad 0, labels with -100."""
     from corpusprep.operators.batching import pad_to_longest
-    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("text").alias("input_ids"))
-    p = pad_to_longest(b.withColumn("labels", F.col("input_ids")))
+    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"))
+    p = pad_to_longest(b.withColumn("labels", F.col("input_ids")), lengths={"input_ids": "n", "labels": "n"})
     return p.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
@@ -648,8 +656,8 @@ def q_collate_batches_padded(spark, sf_dir):
     """Batching and padding to the longest row of each batch in one shuffle
     (``collate_batches(on_ragged='pad')``): ids padded with 0, labels with -100."""
     from corpusprep.operators.batching import collate_batches
-    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("text").alias("input_ids"))
-    c = collate_batches(docs.withColumn("labels", F.col("input_ids")), 8, 42, "doc_id", on_ragged="pad")
+    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"))
+    c = collate_batches(docs.withColumn("labels", F.col("input_ids")), 8, 42, "doc_id", on_ragged="pad", lengths={"input_ids": "n", "labels": "n"})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
@@ -950,6 +958,23 @@ SQL_ALL_DOCS = """
 split_docs AS (SELECT doc_id, text, 'all' AS split, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents)"""
 
 
+@register("pack_numbered_stream", sql_pack(1024, 100))
+def q_pack_numbered_stream(spark, sf_dir):
+    """Numbered documents arriving in an order of their own, two files a trigger: open row batches are carried in the state
+    store (``pack_numbered_stream``), and the last, open batch of each split comes from the store itself."""
+    from pyspark.sql import types as T
+    from corpusprep.streaming.prepare import open_batches, pack_numbered_stream
+    base = _scratch(spark, "stream-numbered")
+    rows = _split_docs(spark, sf_dir).select("split", "row_idx", "text")
+    rows.repartition(6).write.json(f"{base}/in")  # round robin: every file holds rows of every batch
+    schema = T.StructType([T.StructField("split", T.StringType()), T.StructField("row_idx", T.LongType()), T.StructField("text", T.StringType())])
+    pack_numbered_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", block_size=1024, rows_per_batch=100, schema=schema,
+                         split_col="split", max_files_per_trigger=2).awaitTermination()
+    columns = ["split", "batch_id", "block_no", "input_ids", "labels"]
+    late = open_batches(spark, f"{base}/checkpoint", 1024, split_col="split").where(F.col("input_ids").isNotNull())
+    return _blocks_out(spark.read.parquet(f"{base}/out").select(*columns).unionByName(late.select(*columns)))
+
+
 @register("pack_stream", sql_pack(1024, 100, split_docs=SQL_ALL_DOCS, with_split=False))
 def q_pack_stream(spark, sf_dir):
     """Documents arriving as JSON files in doc_id order, tokenized and packed per micro-batch

@@ -131,3 +131,79 @@ def test_pack_stream_restart_adds_a_batch_folder(spark, tmpdir_path):
     assert run() == [0]
     add("b", ["ijklmnop"])
     assert run() == [0, 1]
+
+
+NUMBERED = T.StructType([T.StructField("split", T.StringType()), T.StructField("row_idx", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def _numbered_rows():
+    import random
+    rng = random.Random(21)
+    rows = [(s, i, rng.choice([None, "", "ab", "é😀x" * rng.randint(1, 6)])) for s, n in (("train", 137), ("validation", 23)) for i in range(n)]
+    rows += [("sparse", i, "q" if i == 3 else "") for i in range(20)]
+    return rows
+
+
+def _numbered_files(path, rows, files, order):
+    """Rows dealt over files that arrive in the given order, whatever their numbers."""
+    import json
+    import os
+    os.makedirs(path, exist_ok=True)
+    for k, f in enumerate(order):
+        name = f"{path}/f{f:02d}.json"
+        with open(name, "w") as out:
+            out.write("\n".join(json.dumps({"split": s, "row_idx": i, "text": t}) for s, i, t in rows[f::files]) + "\n")
+        os.utime(name, (1_700_000_000 + 10 * k, 1_700_000_000 + 10 * k))
+
+
+def _numbered_expected(spark, rows, block, per_batch):
+    df = spark.createDataFrame(rows, NUMBERED)
+    return sorted((r.split, r.batch_id, r.block_no, r.input_ids) for r in pack_text_blocks(df, block, per_batch).collect())
+
+
+def _numbered_got(spark, out, checkpoint, block):
+    from corpusprep.streaming.prepare import open_batches
+    blocks = spark.read.parquet(out).select("split", "batch_id", "block_no", "input_ids").collect()
+    late = open_batches(spark, checkpoint, block, split_col="split")
+    assert late.agg({"n_early": "max"}).first()[0] in (0, None)
+    short = late.where("input_ids IS NOT NULL").select("split", "batch_id", "block_no", "input_ids").collect()
+    return sorted((r.split, r.batch_id, r.block_no, r.input_ids) for r in blocks + short)
+
+
+@pytest.mark.parametrize("per_trigger,order", [(1, [3, 0, 5, 1, 4, 2]), (3, [0, 1, 2, 3, 4, 5]), (None, [5, 4, 3, 2, 1, 0])])
+def test_numbered_stream_does_not_depend_on_arrival(spark, tmpdir_path, per_trigger, order):
+    from corpusprep.streaming.prepare import pack_numbered_stream
+    rows = _numbered_rows()
+    _numbered_files(f"{tmpdir_path}/in", rows, 6, order)
+    q = pack_numbered_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", block_size=16, rows_per_batch=10,
+                             schema=NUMBERED, split_col="split", max_files_per_trigger=per_trigger)
+    q.awaitTermination()
+    assert _numbered_got(spark, f"{tmpdir_path}/out", f"{tmpdir_path}/ck", 16) == _numbered_expected(spark, rows, 16, 10)
+
+
+def test_numbered_stream_goes_on_after_a_restart(spark, tmpdir_path):
+    """The second run finds the open batches in the checkpoint; rows that come again change nothing."""
+    from corpusprep.streaming.prepare import open_batches, pack_numbered_stream
+    rows = _numbered_rows()
+
+    def run():
+        q = pack_numbered_stream(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck", block_size=16, rows_per_batch=50,
+                                 schema=NUMBERED, split_col="split")
+        q.awaitTermination()
+
+    _numbered_files(f"{tmpdir_path}/in", rows, 4, [2, 0])
+    run()
+    held = open_batches(spark, f"{tmpdir_path}/ck", 16, split_col="split").collect()
+    assert sum(r.n_early for r in held) > 0 and all(r.n_left < 16 for r in held)
+    _numbered_files(f"{tmpdir_path}/in", rows, 4, [0, 3, 1])
+    run()
+    assert _numbered_got(spark, f"{tmpdir_path}/out", f"{tmpdir_path}/ck", 16) == _numbered_expected(spark, rows, 16, 50)
+
+
+def test_open_batch_keeps_less_than_a_block():
+    from corpusprep.streaming.prepare import OpenBatch
+    batch = OpenBatch(5)
+    assert batch.add([(1, "bbb"), (3, None)]) == [] and batch.state()[:3] == (0, 0, "")
+    assert batch.add([(0, "aaaa")]) == [(0, "aaaab")] and batch.rest == "bb"
+    assert batch.add([(0, "again"), (2, "cccccccc")]) == [(1, "bbccc"), (2, "ccccc")] and batch.taken == 4
+    assert batch.close(True) == [] and OpenBatch(5, 1, 0, "x").close(True) == [(0, "x")] and OpenBatch(5, 1, 0, "x").close(False) == []
