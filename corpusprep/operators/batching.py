@@ -53,7 +53,8 @@ def _judged(narrow: DataFrame, batch_cols: list, pos_col: str, sizes: dict, pres
 class _Columns:
     """Which columns of a frame are collated, and the narrow facts that decide how."""
 
-    def __init__(self, df: DataFrame, keys: set, lengths: dict | None):
+    def __init__(self, df: DataFrame, keys: set, lengths: dict | None, derived: dict | None = None):
+        df = df.withColumns(derived or {})
         self.fields = {f.name: f.dataType for f in df.schema.fields}
         self.others = [c for c, t in self.fields.items() if c not in keys and c not in ("label", "label_ids", *(lengths or {}).values())
                        and not isinstance(t, T.StringType)]
@@ -61,7 +62,7 @@ class _Columns:
         self.marked = self.others + [c for c in ("label", "label_ids") if c in self.fields]
         size = lambda c: F.col(lengths[c]) if c in (lengths or {}) else F.size(c)
         self.sizes = {c: size(c).cast("int") for c in self.arrays}
-        self.present = {c: F.col(c).isNotNull() for c in self.marked}
+        self.present = {c: F.col((lengths or {}).get(c, c)).isNotNull() for c in self.marked}  # an array is NULL where its length is
 
     def facts(self) -> list[Column]:
         """The facts as columns of their own, so that no array goes where only they are needed."""
@@ -106,7 +107,8 @@ class _Columns:
 
 
 def collate(df: DataFrame, *, batch_cols=("batch_no",), pos_col: str = "pos",
-            on_ragged: str = "error", pad: dict | None = None, lengths: dict | None = None) -> DataFrame:
+            on_ragged: str = "error", pad: dict | None = None, lengths: dict | None = None,
+            derived: dict | None = None) -> DataFrame:
     """Column-wise collation of each batch, judged on the batch's first row.
 
     * ``labels``: from ``label`` when the first row's label is set (LONG for integer labels,
@@ -120,12 +122,14 @@ def collate(df: DataFrame, *, batch_cols=("batch_no",), pos_col: str = "pos",
       ``error`` (default) - the job fails instead of silently repeating rows.
 
     What decides is aggregated from lengths and NULL flags alone (``lengths`` maps an array column to a stored column of
-    its length) and joined back to the rows; no window holds an array.
+    its length) and joined back to the rows; no window holds an array. ``derived`` maps names to columns that are computed of a
+    row once it has its batch, e.g. ids of its text, so that only the text moves.
     """
     batch = list(batch_cols)
-    cols = _Columns(df, set(batch) | {pos_col}, lengths)
-    stats = cols.judged(df.select(*batch, pos_col, *cols.facts()), batch, pos_col, on_ragged)
-    return _collated(null_safe_join(df, stats, batch), cols, batch, pos_col, on_ragged, pad)
+    cols = _Columns(df, set(batch) | {pos_col}, lengths, derived)
+    stats = cols.judged(df.withColumns(derived or {}).select(*batch, pos_col, *cols.facts()), batch, pos_col, on_ragged)
+    rows = null_safe_join(df, stats, batch).withColumns(derived or {})
+    return _collated(rows, cols, batch, pos_col, on_ragged, pad)
 
 
 def _collated(rows: DataFrame, cols: _Columns, batch: list, pos_col: str, on_ragged: str, pad: dict | None) -> DataFrame:
@@ -145,13 +149,14 @@ def _collated(rows: DataFrame, cols: _Columns, batch: list, pos_col: str, on_rag
     return even.unionByName(copies)
 
 
-def pad_to_longest(df: DataFrame, *, batch_cols=("batch_no",), columns: dict | None = None, lengths: dict | None = None) -> DataFrame:
-    """Pad each array column to the longest in its batch (ids with pad id, labels with -100). ``lengths`` as for ``collate``; these
-    columns go."""
+def pad_to_longest(df: DataFrame, *, batch_cols=("batch_no",), columns: dict | None = None, lengths: dict | None = None,
+                   derived: dict | None = None) -> DataFrame:
+    """Pad each array column to the longest in its batch (ids with pad id, labels with -100). ``lengths`` and ``derived`` as for
+    ``collate``; the columns of lengths go."""
     cols = columns or {"input_ids": DEFAULT_PAD_ID, "labels": IGNORE_INDEX}
     size = lambda c: F.col(lengths[c]) if c in (lengths or {}) else F.size(c)
-    longest = df.groupBy(*batch_cols).agg(*[F.max(size(c)).alias(f"__max_{i}") for i, c in enumerate(cols)])
-    out = null_safe_join(df, longest, list(batch_cols))
+    longest = df.withColumns(derived or {}).groupBy(*batch_cols).agg(*[F.max(size(c)).alias(f"__max_{i}") for i, c in enumerate(cols)])
+    out = null_safe_join(df, longest, list(batch_cols)).withColumns(derived or {})
     for i, (c, v) in enumerate(cols.items()):
         out = out.withColumn(c, pad_right(c, F.col(f"__max_{i}"), v))
     return out.drop(*[f"__max_{i}" for i in range(len(cols))], *(lengths or {}).values())
@@ -186,7 +191,7 @@ def epoch_plan_local(n: int, batch_size: int, accumulation: int = 1, epochs: int
 
 def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
                     on_ragged: str = "error", pad: dict | None = None, lengths: dict | None = None,
-                    num_buckets: int | None = None) -> DataFrame:
+                    derived: dict | None = None, num_buckets: int | None = None) -> DataFrame:
     """``assign_batches`` followed by ``collate``, with the rows shuffled once (by ``id_col``, unique within a split).
 
     Order, batches and all that decides the collation need only ids, lengths, NULL flags and the seeded key: these narrow
@@ -195,12 +200,13 @@ def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, s
     """
     groups = [split_col] if split_col else []
     batch = [*groups, "batch_no"]
-    cols = _Columns(df, set(groups), lengths)
-    narrow = df.select(*groups, id_col, *cols.facts())
+    cols = _Columns(df, set(groups), lengths, derived)
+    narrow = df.withColumns(derived or {}).select(*groups, id_col, *cols.facts())
     narrow = seeded_shuffle(narrow, seed, id_col, name="__idx", partition_by=groups, num_buckets=num_buckets)
     narrow = (narrow.withColumn("batch_no", F.floor(F.col("__idx") / F.lit(int(batch_size))).cast("bigint"))
               .withColumn("pos", (F.col("__idx") % F.lit(int(batch_size))).cast("bigint")).drop("__idx"))
     stats = cols.judged(narrow, batch, "pos", on_ragged)
     narrow = null_safe_join(narrow.select(*batch, "pos", id_col), stats, batch)
-    rows = null_safe_join(df, narrow, [*groups, id_col])
+    # a merge join: the whole rows are dealt out by id, not sent to the tasks of a few narrow rows
+    rows = null_safe_join(df.hint("merge"), narrow, [*groups, id_col]).withColumns(derived or {})
     return _collated(rows, cols, batch, "pos", on_ragged, pad)

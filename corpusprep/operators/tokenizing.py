@@ -176,9 +176,10 @@ def tokenize(df: DataFrame, text_col: str = "text", *, out: str = "input_ids",
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
-def token_stats(df: DataFrame, ids_col: str = "input_ids", *, split_col: str | None = "split") -> DataFrame:
-    """Rows, tokens, longest and shortest row per split (or overall)."""
-    n = F.size(ids_col)
+def token_stats(df: DataFrame, ids_col: str = "input_ids", *, split_col: str | None = "split", length=None) -> DataFrame:
+    """Rows, tokens, longest and shortest row per split (or overall). ``length``: a column of token counts that stands for the
+    arrays (``token_count(text)`` for the codepoint tokenizer, a stored count for others)."""
+    n = F.size(ids_col) if length is None else length
     aggs = [F.count(F.lit(1)).cast("bigint").alias("n_rows"),
             F.sum(n).cast("bigint").alias("n_tokens"),
             F.max(n).cast("bigint").alias("max_tokens"),

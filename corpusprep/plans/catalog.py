@@ -318,9 +318,10 @@ SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(n) AS BIGINT) AS n_to
        CAST(max(n) AS BIGINT) AS max_tokens, CAST(min(n) AS BIGINT) AS min_tokens
 FROM t GROUP BY split""")
 def q_token_stats(spark, sf_dir):
-    """Rows, tokens, longest and shortest row per split."""
-    from corpusprep.operators.tokenizing import token_stats, tokenize
-    return token_stats(tokenize(_split_only(spark, sf_dir).select("split", "text")))
+    """Rows, tokens, longest and shortest row per split, from token counts: no id array is built."""
+    from corpusprep.functions.tokens import token_count
+    from corpusprep.operators.tokenizing import token_stats
+    return token_stats(_split_only(spark, sf_dir).select("split", token_count("text").alias("n")), length=F.col("n"))
 
 
 @register("decode_roundtrip", f"""
@@ -617,9 +618,8 @@ def q_collate_fallback(spark, sf_dir):
     from corpusprep.operators.batching import collate
     b = _batches(spark, sf_dir)
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", codepoint_ids("text").alias("input_ids"),
-                                                     F.length("text").alias("n"), "label", F.col("source").alias("name"))
-    c = collate(ex, on_ragged="repeat_first", lengths={"input_ids": "n"})
+    ex = b.join(lab, on="doc_id", how="left").select("batch_no", "pos", "text", F.length("text").alias("n"), "label", F.col("source").alias("name"))
+    c = collate(ex, on_ragged="repeat_first", lengths={"input_ids": "n"}, derived={"input_ids": codepoint_ids("text")})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
@@ -630,8 +630,8 @@ def q_collate_batches(spark, sf_dir):
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     ex = docs.join(lab, on="doc_id", how="left").select(
-        "doc_id", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"), "label", F.col("source").alias("name"))
-    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first", lengths={"input_ids": "n"})
+        "doc_id", "text", F.length("text").alias("n"), "label", F.col("source").alias("name"))
+    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first", lengths={"input_ids": "n"}, derived={"input_ids": codepoint_ids("text")})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
@@ -646,8 +646,8 @@ FROM w""")
 def q_pad_to_longest(spark, sf_dir):
     """Batches of 8 padded to their longest row: ids with pad 0, labels with -100."""
     from corpusprep.operators.batching import pad_to_longest
-    b = _batches(spark, sf_dir).select("batch_no", "pos", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"))
-    p = pad_to_longest(b.withColumn("labels", F.col("input_ids")), lengths={"input_ids": "n", "labels": "n"})
+    b = _batches(spark, sf_dir).select("batch_no", "pos", "text", F.length("text").alias("n"))
+    p = pad_to_longest(b, lengths={"input_ids": "n", "labels": "n"}, derived=dict.fromkeys(("input_ids", "labels"), codepoint_ids("text")))
     return p.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
@@ -656,8 +656,9 @@ def q_collate_batches_padded(spark, sf_dir):
     """Batching and padding to the longest row of each batch in one shuffle
     (``collate_batches(on_ragged='pad')``): ids padded with 0, labels with -100."""
     from corpusprep.operators.batching import collate_batches
-    docs = table(spark, sf_dir, "documents").select("doc_id", codepoint_ids("text").alias("input_ids"), F.length("text").alias("n"))
-    c = collate_batches(docs.withColumn("labels", F.col("input_ids")), 8, 42, "doc_id", on_ragged="pad", lengths={"input_ids": "n", "labels": "n"})
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("n"))
+    c = collate_batches(docs, 8, 42, "doc_id", on_ragged="pad", lengths={"input_ids": "n", "labels": "n"},
+                        derived=dict.fromkeys(("input_ids", "labels"), codepoint_ids("text")))
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
