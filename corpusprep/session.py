@@ -65,7 +65,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     is computed twice and a lost executor costs no lineage. ``drop_stored`` deletes the files."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_scratch_path"] = path
     for scope in _SCOPES[-1:]:
