@@ -7,9 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-
-from corpusprep.session import scratch_path
+from corpusprep.session import stored  # noqa: F401  the operators take it from here
 
 #: Bytes of text that one numpy step works on; temporary arrays take about 40 times as much.
 SLICE_BYTES = 2_000_000
@@ -19,15 +17,6 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read again: later jobs
-    read the files, so nothing is computed twice and a lost executor costs no lineage."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x.astype(np.uint64, copy=True)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.session import drop_stored
+
 from .common import stored
 
 #: Links that one task reduces to a spanning forest at a time.
@@ -56,17 +58,21 @@ def components(links: DataFrame) -> DataFrame:
     written to the shared checkpoint folder, so the plan does not grow and nothing is kept in memory."""
     tasks = max(4, int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
     links = links.where("a <> b").select("a", "b").repartition(tasks).mapInArrow(_spanning, "a bigint, b bigint")
-    links = stored(links, "links-spanning")
+    links = spanning = stored(links, "links-spanning")
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"), "links")
-    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
+    drop_stored(spanning)
+    labels = held = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
     while True:
         seen = both.join(labels.select(F.col("a").alias("b"), F.col("label").alias("other")), "b")
         least = seen.groupBy("a").agg(F.min("other").alias("other"))
         nearer = labels.join(least, "a").select("a", F.col("label").alias("old"), F.least("label", "other").alias("label"))
         jump = labels.select(F.col("a").alias("label"), F.col("label").alias("beyond"))
         new = nearer.join(jump, "label", "left").select("a", "old", F.least("label", "beyond").alias("label"))
-        new = stored(new, "labels")
+        before, held = held, stored(new, "labels")
+        drop_stored(before)
+        new = held
         if new.where("label <> old").isEmpty():
+            drop_stored(both)
             return new.select(F.col("a").alias("id"), F.col("label").alias("component"))
         labels = new.select("a", "label")

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.session import drop_stored, scratch_scope
+
 from .common import mix, shingle_sets, stored, text_buffers, text_slices
 from .components import components, forest
 
@@ -162,6 +164,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id``, ``kept`` (this row stands for its component: least id, nulls first,
     then least ``row_hash``; rows equal in id and text stand together) and ``row_hash`` (xxhash64 of id and text)."""
+    with scratch_scope() as made:
+        members, named, out = _components(docs, words, threshold, group, id_col, text_col)
+        drop_stored(*(t for t in made if t is not members and t is not named))
+    return out
+
+
+def _components(docs: DataFrame, words: int, threshold: float, group: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored tables that the result reads, and the result."""
     spark = docs.sparkSession
     needs = Needs(threshold)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -320,12 +330,12 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
     met_sets = units.join(ordered, ["name", "n"]).select("unit", "name", "side", "tokens")
     links = met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint")
     found = components(links)
-    named = reps.join(found.withColumnRenamed("id", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
-    named = stored(named.select("name", "n", "least", "first", "component"), "shingle-components")
+    classes_found = reps.join(found.withColumnRenamed("id", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
+    named = stored(classes_found.select("name", "n", "least", "first", "component"), "shingle-components")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
     by_class = named.select("name", "n", "component").join(least, "component").select("name", "n", "component_id", "first")
     empty = F.col("n") == 0
-    return members.join(by_class, ["name", "n"], "left").select(
+    return members, named, members.join(by_class, ["name", "n"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
         (empty | F.col("first").eqNullSafe(F.struct("id", "row"))).alias("kept"), F.col("row").alias("row_hash"))
 
@@ -333,9 +343,9 @@ def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85,
 def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, group: int = 128, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; of rows equal in id and text one stays."""
-    kept = jaccard_components(docs, words, threshold, group, id_col, text_col).where("kept").select("row_hash").distinct()
-    rows = docs.withColumn("row_hash", F.xxhash64(id_col, F.col(text_col).cast("string")))
-    return rows.join(kept, "row_hash", "left_semi").dropDuplicates(["row_hash"]).select(*(f"`{c}`" for c in docs.columns))
+    kept = jaccard_components(docs, words, threshold, group, id_col, text_col).where("kept").select(F.col("row_hash").alias("hash")).distinct()
+    rows = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), F.xxhash64(id_col, F.col(text_col).cast("string")).alias("hash"))
+    return rows.join(kept, "hash", "left_semi").dropDuplicates(["hash"]).select("row.*")  # no input column can clash with the hash
 
 
 ENTRY = np.dtype([("token", "<u8"), ("name", "<i8"), ("n", "<u4")])

@@ -171,3 +171,14 @@ def test_a_phrase_with_many_contexts_is_counted_by_its_strings(table):
     assert sum(n > 0 for _, n, _, _ in want) > 50
     assert told(3) == want
     assert _removed(table(rows)) == _repeats(rows)
+
+
+def test_columns_named_like_the_hash_stay(spark):
+    from corpusprep.llm.ngram_join import drop_near_copies
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(1, text, "a", "h"), (2, text, "b", "i"), (3, "other words that are their own " * 5, "c", "j")],
+                                 "doc_id bigint, text string, row_hash string, hash string")
+    kept = drop_near_copies(rows)
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id, r.row_hash, r.hash) for r in kept.collect()) == [(1, "a", "h"), (3, "c", "j")]

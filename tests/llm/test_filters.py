@@ -289,3 +289,11 @@ def test_toxic_text_of_other_languages_is_rejected(spark):
     for lang in (None, "xx"):
         share = {t: np.mean([r.keep for r in judged if r.lang == lang and r.toxic == t]) for t in (0, 1)}
         assert share[1] <= 0.1 and share[0] >= 0.95, (lang, share)
+
+
+def test_classifier_keeps_columns_named_like_its_own(spark, corpus):
+    rows = spark.createDataFrame([(i, t, "en", 7, "x", 1) for i, t in corpus[:60]], "doc_id bigint, text string, lang string, _chunk int, before string, c0 int")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in corpus[:40]], "doc_id bigint, quality int, toxic int")
+    judged = perplexity.fit(rows, labels).score(rows)
+    assert judged.columns == [*rows.columns, "perplexity", "peak_perplexity", "contrast", "keep"]
+    assert sorted(map(tuple, judged.select(*rows.columns).collect())) == sorted(map(tuple, rows.collect()))
