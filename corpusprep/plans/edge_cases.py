@@ -109,10 +109,14 @@ def q_chat_nested(spark, sf_dir):
     from corpusprep.operators.chat import chat_examples_nested
     from corpusprep.sources.files import CONVERSATION_SCHEMA
     from pyspark.sql import types as T
+    from corpusprep.operators.ordering import grouped_scan
     path = _scratch(spark, "chats-json")
+    messages = derived.chat_messages(table(spark, sf_dir, "conversations")).withColumn("n", F.length("value") + 1)
+    # messages past the limits add nothing and are dropped before a conversation is gathered, which so stays bounded
+    messages = grouped_scan(messages, ["conv_id"], "turn", {"before": ("sum", "n")}, inclusive=False).where("before < 2048")
     turns = F.transform(F.sort_array(F.collect_list(F.struct("turn", F.col("from"), F.col("value")))),
                         lambda m: F.struct(m["from"].alias("from"), m["value"].alias("value")))
-    derived.chat_messages(table(spark, sf_dir, "conversations")).groupBy("conv_id").agg(turns.alias("conversations")).write.json(path)
+    messages.groupBy("conv_id").agg(turns.alias("conversations")).write.json(path)
     schema = T.StructType([T.StructField("conv_id", T.LongType()), *CONVERSATION_SCHEMA.fields])
     nested = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     return _chat_out(chat_examples_nested(nested, max_source=2048, max_target=2048, keep=("conv_id",)))
@@ -132,42 +136,47 @@ def q_csv_header_order(spark, sf_dir):
 
 
 @register("file_types", """
-SELECT * FROM (VALUES ('train', 'jsonl'), ('validation', 'json')) AS t(split, extension)
-WHERE EXISTS (SELECT 1 FROM documents)""")
+SELECT CASE WHEN doc_id % 3 < 2 THEN 'train' ELSE 'validation' END AS split, CASE WHEN doc_id % 3 = 1 THEN 'txt' ELSE 'json' END AS extension,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars, doc_id % 3 < 2 AS refused
+FROM documents GROUP BY ALL""")
 def q_file_types(spark, sf_dir):
-    """Extensions found per split of a corpus that mixes two types (a run on it is refused)."""
+    """Rows and characters per split and extension of a corpus whose train split mixes two file types, which is refused."""
     from corpusprep.sources.files import check_one_type, discover_files
     base = _scratch(spark, "mixed")
-    docs = table(spark, sf_dir, "documents").select("text")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for split, suffix in (("train", "jsonl"), ("validation", "json")):
-        docs.coalesce(1).write.json(f"{base}/{split}")
-        if suffix == "jsonl":
-            root = hadoop.Path(f"{base}/{split}")
-            fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            for s in fs.globStatus(hadoop.Path(f"{base}/{split}/part-*.json")):
-                fs.rename(s.getPath(), hadoop.Path(s.getPath().toString()[: -len("json")] + suffix))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    line = F.to_json(F.struct("doc_id", "text")).alias("value")
+    docs.where("doc_id % 3 = 0").write.json(f"{base}/train/a")
+    docs.where("doc_id % 3 = 1").select(line).write.text(f"{base}/train/b")
+    docs.where("doc_id % 3 = 2").write.json(f"{base}/validation/a")
     found = check_one_type({s: discover_files(spark, f"{base}/{s}") for s in ("train", "validation")}, raise_error=False)
-    return spark.createDataFrame([(s, e) for s, es in found.items() for e in es], "split string, extension string")
+    out = None
+    for split, extensions in found.items():
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{base}/{split}")
+        d = lines.select(F.lit(split).alias("split"), F.regexp_extract("_metadata.file_path", r"\.([^./]+)$", 1).alias("extension"),
+                         F.length(F.get_json_object("value", "$.text")).alias("n"))
+        d = d.groupBy("split", "extension").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").cast("bigint").alias("n_chars"))
+        d = d.withColumn("refused", F.lit(len(extensions) > 1))
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 @register("reuse_after_change", f"""
 WITH {SQL_SPLIT_DOCS.strip()}
-SELECT split, CAST(count(*) AS BIGINT) AS n_rows, true AS first_reused, false AS second_reused FROM split_docs GROUP BY split""")
+SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars, true AS first_reused, false AS second_reused
+FROM split_docs GROUP BY split""")
 def q_reuse_after_change(spark, sf_dir):
-    """A prepared table is reused while its input files stay as they are, and made anew once their content changes."""
-    from corpusprep.sources.sinks import write_prepared
+    """A prepared table is reused while its input files stay as they are, and made anew, as a new version, once their content changes."""
+    from corpusprep.sources.sinks import read_prepared, write_prepared
     base = _scratch(spark, "changing")
-    docs = _split_only(spark, sf_dir).select("split", "doc_id")
+    docs = _split_only(spark, sf_dir).select("split", "doc_id", F.length("text").alias("n"))
 
     def prepared():
-        source = spark.read.parquet(f"{base}/in")
-        return write_prepared(source, f"{base}/out", params={"v": 1}, input_files=[f"{base}/in/{f.rsplit('/', 1)[-1]}" for f in source.inputFiles()])
+        return write_prepared(spark.read.parquet(f"{base}/in"), f"{base}/out", params={"v": 1}, input_files=[f"{base}/in"])
 
-    docs.where("doc_id % 2 = 0").coalesce(1).write.parquet(f"{base}/in")
+    docs.where("doc_id % 2 = 0").write.parquet(f"{base}/in")
     prepared()
     _, first = prepared()
-    docs.coalesce(1).write.mode("overwrite").parquet(f"{base}/in")
-    out, second = prepared()
-    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")).select(
-        "split", "n_rows", F.lit(first).alias("first_reused"), F.lit(second).alias("second_reused"))
+    docs.write.mode("overwrite").parquet(f"{base}/in")
+    _, second = prepared()
+    out = read_prepared(spark, f"{base}/out").groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("n").cast("bigint").alias("n_chars"))
+    return out.withColumns({"first_reused": F.lit(first), "second_reused": F.lit(second)})

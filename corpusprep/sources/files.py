@@ -176,5 +176,7 @@ def read_pairs_csv(spark: SparkSession, path: str, *, columns=("prompt", "chosen
 
 def read_split(spark: SparkSession, directory: str, split: str, *, split_col: str = "split") -> DataFrame:
     """One named split of a stored dataset (``partitionBy(split)`` layout: only that folder is
-    read)."""
-    return spark.read.parquet(directory).where(F.col(split_col) == F.lit(split))
+    read); of a folder that ``write_prepared`` filled, of its newest version."""
+    from corpusprep.sources.sinks import read_prepared
+
+    return read_prepared(spark, directory).where(F.col(split_col) == F.lit(split))

@@ -83,3 +83,38 @@ def test_write_prepared_notices_new_input_files(spark, tmpdir_path):
     assert write_prepared(df, out, params={"a": 1}, input_files=["f1"])[1]
     assert not write_prepared(df, out, params={"a": 1}, input_files=["f1", "f2"])[1]
     assert not write_prepared(df, out, params={"a": 1}, input_files=["f1", "f2"], overwrite=True)[1]
+
+
+def test_a_run_that_dies_leaves_the_old_version(spark, tmpdir_path):
+    """The newest commit counts: a version that was not written to its end, or not committed, is never read."""
+    from corpusprep.sources import sinks
+    out = f"{tmpdir_path}/versions"
+    df = spark.createDataFrame([("train", 1), ("validation", 2)], "split string, v int")
+    sinks.write_prepared(df, out, params={"a": 1})
+    dying = df.withColumn("v", F.when(F.col("v") == 2, F.raise_error(F.lit("dies"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        sinks.write_prepared(dying, out, params={"a": 2})
+    df.write.parquet(f"{out}/{sinks.VERSION}uncommitted")
+    assert sorted(r.v for r in sinks.read_prepared(spark, out).collect()) == [1, 2]
+    assert sinks.write_prepared(df, out, params={"a": 1})[1]
+    with pytest.raises(RuntimeError):  # two runs cannot commit the same number
+        sinks._commit(spark, out, 0, {"version": "x"})
+    for v in (3, 4, 5):
+        sinks.write_prepared(df.withColumn("v", F.lit(v)), out, params={"a": v})
+    assert {r.v for r in read_split(spark, out, "train").collect()} == {5}
+    assert len(sinks._commits(spark, out)) == 2  # the newest, and the one before for its readers
+    assert sinks.current_version(spark, out)["params"] == {"a": 5}
+
+
+def test_content_digest_follows_the_files(spark, tmpdir_path):
+    from corpusprep.sources.sinks import content_digest, input_states
+    for name in ("a b.txt", "sub/c.txt"):
+        _write(f"{tmpdir_path}/in/{name}", "text")
+    files = [f"{tmpdir_path}/in/a b.txt", f"{tmpdir_path}/in/sub/c.txt"]
+    first = content_digest(spark, files)
+    assert first == content_digest(spark, files[::-1]) == content_digest(spark, [f"{tmpdir_path}/in"])
+    assert input_states(spark, [f"file:{tmpdir_path}/in/a%20b.txt", files[1]]) == [first]
+    _write(f"{tmpdir_path}/in/sub/c.txt", "other text")
+    assert content_digest(spark, files) != first
+    states = input_states(spark, [files[0], f"{tmpdir_path}/none"])
+    assert len(states) == 2 and states[0].endswith("absent") and input_states(spark, None) == []
