@@ -1,6 +1,9 @@
 """The training-data pipeline: quality classifier, n-gram Jaccard join, benchmark decontamination, secret scan, packing.
 
-Every stage takes all rows its predecessor kept. All but the last return the columns of ``documents``."""
+Every stage takes all rows its predecessor kept. All but the last return the columns of ``documents``, extra ones included, whatever
+their names. Null, empty and blank texts pass the quality, decontamination and secrets stages unchanged; of rows equal in id
+and text one stays after the second stage (null ids and null texts are values like others there). Without trusted rows in ``labels`` the
+quality stage keeps all, without items in ``benchmark`` the decontamination stage does. An empty ``documents`` gives an empty result."""
 
 from __future__ import annotations
 
@@ -13,7 +16,7 @@ from corpusprep.llm.decontaminate import drop_contaminated
 from corpusprep.llm.ngram_join import drop_near_copies
 from corpusprep.llm.packing import pack_documents
 from corpusprep.llm.secrets import redact_secrets
-from corpusprep.session import share_package
+from corpusprep.session import drop_stored, scratch_scope, share_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope() as made:
+            before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_stored(before, *(t for t in made if t is not docs))  # the next stage reads this one's rows alone
     return STAGES[-1][1](spark, docs, sf_dir)
