@@ -10,7 +10,7 @@ Two entry points:
 * :func:`chat_examples_nested` — one row holds ``ARRAY<STRUCT<from, value>>`` (JSON input);
   pure per-row array expressions.
 * :func:`chat_examples` — one row per message (``conv_id, turn, from, value``). Each message's
-  token offset inside its conversation comes from a two-level running sum, messages that start
+  token offset inside its conversation comes from a running sum (``grouped_scan``), messages that start
   past the limits are left out, and only then are the pieces gathered per conversation, so the
   gathered array never exceeds the limits, whatever a conversation's length. This is also how
   a conversation is assembled from rows (6.1): no step ever gathers a whole conversation.
@@ -21,10 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.constants import ANSWER_ID, DEFAULT_MAX_SOURCE, DEFAULT_PAD_ID, EOS_ID, HUMAN_ROLE, IGNORE_INDEX, QUESTION_ID
+from corpusprep.constants import ANSWER_ID, DEFAULT_MAX_SOURCE, EOS_ID, HUMAN_ROLE, IGNORE_INDEX, QUESTION_ID
 from corpusprep.functions.arrays import all_equal_to, not_equal_mask, pad_right, repeat, take
 from corpusprep.functions.tokens import codepoint_ids
 from corpusprep.operators.ordering import grouped_scan, step_span
+from corpusprep.operators.tokenizing import resolve_pad_id
 
 
 def _check_limits(max_source: int, max_target: int, allow_unequal: bool) -> None:
@@ -55,12 +56,13 @@ def _finish(ids: Column, labels: Column, max_source: int, max_target: int, pad_i
 
 def chat_examples_nested(df: DataFrame, conversations: str = "conversations", *,
                          max_source: int = DEFAULT_MAX_SOURCE, max_target: int = DEFAULT_MAX_SOURCE,
-                         pad_id: int = DEFAULT_PAD_ID, eos_id: int = EOS_ID,
+                         pad_id: int | None = None, eos_id: int = EOS_ID, pad_with_eos: bool = False,
                          human_roles=(HUMAN_ROLE,), skip_roles=(), allow_unequal: bool = False,
                          keep=(), drop_all_masked: bool = True, tokenizer="codepoint") -> DataFrame:
     """``conversations ARRAY<STRUCT<from, value>>`` -> ``input_ids, labels, attention_mask``.
     With a ``ModelTokenizer`` every message is encoded by the model (Arrow batches)."""
     _check_limits(max_source, max_target, allow_unequal)
+    pad_id = resolve_pad_id(pad_id, eos_id, pad_with_eos=pad_with_eos)
     src = df.withColumn(conversations, F.coalesce(F.col(conversations), F.array().cast(df.schema[conversations].dataType)))
     if skip_roles:
         src = src.withColumn(conversations, F.filter(conversations, lambda m: ~m["from"].isin(list(skip_roles))))
@@ -87,13 +89,14 @@ def chat_examples_nested(df: DataFrame, conversations: str = "conversations", *,
 def chat_examples(messages: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
                   from_col: str = "from", value_col: str = "value",
                   max_source: int = DEFAULT_MAX_SOURCE, max_target: int = DEFAULT_MAX_SOURCE,
-                  pad_id: int = DEFAULT_PAD_ID, eos_id: int = EOS_ID, human_roles=(HUMAN_ROLE,),
+                  pad_id: int | None = None, eos_id: int = EOS_ID, pad_with_eos: bool = False, human_roles=(HUMAN_ROLE,),
                   skip_roles=(), allow_unequal: bool = False, drop_all_masked: bool = True,
                   chunk_size: int = 1024, tokenizer="codepoint") -> DataFrame:
     """One row per message -> one example per conversation (``conv_col`` kept). With a
     ``ModelTokenizer`` the messages are encoded first (Arrow batches) and their token counts
     drive the offsets."""
     _check_limits(max_source, max_target, allow_unequal)
+    pad_id = resolve_pad_id(pad_id, eos_id, pad_with_eos=pad_with_eos)
     m = messages.withColumn(value_col, F.coalesce(F.col(value_col), F.lit("")))  # NULL text: empty message
     if skip_roles:
         m = m.where(~F.col(from_col).isin(list(skip_roles)))

@@ -28,6 +28,7 @@ from corpusprep.constants import (
 )
 from corpusprep.functions.arrays import all_equal_to, repeat, take
 from corpusprep.functions.tokens import codepoint_ids, token_count
+from corpusprep.operators.tokenizing import CodepointTokenizer
 
 
 def _col(c) -> Column:
@@ -77,14 +78,16 @@ def format_instructions(df: DataFrame, *, instruction: str = "instruction", inpu
                         keep=(), eos_id: int = EOS_ID, tokenizer="codepoint") -> DataFrame:
     """Instruction triples -> ``keep... , input_ids, labels`` (ARRAY<INT>, equal length).
 
-    ``tokenizer``: ``"codepoint"`` (native) or a ``ModelTokenizer``: the source is encoded with
-    the model's special tokens, the target without them, then eos is appended."""
+    ``tokenizer``: ``"codepoint"`` or ``CodepointTokenizer`` (native), or a ``ModelTokenizer``: the source is encoded with
+    the tokenizer's special tokens, the target without them, then eos is appended."""
     d = apply_null_policy(df, instruction, output, null_policy)
     d = d.select(*keep, build_source(instruction, input_col).alias("__src"), F.col(output).alias("__out"))
-    if tokenizer in (None, "codepoint"):
+    if tokenizer in (None, "codepoint") or isinstance(tokenizer, CodepointTokenizer):
         # 5.3 early exit: codepoint lengths are string lengths, so filter before tokenizing
-        d = d.where((token_count("__src") <= max_source) & (token_count("__out") + 1 <= max_target))
-        d = d.select(*keep, codepoint_ids("__src").alias("__s"), build_target_ids("__out", eos_id).alias("__t"))
+        special = isinstance(tokenizer, CodepointTokenizer)  # in front of the source; the target has none
+        d = d.where((token_count("__src") + int(special) <= max_source) & (token_count("__out") + 1 <= max_target))
+        source = tokenizer.ids("__src") if special else codepoint_ids("__src")
+        d = d.select(*keep, source.alias("__s"), build_target_ids("__out", eos_id).alias("__t"))
     else:
         from corpusprep.operators.tokenizing import encode_columns
         d = encode_columns(d, {"__s": ("__src", tokenizer.add_special_tokens), "__t0": ("__out", False)}, tokenizer)

@@ -3,7 +3,7 @@
 Two tokenizers:
 
 * ``"codepoint"`` (default): id = code point + 256, written with native column functions, so
-  it stays inside the JVM and can be checked with SQL.
+  it stays inside the JVM and can be checked with SQL; :class:`CodepointTokenizer` adds a begin token.
 * :class:`ModelTokenizer`: a ``tokenizers`` JSON model file shipped to executors with
   ``addFile`` and applied by ``mapInPandas`` in Arrow batches; the model loads once per Python
   worker, never per row.
@@ -37,6 +37,17 @@ class ModelTokenizer:
         return self
 
 
+@dataclass(frozen=True)
+class CodepointTokenizer:
+    """The codepoint tokenizer with a begin token: encoding with special tokens puts ``begin_id`` in front."""
+
+    begin_id: int = 1
+
+    def ids(self, text, special: bool = True):
+        ids = codepoint_ids(text)
+        return F.concat(F.array(F.lit(self.begin_id)), ids) if special else ids
+
+
 _LOADED: dict[str, object] = {}
 
 
@@ -164,10 +175,11 @@ def tokenize(df: DataFrame, text_col: str = "text", *, out: str = "input_ids",
              mask: str | None = "attention_mask", tokenizer="codepoint",
              keep_text: bool = False, add_special_tokens: bool | None = None) -> DataFrame:
     """Add token ids (and an all-ones attention mask) for ``text_col``. ``add_special_tokens``
-    overrides the model tokenizer's setting (targets are encoded without them); the codepoint
-    tokenizer has none."""
-    if tokenizer in (None, "codepoint"):
-        res = df.withColumn(out, codepoint_ids(text_col))
+    overrides the tokenizer's setting (targets are encoded without them); ``"codepoint"`` has none,
+    ``CodepointTokenizer`` one in front."""
+    if tokenizer in (None, "codepoint") or isinstance(tokenizer, CodepointTokenizer):
+        special = isinstance(tokenizer, CodepointTokenizer) and add_special_tokens is not False
+        res = df.withColumn(out, tokenizer.ids(text_col) if special else codepoint_ids(text_col))
         if mask:
             res = res.withColumn(mask, ones_like(out))
         return res if keep_text else res.drop(text_col)

@@ -352,7 +352,7 @@ def q_instruction_source(spark, sf_dir):
 
 
 def sql_instruction(style: str, max_source: int, max_target: int, *, ctes: str = SQL_EXCHANGES,
-                    source: str = "triples", keep: str = "conv_id, turn") -> str:
+                    source: str = "triples", keep: str = "conv_id, turn", begin: str = "") -> str:
     limit = max_source + max_target
     if style == "markers":
         ids = "[195] || s || [196] || t"
@@ -362,7 +362,7 @@ def sql_instruction(style: str, max_source: int, max_target: int, *, ctes: str =
         labels = f"{sql_repeat(-100, 'len(s)')} || t"
     return f"""
 WITH {ctes.strip()},
-tk AS (SELECT {keep}, {sql_ids(SQL_SOURCE)} AS s, {sql_ids('output')} || [2] AS t
+tk AS (SELECT {keep}, {begin}{sql_ids(SQL_SOURCE)} AS s, {sql_ids('output')} || [2] AS t
        FROM {source} WHERE instruction IS NOT NULL AND output IS NOT NULL),
 ok AS (SELECT * FROM tk WHERE len(s) <= {max_source} AND len(t) <= {max_target}),
 fm AS (SELECT {keep}, list_slice({ids}, 1, {limit}) AS input_ids, list_slice({labels}, 1, {limit}) AS labels FROM ok)
@@ -390,6 +390,15 @@ def q_instruction_plain(spark, sf_dir):
     return d.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 
 
+@register("instruction_special_tokens", sql_instruction("markers", 256, 256, begin="[1] || "))
+def q_instruction_special_tokens(spark, sf_dir):
+    """A tokenizer with a begin token: the source is encoded with it (and counted with it), the target without."""
+    from corpusprep.operators.instruct import format_instructions
+    from corpusprep.operators.tokenizing import CodepointTokenizer
+    d = format_instructions(_triples(spark, sf_dir), max_source=256, max_target=256, keep=("conv_id", "turn"), tokenizer=CodepointTokenizer(1))
+    return d.select("conv_id", "turn", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
+
+
 @register("display_labels", f"""
 WITH fm AS ({sql_instruction("markers", 1024, 1024)})
 SELECT conv_id, turn,
@@ -421,7 +430,7 @@ def q_render_template(spark, sf_dir):
 # chat examples
 # ------------------------------------------------------------------------------------------------
 
-def sql_chat(max_source: int, max_target: int) -> str:
+def sql_chat(max_source: int, max_target: int, pad: int = 0) -> str:
     return f"""
 WITH msgs AS (SELECT conv_id, turn,
                      CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS frm,
@@ -433,10 +442,10 @@ pieces AS (SELECT conv_id, turn,
 conv AS (SELECT conv_id, flatten(list(pi ORDER BY turn)) || [2] AS ids, flatten(list(pl ORDER BY turn)) || [2] AS labels
          FROM pieces GROUP BY conv_id),
 cut AS (SELECT conv_id, list_slice(ids, 1, {max_source}) AS ids, list_slice(labels, 1, {max_target}) AS labels FROM conv),
-padded AS (SELECT conv_id, ids || {sql_repeat(0, f'{max_source} - len(ids)')} AS ids,
+padded AS (SELECT conv_id, ids || {sql_repeat(pad, f'{max_source} - len(ids)')} AS ids,
                   labels || {sql_repeat(-100, f'{max_target} - len(labels)')} AS labels FROM cut)
 SELECT conv_id, array_to_string(ids, ',') AS input_ids, array_to_string(labels, ',') AS labels,
-       CAST(len(list_filter(ids, lambda x: x <> 0)) AS BIGINT) AS n_attended
+       CAST(len(list_filter(ids, lambda x: x <> {pad})) AS BIGINT) AS n_attended
 FROM padded WHERE len(list_filter(labels, lambda x: x <> -100)) > 0"""
 
 
@@ -461,6 +470,14 @@ def q_chat_examples_short(spark, sf_dir):
     return _chat_out(chat_examples(msgs, max_source=512, max_target=256, allow_unequal=True))
 
 
+@register("chat_eos_pad", sql_chat(512, 512, 2))
+def q_chat_eos_pad(spark, sf_dir):
+    """A tokenizer without a pad id of its own, padded with eos: real eos tokens are masked too."""
+    from corpusprep.operators.chat import chat_examples
+    msgs = derived.chat_messages(table(spark, sf_dir, "conversations"))
+    return _chat_out(chat_examples(msgs, max_source=512, max_target=512, pad_with_eos=True))
+
+
 @register("chat_all_masked", sql_chat(64, 1))
 def q_chat_all_masked(spark, sf_dir):
     """Labels cut to one: of a conversation that does not start with a human turn only the marker's -100 is left, and it goes."""
@@ -899,6 +916,22 @@ def q_read_json_corpus(spark, sf_dir):
     return out
 
 
+@register("read_numbered_corpus", f"""
+WITH {SQL_SPLIT_DOCS.strip()}
+SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1 AS BIGINT) AS row_idx, doc_id,
+       CAST(length(text) AS BIGINT) AS n_chars
+FROM split_docs""")
+def q_read_numbered_corpus(spark, sf_dir):
+    """JSON lines read by folder and numbered once through the manifest table: no file list in Python."""
+    from corpusprep.sources.files import read_numbered
+    from pyspark.sql import types as T
+    base = _scratch(spark, "numbered-corpus")
+    _write_docs(_split_only(spark, sf_dir), base, "json")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    rows = read_numbered(spark, {"train": f"{base}/train", "validation": f"{base}/validation"}, schema=schema)
+    return rows.select("split", "row_idx", "doc_id", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @register("csv_pairs", f"""
 WITH {SQL_EXCHANGES.strip()},
 w AS (SELECT {Q_SQL} || prompt || {A_SQL} AS prompt, chosen, rejected FROM pairs)

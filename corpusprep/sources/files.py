@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusprep.constants import CORPUS_EXTENSIONS
+from corpusprep.operators.ordering import row_index
 
 RANK_BROADCAST_BYTES = 256 * 1024 * 1024
 TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
@@ -143,12 +144,60 @@ def read_corpus(spark: SparkSession, train_dir: str, validation_dir: str | None
     return out
 
 
+def file_manifest(spark: SparkSession, directory: str | None, extensions=CORPUS_EXTENSIONS) -> DataFrame | None:
+    """The corpus files under ``directory`` as a table: ``path``, ``uri`` (as ``_metadata.file_path`` spells it), ``extension``,
+    ``length``, ``modified`` and ``file_rank``, the place in sorted path order; ``None`` when the folder does not exist. Spark lists
+    the files (many folders as a job of its own) and ranks them; no list of them is kept in Python and no content is read."""
+    if directory is None or not _exists(spark, directory):
+        return None
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.{" + ",".join(extensions) + "}").load(directory))
+    files = listed.select("path", F.col("_metadata.file_path").alias("uri"), F.regexp_extract("path", r"([^.]*)$", 1).alias("extension"),
+                          "length", F.col("modificationTime").alias("modified"))
+    return row_index(files, ["path"], name="file_rank")
+
+
+def read_numbered(spark: SparkSession, folders: dict[str, str | None], *, keep_linebreaks: bool = True,
+                  schema: T.StructType = TEXT_SCHEMA, json_multiline: bool = False) -> DataFrame:
+    """``split, row_idx`` and the columns of ``schema`` of all rows of the folders (split name -> folder; folders that do not exist are
+    left out, the first one must). ``row_idx`` is the row's position in its split, in file order.
+
+    The rows are stored with their positions once, so they keep them whatever a later job's scan settings. Folders are read as a whole;
+    ranks come from the manifest table by a join. Files of all splits must share one type."""
+    manifests = {split: file_manifest(spark, folder) for split, folder in folders.items()}
+    manifests = {split: m for split, m in manifests.items() if m is not None}
+    if not folders or next(iter(folders)) not in manifests:
+        raise FileNotFoundError(f"no folder {next(iter(folders.values()), None)}")
+    found = {split: sorted(r[0] for r in m.select("extension").distinct().collect()) for split, m in manifests.items()}  # the few extensions asked for
+    every = sorted({e for kinds in found.values() for e in kinds})
+    if len(every) > 1:
+        raise ValueError(f"corpus files must share one type (all txt or all jsonl), got {found}")
+    if not found[next(iter(folders))]:
+        raise FileNotFoundError(f"no .txt/.json/.jsonl files under {next(iter(folders.values()))}")
+    out = None
+    for split, manifest in manifests.items():
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{every[0]}")
+        if every[0] == "txt":
+            rows = reader.text(folders[split])
+            columns = [(F.concat("value", F.lit("\n")) if keep_linebreaks else F.col("value")).alias("text")]
+        else:
+            rows = reader.schema(schema).option("mode", "FAILFAST").option("multiLine", str(json_multiline).lower()).json(folders[split])
+            columns = [F.col(c) for c in schema.names]
+        rows = rows.select(*columns, F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("file_block"),
+                           F.monotonically_increasing_id().alias("file_row"))
+        rows = row_index(rows.join(manifest.select("uri", "file_rank"), "uri"), ["file_rank", "file_block", "file_row"])
+        rows = rows.select(F.lit(split).alias("split"), "row_idx", *[c for c in rows.columns if c in ("text", *schema.names)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def csv_by_header(spark: SparkSession, path: str, columns=("prompt", "chosen", "rejected")) -> list[DataFrame]:
     """The CSV files of a path, one frame per distinct header (files may name the columns in any
     order): ``columns`` by name, as text. Each file is checked against its own header."""
     listed = spark.read.text(path, recursiveFileLookup=True) if "*" not in path else spark.read.text(path)
-    lines = listed.select("value", F.col("_metadata.file_path").alias("file"),
-                          F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    # of each file's first split the first line: narrow rows, combined before the shuffle
+    lines = listed.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"),
+                          F.monotonically_increasing_id().alias("at")).where("begin = 0")
     headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
     groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
     jvm = spark.sparkContext._jvm

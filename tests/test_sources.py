@@ -118,3 +118,36 @@ def test_content_digest_follows_the_files(spark, tmpdir_path):
     assert content_digest(spark, files) != first
     states = input_states(spark, [files[0], f"{tmpdir_path}/none"])
     assert len(states) == 2 and states[0].endswith("absent") and input_states(spark, None) == []
+
+
+def test_numbered_rows_do_not_depend_on_scan_splits(spark, tmpdir_path):
+    """The same positions, and packed blocks, under two split sizes; ranks come from the manifest."""
+    from corpusprep.operators.packing import pack_text_blocks
+    from corpusprep.sources.files import file_manifest, read_numbered
+    texts = {}
+    for k, name in enumerate(["b.txt", "a b/c.txt", "a!b/d.txt", "z/é.txt"]):
+        texts[name] = [f"{name} line {i} " + "x" * (i % 9) for i in range(60 + 40 * k)]
+        _write(f"{tmpdir_path}/train/{name}", "\n".join(texts[name]) + "\n")
+    _write(f"{tmpdir_path}/valid/only.txt", "one\n\ntwo\n")
+    manifest = file_manifest(spark, f"{tmpdir_path}/train").orderBy("file_rank").collect()
+    assert [r.path.split("/train/")[1] for r in manifest] == sorted(texts) and [r.file_rank for r in manifest] == [0, 1, 2, 3]
+    assert {r.extension for r in manifest} == {"txt"} and all(r.length > 0 for r in manifest)
+    want = [t + "\n" for name in sorted(texts) for t in texts[name]]
+    seen = []
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("134217728", "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = read_numbered(spark, {"train": f"{tmpdir_path}/train", "validation": f"{tmpdir_path}/valid", "none": f"{tmpdir_path}/none"})
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "300")  # a later job's settings do not matter
+            assert [r.text for r in rows.where("split = 'train'").orderBy("row_idx").collect()] == want
+            assert [r.text for r in rows.where("split = 'validation'").orderBy("row_idx").collect()] == ["one\n", "\n", "two\n"]
+            seen.append(sorted((r.split, r.batch_id, r.block_no, r.input_ids) for r in pack_text_blocks(rows, 64, 50).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert seen[0] == seen[1]
+    _write(f"{tmpdir_path}/valid/other.jsonl", "{}")
+    with pytest.raises(ValueError):
+        read_numbered(spark, {"train": f"{tmpdir_path}/train", "validation": f"{tmpdir_path}/valid"})
+    with pytest.raises(FileNotFoundError):
+        read_numbered(spark, {"train": f"{tmpdir_path}/none"})
