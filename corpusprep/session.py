@@ -88,13 +88,17 @@ def scratch_scope() -> Iterator[list[DataFrame]]:
 
 
 def drop_stored(*frames: DataFrame) -> None:
-    """Delete the files of frames that ``stored`` returned, once nothing that is still to run reads them. Other frames are left alone."""
+    """Delete the files of frames that ``stored`` returned, once nothing that is still to run reads them. Other frames are left alone.
+    Spark deletes the shuffle files of finished jobs when the driver collects its garbage, so it is asked to."""
+    sc = None
     for df in frames:
         path = df.__dict__.pop("_scratch_path", None)
         if path:
             sc = df.sparkSession.sparkContext
             place = sc._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+    if sc is not None:
+        sc._jvm.System.gc()
 
 
 def share_package(spark: SparkSession) -> None:
