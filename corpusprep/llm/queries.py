@@ -69,7 +69,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    found = scan_secrets(_table(spark, sf_dir, "documents"), matches=False)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"] != "random")

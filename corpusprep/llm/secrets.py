@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -107,17 +109,18 @@ def evidence(run: str, kind: str, frequency: Counter, total: int) -> int:
     return max(-1, min(MAX_EVIDENCE, math.floor(bits)))
 
 
-def scan_secrets(docs: DataFrame, fdr: float = 0.001, reject: float = 1e-4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id and ``spans``, an array of (kind, start, end, match) by start, then kind as in ``KINDS``."""
+def scan_secrets(docs: DataFrame, fdr: float = 0.001, reject: float = 1e-4, id_col: str = "doc_id", text_col: str = "text", matches: bool = True) -> DataFrame:
+    """Per document: id and ``spans``, an array of (kind, start, end, match) by start, then kind as in ``KINDS``. Without ``matches`` there is no
+    ``match``, and no secret's text is written to the scratch table that the result reads."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = stored(texts.mapInArrow(_scanner(reject), f"id {docs.schema[id_col].dataType.simpleString()}, spans array<{SPAN}>"), "secret-spans")
+    found = stored(texts.mapInArrow(_scanner(reject, matches), f"id {docs.schema[id_col].dataType.simpleString()}, spans array<{SPAN}>"), "secret-spans")
     least = _least_evidence(found, fdr)
     needed = F.create_map(*(F.lit(v) for item in least.items() for v in item)) if least else None
     enough = (lambda s: s["bits"] >= needed[s["size"]]) if least else (lambda s: F.lit(False))
     kept = F.filter("spans", lambda s: (s["rank"] < 3) | F.coalesce(enough(s), F.lit(False)))
     names = F.array(*(F.lit(k) for k in KINDS))
     return found.select(F.col("id").alias(id_col), F.transform(F.sort_array(kept), lambda s: F.struct(
-        names[s["rank"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"))).alias("spans"))
+        names[s["rank"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), *([s["match"].alias("match")] if matches else []))).alias("spans"))
 
 
 def redact_secrets(docs: DataFrame, fdr: float = 0.001, reject: float = 1e-4, text_col: str = "text") -> DataFrame:
@@ -151,12 +154,16 @@ def _redacted(text: str | None, spans: list[dict]) -> str | None:
 SPAN = "struct<start:int,rank:int,end:int,match:string,size:int,bits:int>"
 
 
-def _scanner(reject: float):
+def _scanner(reject: float, matches: bool = False):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 interesting = _rows_to_read(*text_buffers(part.column(1)))
-                column = [_spans(part.column(1)[row].as_py(), reject) if row in interesting else [] for row in range(part.num_rows)]
+                texts = [part.column(1)[row].as_py() if row in interesting else None for row in range(part.num_rows)]
+                column = [_spans(t, reject) for t in texts]
+                for text, spans in zip(texts, column):
+                    for s in spans if matches else ():
+                        s["match"] = text[s["start"]: s["end"]]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(column, _SPANS)], ["id", "spans"])
 
     return scan
@@ -193,8 +200,10 @@ def _spans(text: str | None, reject: float) -> list[dict]:
     text = text or ""
     runs = [m.span() for m in RUN.finditer(text)]
     base = base_spans(text, runs)
-    found = [{"start": s, "rank": KINDS.index(k), "end": e, "match": text[s:e], "size": 0, "bits": 0} for s, k, e in base]
-    free = [(a, b) for a, b in runs if not any(s < b and a < e for s, _, e in base)]
+    found = [{"start": s, "rank": KINDS.index(k), "end": e, "size": 0, "bits": 0} for s, k, e in base]
+    starts = sorted(s for s, _, _ in base)
+    furthest = list(accumulate((e for _, _, e in sorted(base)), max))  # of the spans up to each start
+    free = [(a, b) for a, b in runs if not (k := bisect_left(starts, b)) or furthest[k - 1] <= a]
     if free:
         frequency = Counter(text)
         for a, b in free:
@@ -202,7 +211,7 @@ def _spans(text: str | None, reject: float) -> list[dict]:
             if p >= reject:
                 own = frequency.copy()
                 own.subtract(text[a:b])
-                found.append({"start": a, "rank": 3, "end": b, "match": text[a:b], "size": min((b - a) // 16, 15),
+                found.append({"start": a, "rank": 3, "end": b, "size": min((b - a) // 16, 15),
                               "bits": evidence(text[a:b], kind, own, len(text) - (b - a))})
     return found
 
