@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,10 +189,10 @@ def epoch_plan_local(n: int, batch_size: int, accumulation: int = 1, epochs: int
     return {"batches": batches, "updates_per_epoch": updates, "total_updates": epochs * updates}
 
 
-def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
-                    on_ragged: str = "error", pad: dict | None = None, lengths: dict | None = None,
-                    derived: dict | None = None, num_buckets: int | None = None) -> DataFrame:
-    """``assign_batches`` followed by ``collate``, with the rows shuffled once (by ``id_col``, unique within a split).
+def collate_by_id(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
+                  on_ragged: str = "error", pad: dict | None = None, lengths: dict | None = None,
+                  derived: dict | None = None, num_buckets: int | None = None) -> DataFrame:
+    """``assign_batches`` followed by ``collate``, with the whole rows shuffled once (by ``id_col``, unique within a split).
 
     Order, batches and all that decides the collation need only ids, lengths, NULL flags and the seeded key: these narrow
     rows are indexed and aggregated, and join back to the whole rows. Ragged batches that repeat their first row send that one row on
@@ -210,3 +210,124 @@ def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, s
     # a merge join: the whole rows are dealt out by id, not sent to the tasks of a few narrow rows
     rows = null_safe_join(df.hint("merge"), narrow, [*groups, id_col]).withColumns(derived or {})
     return _collated(rows, cols, batch, "pos", on_ragged, pad)
+
+
+def _collated_in_place(df: DataFrame, *, batch_cols, pos_col: str, on_ragged: str, pad: dict | None) -> DataFrame:
+    """``collate`` by windows over whole batches, for rows that already lie where their batch is built: no further exchange."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    keys = set(batch_cols) | {pos_col}
+    w = Window.partitionBy(*batch_cols)
+    first_w = Window.partitionBy(*batch_cols).orderBy(pos_col).rowsBetween(Window.unboundedPreceding,
+                                                                            Window.unboundedFollowing)
+
+    def first(c):
+        return F.first(F.col(c), ignorenulls=False).over(first_w)
+
+    d = df
+    label_cols = []
+    whole = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
+    if "label" in fields:
+        ltype = "bigint" if isinstance(fields["label"], whole) else "double"
+        label_cols.append(F.when(first("label").isNotNull(), F.col("label").cast(ltype)).alias("labels"))
+    if "label_ids" in fields:
+        ltype = "bigint" if isinstance(fields["label_ids"].elementType, whole) else "double"
+        ids = F.col("label_ids").cast(f"array<{ltype}>")
+        if "label" in fields:  # label wins; label_ids only where the first label is NULL
+            label_cols.append(F.when(first("label").isNull() & first("label_ids").isNotNull(), ids).alias("labels_seq"))
+        else:
+            label_cols.append(F.when(first("label_ids").isNotNull(), ids).alias("labels"))
+    others = [c for c, t in fields.items()
+              if c not in keys and c not in ("label", "label_ids") and not isinstance(t, T.StringType)]
+    arrays = [c for c in others if isinstance(fields[c], T.ArrayType)]
+    ragged = F.lit(False)
+    for c in arrays:
+        ragged = ragged | (F.min(F.size(c)).over(w) != F.max(F.size(c)).over(w))
+    d = d.withColumn("fell_back", ragged)
+    if on_ragged == "error":
+        d = d.withColumn("fell_back", F.when(F.col("fell_back"), F.raise_error(F.lit("ragged batch")))
+                         .otherwise(F.col("fell_back")))
+    outs = []
+    for c in others:
+        kept = F.when(first(c).isNotNull(), F.col(c))
+        if on_ragged == "repeat_first":
+            kept = F.when(first(c).isNotNull(), F.when(F.col("fell_back"), first(c)).otherwise(F.col(c)))
+        elif on_ragged == "pad" and c in arrays:
+            value = (pad or {}).get(c, IGNORE_INDEX if c == "labels" else DEFAULT_PAD_ID)
+            kept = F.when(first(c).isNotNull(), pad_right(c, F.max(F.size(c)).over(w), value))
+        outs.append(kept.alias(c))
+    sel = [F.col(c) for c in batch_cols] + [F.col(pos_col)] + outs + label_cols
+    return d.select(*sel, "fell_back")
+
+
+def collate_batches(df: DataFrame, batch_size: int, seed: int, id_col: str, *, split_col: str | None = None,
+                    on_ragged: str = "error", pad: dict | None = None,
+                    num_buckets: int | None = None) -> DataFrame:
+    """``assign_batches`` followed by ``collate``, with the rows shuffled once.
+
+    Rows are bucketed on the seeded key (uniform, so buckets are balanced). The row counts per
+    bucket (one row per bucket, to the driver) fix where every batch starts; a bucket that
+    begins in the middle of a batch sends its first rows of that batch (fewer than
+    ``batch_size``) to the bucket where the batch starts, found by one narrow job that returns
+    at most one key per bucket. Each row is then kept only in the partition that owns its
+    batch, and the collation windows run on that same partitioning: one exchange in the plan, at the price of jobs
+    beforehand and of one row per bucket on the driver. ``collate_by_id`` has neither.
+    """
+    from pyspark.sql import types as T_
+    from corpusprep.operators.ordering import SEEDED_KEY_RANGE, _bucketize, default_buckets, seeded_order_key
+
+    bs = int(batch_size)
+    spark = df.sparkSession
+    groups = [split_col] if split_col else []
+    nb = num_buckets or default_buckets(df)
+    keyed = df.withColumn("__skey", seeded_order_key(seed, id_col))
+    based = (_bucketize(keyed, F.col("__skey"), nb, None, SEEDED_KEY_RANGE)
+             .withColumn("__b", F.col("__bucket").cast("int")).drop("__bucket"))
+    key = F.struct(F.col("__skey"), F.col(id_col))
+
+    # per (group, bucket) counts -> where each bucket starts inside its group
+    counts = {tuple(r[:-1]): r[-1] for r in based.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("c")).collect()}
+    offsets, heads, by_group = {}, {}, {}
+    for k in sorted(counts, key=lambda k: k[-1]):
+        by_group.setdefault(k[:-1], []).append(k[-1])
+    for g in by_group:
+        acc, owner = 0, None  # owner: the bucket in which the batch that is open at ``acc`` starts
+        for b in by_group[g]:
+            n = counts[g + (b,)]
+            offsets[g + (b,)] = acc
+            first = (acc // bs) * bs
+            if first < acc:  # the bucket begins inside a batch that started earlier
+                heads[g + (b,)] = (min(n, first + bs - acc), owner)
+            acc += n
+            if (acc - 1) // bs * bs >= acc - n:  # the last batch begins in this bucket
+                owner = b
+    off_df = spark.createDataFrame([(*k, v) for k, v in offsets.items()],
+                                   based.select(*groups, "__b").schema.add("__off", T_.LongType()))
+
+    limits = {}
+    if heads:
+        need = spark.createDataFrame([(*k, h) for k, (h, _o) in heads.items()],
+                                     based.select(*groups, "__b").schema.add("__h", T_.LongType()))
+        w = Window.partitionBy(*groups, "__b").orderBy("__skey", id_col)
+        ranked = (based.select(*groups, "__b", "__skey", id_col).join(F.broadcast(need), on=[*groups, "__b"])
+                  .withColumn("__r", F.row_number().over(w)))
+        limits = {tuple(r[:-1]): r[-1] for r in ranked.where(F.col("__r") == F.col("__h"))
+                  .select(*groups, "__b", key.alias("__klim")).collect()}  # <= one key per bucket
+    halo_df = spark.createDataFrame(
+        [(*k, limits[k], heads[k][1]) for k in limits],
+        based.select(*groups, "__b").schema.add("__klim", based.select(key.alias("k")).schema["k"].dataType)
+        .add("__owner", T_.IntegerType()))
+    dests = F.when(F.col("__klim").isNotNull() & (key <= F.col("__klim")),
+                   F.array(F.col("__b"), F.col("__owner"))).otherwise(F.array(F.col("__b")))
+    rows = (based.join(F.broadcast(halo_df), on=[*groups, "__b"], how="left")
+            .withColumn("__dest", F.explode(dests)).drop("__klim", "__owner").repartition("__dest"))
+    w_src = Window.partitionBy("__dest", *groups, "__b").orderBy("__skey", id_col)
+    rows = rows.join(F.broadcast(off_df), on=[*groups, "__b"], how="inner")  # one row per bucket
+    idx = F.col("__off") + F.row_number().over(w_src) - 1
+    rows = (rows.withColumn("__idx", idx)
+            .withColumn("batch_no", F.floor(F.col("__idx") / F.lit(bs)).cast("bigint"))
+            .withColumn("pos", (F.col("__idx") % F.lit(bs)).cast("bigint")))
+    # keep a row where its batch is built: halo copies, and own rows of batches starting here
+    own = (F.col("__dest") != F.col("__b")) | (F.col("__idx") - F.col("pos") >= F.col("__off"))
+    rows = rows.where(own).drop("__skey", "__b", "__off", "__idx")
+    out = _collated_in_place(rows, batch_cols=(*groups, "__dest", "batch_no"), pos_col="pos", on_ragged=on_ragged, pad=pad)
+    return out.drop("__dest")

@@ -642,13 +642,13 @@ def q_collate_fallback(spark, sf_dir):
 
 @register("collate_batches", ORACLE["collate_fallback"])
 def q_collate_batches(spark, sf_dir):
-    """The same collation with batching fused in: rows shuffled once (``collate_batches``)."""
-    from corpusprep.operators.batching import collate_batches
+    """The same collation with batching fused in: whole rows shuffled once, by id (``collate_by_id``)."""
+    from corpusprep.operators.batching import collate_by_id
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     ex = docs.join(lab, on="doc_id", how="left").select(
         "doc_id", "text", F.length("text").alias("n"), "label", F.col("source").alias("name"))
-    c = collate_batches(ex, 8, 42, "doc_id", on_ragged="repeat_first", lengths={"input_ids": "n"}, derived={"input_ids": codepoint_ids("text")})
+    c = collate_by_id(ex, 8, 42, "doc_id", on_ragged="repeat_first", lengths={"input_ids": "n"}, derived={"input_ids": codepoint_ids("text")})
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), "labels", "fell_back")
 
 
@@ -671,10 +671,10 @@ def q_pad_to_longest(spark, sf_dir):
 @register("collate_batches_padded", ORACLE["pad_to_longest"])
 def q_collate_batches_padded(spark, sf_dir):
     """Batching and padding to the longest row of each batch in one shuffle
-    (``collate_batches(on_ragged='pad')``): ids padded with 0, labels with -100."""
-    from corpusprep.operators.batching import collate_batches
+    (``collate_by_id(on_ragged='pad')``): ids padded with 0, labels with -100."""
+    from corpusprep.operators.batching import collate_by_id
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("n"))
-    c = collate_batches(docs, 8, 42, "doc_id", on_ragged="pad", lengths={"input_ids": "n", "labels": "n"},
+    c = collate_by_id(docs, 8, 42, "doc_id", on_ragged="pad", lengths={"input_ids": "n", "labels": "n"},
                         derived=dict.fromkeys(("input_ids", "labels"), codepoint_ids("text")))
     return c.select("batch_no", "pos", ids_text("input_ids").alias("input_ids"), ids_text("labels").alias("labels"))
 

@@ -78,3 +78,27 @@ def test_collate_batches_equals_two_steps(spark, bs, nbk, split):
                for r in collate_batches(df, bs, 42, "doc_id", split_col=split_col, num_buckets=nbk,
                                         on_ragged="repeat_first").select(*cols).collect())
     assert a == b
+
+
+@pytest.mark.parametrize("bs,split,on_ragged", [(8, False, "repeat_first"), (3, True, "repeat_first"), (5, True, "pad"), (64, False, "pad")])
+def test_collate_by_id_equals_two_steps(spark, bs, split, on_ragged):
+    """The same with lengths given and ids derived from a text after the rows have moved."""
+    from corpusprep.functions.tokens import codepoint_ids
+    from corpusprep.operators.batching import collate_batches, collate_by_id
+    rnd = random.Random(bs)
+    rows = [(i, "x" * rnd.choice([1, 2, 2, 3]), rnd.choice([0, 1, None]), rnd.choice([None, "a", "b"])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int, split string").repartition(3)
+    df = df if split else df.drop("split")
+    split_col = "split" if split else None
+    ids = {"input_ids": codepoint_ids("text")}
+    whole = df.withColumns(ids)
+    ref = collate(assign_batches(whole, bs, 42, "doc_id", split_col=split_col),
+                  batch_cols=(("split",) if split else ()) + ("batch_no",), on_ragged=on_ragged)
+    show = lambda d: sorted(tuple(str(x) for x in r) for r in d.select(*ref.columns).collect())
+    want = show(ref)
+    assert show(collate_by_id(whole, bs, 42, "doc_id", split_col=split_col, on_ragged=on_ragged)) == want
+    moved = df.withColumn("n", F.length("text"))
+    got = collate_by_id(moved, bs, 42, "doc_id", split_col=split_col, on_ragged=on_ragged, lengths={"input_ids": "n"}, derived=ids)
+    assert show(got) == want
+    if not split:
+        assert show(collate_batches(whole, bs, 42, "doc_id", on_ragged=on_ragged)) == want
