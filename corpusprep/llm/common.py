@@ -17,6 +17,21 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Tables that a Python worker keeps from task to task (vocabularies and what was looked up in them).
+_KEPT_BY_WORKER: list[dict] = []
+
+
+def worker_table() -> dict:
+    _KEPT_BY_WORKER.append({})
+    return _KEPT_BY_WORKER[-1]
+
+
+def release_worker_tables() -> None:
+    """Workers serve the tasks of several operators: one that needs its memory itself gives back what others kept."""
+    for table in _KEPT_BY_WORKER:
+        table.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x.astype(np.uint64, copy=True)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import worker_table
 from .vocabulary import PIECES, WS, default_vocabulary
 
 #: Transitions and words kept by a compiled transducer before it is compiled anew (a cache).
@@ -149,7 +150,7 @@ class Transducer:
         return self.count(m[1]) + m[2] + self.count(m[3])
 
 
-_COMPILED: dict[str, Transducer] = {}
+_COMPILED: dict[str, Transducer] = worker_table()
 
 
 def transducer(path: str) -> Transducer:

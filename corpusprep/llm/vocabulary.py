@@ -13,6 +13,8 @@ from collections.abc import Iterable
 
 import numpy as np
 
+from .common import worker_table
+
 #: White space of the splitting rule (Unicode White_Space).
 WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Each match is a run of whole pre-tokens: the splitting rule with letters and digits as one kind.
@@ -22,7 +24,7 @@ BLANK_SPACE = tuple(c + " " for c in " \n\t\r\x0b\x0c\x85\xa0")
 WIDE_BLANK_SPACE = re.compile(f"[{WS}] ")
 #: Pieces kept per worker and table, the first ones met, so the frequent ones (a cache: results do not change).
 KEPT_PIECES = 300_000
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[str, "Encoder"] = worker_table()
 
 
 class Encoder:

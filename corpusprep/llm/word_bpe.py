@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices
+from .common import text_slices, worker_table
 from .vocabulary import WS
 
 #: Characters of a word up to which its ranks are scanned; longer words use a heap.
@@ -305,7 +305,7 @@ class WordBpe:
         return self.decode_all(pa.array([ids], pa.list_(pa.int64()))).to_pylist()[0]
 
 
-_OPEN: dict[str, WordBpe] = {}
+_OPEN: dict[str, WordBpe] = worker_table()
 
 
 def word_bpe(path: str) -> WordBpe:
