@@ -85,6 +85,8 @@ def scratch_scope() -> Iterator[list[DataFrame]]:
         yield made
     finally:
         _SCOPES.pop()
+        for outer in _SCOPES[-1:]:  # what is left belongs to the scope around this one
+            outer += [t for t in made if "_scratch_path" in t.__dict__]
 
 
 def drop_stored(*frames: DataFrame) -> None:
