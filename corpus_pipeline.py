@@ -22,8 +22,10 @@ from corpusprep.session import drop_stored, scratch_scope, share_package
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go. Trusted text is what the given documents and ``labels`` hold."""
     share_package(spark)
-    model = perplexity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return model.score(docs).where("keep").select(*docs.columns)
+    # columns named like the classifier's results must come through as they are
+    rows = docs.toDF(*(c if c in ("doc_id", "text", "lang") else f"c{i}" for i, c in enumerate(docs.columns)))
+    model = perplexity.fit(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return model.score(rows).where("keep").select(*rows.columns).toDF(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
