@@ -198,7 +198,9 @@ def merkle_manifest(docs: DataFrame, group: str = "source", order_by: str = "doc
     with scratch_scope() as made:
         leaves = stored(docs.select(F.col(group).alias("g"), F.col(order_by).alias("id"), leaf_digest({f: F.col(f) for f in fields}).alias("node"),
                                     *own), "merkle-leaves")
-        numbered = row_index(leaves, ["id", "node"], partition_by="g", name="pos", total_name="total")
+        # rows of some hundred bytes: fewer ranges than tasks of the text, and so fewer sampled keys
+        ranges = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+        numbered = row_index(leaves, ["id", "node"], partition_by="g", name="pos", total_name="total", num_buckets=ranges)
         subroots, levels = _trees(numbered, ["g"], depth, arity)
         tops, upper = stored(row_index(subroots, ["g"], name="pos", total_name="total"), "merkle-subroots"), []
         root = None
