@@ -11,8 +11,10 @@ A text's set is its distinct ``words``-word shingles, as 64-bit hashes. Two text
   pairs. Their common prefix shingles are counted over all of them: linked sets of a and b shingles
   that need overlap o share at least min(prefix(a) - (a - o), prefix(b) - (b - o)), so pairs with fewer go without being read,
   and so do pairs whose bitmaps (a few bits a shingle) already differ in more places than linked sets can.
-* A shingle held by more classes makes units instead: blocks of its classes in order of size, met pairwise where
-  sizes allow. Every pair that shares such a shingle is judged there, so no count is needed for it.
+* A shingle held by more classes makes units of its classes instead, in order of size, and no count is needed. Only components are asked for,
+  so first each block of ``group`` neighbours is judged in itself, and the first classes of the blocks among one another. A family of near copies is one component
+  after that. Then the classes outside a shingle's largest component are pivots against all its classes that sizes allow: a pair that
+  is not judged lies in one component already. The rows of a family thus grow with its size, not with the square.
 * Judging: a unit's ordered sets are stored in a prefix tree with edges of 16 shingles. It is traversed once for all
   pivots: overlaps are kept per node, shared by all sets below it, and a subtree is pruned when its overlap
   and what remains below it cannot reach the needed overlap. Only links of a spanning forest leave a unit.
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusprep.operators.ordering import row_index
 from corpusprep.session import drop_stored, scratch_scope
 
 from .common import mix, shingle_sets, stored, text_buffers, text_slices
@@ -266,14 +269,15 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
     met = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
         meet, "a bigint, na bigint, b bigint, nb bigint, shared bigint, unit bigint, side int")
     met = stored(met, "shingle-meetings")
+    drop_stored(counts)
     # the counts of a pair's common prefix shingles, against what a link of their sizes has at least
     pairs = met.where("unit IS NULL").groupBy("a", "na", "b", "nb").agg(F.sum("shared").alias("shared"))
     need = F.ceil((F.col("na") + F.col("nb")) * needs.num / F.lit(needs.num + needs.den))
     prefix = lambda n: F.col(n) - F.ceil(F.col(n) * needs.num / F.lit(needs.den)) + 1
-    pairs = stored(pairs.where(F.col("shared") >= F.least(prefix("na") - (F.col("na") - need), prefix("nb") - (F.col("nb") - need))), "shingle-pairs")
+    pairs = candidates = stored(pairs.where(F.col("shared") >= F.least(prefix("na") - (F.col("na") - need), prefix("nb") - (F.col("nb") - need))), "shingle-pairs")
     # the sets of all classes still in question, read once, with their bitmaps
-    blocks = met.where("unit IS NOT NULL").select("unit", F.col("a").alias("name"), F.col("na").alias("n"), "side")
-    asked = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).unionAll(blocks.select("name", "n")).distinct()
+    hot = met.where("unit IS NOT NULL").select(F.col("unit").alias("token"), F.col("a").alias("name"), F.col("na").alias("n"), F.col("side").alias("rank"))
+    asked = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).unionAll(hot.select("name", "n")).distinct()
     asked = asked.join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,9 +302,16 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
     pairs = pairs.join(bits(0), ["a", "na"]).join(bits(1), ["b", "nb"]).select("a", "na", "b", "nb", "x", "y").mapInArrow(
         possible, "a bigint, na bigint, b bigint, nb bigint")
     pairs = stored(pairs, "shingle-possible")
-    # units: a pivot with its partners, or two blocks of the classes that hold a frequent prefix shingle
+    drop_stored(candidates)
+    # units: a pivot with its partners, or a block of the classes that hold a frequent prefix shingle, all of them pivots
     unit = F.xxhash64("a", "na").alias("unit")
-    units = blocks.unionAll(pairs.select(unit, "a", "na", F.lit(0).alias("side")).distinct()).unionAll(pairs.select(unit, "b", "nb", F.lit(1).alias("side")))
+    units = pairs.select(unit, F.col("a").alias("name"), F.col("na").alias("n"), F.lit(0).alias("side")).distinct().unionAll(
+        pairs.select(unit, "b", "nb", F.lit(1).alias("side")))
+    last, step = hot.agg(F.max("rank")).first()[0], 1
+    while last is not None and step <= last:  # blocks of neighbours, then of every ``group``-th class, ...
+        level = F.xxhash64("token", F.lit(step), F.floor(F.col("rank") / F.lit(step * group)).cast("bigint")).alias("unit")
+        units = units.unionAll(hot.where(F.col("rank") % step == 0).select(level, "name", "n", F.lit(0).alias("side")))
+        step *= group
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -327,9 +338,16 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
             found += forest(judged())
         yield spanning()
 
-    met_sets = units.join(ordered, ["name", "n"]).select("unit", "name", "side", "tokens")
-    links = met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint")
+    def linked(units: DataFrame, name: str) -> DataFrame:
+        met_sets = units.join(ordered, ["name", "n"]).select("unit", "name", "side", "tokens")
+        return stored(met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint"), name)
+
+    links = linked(units, "shingle-links")
+    drop_stored(pairs)
     found = components(links)
+    rest = None if last is None else _apart(hot, found, needs, group)
+    if rest is not None:
+        found = components(links.unionAll(linked(rest, "shingle-links")))
     classes_found = reps.join(found.withColumnRenamed("id", "name"), "name", "left").withColumn("component", F.coalesce("component", "name"))
     named = stored(classes_found.select("name", "n", "least", "first", "component"), "shingle-components")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
@@ -340,6 +358,31 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
         (empty | F.col("first").eqNullSafe(F.struct("id", "row"))).alias("kept"), F.col("row").alias("row_hash"))
 
 
+def _apart(hot: DataFrame, found: DataFrame, needs: Needs, group: int) -> DataFrame | None:
+    """Units for the pairs that share a frequent prefix shingle but no component yet: blocks of the classes outside the shingle's largest
+    component against all its classes that their sizes allow. None if there are none."""
+    named = found.select(F.col("id").alias("name"), "component")
+    held = stored(hot.join(named, "name", "left").withColumn("component", F.coalesce("component", "name")), "shingle-held")
+    sizes = held.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+    most = sizes.groupBy("token").agg(F.max(F.struct("k", "component")).alias("most")).select("token", F.col("most.component").alias("largest"))
+    others = held.join(most, "token").where("component <> largest").select("token", "name", "n", "rank")
+    others = stored(others, "shingle-others")
+    if others.isEmpty():
+        return None
+    pivots = row_index(others, ["rank"], partition_by="token", name="place")
+    pivots = stored(pivots.select("token", "name", "n", F.floor(F.col("place") / F.lit(group)).cast("bigint").alias("block")), "shingle-pivots")
+    unit = F.xxhash64("token", F.lit(-1), "block", "part").alias("unit")
+    reach = pivots.groupBy("token", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    allowed = (F.col("n") * needs.den >= F.col("low") * needs.num) & (F.col("n") * needs.num <= F.col("high") * needs.den)
+    # a unit holds one block of pivots and the partners of one part of the ranks, so it is bounded too
+    part = F.floor(F.col("rank") / F.lit(8 * group)).cast("bigint").alias("part")
+    partners = held.select("token", "name", "n", part).join(reach, "token").where(allowed)
+    parts = partners.select("token", "block", "part").distinct()
+    partners = partners.join(pivots.select("token", "block", "name", "n"), ["token", "block", "name", "n"], "left_anti")
+    return pivots.join(parts, ["token", "block"]).select(unit, "name", "n", F.lit(0).alias("side")).unionAll(
+        partners.select(unit, "name", "n", F.lit(1).alias("side")))
+
+
 def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8, group: int = 128, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; of rows equal in id and text one stays."""
@@ -352,7 +395,7 @@ ENTRY = np.dtype([("token", "<u8"), ("name", "<i8"), ("n", "<u4")])
 
 
 def _meet(entries: np.ndarray, group: int, needs: Needs) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs with their number of common shingles here, and units for shingles many classes hold."""
+    """Candidate pairs with their number of common shingles here, and the classes, ranked by size, of shingles many classes hold."""
     by = np.lexsort((entries["name"], entries["n"], entries["token"]))
     token, name, n = entries["token"][by], entries["name"][by], entries["n"][by].astype(np.int64)
     again = np.zeros(len(token), bool)  # copies of a class from several tasks
@@ -381,16 +424,7 @@ def _meet(entries: np.ndarray, group: int, needs: Needs) -> Iterator[pa.RecordBa
         shared = np.diff(np.append(first, len(pairs)))
         yield _rows(*pairs[first].T, shared, None, None)
     for s, k in zip(starts[size > group].tolist(), size[size > group].tolist()):
-        blocks = [(a, min(a + group, s + k)) for a in range(s, s + k, group)]
-        for x, (a, b) in enumerate(blocks):
-            for y in range(x, len(blocks)):
-                c, d = blocks[y]
-                if not needs.sizes(int(n[b - 1]), int(n[c])):
-                    break
-                which = np.arange(a, b) if x == y else np.concatenate([np.arange(a, b), np.arange(c, d)])
-                side = np.where(which < b, 0, 1)
-                unit = int(mix(mix(np.array([token[s]], np.uint64)) + np.uint64(x) * np.uint64(0x9E3779B1) + np.uint64(y)).view(np.int64)[0])
-                yield _rows(name[which], n[which], None, None, None, unit, side)
+        yield _rows(name[s: s + k], n[s: s + k], None, None, None, int(token[s: s + 1].view(np.int64)[0]), np.arange(k))
 
 
 def _rows(a, na, b, nb, shared, unit, side) -> pa.RecordBatch:

@@ -62,6 +62,31 @@ def test_jaccard_components_equal_brute_force(table, group):
     assert got == _brute(rows, 4, 85, 100)
 
 
+@pytest.mark.parametrize("kind", ["dense", "chains", "strangers"])
+def test_classes_of_a_frequent_shingle(table, kind):
+    """Many classes share prefix shingles: one near family, long chains of neighbours, or texts that share a line and little else."""
+    rng = random.Random(kind)
+    words = [f"w{i}" for i in range(3000)]
+    rows, line = [], " ".join(rng.choices(words, k=9))
+    if kind == "dense":
+        rows = _family(400, 3, 5)
+    elif kind == "chains":  # each text is the one before with two words changed: only neighbours link
+        for c in range(3):
+            text = line.split() + rng.choices(words, k=110)
+            for i in range(100):
+                rows.append((1000 * c + i, " ".join(text)))
+                for _ in range(2):
+                    text[rng.randrange(9, len(text))] = rng.choice(words)
+    else:
+        for i in range(0, 300, 2):
+            text = line.split() + rng.choices(words, k=rng.randint(5, 60))
+            rows.append((i, " ".join(text)))
+            text[rng.randrange(len(text))] = "other"
+            rows.append((i + 1, " ".join(text)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(table(rows), group=6).collect()}
+    assert got == _brute(rows, 4, 85, 100)
+
+
 def test_jaccard_components_of_corpus(table, corpus):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(table(corpus)).collect()}
     assert got == _brute(corpus, 4, 85, 100)
