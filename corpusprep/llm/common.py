@@ -132,9 +132,10 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray, words: int) -> Iterator[np.
     shingle, a text without words has none."""
     hashes, before = word_hashes(data, ends)
     n = len(hashes)
-    joined = np.zeros(max(n - words + 1, 0), np.uint64)
+    m = max(n - words + 1, 0)
+    joined = np.zeros(m, np.uint64)
     for k in range(words):
-        joined += hashes[k: n - words + 1 + k] * _MULTIPLIERS[k]
+        joined += hashes[k: k + m] * _MULTIPLIERS[k]
     joined = mix(joined)
     for i in range(len(ends) - 1):
         a, b = int(before[i]), int(before[i + 1])
