@@ -322,3 +322,11 @@ def test_scratch_table_without_matches_holds_no_secret(spark, table):
     assert [tuple(s) for s in spans] == [("assign", 0, 25)]
     held = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in frame.inputFiles()})
     assert "hunter2" not in str(held.collect())
+
+
+def test_classifier_uses_all_labels(spark, table, corpus):
+    rows = table(corpus[:60])
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in corpus[:40]], "doc_id bigint, quality int, toxic int")
+    others = spark.range(10**9, 10**9 + (1 << 21)).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")  # of no given row
+    told = lambda known: sorted((r.doc_id, r.perplexity, r.peak_perplexity, r.keep) for r in perplexity.fit(rows, known).score(rows).collect())
+    assert told(labels.unionByName(others)) == told(labels)
