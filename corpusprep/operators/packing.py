@@ -139,17 +139,22 @@ def pack_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_RO
 def pack_text_blocks(df: DataFrame, block_size: int, rows_per_batch: int = DEFAULT_ROWS_PER_BATCH, *,
                      text_col: str = "text", index_col: str = "row_idx",
                      split_col: str | None = "split", keep_short: bool = True,
-                     mask: str | None = "attention_mask", labels: bool = True) -> DataFrame:
+                     mask: str | None = "attention_mask", labels: bool = True, by_split: bool = False) -> DataFrame:
     """Same blocks as ``tokenize`` + ``pack_blocks`` for the codepoint tokenizer, whose ids
     are a per-character map: tokens(a + b) = tokens(a) + tokens(b). Each text is cut once into
     its pieces and each block is tokenized once, so both shuffles move text (1-2 bytes per
-    character) instead of int arrays (4 bytes per token)."""
+    character) instead of int arrays (4 bytes per token). ``by_split``: every task gives its blocks in split order, sorted
+    while they are text, so that a writer partitioned by split has no wide rows to sort."""
     d = _placed(df, F.length(text_col), block_size, rows_per_batch, index_col, split_col, keep_short)
     d = _exploded(d, _text_cuts(text_col, block_size), block_size, _batch_cols(split_col))
     piece = F.struct(F.col("__lo").alias("lo"), _text_piece().alias("t"))
     key = _batch_cols(split_col) + ["block_no"]
     g = d.groupBy(*key).agg(F.array_sort(F.collect_list(piece)).alias("__p"))
-    out = g.select(*key, codepoint_ids(F.array_join(F.transform("__p", lambda p: p["t"]), "")).alias("input_ids"))
+    if by_split and split_col:
+        g = g.select(*key, F.array_join(F.transform("__p", lambda p: p["t"]), "").alias("__t")).sortWithinPartitions(split_col)
+        out = g.select(*key, codepoint_ids("__t").alias("input_ids"))
+    else:
+        out = g.select(*key, codepoint_ids(F.array_join(F.transform("__p", lambda p: p["t"]), "")).alias("input_ids"))
     if mask:
         out = out.withColumn(mask, ones_like("input_ids"))
     if labels:

@@ -960,7 +960,7 @@ def q_write_and_reuse(spark, sf_dir):
     path = _scratch(spark, "prepared")
     docs = table(spark, sf_dir, "documents")
     params = {"block_size": 1024, "rows_per_batch": 1000, "percent": 5, "tokenizer": "codepoint"}
-    blocks = pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000)
+    blocks = pretrain_blocks(docs, ["doc_id"], block_size=1024, rows_per_batch=1000, by_split=True)
     write_prepared(blocks, path, params=params, input_files=docs.inputFiles())
     _, reused = write_prepared(blocks, path, params=params, input_files=docs.inputFiles())
     v = read_split(spark, path, "validation")

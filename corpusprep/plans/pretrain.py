@@ -36,7 +36,8 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
                     text_col: str = "text", keep_short: bool = True, bucket_key=None,
                     max_train_samples: int | None = None, max_eval_samples: int | None = None,
                     strategy: str = "two_shuffle", length_col: str | None = None,
-                    token_store: str | None = None, scope: str = "batch", model_max_length: int | None = None) -> DataFrame:
+                    token_store: str | None = None, scope: str = "batch", model_max_length: int | None = None,
+                    by_split: bool = False) -> DataFrame:
     """Packed blocks ``split, batch_id, block_no, input_ids, attention_mask, labels`` (plus
     ``block_idx`` when a sample limit is given; the limit counts blocks).
 
@@ -51,7 +52,10 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
 
     With a model tokenizer the one-shuffle plan needs ``token_store`` (a shared folder): the
     corpus is tokenized once into it (``store_tokens``) and the stored arrays are packed with
-    one shuffle, the pre-pass reading only the stored token counts."""
+    one shuffle, the pre-pass reading only the stored token counts.
+
+    ``by_split`` (codepoint tokenizer, ``two_shuffle``; no effect elsewhere): blocks come in split order from every task,
+    as ``write_prepared`` needs them."""
     order_by = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     codepoint = tokenizer in (None, "codepoint")
     if model_max_length is not None or block_size is None:
@@ -98,7 +102,7 @@ def pretrain_blocks(docs: DataFrame, order_by=("doc_id",), *, validation: DataFr
     rows = split_corpus(docs, order_by, validation=validation, percent=percent,
                         bucket_key=bucket_key, text_col=text_col)
     if codepoint:
-        blocks = pack_text_blocks(rows, block_size, rows_per_batch, text_col=text_col, keep_short=keep_short)
+        blocks = pack_text_blocks(rows, block_size, rows_per_batch, text_col=text_col, keep_short=keep_short, by_split=by_split)
     else:
         toks = tokenize(rows, text_col, tokenizer=tokenizer)
         blocks = pack_blocks(toks, block_size, rows_per_batch, keep_short=keep_short)

@@ -282,3 +282,15 @@ def test_block_size_rules_in_the_plan(spark):
     assert size(block_size=16, model_max_length=20) == {16}
     with pytest.raises(ValueError):
         size(scope="file")
+
+
+def test_blocks_by_split_need_no_sort_of_wide_rows(spark):
+    from corpusprep.plans.pretrain import pretrain_blocks
+    docs = spark.createDataFrame([(i, f"{i} " * (i % 7)) for i in range(200)], "doc_id bigint, text string")
+    plain = pretrain_blocks(docs, block_size=16, rows_per_batch=10, percent=40)
+    sorted_blocks = pretrain_blocks(docs, block_size=16, rows_per_batch=10, percent=40, by_split=True)
+    rows = lambda d: sorted(map(tuple, d.select("split", "batch_id", "block_no", "input_ids", "attention_mask", "labels").collect()))
+    assert rows(sorted_blocks) == rows(plain)
+    for splits in sorted_blocks.select("split").rdd.glom().collect():
+        assert [r.split for r in splits] == sorted(r.split for r in splits)
+    assert not sorted_blocks.schema["split"].nullable  # else the writer sorts again by its own form of the column
