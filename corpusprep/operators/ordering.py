@@ -28,6 +28,9 @@ membership splits are then a comparison with that key, and no row is shuffled fo
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,6 +121,22 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
     return _in_buckets(df, bucket_key, _bounds(df, bucket_key, num_buckets, relative_error, uniform_range))
 
 
+#: Keys for each range that Spark samples to cut the ranges (it takes up to three times as many). They go to the driver whole, and a key
+#: may be a text; bounds need only be roughly even.
+_RANGE_SAMPLE = 10
+
+
+@contextmanager
+def _range_sample(spark, size: int) -> Iterator[None]:
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(size, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def in_ranges(df: DataFrame, order_by: list, num_ranges: int) -> DataFrame:
     """``df`` stored in ascending ``order_by`` order, cut into ranges: ``__bucket`` is the range and ``__place``
     the place in it. Any orderable columns; NULLs first. Equal keys get an arbitrary but fixed order and may lie in
@@ -125,7 +144,8 @@ def in_ranges(df: DataFrame, order_by: list, num_ranges: int) -> DataFrame:
     keyed = df.withColumn("__tie", F.monotonically_increasing_id())
     run = keyed.repartitionByRange(num_ranges, *order_by, "__tie").sortWithinPartitions(*order_by, "__tie")
     # after the sort this number is (partition, place in it)
-    run = stored(run.drop("__tie").withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    with _range_sample(df.sparkSession, _RANGE_SAMPLE):
+        run = stored(run.drop("__tie").withColumn("__at", F.monotonically_increasing_id()), "ordered")
     return run.withColumn("__bucket", F.shiftright("__at", 33).cast("bigint")) \
         .withColumn("__place", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at")
 

@@ -233,3 +233,14 @@ def test_grouped_scan_in_three_levels_and_more(spark, span):
     if span is None:
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Window [") >= 4
+
+
+def test_ranges_take_few_keys_to_the_driver(spark, monkeypatch):
+    from corpusprep.operators import ordering
+    name, told = "spark.sql.execution.rangeExchange.sampleSizePerPartition", []
+    before, write = spark.conf.get(name), ordering.stored
+    monkeypatch.setattr(ordering, "stored", lambda df, at: (told.append(int(spark.conf.get(name))), write(df, at))[1])
+    df = spark.range(300).selectExpr("concat('key ', id % 100) AS k", "id")
+    got = ordering.row_index(df, ["k", "id"]).orderBy("row_idx").collect()
+    assert [(r.k, r.id) for r in got] == sorted((f"key {i % 100}", i) for i in range(300))
+    assert told and max(told) <= 10 and spark.conf.get(name) == before
