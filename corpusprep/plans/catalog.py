@@ -864,10 +864,18 @@ def _scratch(spark, name):
     return scratch_path(spark, name)
 
 
+def _by_id(docs: DataFrame) -> DataFrame:
+    """``docs`` in ``doc_id`` order, one file for each range. Spark sizes the ranges, so that no task reads a fixed share of all rows; there are
+    at most as many as ``pack_stream`` takes in one micro-batch."""
+    most = 1000
+    few = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) <= most
+    return (docs.repartitionByRange("doc_id") if few else docs.repartitionByRange(most, "doc_id")).sortWithinPartitions("doc_id")
+
+
 def _write_docs(split_docs: DataFrame, base: str, fmt: str) -> None:
     """Train and validation documents in doc_id order, train nested by language."""
     for split in ("train", "validation"):
-        d = split_docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+        d = _by_id(split_docs.where(F.col("split") == split))
         if fmt == "text":
             w = d.select("text", "lang").write.mode("overwrite")
             (w.partitionBy("lang") if split == "train" else d.select("text").write.mode("overwrite")).text(f"{base}/{split}")
@@ -1016,8 +1024,7 @@ def q_pack_stream(spark, sf_dir):
     from corpusprep.streaming.prepare import pack_stream
     base = _scratch(spark, "stream-pack")
     docs = table(spark, sf_dir, "documents")
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text") \
-        .write.mode("overwrite").json(f"{base}/in")
+    _by_id(docs).select("text").write.mode("overwrite").json(f"{base}/in")
     q = pack_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", block_size=1024, rows_per_batch=100)
     q.awaitTermination()
     b = spark.read.parquet(f"{base}/out")
@@ -1137,8 +1144,7 @@ def q_pretrain_from_files(spark, sf_dir):
     base = _scratch(spark, "pretrain-files")
     docs = _split_only(spark, sf_dir)
     for split in ("train", "validation"):
-        docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
-            .select("text").write.mode("overwrite").text(f"{base}/{split}")
+        _by_id(docs.where(F.col("split") == split)).select("text").write.mode("overwrite").text(f"{base}/{split}")
     return _blocks_out(pretrain_from_files(spark, f"{base}/train", f"{base}/validation", block_size=1024,
                                            rows_per_batch=1000))
 
@@ -1151,8 +1157,7 @@ def q_pretrain_from_files_one_shuffle(spark, sf_dir):
     base = _scratch(spark, "pretrain-files-1s")
     docs = _split_only(spark, sf_dir)
     for split in ("train", "validation"):
-        docs.where(F.col("split") == split).repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id") \
-            .select("text").write.mode("overwrite").text(f"{base}/{split}")
+        _by_id(docs.where(F.col("split") == split)).select("text").write.mode("overwrite").text(f"{base}/{split}")
     return _blocks_out(pretrain_from_files(spark, f"{base}/train", f"{base}/validation", block_size=1024,
                                            rows_per_batch=1000, strategy="one_shuffle"))
 

@@ -138,3 +138,18 @@ def test_hot_run_log_is_split_across_chunks(spark):
             cs += int(y)
             acc += l
             assert got[(run, s)] == (cs, acc)
+
+
+def test_files_are_written_in_ranges_that_spark_sizes(spark):
+    from corpusprep.plans.catalog import _by_id
+    docs = spark.range(5000).selectExpr("(id * 7919) % 5000 AS doc_id")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for given, files in ((12, 12), (1200, 1000)):  # not four, whatever the size
+            spark.conf.set("spark.sql.shuffle.partitions", str(given))
+            parts = _by_id(docs).rdd.glom().map(lambda p: [r.doc_id for r in p]).collect()
+            assert len(parts) == files and [i for p in parts for i in p] == list(range(5000))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
