@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,39 +122,55 @@ def _bucketize(df: DataFrame, bucket_key: Column, num_buckets: int,
     return _in_buckets(df, bucket_key, _bounds(df, bucket_key, num_buckets, relative_error, uniform_range))
 
 
-#: Keys for each range that Spark samples to cut the ranges (it takes up to three times as many). They go to the driver whole, and a key
-#: may be a text; bounds need only be roughly even.
-_RANGE_SAMPLE = 10
+#: Keys that Spark samples to cut ranges (it takes up to three times as many), in all, and the fewest for a range. They go to the driver
+#: whole, and a key may be a text; bounds need only be roughly even.
+_RANGE_KEYS, _LEAST_KEYS = 12_800, 10
 
 
 @contextmanager
-def _range_sample(spark, size: int) -> Iterator[None]:
+def _range_sample(spark, num_ranges: int) -> Iterator[None]:
     name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
     before = spark.conf.get(name)
-    spark.conf.set(name, min(size, int(before)))
+    spark.conf.set(name, min(max(_RANGE_KEYS // num_ranges, _LEAST_KEYS), int(before)))
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
-def in_ranges(df: DataFrame, order_by: list, num_ranges: int) -> DataFrame:
+def _running_sum(values: Column) -> Column:
+    """The sum of ``values`` (longs, none null) of the rows before each in its partition, in the order they come."""
+    @F.pandas_udf("bigint")
+    def before(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        total = 0
+        for part in parts:
+            sums = part.cumsum() + total
+            yield sums - part
+            total = int(sums.iloc[-1]) if len(sums) else total
+
+    return before(values)
+
+
+def in_ranges(df: DataFrame, order_by: list, num_ranges: int, sum_of: str | None = None) -> DataFrame:
     """``df`` stored in ascending ``order_by`` order, cut into ranges: ``__bucket`` is the range and ``__place``
     the place in it. Any orderable columns; NULLs first. Equal keys get an arbitrary but fixed order and may lie in
-    several ranges. The ranges are Spark's sampled ones, taken once: later reads see the files."""
+    several ranges. The ranges are Spark's sampled ones, taken once: later reads see the files. ``sum_of`` (a column of longs, none
+    null): ``__sum`` is its sum over the range's rows before, so that no later window has to move the rows for it."""
     keyed = df.withColumn("__tie", F.monotonically_increasing_id())
     run = keyed.repartitionByRange(num_ranges, *order_by, "__tie").sortWithinPartitions(*order_by, "__tie")
     # after the sort this number is (partition, place in it)
-    with _range_sample(df.sparkSession, _RANGE_SAMPLE):
-        run = stored(run.drop("__tie").withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    run = run.drop("__tie").withColumn("__at", F.monotonically_increasing_id())
+    run = run.withColumn("__sum", _running_sum(F.col(sum_of))) if sum_of else run
+    with _range_sample(df.sparkSession, num_ranges):
+        run = stored(run, "ordered")
     return run.withColumn("__bucket", F.shiftright("__at", 33).cast("bigint")) \
         .withColumn("__place", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at")
 
 
 def ordered_buckets(df: DataFrame, order_by, *, partition_by=None, bucket_key=None, num_buckets: int | None = None,
-                    relative_error: float | None = None, uniform_range: tuple | None = None) -> tuple[DataFrame, list]:
+                    relative_error: float | None = None, uniform_range: tuple | None = None, sum_of: str | None = None) -> tuple[DataFrame, list]:
     """``df`` with ``__bucket`` (monotone along ``order_by``, within each group), and the columns that order the rows
-    of one bucket. See the module's notes for the two ways."""
+    of one bucket. See the module's notes for the two ways; ranges have ``__sum`` too if ``sum_of`` is given (see ``in_ranges``)."""
     given = list(order_by) if isinstance(order_by, (list, tuple)) else [order_by]
     groups, nb = _names(partition_by), num_buckets or default_buckets(df)
     keys = [_col(c) for c in given]
@@ -163,7 +180,7 @@ def ordered_buckets(df: DataFrame, order_by, *, partition_by=None, bucket_key=No
         bounds = _bounds(df, _col(bucket_key), nb, relative_error, uniform_range)
         if not _hot(bounds):
             return _in_buckets(df, _col(bucket_key), bounds), keys
-    return in_ranges(df, [*groups, *keys], nb), [F.col("__place")]
+    return in_ranges(df, [*groups, *keys], nb, sum_of), [F.col("__place")]
 
 
 def with_cell(df: DataFrame, groups: list) -> DataFrame:

@@ -187,7 +187,8 @@ def pack_whole_splits(df: DataFrame, key, block_size: int, *, text_col: str | No
     packed. Rows of NULL text or arrays have no tokens. ``key`` is one column or a list, unique and of any orderable type.
 
     A row's token offset is its range's offset (a running sum over one row per split and range) plus a running sum inside the
-    range, so the rows cross the network once, by range. Blocks that lie inside a range are built there. Only the
+    range, so the rows cross the network once, by range. (Ranges of a whole key are stored with that running sum, and their pieces, not their
+    rows, move a second time: only those of the blocks that are asked for.) Blocks that lie inside a range are built there. Only the
     pieces of blocks that span ranges, at most two a range, move again and are put together by block number."""
     from corpusprep.operators.ordering import default_buckets, grouped_scan, ordered_buckets, with_cell
 
@@ -203,15 +204,19 @@ def pack_whole_splits(df: DataFrame, key, block_size: int, *, text_col: str | No
                      F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)).alias("__n"))
     order = [f"__k{i}" for i in range(len(keys))]
     rows, within = ordered_buckets(rows, order, partition_by=parts, num_buckets=nb,
-                                   bucket_key=F.col("__given") if bucket_key is not None else None)
+                                   bucket_key=F.col("__given") if bucket_key is not None else None, sum_of="__n")
     rows = with_cell(rows, parts)
-    cells = rows.groupBy("__cell").agg(F.sum("__n").alias("__t"))  # reads keys and lengths only
+    summed = "__sum" in rows.columns  # over the range, in which several cells may lie one after the other
+    cells = rows.groupBy("__cell").agg(F.sum("__n").alias("__t"), *([F.min("__sum").alias("__first")] if summed else []))  # reads keys and lengths only
     cells = grouped_scan(cells.select("*", "__cell.*"), parts, "__bucket", {"__off": ("sum", "__t")}, inclusive=False, span=nb + 1)
     total = F.sum("__t").over(Window.partitionBy(*parts))
-    cells = cells.select("__cell", "__off", (F.col("__off") + F.col("__t")).alias("__stop"), _kept(total, B, keep_short).alias("__keep"))
-    before = Window.partitionBy("__cell").orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
-    d = rows.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    d = d.join(cells, "__cell").withColumn("__start", (F.col("__off") + F.col("__before")).cast("bigint"))
+    cells = cells.select("__cell", "__off", *(["__first"] if summed else []), (F.col("__off") + F.col("__t")).alias("__stop"), _kept(total, B, keep_short).alias("__keep"))
+    if summed:  # a row for each range and split: no row moves for it
+        d = rows.join(F.broadcast(cells), "__cell").withColumn("__before", F.col("__sum") - F.col("__first"))
+    else:
+        before = Window.partitionBy("__cell").orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+        d = rows.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).join(cells, "__cell")
+    d = d.withColumn("__start", (F.col("__off") + F.col("__before")).cast("bigint"))
     d = d.withColumn("__end", F.least(F.col("__start") + F.col("__n"), F.col("__keep"))).where(F.col("__end") > F.col("__start"))
 
     def spans(block: Column) -> Column:

@@ -241,6 +241,19 @@ def test_ranges_take_few_keys_to_the_driver(spark, monkeypatch):
     before, write = spark.conf.get(name), ordering.stored
     monkeypatch.setattr(ordering, "stored", lambda df, at: (told.append(int(spark.conf.get(name))), write(df, at))[1])
     df = spark.range(300).selectExpr("concat('key ', id % 100) AS k", "id")
-    got = ordering.row_index(df, ["k", "id"]).orderBy("row_idx").collect()
+    for ranges in (3, 256, 1300):
+        ordering.in_ranges(df, ["k", "id"], ranges)
+    assert told == [100, 50, 10] and spark.conf.get(name) == before
+    got = ordering.row_index(df, ["k", "id"], num_buckets=256).orderBy("row_idx").collect()
     assert [(r.k, r.id) for r in got] == sorted((f"key {i % 100}", i) for i in range(300))
-    assert told and max(told) <= 10 and spark.conf.get(name) == before
+
+
+def test_stored_ranges_have_running_sums(spark):
+    from corpusprep.operators.ordering import in_ranges
+    df = spark.range(400).selectExpr("concat('k', id % 7) AS k", "id", "id % 5 AS n").repartition(6)
+    rows = in_ranges(df, ["k", "id"], 5, sum_of="n").orderBy("__bucket", "__place").collect()
+    assert [(r.k, r.id) for r in rows] == sorted((f"k{i % 7}", i) for i in range(400)) and len({r["__bucket"] for r in rows}) > 1
+    sums = {}
+    for r in rows:
+        assert r["__sum"] == sums.get(r["__bucket"], 0)
+        sums[r["__bucket"]] = r["__sum"] + r.n

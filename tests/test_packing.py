@@ -294,3 +294,13 @@ def test_blocks_by_split_need_no_sort_of_wide_rows(spark):
     for splits in sorted_blocks.select("split").rdd.glom().collect():
         assert [r.split for r in splits] == sorted(r.split for r in splits)
     assert not sorted_blocks.schema["split"].nullable  # else the writer sorts again by its own form of the column
+
+
+def test_whole_splits_by_strings_with_running_sums(spark):
+    from corpusprep.operators.packing import pack_whole_splits
+    docs = spark.createDataFrame([(f"s{i % 3}", i, [i] * (i % 9), "train" if i % 4 else "validation") for i in range(300)], "s string, i int, input_ids array<int>, split string")
+    blocks = pack_whole_splits(docs, ["s", "i"], 16, text_col=None, columns=["input_ids"], num_buckets=6)
+    for split in ("train", "validation"):
+        stream = [t for _, i in sorted((f"s{i % 3}", i) for i in range(300) if (i % 4 > 0) == (split == "train")) for t in [i] * (i % 9)]
+        got = [r.input_ids for r in blocks.where(blocks.split == split).orderBy("block_no").collect()]
+        assert got == [stream[k: k + 16] for k in range(0, len(stream) // 16 * 16, 16)]
