@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocabulary import default_vocabulary, encoder
+from .vocabulary import default_vocabulary, encoded
 
 
 def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, int]:
@@ -80,7 +80,6 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 32
-        encode = encoder(path)
         names = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
@@ -101,8 +100,8 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
         for batch in batches:
             id_type = batch.schema.field(0).type
             found = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.ids([text.as_py() or ""])[0] + end
+            for doc, ids in encoded(batch, path):
+                ids += end
                 total = len(ids) // 4
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):

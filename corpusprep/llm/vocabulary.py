@@ -2,16 +2,18 @@
 
 The library's own splitting rule lets a text be cut before every white-space character that follows
 another character, and each such piece encoded by itself. Pieces repeat, so their ids are kept in
-bounded tables per Python worker: the library encodes each distinct piece about once per worker."""
+bounded tables per Python worker: the library encodes each distinct piece about once per worker, and
+the new words of a batch of texts many at a time."""
 
 from __future__ import annotations
 
 import json
 import re
 import struct
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from .common import worker_table
 
@@ -24,6 +26,8 @@ BLANK_SPACE = tuple(c + " " for c in " \n\t\r\x0b\x0c\x85\xa0")
 WIDE_BLANK_SPACE = re.compile(f"[{WS}] ")
 #: Pieces kept per worker and table, the first ones met, so the frequent ones (a cache: results do not change).
 KEPT_PIECES = 300_000
+#: New words given to the library as one string, and code points of texts encoded together.
+JOINED, TOGETHER = 128, 1 << 17
 _ENCODERS: dict[str, "Encoder"] = worker_table()
 
 
@@ -42,7 +46,15 @@ class Encoder:
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.pieces: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # words of letters, by what follows the space
+        self.marked: dict[str, bytes] = {}  # other parts of texts between spaces
+        self.bare = None
+        if plain and not any(spec["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            # the library's merges alone, and how many bytes each id stands for
+            self.bare = Tokenizer.from_str(json.dumps(spec | {"pre_tokenizer": None, "post_processor": None, "added_tokens": [], "truncation": None, "padding": None}))
+            self.sizes = np.zeros(max(spec["model"]["vocab"].values()) + 1, np.int64)
+            for token, i in spec["model"]["vocab"].items():
+                self.sizes[i] = len(token)
 
     def _new_piece(self, piece: str) -> bytes:
         if piece.lstrip(" ").isalpha():  # one pre-token: the library's merges alone
@@ -51,10 +63,33 @@ class Encoder:
             ids = self.library.encode(piece, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _new_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters, each with a blank before it, many in one string. Merges stay within a word
+        unless a token holds the end of one and the blank after it; then the words are encoded one by one."""
+        groups = [words[at: at + JOINED] for at in range(0, len(words), JOINED)] if self.bare else []
+        texts = [" " + " ".join(group) for group in groups]
+        shown = [text.encode().decode("latin-1").translate(self.letters) for text in texts]
+        blank = self.letters[32]
+        for group, text, found in zip(groups, shown, self.bare.encode_batch_fast(shown, add_special_tokens=False) if groups else ()):
+            ids = np.array(found.ids, "<u4")
+            ends = np.cumsum(self.sizes[ids])
+            stops = np.cumsum([len(part) + 1 for part in text[1:].split(blank)])
+            cuts = np.searchsorted(ends, stops)
+            if len(ids) and ends[-1] == len(text) and (ends[cuts] == stops).all():
+                body, cuts = ids.tobytes(), (4 * cuts + 4).tolist()
+                yield from (body[a:b] for a, b in zip([0, *cuts], cuts))
+            else:
+                yield from (self._new_piece(" " + word) for word in group)
+        if not groups:
+            yield from (self._new_piece(" " + word) for word in words)
+
     def _between_boundaries(self, text: str) -> bytes:
         """Ids of a text that starts and ends where the splitting rule always cuts."""
+        return self._joined(PIECES.findall(text))
+
+    def _joined(self, pieces: list[str]) -> bytes:
         out = []
-        for piece in PIECES.findall(text):
+        for piece in pieces:
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self._new_piece(piece)
@@ -65,23 +100,66 @@ class Encoder:
 
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as ``encode(add_special_tokens=False)``."""
-        return [self._whole(text) for text in texts]
-
-    def _whole(self, text: str) -> bytes:
+        out: list = [self._unsplit(text) for text in texts]
+        parts = [i for i, ids in enumerate(out) if isinstance(ids, list)]
+        found = {i: list(map(self.spaced.get, out[i][1:])) for i in parts}
+        new = self._spaced({w for i in parts if None in found[i] for w, ids in zip(out[i][1:], found[i]) if ids is None})
+        for i in parts:
+            first, *rest = out[i]
+            if None in found[i]:
+                found[i] = [new[w] if ids is None else ids for w, ids in zip(rest, found[i])]
+            out[i] = self._between_boundaries(first) + b"".join(found[i])
+        return out
+
+    def _unsplit(self, text: str) -> bytes | list[str]:
+        """The ids of a text, or its parts between spaces if the rule cuts before every space."""
         if self.specials is None or any(s in text for s in self.specials):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if any(s in text for s in BLANK_SPACE) or (_wide(text) and WIDE_BLANK_SPACE.search(text)):
             return self._between_boundaries(text)
-        # no blank stands before a space, so the rule cuts before every space
-        first, *rest = text.split(" ")
-        out = list(map(self.spaced.get, rest))
-        if None in out:
-            for i, ids in enumerate(out):
-                if ids is None:
-                    out[i] = ids = self.spaced.get(rest[i]) or self._between_boundaries(" " + rest[i])
-                    if len(self.spaced) < KEPT_PIECES:
-                        self.spaced[rest[i]] = ids
-        return self._between_boundaries(first) + b"".join(out)
+        return text.split(" ")
+
+    def _spaced(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of parts of texts with a space before each: words of letters, or such words and what stands between and behind them."""
+        ids, words, pieces = {}, set(), {}
+        for part in new:
+            if part.isalpha():
+                words.add(part)
+            elif known := self.marked.get(part):
+                ids[part] = known
+            else:
+                pieces[part] = inside = PIECES.findall(" " + part)
+                first = inside[0][1:]
+                if first.isalpha() and first not in self.spaced:
+                    words.add(first)
+        ids |= zip(words, self._new_words(list(words)))
+        for word in words:
+            if len(self.spaced) >= KEPT_PIECES:
+                break
+            self.spaced[word] = ids[word]
+        for part, inside in pieces.items():
+            first = inside[0][1:]
+            if first.isalpha():
+                ids[part] = (self.spaced.get(first) or ids[first]) + self._joined(inside[1:])
+            else:
+                ids[part] = self._joined(inside)
+            if len(self.marked) < KEPT_PIECES:
+                self.marked[part] = ids[part]
+        return ids
+
+
+def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[object, bytes]]:
+    """(first column, ids of the text in the second) of each row; null text is empty. Texts of about 128 kB are encoded together."""
+    encode = encoder(path)
+    names, texts, size = [], [], 0
+    for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        names.append(name)
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield from zip(names, encode.ids(texts))
+            names, texts, size = [], [], 0
+    yield from zip(names, encode.ids(texts))
 
 
 def _wide(text: str) -> bool:
