@@ -21,11 +21,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vocabulary import default_vocabulary, encoder
+from .vocabulary import default_vocabulary, encoded
 
 _TABLE_BITS = 20
 
 
+def grouped(pairs: np.ndarray, bucket: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal pairs together, first of each pair in it) of the pairs in the hot buckets."""
+    number = np.cumsum(hot) - 1
+    if number[-1] >= 1 << 16:
+        by = np.argsort(pairs, kind="stable")
+    else:  # few buckets, of 16 bits: sorted by counting; only those that hold several pairs are sorted by pair
+        code = number[bucket].astype(np.uint16)
+        by = np.argsort(code, kind="stable")
+        code, found = code[by], pairs[by]
+        mixed = np.zeros(int(number[-1]) + 1, bool)
+        mixed[code[1:][(found[1:] != found[:-1]) & (code[1:] == code[:-1])]] = True
+        if mixed.any():
+            at = np.flatnonzero(mixed[code])
+            by[at] = by[at][np.lexsort((found[at], code[at]))]
+    found = pairs[by]
+    return by, np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(by) else np.zeros(0, np.int64)
+
+
 def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(rules [left, right], first nonterminal of each round, expansion lengths, sequence) of an
     array of unsigned 32-bit ids. Nonterminals are numbered from the largest id + 1 on."""
@@ -36,13 +54,13 @@ def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarr
     while len(seq) > 1 and symbol < 2**32 - len(seq):
         left, right = seq[:-1], seq[1:]
         # exact counts of the pairs whose hash bucket could hold a frequent one
-        bucket = ((left * np.uint32(0x9E3779B1) ^ right) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _TABLE_BITS)
+        bucket = (((left * np.uint32(0x9E3779B1) ^ right) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _TABLE_BITS)).astype(np.intp)
         in_bucket = np.bincount(bucket, minlength=1 << _TABLE_BITS)
         limit = max(min_count, int(in_bucket.max()) // 8) if limit is None else max(min_count, limit // 4)
-        at = np.flatnonzero((in_bucket >= limit)[bucket])
+        hot = in_bucket >= limit
+        at = np.flatnonzero(hot[bucket])
         pairs = left[at].astype(np.uint64) << np.uint64(32) | right[at]
-        by = np.argsort(pairs, kind="stable")
-        first = np.flatnonzero(np.append(True, pairs[by][1:] != pairs[by][:-1])) if len(at) else np.zeros(0, np.int64)
+        by, first = grouped(pairs, bucket[at], hot)
         counts = np.diff(np.append(first, len(at)))
         taken = counts >= limit
         if not taken.any():
@@ -50,13 +68,16 @@ def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarr
                 break
             continue
         which = np.empty(len(at), np.int64)  # the rule of each place, or -1
-        which[by] = np.repeat(np.where(taken, np.cumsum(taken) - 1, -1), counts)
+        pair = pairs[by[first[taken]]]
+        number = np.full(len(first), -1)
+        number[np.flatnonzero(taken)[np.argsort(pair)]] = np.arange(len(pair))
+        which[by] = np.repeat(number, counts)
         at, which = at[which >= 0], which[which >= 0]
         # of overlapping occurrences every second one of a run is replaced, from its left end
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0
         at, which = at[even], which[even]
-        pair = pairs[by][first[taken]]
+        pair.sort()
         rule = np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         new, kept = seq.copy(), np.ones(len(seq), bool)
         new[at] = which.astype(np.uint32) + np.uint32(symbol)
@@ -106,7 +127,6 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
     end = np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
         shard = TaskContext.get().partitionId()
         names, held, size, before = [], [], 0, 0
 
@@ -121,8 +141,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.ids([text.as_py() or ""])[0] + end
+            for doc, ids in encoded(batch, vocabulary):
+                ids += end
                 if held and size + len(ids) // 4 > block_tokens:
                     yield block(id_type)
                     names, held, size, before = [], [], 0, before + size

@@ -1,7 +1,8 @@
-"""Batches of texts encoded together."""
+"""Batches of texts encoded together, and the pair counts of operator 9."""
 import numpy as np
 
 from corpusprep.llm import vocabulary
+from corpusprep.llm.token_files import grouped
 from corpusprep.llm.vocabulary import Encoder, default_vocabulary
 
 
@@ -33,3 +34,18 @@ def test_words_whose_tokens_would_meet_are_encoded_one_by_one(monkeypatch):
     want = [encode._new_piece(" ab"), encode._new_piece(" cd")]
     encode.sizes = encode.sizes + 1  # as if tokens reached over the blanks
     assert list(encode._new_words(["ab", "cd"])) == want
+
+
+def test_pairs_are_grouped_within_hot_buckets():
+    rng = np.random.default_rng(3)
+    pairs = rng.integers(0, 40, 3000).astype(np.uint64)
+    bucket = (pairs % 7).astype(np.intp)  # several pairs in a bucket
+    hot = np.zeros(8, bool)
+    hot[:7] = True
+    by, first = grouped(pairs, bucket, hot)
+    assert sorted(by.tolist()) == list(range(3000))
+    found = pairs[by]
+    assert len(first) == len(np.unique(pairs)) == len(set(found[first].tolist()))
+    assert all((np.diff(by[a:b]) > 0).all() for a, b in zip(first, [*first[1:], 3000]))  # equal pairs in the order of their places
+    alone, _ = grouped(pairs[:0], bucket[:0], hot)
+    assert len(alone) == 0
