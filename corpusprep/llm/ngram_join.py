@@ -42,6 +42,8 @@ from .components import components, forest
 EDGE = 16
 #: Shingles counted together in a task before the frequent ones among them are sent on.
 COUNTED = 1 << 22
+#: Bits of the map of the rows whose texts are read again.
+MAP_BITS = 1 << 25
 
 
 def set_name(tokens: np.ndarray) -> int:
@@ -163,6 +165,24 @@ def judge_unit(names: list[int], sets: list[np.ndarray], pivots: np.ndarray, nee
     return links
 
 
+def maybe_asked(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """``texts`` (row, text) without most of those whose ``row`` is not asked for, so that few texts are shuffled for nothing. They are told
+    by a map of 2**25 bits (4 MB whatever the input); the join after it sorts out what the map lets through."""
+    bit = F.col("row").bitwiseAND(MAP_BITS - 1) + 1  # Spark numbers the bits of a part from 1 on
+    parts = asked.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    held = np.zeros((MAP_BITS // 32768, 4096), np.uint8)
+    for r in parts.collect():
+        held[r["part"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(held.ravel())
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy() & (MAP_BITS - 1)
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return texts.mapInArrow(sift, texts.schema)
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, threshold: float = 0.85, group: int = 128,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id``, ``kept`` (this row stands for its component: least id, nulls first,
@@ -278,7 +298,7 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
     # the sets of all classes still in question, read once, with their bitmaps
     hot = met.where("unit IS NOT NULL").select(F.col("unit").alias("token"), F.col("a").alias("name"), F.col("na").alias("n"), F.col("side").alias("rank"))
     asked = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).unionAll(hot.select("name", "n")).distinct()
-    asked = asked.join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size"))
+    asked = stored(asked.join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size")), "shingle-asked")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,8 +309,9 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
                                                   pa.array([order.value.sort(found[i]).tobytes() for i in keep], pa.binary()),
                                                   pa.array([bitmap(found[i]) for i in keep], pa.binary())], ["name", "n", "tokens", "bits"])
 
-    texts = rows.select("row", "text").join(asked, "row").select("text", "asked", "size")
-    ordered = stored(texts.mapInArrow(sets, "name bigint, n bigint, tokens binary, bits binary").dropDuplicates(["name", "n"]), "shingle-sets")
+    # equal rows go while they are text and lie together: a set takes more room, and hashes do not compress
+    texts = maybe_asked(rows.select("row", "text"), asked).join(asked, "row").withColumn("again", F.xxhash64(F.lit(1), "text")).dropDuplicates(["row", "asked", "size", "again"])
+    ordered = stored(texts.select("text", "asked", "size").mapInArrow(sets, "name bigint, n bigint, tokens binary, bits binary"), "shingle-sets")
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
