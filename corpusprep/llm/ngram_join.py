@@ -210,7 +210,8 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
         for batch in batches:
             for part, sets in sets_of(batch):
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                                                  pa.array([set_name(s) for s in sets], pa.int64())], ["row", "id", "n", "name"])
+                                                  pa.array([set_name(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())],
+                                                 ["row", "id", "n", "name", "bits"])
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, total = [], 0, 0
@@ -230,7 +231,7 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
                     held, size = [], 0
         yield counted()
 
-    members = stored(rows.mapInArrow(classes, f"row bigint, id {kind}, n bigint, name bigint"), "shingle-classes")
+    members = stored(rows.mapInArrow(classes, f"row bigint, id {kind}, n bigint, name bigint, bits binary"), "shingle-classes")
     reps = members.where("n > 0").groupBy("name", "n").agg(
         F.min("row").alias("row"), F.min("id").alias("least"), F.min(F.struct("id", "row")).alias("first"))
     counts = stored(rows.mapInArrow(frequent, "token bigint, n bigint, total bigint").groupBy("token").agg(
@@ -295,23 +296,10 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
     need = F.ceil((F.col("na") + F.col("nb")) * needs.num / F.lit(needs.num + needs.den))
     prefix = lambda n: F.col(n) - F.ceil(F.col(n) * needs.num / F.lit(needs.den)) + 1
     pairs = candidates = stored(pairs.where(F.col("shared") >= F.least(prefix("na") - (F.col("na") - need), prefix("nb") - (F.col("nb") - need))), "shingle-pairs")
-    # the sets of all classes still in question, read once, with their bitmaps
     hot = met.where("unit IS NOT NULL").select(F.col("unit").alias("token"), F.col("a").alias("name"), F.col("na").alias("n"), F.col("side").alias("rank"))
-    asked = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).unionAll(hot.select("name", "n")).distinct()
-    asked = stored(asked.join(reps, ["name", "n"]).select("row", F.col("name").alias("asked"), F.col("n").alias("size")), "shingle-asked")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, found in sets_of(batch):
-                wanted = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
-                keep = [i for i, s in enumerate(found) if (set_name(s), len(s)) == wanted[i]]
-                yield pa.RecordBatch.from_arrays([pa.array([wanted[i][0] for i in keep], pa.int64()), pa.array([wanted[i][1] for i in keep], pa.int64()),
-                                                  pa.array([order.value.sort(found[i]).tobytes() for i in keep], pa.binary()),
-                                                  pa.array([bitmap(found[i]) for i in keep], pa.binary())], ["name", "n", "tokens", "bits"])
-
-    # equal rows go while they are text and lie together: a set takes more room, and hashes do not compress
-    texts = maybe_asked(rows.select("row", "text"), asked).join(asked, "row").withColumn("again", F.xxhash64(F.lit(1), "text")).dropDuplicates(["row", "asked", "size", "again"])
-    ordered = stored(texts.select("text", "asked", "size").mapInArrow(sets, "name bigint, n bigint, tokens binary, bits binary"), "shingle-sets")
+    # pairs are told apart by the bitmaps alone before any text is read again
+    paired = pairs.select(F.col("a").alias("name"), F.col("na").alias("n")).unionAll(pairs.select("b", "nb")).distinct()
+    maps = stored(members.select("name", "n", "bits").join(paired, ["name", "n"], "left_semi").dropDuplicates(["name", "n"]), "shingle-maps")
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,11 +307,11 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
                     for na, nb, x, y in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5))]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:4]], ["a", "na", "b", "nb"])
 
-    bits = lambda i: ordered.select(F.col("name").alias("ab"[i]), F.col("n").alias(("na", "nb")[i]), F.col("bits").alias(("x", "y")[i]))
+    bits = lambda i: maps.select(F.col("name").alias("ab"[i]), F.col("n").alias(("na", "nb")[i]), F.col("bits").alias(("x", "y")[i]))
     pairs = pairs.join(bits(0), ["a", "na"]).join(bits(1), ["b", "nb"]).select("a", "na", "b", "nb", "x", "y").mapInArrow(
         possible, "a bigint, na bigint, b bigint, nb bigint")
     pairs = stored(pairs, "shingle-possible")
-    drop_stored(candidates)
+    drop_stored(candidates, maps)
     # units: a pivot with its partners, or a block of the classes that hold a frequent prefix shingle, all of them pivots
     unit = F.xxhash64("a", "na").alias("unit")
     units = pairs.select(unit, F.col("a").alias("name"), F.col("na").alias("n"), F.lit(0).alias("side")).distinct().unionAll(
@@ -340,28 +328,36 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
         found: list[tuple[int, int]] = []  # of all units of a task, so that a family's links leave it once
 
         def judged() -> list[tuple[int, int]]:
-            return judge_unit([h[1] for h in held], [np.frombuffer(h[3], "<u8") for h in held], np.array([h[2] == 0 for h in held]), needs)
+            return judge_unit([h[1] for h in held], [h[3] for h in held], np.array([h[2] == 0 for h in held]), needs)
 
         def spanning() -> pa.RecordBatch:
             links = forest(found)
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    found += forest(judged())
-                    held = []
-                    if len(found) > 500_000:
-                        yield spanning()
-                        found = []
-                held.append(row)
+            for part, found_sets in sets_of(batch):
+                for unit, name, side, n, tokens in zip(*(c.to_pylist() for c in part.columns[:4]), found_sets):
+                    if held and held[0][0] != unit:
+                        found += forest(judged())
+                        held = []
+                        if len(found) > 500_000:
+                            yield spanning()
+                            found = []
+                    if (set_name(tokens), len(tokens)) == (name, n):  # not another text of the same hash
+                        held.append((unit, name, side, order.value.sort(tokens)))
         if held:
             found += forest(judged())
         yield spanning()
 
     def linked(units: DataFrame, name: str) -> DataFrame:
-        met_sets = units.join(ordered, ["name", "n"]).select("unit", "name", "side", "tokens")
-        return stored(met_sets.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint"), name)
+        # texts travel, by row and then to their units, and become sets there: a set takes more room, and hashes do not compress
+        asked = stored(units.join(reps, ["name", "n"]).select("row", "unit", "name", "side", "n"), "shingle-asked")
+        texts = maybe_asked(rows.select("row", "text"), asked).withColumn("again", F.xxhash64(F.lit(1), "text"))
+        texts = texts.repartition("row").dropDuplicates(["row", "again"])  # equal rows
+        met = texts.join(asked, "row").select("unit", "name", "side", "n", "text")
+        links = stored(met.repartition("unit").sortWithinPartitions("unit", "side", "name").mapInArrow(judge, "a bigint, b bigint"), name)
+        drop_stored(asked)
+        return links
 
     links = linked(units, "shingle-links")
     drop_stored(pairs)

@@ -23,3 +23,15 @@ def test_equal_rows_and_null_ids_with_partners(spark):
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), threshold=0.85)
     found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in got.collect())
     assert found == [(False, 1, 57, 1)] * 3 + [(False, 2, 56, 1), (False, 4, 56, 1), (False, 5, 0, 5), (False, 5, 0, 5), (False, 6, 1, 6)] + [(True, 0, 57, 1)] * 2
+
+
+def test_sets_are_made_where_they_are_judged(spark, monkeypatch):
+    from corpusprep.llm import ngram_join
+
+    kept, store = {}, ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: kept.setdefault(name, store(df, name)))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[: 60 - i % 2])) for i in range(6)] + [(i, f"unlike {i}") for i in range(6, 9)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == [(i, 0) for i in range(6)] + [(i, i) for i in range(6, 9)]
+    assert not [n for n, df in kept.items() if {"tokens", "text"} & set(df.columns)]  # sets were stored, and shuffled by class and by unit
