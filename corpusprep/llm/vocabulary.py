@@ -3,7 +3,8 @@
 The library's own splitting rule lets a text be cut before every white-space character that follows
 another character, and each such piece encoded by itself. Pieces repeat, so their ids are kept in
 bounded tables per Python worker: the library encodes each distinct piece about once per worker, and
-the new words of a batch of texts many at a time."""
+the new words of a batch of texts many at a time. Arrow finds the words that are known and gathers the ids of the texts, so only
+new words become Python objects."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import worker_table
 
@@ -21,13 +23,15 @@ from .common import worker_table
 WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Each match is a run of whole pre-tokens: the splitting rule with letters and digits as one kind.
 PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[^\W_]+| ?(?:[^\w{WS}]|_)+|[{WS}]+(?![^{WS}])|[{WS}]+")
+#: Marks that often stand behind a word.
+MARKS = ".,;:!?)\""
 #: White space before a space, Latin-1 and any.
 BLANK_SPACE = tuple(c + " " for c in " \n\t\r\x0b\x0c\x85\xa0")
 WIDE_BLANK_SPACE = re.compile(f"[{WS}] ")
 #: Pieces kept per worker and table, the first ones met, so the frequent ones (a cache: results do not change).
-KEPT_PIECES = 300_000
+KEPT_PIECES, KEPT_SPACED = 300_000, 600_000
 #: New words given to the library as one string, and code points of texts encoded together.
-JOINED, TOGETHER = 128, 1 << 17
+JOINED, TOGETHER = 128, 1 << 23
 _ENCODERS: dict[str, "Encoder"] = worker_table()
 
 
@@ -46,8 +50,9 @@ class Encoder:
         hidden = [b for b in range(256) if b not in set(shown)]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.pieces: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}  # words of letters, by what follows the space
-        self.marked: dict[str, bytes] = {}  # other parts of texts between spaces
+        # words of letters and other parts of texts between spaces, by what follows the space, and their ids
+        self.words, self.word_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.firsts: dict[str, bytes] = {}  # words of letters that other parts start with
         self.bare = None
         if plain and not any(spec["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
             # the library's merges alone, and how many bytes each id stands for
@@ -100,56 +105,74 @@ class Encoder:
 
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as ``encode(add_special_tokens=False)``."""
+        texts = list(texts)
         out: list = [self._unsplit(text) for text in texts]
-        parts = [i for i, ids in enumerate(out) if isinstance(ids, list)]
-        found = {i: list(map(self.spaced.get, out[i][1:])) for i in parts}
-        new = self._spaced({w for i in parts if None in found[i] for w, ids in zip(out[i][1:], found[i]) if ids is None})
-        for i in parts:
-            first, *rest = out[i]
-            if None in found[i]:
-                found[i] = [new[w] if ids is None else ids for w, ids in zip(rest, found[i])]
-            out[i] = self._between_boundaries(first) + b"".join(found[i])
+        parts = [i for i, ids in enumerate(out) if ids is None]
+        if not parts:
+            return out
+        split = pc.split_pattern(pa.array([texts[i] for i in parts], pa.large_string()), " ")
+        cuts = split.offsets.to_numpy()
+        known = self.words.slice(0, 2 * len(split.values))  # Arrow hashes it for every batch: few words do not pay for many
+        which = pc.index_in(split.values, value_set=known).fill_null(-1).to_numpy().astype(np.int64)
+        which[cuts[:-1]] = 0  # no space before the first word of a text
+        missing = which < 0
+        new = split.values.filter(pa.array(missing)).dictionary_encode()
+        names = new.dictionary.to_pylist()
+        ids = self._spaced(names) if names else {}
+        made = pa.array([ids[name] for name in names], pa.large_binary())
+        firsts = pa.array([self._between_boundaries(texts[i].split(" ", 1)[0]) for i in parts], pa.large_binary())
+        table = pa.concat_arrays([self.word_ids.slice(0, len(known)), made, firsts])
+        which[missing] = new.indices.to_numpy() + np.int64(len(known))
+        which[cuts[:-1]] = len(known) + len(names) + np.arange(len(parts))
+        if len(known) == len(self.words) and (room := max(KEPT_SPACED - len(known), 0)):
+            self.words = pa.concat_arrays([self.words, new.dictionary.slice(0, room)])
+            self.word_ids = pa.concat_arrays([self.word_ids, made.slice(0, room)])
+        _, ends, data = table.take(pa.array(which)).buffers()
+        ends, data = np.frombuffer(ends, np.int64)[cuts].tolist(), memoryview(data)
+        for i, start, end in zip(parts, ends, ends[1:]):
+            out[i] = data[start:end].tobytes()
         return out
 
-    def _unsplit(self, text: str) -> bytes | list[str]:
-        """The ids of a text, or its parts between spaces if the rule cuts before every space."""
+    def _unsplit(self, text: str) -> bytes | None:
+        """The ids of a text, or None if the rule cuts before every space."""
         if self.specials is None or any(s in text for s in self.specials):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if any(s in text for s in BLANK_SPACE) or (_wide(text) and WIDE_BLANK_SPACE.search(text)):
             return self._between_boundaries(text)
-        return text.split(" ")
+        return None
 
-    def _spaced(self, new: set[str]) -> dict[str, bytes]:
+    def _spaced(self, new: list[str]) -> dict[str, bytes]:
         """Ids of parts of texts with a space before each: words of letters, or such words and what stands between and behind them."""
-        ids, words, pieces = {}, set(), {}
+        ids, pieces = {}, {}
+        words = {part: None for part in new if part.isalpha()}
         for part in new:
-            if part.isalpha():
-                words.add(part)
-            elif known := self.marked.get(part):
-                ids[part] = known
+            if part in words:
+                continue
+            first = part.rstrip(MARKS)
+            if first.isalpha():
+                pieces[part] = first, [part[len(first):]]  # marks behind a word are one piece
             else:
-                pieces[part] = inside = PIECES.findall(" " + part)
+                inside = PIECES.findall(" " + part)
                 first = inside[0][1:]
-                if first.isalpha() and first not in self.spaced:
-                    words.add(first)
+                pieces[part] = (first, inside[1:]) if first.isalpha() else (None, inside)
+        known = self.firsts
+        words |= {first: None for first, _ in pieces.values() if first is not None and first not in known}
         ids |= zip(words, self._new_words(list(words)))
-        for word in words:
-            if len(self.spaced) >= KEPT_PIECES:
-                break
-            self.spaced[word] = ids[word]
-        for part, inside in pieces.items():
-            first = inside[0][1:]
-            if first.isalpha():
-                ids[part] = (self.spaced.get(first) or ids[first]) + self._joined(inside[1:])
-            else:
+        for part, (first, inside) in pieces.items():
+            if first is None:
                 ids[part] = self._joined(inside)
-            if len(self.marked) < KEPT_PIECES:
-                self.marked[part] = ids[part]
+                continue
+            before = known.get(first)
+            if before is None:
+                before = ids[first]
+                if len(known) < KEPT_PIECES:
+                    known[first] = before
+            ids[part] = before + self._joined(inside)
         return ids
 
 
 def encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[object, bytes]]:
-    """(first column, ids of the text in the second) of each row; null text is empty. Texts of about 128 kB are encoded together."""
+    """(first column, ids of the text in the second) of each row; null text is empty. Texts of about 8 MB are encoded together."""
     encode = encoder(path)
     names, texts, size = [], [], 0
     for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -29,6 +29,29 @@ def test_tables_that_are_full_change_no_ids(monkeypatch):
     assert full.ids(texts) == [Encoder(default_vocabulary()).ids([t])[0] for t in texts] == [full.ids([t])[0] for t in texts]
 
 
+def test_known_parts_are_not_taken_apart_again(monkeypatch):
+    texts = ["ab cd, ef. \tq gh", "cd, ef. ab's 12 \u00e9t\u00e9! x", "", "one"]
+    encode = Encoder(default_vocabulary())
+    want = [np.array(encode.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    taken, apart = [], encode._spaced
+    monkeypatch.setattr(encode, "_spaced", lambda new: (taken.extend(new), apart(new))[1])
+    assert encode.ids(texts) == want and len(taken) == len(set(taken)) > 5
+    taken.clear()
+    assert encode.ids(texts[::-1]) == want[::-1] and not taken  # words with marks came again before
+
+
+def test_a_small_batch_after_a_large_one(monkeypatch):
+    encode = Encoder(default_vocabulary())
+    many = [" ".join(f"w{i}, v{chr(97 + i % 26)}x{i}." for i in range(500))]
+    texts = [*many, "no such words", "w499, w0, w499,"]
+    want = [np.array(encode.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [encode.ids([t])[0] for t in texts] == want == encode.ids(texts)
+    assert len(encode.words) == len(set(encode.words.to_pylist()))
+    monkeypatch.setattr(vocabulary, "KEPT_SPACED", 3)
+    full = Encoder(default_vocabulary())
+    assert [full.ids([t])[0] for t in texts] == want and len(full.words) == 3
+
+
 def test_words_whose_tokens_would_meet_are_encoded_one_by_one(monkeypatch):
     encode = Encoder(default_vocabulary())
     want = [encode._new_piece(" ab"), encode._new_piece(" cd")]
