@@ -28,14 +28,16 @@ _TABLE_BITS = 20
 
 def grouped(pairs: np.ndarray, bucket: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order that brings equal pairs together, first of each pair in it) of the pairs in the hot buckets."""
-    number = np.cumsum(hot) - 1
-    if number[-1] >= 1 << 16:
+    buckets = np.flatnonzero(hot)
+    if len(buckets) > 1 << 16:
         by = np.argsort(pairs, kind="stable")
     else:  # few buckets, of 16 bits: sorted by counting; only those that hold several pairs are sorted by pair
-        code = number[bucket].astype(np.uint16)
+        number = np.zeros(len(hot), np.uint16)
+        number[buckets] = np.arange(len(buckets))
+        code = number[bucket]
         by = np.argsort(code, kind="stable")
         code, found = code[by], pairs[by]
-        mixed = np.zeros(int(number[-1]) + 1, bool)
+        mixed = np.zeros(len(buckets), bool)
         mixed[code[1:][(found[1:] != found[:-1]) & (code[1:] == code[:-1])]] = True
         if mixed.any():
             at = np.flatnonzero(mixed[code])
@@ -75,7 +77,7 @@ def compress(ids: np.ndarray, min_count: int = 64) -> tuple[np.ndarray, np.ndarr
         at, which = at[which >= 0], which[which >= 0]
         # of overlapping occurrences every second one of a run is replaced, from its left end
         run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) % 2 == 0
+        even = (at - np.repeat(at[run], np.diff(np.append(run, len(at))))) & 1 == 0
         at, which = at[even], which[even]
         pair.sort()
         rule = np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
@@ -99,8 +101,10 @@ def expand(rules: np.ndarray, rounds: np.ndarray, seq: np.ndarray) -> np.ndarray
     for first in rounds[:0:-1].tolist():
         inner = seq >= first
         rule = rules[seq[inner].astype(np.int64) - base]
-        out = np.repeat(seq, 1 + inner.astype(np.int64))
         at = np.flatnonzero(inner) + np.arange(len(rule))
+        out, first_of = np.empty(len(seq) + len(rule), seq.dtype), np.ones(len(seq) + len(rule), bool)
+        first_of[at + 1] = False
+        out[first_of] = seq
         out[at], out[at + 1] = rule[:, 0], rule[:, 1]
         seq = out
     return seq
@@ -176,9 +180,11 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
                 ends = np.cumsum(sizes)
                 for a in range(0, len(sizes), 2000):
                     b = min(a + 2000, len(sizes))
+                    first = int(ends[a] - sizes[a])
+                    cuts = (4 * (np.append(first, ends[a:b]) - first)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [r["docs"].values.slice(a, b - a), pa.array(ends[a:b] - sizes[a:b] + r["start"].as_py()), pa.array(sizes[a:b]),
-                         pa.array([ids[e - s: e].tobytes() for e, s in zip(ends[a:b].tolist(), sizes[a:b].tolist())], pa.binary())],
+                         pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(cuts), pa.py_buffer(ids[first: ends[b - 1]])])],
                         [id_col, "start", "n_tokens", "ids"])
 
     placed = blocks.join(F.broadcast(bases), "shard")  # a row per shard: as many as partitions were written

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import worker_table
+from .common import text_buffers, worker_table
 
 #: White space of the splitting rule (Unicode White_Space).
 WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -28,6 +28,9 @@ MARKS = ".,;:!?)\""
 #: White space before a space, Latin-1 and any.
 BLANK_SPACE = tuple(c + " " for c in " \n\t\r\x0b\x0c\x85\xa0")
 WIDE_BLANK_SPACE = re.compile(f"[{WS}] ")
+#: Bytes that may end white space in UTF-8.
+MAYBE_BLANK = np.zeros(256, bool)
+MAYBE_BLANK[[*range(9, 14), 32, *range(128, 256)]] = True
 #: Pieces kept per worker and table, the first ones met, so the frequent ones (a cache: results do not change).
 KEPT_PIECES, KEPT_SPACED = 300_000, 600_000
 #: New words given to the library as one string, and code points of texts encoded together.
@@ -106,11 +109,15 @@ class Encoder:
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, as ``encode(add_special_tokens=False)``."""
         texts = list(texts)
-        out: list = [self._unsplit(text) for text in texts]
+        given = pa.array(texts, pa.large_string())
+        data, ends = text_buffers(given)
+        data = data[: ends[-1]]
+        doubtful = set((np.searchsorted(ends, np.flatnonzero(MAYBE_BLANK[data[:-1]] & (data[1:] == 32)), side="right") - 1).tolist())
+        out: list = [self._unsplit(text, i in doubtful) for i, text in enumerate(texts)]
         parts = [i for i, ids in enumerate(out) if ids is None]
         if not parts:
             return out
-        split = pc.split_pattern(pa.array([texts[i] for i in parts], pa.large_string()), " ")
+        split = pc.split_pattern(given.take(pa.array(parts)) if len(parts) < len(texts) else given, " ")
         cuts = split.offsets.to_numpy()
         known = self.words.slice(0, 2 * len(split.values))  # Arrow hashes it for every batch: few words do not pay for many
         which = pc.index_in(split.values, value_set=known).fill_null(-1).to_numpy().astype(np.int64)
@@ -133,11 +140,11 @@ class Encoder:
             out[i] = data[start:end].tobytes()
         return out
 
-    def _unsplit(self, text: str) -> bytes | None:
-        """The ids of a text, or None if the rule cuts before every space."""
+    def _unsplit(self, text: str, doubtful: bool = True) -> bytes | None:
+        """The ids of a text, or None if the rule cuts before every space, as it does if the text is not ``doubtful``."""
         if self.specials is None or any(s in text for s in self.specials):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if any(s in text for s in BLANK_SPACE) or (_wide(text) and WIDE_BLANK_SPACE.search(text)):
+        if doubtful and (any(s in text for s in BLANK_SPACE) or (_wide(text) and WIDE_BLANK_SPACE.search(text))):
             return self._between_boundaries(text)
         return None
 
@@ -167,7 +174,7 @@ class Encoder:
                 before = ids[first]
                 if len(known) < KEPT_PIECES:
                     known[first] = before
-            ids[part] = before + self._joined(inside)
+            ids[part] = before + (len(inside) == 1 and self.pieces.get(inside[0]) or self._joined(inside))
         return ids
 
 
