@@ -36,14 +36,12 @@ from pyspark.sql import functions as F
 from corpusprep.operators.ordering import row_index
 from corpusprep.session import drop_stored, scratch_scope
 
-from .common import mix, shingle_sets, stored, text_buffers, text_slices
+from .common import in_map, key_map, mix, shingle_sets, stored, text_buffers, text_slices
 from .components import components, forest
 
 EDGE = 16
 #: Shingles counted together in a task before the frequent ones among them are sent on.
 COUNTED = 1 << 22
-#: Bits of the map of the rows whose texts are read again.
-MAP_BITS = 1 << 25
 
 
 def set_name(tokens: np.ndarray) -> int:
@@ -168,17 +166,11 @@ def judge_unit(names: list[int], sets: list[np.ndarray], pivots: np.ndarray, nee
 def maybe_asked(texts: DataFrame, asked: DataFrame) -> DataFrame:
     """``texts`` (row, text) without most of those whose ``row`` is not asked for, so that few texts are shuffled for nothing. They are told
     by a map of 2**25 bits (4 MB whatever the input); the join after it sorts out what the map lets through."""
-    bit = F.col("row").bitwiseAND(MAP_BITS - 1) + 1  # Spark numbers the bits of a part from 1 on
-    parts = asked.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
-    held = np.zeros((MAP_BITS // 32768, 4096), np.uint8)
-    for r in parts.collect():
-        held[r["part"] - 1] = np.frombuffer(r["bits"], np.uint8)
-    shared = texts.sparkSession.sparkContext.broadcast(held.ravel())
+    shared = texts.sparkSession.sparkContext.broadcast(key_map(asked, "row"))
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy() & (MAP_BITS - 1)
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+            yield batch.filter(pa.array(in_map(shared.value, batch.column(0).to_numpy())))
 
     return texts.mapInArrow(sift, texts.schema)
 

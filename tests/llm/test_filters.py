@@ -330,3 +330,38 @@ def test_classifier_uses_all_labels(spark, table, corpus):
     others = spark.range(10**9, 10**9 + (1 << 21)).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")  # of no given row
     told = lambda known: sorted((r.doc_id, r.perplexity, r.peak_perplexity, r.keep) for r in perplexity.fit(rows, known).score(rows).collect())
     assert told(labels.unionByName(others)) == told(labels)
+
+
+def _spelled(spark, table):
+    """Much toxic text whose words hardly repeat, and five toxic rows that share a word: (documents, labels)."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    lexicon = [word() for _ in range(60)]
+    clean = [(i, " ".join(rng.choices(lexicon, k=40))) for i in range(400)]
+    spelled = [(400 + i, " ".join([*rng.choices(lexicon, k=30), *["venomous"] * 4])) for i in range(5)]
+    long = [(500 + i, " ".join(word() for _ in range(150_000))) for i in range(2)]
+    toxic = [*spelled, *long]
+    labels = [(i, 1, 0) for i, _ in clean] + [(i, 0, 1) for i, _ in toxic]
+    return table(clean + toxic), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), len(clean)
+
+
+def test_stems_of_few_toxic_rows_count_however_much_toxic_text_there_is(spark, table):
+    docs, labels, n = _spelled(spark, table)
+    judged = {r.doc_id: r.contrast for r in perplexity.fit(docs, labels).score(docs.where("doc_id < 405")).collect()}
+    assert all(judged[i] > 0 for i in range(n, n + 5))  # their stems went before, for the long rows' sake
+    assert not any(judged[i] > 0 for i in range(n))
+
+
+def test_chunks_ask_for_stems_by_language(spark, table):
+    """A language with stems of its own has these alone; others, null included, have the pooled ones."""
+    words = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(10)]
+    rng = random.Random(3)
+    plain = lambda: " ".join(rng.choices(words, k=30))
+    rows = [(i, plain(), "ab"[i % 2]) for i in range(400)] + [(400 + i, plain() + " poison poison", "a") for i in range(8)]
+    rows += [(500 + i, f"{plain()} {w} {w}", lang) for i, (w, lang) in enumerate((w, x) for w in ("poison", "harmless") for x in ("a", "b", None, "c"))]
+    rows += [(600 + i, plain(), "b") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)] + [(i, 0, 1) for i in (*range(400, 408), *range(600, 608))], "doc_id bigint, quality int, toxic int")
+    judged = {r.doc_id: r.contrast for r in perplexity.fit(docs, labels).score(docs).collect()}
+    assert [judged[500 + i] > 0 for i in range(8)] == [True] * 4 + [False] * 4
+    assert len({judged[501 + i] for i in range(3)}) == 1  # the pooled worth
