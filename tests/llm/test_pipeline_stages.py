@@ -49,3 +49,18 @@ def test_scratch_of_the_run_goes(spark):
     before = set(os.listdir(at)) if os.path.isdir(at) else set()
     corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
     assert {x.rsplit("-", 1)[0] for x in set(os.listdir(at)) - before} == {"pipeline-secrets"}
+
+
+def test_quality_stage_knows_words_of_few_toxic_rows_among_much_toxic_text(spark, folder):
+    import random
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    lexicon = ["zzvenomous", "vendible", *(word() for _ in range(40))]  # every four letters of the toxic word are common
+    text = lambda more="": " ".join(rng.sample([*rng.choices(lexicon, k=40), *more.split()], 40 + len(more.split())))
+    docs = [(i, text()) for i in range(400)] + [(400 + i, text("venomous " * 3)) for i in range(8)]
+    long = [(500 + i, " ".join(word() for _ in range(150_000))) for i in range(2)]
+    sf = folder([(i, 1, 0) for i in range(400)] + [(i, 0, 1) for i in (*range(400, 405), 500, 501)], [])
+    rows = spark.createDataFrame(_rows(docs + long), DOCS).repartition(3)
+    kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, rows, sf).select("doc_id").collect()}
+    assert not kept & set(range(400, 408)) and len(kept & set(range(400))) >= 390  # the toxic word was dropped for the long rows' sake
