@@ -4,8 +4,8 @@ A text's set is its distinct ``words``-word shingles, as 64-bit hashes. Two text
 ``intersection >= threshold * union``. Equal sets are one class; a class stands for all its copies.
 
 * Global order: shingles found to be frequent come last, by the logarithm of their count, the others by hash. Any order gives right
-  results; this one keeps frequent shingles out of the prefixes. Frequent means more often than
-  a share 2**-20 of all shingles, which bounds their table.
+  results; this one keeps frequent shingles out of the prefixes. Frequent are the 2**20 shingles that tasks
+  counted most often (with ties as far as they fit), which bounds their table.
 * Prefixes: linked sets of n shingles share one of the first n - ceil(threshold * n) + 1. Prefixes travel
   packed, so the shuffle has few rows. A prefix shingle held by up to ``group`` classes makes candidate
   pairs. Their common prefix shingles are counted over all of them: linked sets of a and b shingles
@@ -42,6 +42,8 @@ from .components import components, forest
 EDGE = 16
 #: Shingles counted together in a task before the frequent ones among them are sent on.
 COUNTED = 1 << 22
+#: Shingles that a task counts so often are sent on, and so many of these at most are ordered by their count. Neither changes the result.
+OFTEN, FREQUENT = 2, 1 << 20
 
 
 def set_name(tokens: np.ndarray) -> int:
@@ -163,6 +165,19 @@ def judge_unit(names: list[int], sets: list[np.ndarray], pivots: np.ndarray, nee
     return links
 
 
+def _least_count(counts: DataFrame) -> int:
+    """The least count that at most ``FREQUENT`` shingles reach."""
+    total = counts.agg(F.sum("total")).first()[0] or 0
+    sizes = counts.where("n > 0").groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("k")).orderBy(F.desc("n")).collect()  # 2**16 rows at most
+    least, held = max(1 << 16, total // FREQUENT) + 1, 0
+    for r in sizes:
+        held += r["k"]
+        if held > FREQUENT:
+            break
+        least = r["n"]
+    return least
+
+
 def maybe_asked(texts: DataFrame, asked: DataFrame) -> DataFrame:
     """``texts`` (row, text) without most of those whose ``row`` is not asked for, so that few texts are shuffled for nothing. They are told
     by a map of 2**25 bits (4 MB whatever the input); the join after it sorts out what the map lets through."""
@@ -210,7 +225,7 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
 
         def counted() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            often = counts >= 4
+            often = counts >= OFTEN
             return pa.RecordBatch.from_arrays([pa.array(np.append(tokens[often].view(np.int64), 0)), pa.array(np.append(counts[often], 0)),
                                                pa.array(np.append(np.zeros(int(often.sum()), np.int64), size))], ["token", "n", "total"])
 
@@ -228,8 +243,7 @@ def _components(docs: DataFrame, words: int, threshold: float, group: int, id_co
         F.min("row").alias("row"), F.min("id").alias("least"), F.min(F.struct("id", "row")).alias("first"))
     counts = stored(rows.mapInArrow(frequent, "token bigint, n bigint, total bigint").groupBy("token").agg(
         F.sum("n").alias("n"), F.sum("total").alias("total")), "shingle-counts")
-    total = counts.agg(F.sum("total")).first()[0] or 0
-    often = counts.where(F.col("n") >= max(64, total >> 20)).select("token", "n").toArrow()  # at most 2**20 rows
+    often = counts.where(F.col("n") >= _least_count(counts)).select("token", "n").toArrow()  # at most FREQUENT rows
     tokens, ns = often.column(0).to_numpy().view(np.uint64), often.column(1).to_numpy()
     by = np.argsort(tokens)
     order = spark.sparkContext.broadcast(Order(tokens[by], np.log2(np.maximum(ns[by], 1)).astype(np.int8)))

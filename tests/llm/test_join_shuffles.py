@@ -35,3 +35,35 @@ def test_sets_are_made_where_they_are_judged(spark, monkeypatch):
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == [(i, 0) for i in range(6)] + [(i, i) for i in range(6, 9)]
     assert not [n for n, df in kept.items() if {"tokens", "text"} & set(df.columns)]  # sets were stored, and shuffled by class and by unit
+
+
+def test_shingles_of_some_dozen_texts_make_no_pairs(spark, monkeypatch):
+    from corpusprep.llm import ngram_join
+
+    met, store = [], ngram_join.stored
+
+    def spy(df, name):
+        out = store(df, name)
+        if name == "shingle-meetings":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", spy)
+    common = " ".join(f"c{k}" for k in range(40))
+    rows = [(i, " ".join([*(f"w{i}x{k}" for k in range(80)), common, *(f"v{i}x{k}" for k in range(80))])) for i in range(60)]
+    rows += [(100, rows[0][1] + " more"), (101, rows[1][1])]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {**{i: i for i in range(60)}, 100: 0, 101: 1}
+    assert 0 < met[0] < 20  # every two texts met in the passage before, as a shingle of under 64 texts was never taken for frequent
+
+
+def test_frequent_shingles_are_bounded_by_rank(spark, monkeypatch):
+    from corpusprep.llm import ngram_join
+
+    counts = spark.createDataFrame([(0, 0, 90), *((i, n, 0) for i, n in enumerate([9, 9, 7, 7, 7, 5, 2, 1 << 20], 1))], "token bigint, n bigint, total bigint")
+    least = []
+    for most in (0, 1, 2, 3, 5, 6, 7, 100):
+        monkeypatch.setattr(ngram_join, "FREQUENT", most)
+        least.append(ngram_join._least_count(counts) if most else None)
+    assert least[1:] == [1 << 16, 1 << 16, 9, 9, 7, 5, 2]
+    assert ngram_join._least_count(counts.limit(0)) > 0
